@@ -100,35 +100,42 @@ def _runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[pa.Recor
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
 
 
-def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _leaf_pairs(maybe: float):
     """Compare the members of each small node; at least one of a pair must still seek links."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.float32())])
-    for held in _runs(batches, 0):
-        table = pa.Table.from_batches(held).combine_chunks()
-        if not table.num_rows:
-            continue
-        node = table["node"].to_numpy()
-        rep, seeks = table["rep"].to_numpy(), table["seeks"].to_numpy(zero_copy_only=False)
-        sig = _matrix(table["sig"])
-        edges = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]])
-        out: list[tuple[np.ndarray, ...]] = []
-        for s, e in zip(edges[:-1], edges[1:], strict=True):
-            for i in range(s, e - 1):
-                sim = (sig[i + 1 : e] == sig[i]).mean(1)
-                ok = (sim >= MAYBE) & (seeks[i + 1 : e] | seeks[i]) & (rep[i + 1 : e] != rep[i])
-                if ok.any():
-                    j = np.flatnonzero(ok) + i + 1
-                    out.append((np.minimum(rep[j], rep[i]), np.maximum(rep[j], rep[i]), sim[ok]))
-        if out:
-            yield batch_of(schema, *(np.concatenate(c) for c in zip(*out, strict=True)))
-
-
-def candidate_pairs(reps: DataFrame, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _runs(batches, 0):
+            table = pa.Table.from_batches(held).combine_chunks()
+            if not table.num_rows:
+                continue
+            node = table["node"].to_numpy()
+            rep, seeks = table["rep"].to_numpy(), table["seeks"].to_numpy()
+            sig = _matrix(table["sig"])
+            edges = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]])
+            out: list[tuple[np.ndarray, ...]] = []
+            for s, e in zip(edges[:-1], edges[1:], strict=True):
+                for i in range(s, e - 1):
+                    sim = (sig[i + 1 : e] == sig[i]).mean(1)
+                    ok = (sim >= maybe) & (seeks[i + 1 : e] | seeks[i]) & (rep[i + 1 : e] != rep[i])
+                    if ok.any():
+                        j = np.flatnonzero(ok) + i + 1
+                        out.append((np.minimum(rep[j], rep[i]), np.maximum(rep[j], rep[i]), sim[ok]))
+            if out:
+                yield batch_of(schema, *(np.concatenate(c) for c in zip(*out, strict=True)))
+
+    return run
+
+
+def candidate_pairs(reps: DataFrame, roots: DataFrame | None = None, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH, maybe: float = MAYBE, width: int = SIGNATURE) -> DataFrame:
     """(a, b, sim) of pairs that share a small node of a tree, or a pivot; reps: rep, sig, with unlike sets.
 
+    `roots` (rep, node) may name other first nodes than those of the trees;
+    `width` is the number of minhashes in a signature.
+
     A tree's first token is the minimum of its own hash function; deeper nodes
     follow two coordinates picked by the node. Nodes of up to `leaf` members are
     compared exhaustively. In larger ones all members are held against a few
@@ -137,14 +144,16 @@ def candidate_pairs(reps: DataFrame, trees: int = TREES, leaf: int = LEAF, depth
     blocks, with the few seekers in each block, so none of their pairs is lost.
     """
     token = lambda at: F.substring("sig", at * 4 + 1, 4)
-    rows = reps.select("rep", F.lit(True).alias("seeks"), F.explode(F.array(*(F.xxhash64(F.lit(t), token(t)) for t in range(trees)))).alias("node"))
+    if roots is None:
+        roots = reps.select("rep", F.explode(F.array(*(F.xxhash64(F.lit(t), token(t)) for t in range(trees)))).alias("node"))
+    rows = roots.select("rep", F.lit(True).alias("seeks"), "node")
     found = []
     for level in range(depth + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.count_if("seeks").alias("open")).where("n > 1 and open > 0")
         rows = cut(rows.join(sizes, "node").select("node", "rep", "seeks", "n"))
         small = rows.where(F.col("n") <= leaf).select("node", "rep", "seeks")
         big = rows.where(F.col("n") > leaf)
-        found.append(_compare(small, reps))
+        found.append(_compare(small, reps, maybe))
         if big.isEmpty():
             break
         if level == depth:
@@ -152,26 +161,26 @@ def candidate_pairs(reps: DataFrame, trees: int = TREES, leaf: int = LEAF, depth
             own = F.pmod(F.xxhash64("rep", F.lit(level)), blocks).cast("int")
             dealt = big.select("rep", "seeks", "node", F.when(F.col("seeks"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own)).alias("to"))
             dealt = dealt.select(F.explode("to").alias("block"), "rep", "seeks", "node")
-            found.append(_compare(dealt.select(F.xxhash64("node", "block").alias("node"), "rep", "seeks"), reps))
+            found.append(_compare(dealt.select(F.xxhash64("node", "block").alias("node"), "rep", "seeks"), reps, maybe))
             break
         held = cut(_against_pivots(big, reps))
-        found.append(held.where(f"sim >= {MAYBE} and rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"), "sim"))
-        rows = held.join(reps, "rep").select("rep", "seeks", F.explode(F.array(*(_child(F.col("node"), token_at, token) for token_at in range(2)))).alias("node"))
+        found.append(held.where(f"sim >= {maybe} and rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"), "sim"))
+        rows = held.join(reps, "rep").select("rep", "seeks", F.explode(F.array(*(_child(F.col("node"), branch, token, width) for branch in range(2)))).alias("node"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out.groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
-def _child(node, branch: int, token):
+def _child(node, branch: int, token, width: int):
     """The child node a member goes to on the `branch`-th coordinate that the node picks."""
-    at = F.pmod(F.xxhash64(node, F.lit(branch)), F.lit(SIGNATURE)).cast("int")
+    at = F.pmod(F.xxhash64(node, F.lit(branch)), F.lit(width)).cast("int")
     return F.xxhash64(node, F.lit(branch), token(at))
 
 
-def _compare(rows: DataFrame, reps: DataFrame) -> DataFrame:
+def _compare(rows: DataFrame, reps: DataFrame, maybe: float) -> DataFrame:
     full = rows.join(reps, "rep").select("node", "rep", "seeks", "sig")
-    return full.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs, "a long, b long, sim float")
+    return full.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs(maybe), "a long, b long, sim float")
 
 
 def _against_pivots(big: DataFrame, reps: DataFrame, pivots: int = 4) -> DataFrame:
@@ -188,7 +197,7 @@ def _against_pivots(big: DataFrame, reps: DataFrame, pivots: int = 4) -> DataFra
             rep, seeks, best, sims = batch.column(1).to_pylist(), batch.column(2).to_pylist(), [], []
             for sig, ids, sigs, own in zip(batch.column(3), batch.column(4), batch.column(5), rep, strict=True):
                 mine = np.frombuffer(sig.as_py(), np.uint32)
-                other = np.frombuffer(b"".join(sigs.as_py()), np.uint32).reshape(-1, SIGNATURE)
+                other = np.frombuffer(b"".join(sigs.as_py()), np.uint32).reshape(-1, len(mine))
                 sim = (other == mine).mean(1)
                 at = int(sim.argmax())
                 best.append(ids.as_py()[at])
@@ -221,6 +230,25 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def connected(pairs: DataFrame, verify) -> DataFrame:
+    """Verified links (a, b) that connect all that the pairs (a, b, sim) can connect.
+
+    First each vertex's likeliest pair is verified; then all pairs whose ends
+    are not yet in one component, so no pair within a component is paid for.
+    """
+    best = pairs.select("a", "b", "sim", F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.max(F.struct("sim", -F.col("a"), -F.col("b"), "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+    first = cut(verify(best).distinct())
+    label = cut(components(first))
+    rest = (
+        pairs.join(best, ["a", "b"], "left_anti")
+        .join(label.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+        .join(label.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+        .where("ca is null or cb is null or ca <> cb")
+        .select("a", "b")
+    )
+    return first.unionByName(cut(verify(rest)))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id), one row for each row of `docs`.
 
@@ -236,21 +264,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, trees: in
     known = sigs.where("set_key is not null and doc_id is not null")
     reps = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")))
     by_rep = reps.groupBy("rep").agg(F.min(F.struct("set_key", "sig")).alias("one")).select("rep", "one.sig")
-    pairs = cut(candidate_pairs(cut(by_rep), trees, leaf, depth))
+    pairs = cut(candidate_pairs(cut(by_rep), None, trees, leaf, depth))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(ends, "doc_id", "left_semi"))
-    best = pairs.select("a", "b", "sim", F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.max(F.struct("sim", -F.col("a"), -F.col("b"), "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-    first = cut(verified(best, texts, size, percent).distinct())
-    label = cut(components(first))
-    open_pairs = (
-        pairs.join(best, ["a", "b"], "left_anti")
-        .join(label.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
-        .join(label.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .where("ca is null or cb is null or ca <> cb")
-        .select("a", "b")
-    )
-    more = verified(open_pairs, texts, size, percent)
-    final = components(first.unionByName(more))
+    final = components(connected(pairs, lambda some: verified(some, texts, size, percent)))
     by_class = reps.select("set_key", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     out = sigs.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))

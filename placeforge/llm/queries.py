@@ -7,10 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import minhash_paths, quality
+from placeforge.llm import brown, decontaminate, licenses, minhash_paths, paragraphs, pieces, quality, smallworld, suffixes, urls
 from placeforge.llm.runtime import load, split_of
 
 
+def op1_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_texts(load(spark, sf_dir, "documents"))
+
+
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return cut.select("doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(load(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_texts(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return encoded.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "round_trip")
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(load(spark, sf_dir, "pages"))
+
+
+def op6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = paragraphs.duplicate_paragraphs(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_paragraphs", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
+def op7_smallworld(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return smallworld.near_vectors(load(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.array_distinct(F.col("leaks.item_id"))), ",")
+    return found.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").cast("long").alias("n_leaks"), ids.alias("item_ids"), F.array_min("leaks.start").alias("first_start"), F.array_min("leaks.edits").alias("least_edits"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     forest = quality.fit(docs, load(spark, sf_dir, "labels"))
@@ -23,7 +61,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_quality, op10_minhash)}
+    found = (op1_brown, op2_suffixes, op3_licenses, op4_sentencepiece, op5_urls, op6_paragraphs, op7_smallworld, op8_decontaminate, op9_quality, op10_minhash)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
