@@ -167,3 +167,66 @@ def ann_arbor_scale(kind: Column, cls: Column) -> Column:
 def price_band(average: Column) -> Column:
     """Bands of an average price."""
     return F.when(average < 10, "$").when(average < 20, "$$").when(average < 35, "$$$").when(average.isNotNull(), "$$$$")
+
+
+# fixed values: taco chains with their types and price band, first hit in this order
+TACO_CHAINS = {
+    "taco bell": ("Ground Beef, Pollo", "$"), "del taco": ("Ground Beef, Pollo, Carne Asada", "$"), "taco cabana": ("Pollo, Carne Asada, Carnitas", "$"),
+    "taco john's": ("Ground Beef, Pollo", "$"), "taco johns": ("Ground Beef, Pollo", "$"), "taco bueno": ("Ground Beef, Pollo", "$"), "taco casa": ("Ground Beef, Pollo", "$"),
+    "taco mayo": ("Ground Beef, Pollo", "$"), "taco time": ("Ground Beef, Pollo", "$"), "jimboy's tacos": ("Ground Beef", "$"), "jimboys tacos": ("Ground Beef", "$"),
+    "jack in the box": ("Ground Beef", "$"), "el pollo loco": ("Pollo, Carne Asada", "$"), "rubio's": ("Fish, Shrimp", "$$"), "rubios": ("Fish, Shrimp", "$$"),
+    "rubio's coastal grill": ("Fish, Shrimp", "$$"), "chronic tacos": ("Carne Asada, Al Pastor, Carnitas", "$$"), "fuzzy's taco shop": ("Ground Beef, Pollo, Fish", "$$"),
+    "fuzzys taco shop": ("Ground Beef, Pollo, Fish", "$$"), "torchy's tacos": ("Carne Asada, Pollo, Fish", "$$"), "torchys tacos": ("Carne Asada, Pollo, Fish", "$$"),
+    "velvet taco": ("Carne Asada, Pollo", "$$"), "bartaco": ("Carne Asada, Pollo, Fish", "$$"), "tacodeli": ("Carne Asada, Pollo, Barbacoa", "$$"),
+    "taco republic": ("Al Pastor, Carne Asada, Carnitas", "$$"), "taco palenque": ("Carne Asada, Al Pastor, Barbacoa", "$"), "taqueria arandas": ("Al Pastor, Carnitas, Carne Asada", "$"),
+    "taqueria datapoint": ("Al Pastor, Carnitas", "$"), "king taco": ("Al Pastor, Carne Asada", "$"), "los tacos no.": ("Al Pastor, Carne Asada", "$"),
+    "tacos el gordo": ("Al Pastor, Carne Asada, Lengua", "$"), "tacos gavilan": ("Carne Asada, Al Pastor", "$"), "birrieria": ("Birria", "$"), "la birria": ("Birria", "$"),
+    "birria don boni": ("Birria", "$"), "birria landia": ("Birria", "$"), "mariscos": ("Shrimp, Fish", "$$"), "el torito mariscos": ("Shrimp, Fish", "$$"), "tacos de mariscos": ("Shrimp, Fish", "$$"),
+}
+# fixed values: words and their taco type, in this order
+TACO_WORDS = {
+    "birria": "Birria", "birrieria": "Birria", "quesabirria": "Birria", "pastor": "Al Pastor", "al pastor": "Al Pastor", "adobada": "Al Pastor", "asada": "Carne Asada",
+    "carne asada": "Carne Asada", "carnitas": "Carnitas", "pollo": "Pollo", "chicken": "Pollo", "barbacoa": "Barbacoa", "lengua": "Lengua", "cabeza": "Cabeza", "chorizo": "Chorizo",
+    "pescado": "Fish", "fish taco": "Fish", "baja": "Fish", "camarones": "Shrimp", "shrimp": "Shrimp", "mariscos": "Shrimp",
+}
+# fixed values: styles from the most to the least specific, and other names of styles
+STYLES = ("New Haven / Connecticut", "Neapolitan", "Detroit", "Sicilian", "Grandma", "Roman", "Chicago Deep Dish", "Chicago Tavern", "New York", "California", "St. Louis", "Tavern", "Standard Round", "Other", "Unknown")
+STYLE_ALIASES = {"Traditional": "Standard Round", "Standard": "Standard Round", "Chicago": "Chicago Deep Dish", "Connecticut style": "New Haven / Connecticut", "New Haven": "New Haven / Connecticut"}
+
+
+def taco_types(name: Column, address: Column) -> tuple[Column, Column, Column]:
+    """Types (comma-joined), confidence and price: a chain, else all words of the name, else the address's first word."""
+    n, a = plain_name(name), plain_name(address)
+    chain = first_hit(n, {k: v[0] for k, v in TACO_CHAINS.items()})
+    price = first_hit(n, {k: v[1] for k, v in TACO_CHAINS.items()})["value"]
+    words = F.array_distinct(F.array_compact(F.array(*(F.when(F.contains(n, F.lit(k)), v) for k, v in TACO_WORDS.items()))))
+    place = first_hit(a, TACO_WORDS)
+    types = F.when(chain.isNotNull(), chain["value"]).when(F.size(words) > 0, F.array_join(words, ", ")).otherwise(place["value"])
+    return types, F.when(chain.isNotNull(), "high").when(F.size(words) > 0, "medium").when(place.isNotNull(), "low"), price
+
+
+def taco_types_from_categories(categories: Column) -> Column:
+    """E5 for tacos: comma-joined types in a fixed order; null without one."""
+    words = F.lower(F.array_join(categories, " "))
+    sea = any_contains(words, ("seafood", "fish", "mariscos"))
+    found = F.array_compact(F.array(
+        F.when(any_contains(words, ("birria",)), "Birria"), F.when(sea, "Fish"), F.when(sea, "Shrimp"), F.when(any_contains(words, ("pastor",)), "Al Pastor"),
+        F.when(any_contains(words, ("street taco",)), "Carne Asada"), F.when(any_contains(words, ("carnitas",)), "Carnitas"),
+    ))
+    return F.when(F.size(found) > 0, F.array_join(found, ", "))
+
+
+def normalized_style(value: Column) -> Column:
+    """Parts split at `,;|` through the aliases; the most specific one, Unknown if none is known, null if blank."""
+    rank = {s.lower(): k for k, s in enumerate(STYLES)} | {a.lower(): STYLES.index(s) for a, s in STYLE_ALIASES.items()}
+    table = F.create_map(*(x for k, v in rank.items() for x in (F.lit(k), F.lit(v))))
+    best = F.array_min(F.transform(F.split(value, "[,;|]"), lambda p: table[F.lower(F.trim(p))]))
+    return F.when(F.trim(F.coalesce(value, F.lit(""))) == "", F.lit(None)).otherwise(F.coalesce(F.element_at(F.array(*map(F.lit, STYLES)), best + 1), F.lit("Unknown")))
+
+
+def has_words(text: Column, terms) -> Column:
+    """A term stands in the text with no letter before or behind it; signs in a term match any signs."""
+    import re
+
+    pattern = "|".join(re.sub(r"[^a-z]+", "[^a-z]+", t.lower()) for t in terms)
+    return F.lower(text).rlike(rf"(^|[^a-z])({pattern})([^a-z]|$)")

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from placeforge.functions import text
+from placeforge.functions import identity, text
 from placeforge.operators import jobs as J
 from placeforge.operators import matching as M
-from placeforge.operators import municipal, publish, review, rules
+from placeforge.operators import municipal, pages, publish, review, rules
 from placeforge.plans import fixtures as X
-from placeforge.sources import tiles
+from placeforge.sources import feeds, tiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -484,9 +484,6 @@ def _(spark, sf):
     return J.boosted(T(spark, sf, "jobs").where("job_type = 'scrape'"), F.lit(90)).select("id", "priority")
 
 
-_STATES = {"MI": 100, "NY": 95, "OH": 95}
-
-
 @query("N25_priority", X.sql("canonical") + "SELECT coalesce(state, '(null)') AS state, CASE upper(state) WHEN 'MI' THEN 100 WHEN 'NY' THEN 95 WHEN 'OH' THEN 95 ELSE 30 END AS priority, count(*) AS n FROM canonical GROUP BY 1, 2")
 def _(spark, sf):
     p = tiles.region_priority(F.col("state"), F.lit(None).cast("string"))
@@ -634,3 +631,95 @@ def _(spark, sf):
     rows = T(spark, sf, "jobs").where(F.col("status").isin("failed", "pending") & ~((F.col("attempts") > 0) & (late < J.cooldown_minutes(F.col("attempts")) * 60000000.0)))
     order = [F.when(F.col("status") == "failed", 0).when(F.col("status") == "pending", 1).otherwise(2), F.col("created_at"), F.col("id")]
     return rows.orderBy(*order).limit(100).select("id", F.row_number().over(Window.orderBy(*order)).alias("turn"))
+
+
+# ---- further inference, pages and identity -------------------------------------------------------------------------
+_TACO = "(SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 'Taco Bell #' || CAST(c_custkey AS STRING) WHEN 1 THEN 'Birria y Carne Asada' WHEN 2 THEN 'El Pescado Baja' WHEN 3 THEN 'Plain' WHEN 4 THEN NULL WHEN 5 THEN 'Mariscos Lopez' WHEN 6 THEN 'Los Tacos No. 1' ELSE 'Pollo Chicken House' END AS name, CASE WHEN c_custkey % 3 = 0 THEN '9 Carnitas Way' END AS address, CASE c_custkey % 5 WHEN 0 THEN 'Seafood, Street Tacos' WHEN 1 THEN 'Birria; Tacos al Pastor' WHEN 2 THEN '' WHEN 3 THEN 'Detroit Style | Deep Dish' END AS cats, CASE c_custkey % 6 WHEN 0 THEN 'traditional' WHEN 1 THEN 'Tavern; New Haven' WHEN 2 THEN 'odd' WHEN 3 THEN ' ' WHEN 4 THEN 'Chicago|Grandma' END AS style FROM customer)"
+
+
+def tacos(spark, sf) -> DataFrame:
+    inner = _TACO[len("(SELECT ") : -len(" FROM customer)")]
+    out, rest = [], inner
+    for name in ("id", "name", "address", "cats", "style"):
+        head, rest = rest.split(f" AS {name}", 1)
+        out.append(F.expr(head.lstrip(", ")).alias(name))
+    return X.raw(spark, sf, "customer").select(*out)
+
+
+_TW = lambda x: "list_filter([" + ", ".join(f"CASE WHEN contains({x}, '{k}') THEN '{v}' END" for k, v in rules.TACO_WORDS.items()) + "], lambda v: v IS NOT NULL)"
+_FIRSTS = lambda x: f"list_filter({x}, lambda v, i: list_position({x}, v) = i)"
+_TC = {k: v[0] for k, v in rules.TACO_CHAINS.items()}
+_TP = {k: v[1] for k, v in rules.TACO_CHAINS.items()}
+
+
+@query("E6_E7_taco_types", f"SELECT id, CASE WHEN c IS NOT NULL THEN c WHEN len(w) > 0 THEN array_to_string({_FIRSTS('w')}, ', ') ELSE a END AS types, CASE WHEN c IS NOT NULL THEN 'high' WHEN len(w) > 0 THEN 'medium' WHEN a IS NOT NULL THEN 'low' END AS confidence, price FROM (SELECT id, {q_first(_PLAIN('name'), _TC)} AS c, {q_first(_PLAIN('name'), _TP)} AS price, {_TW(_PLAIN('name'))} AS w, {q_first(_PLAIN('address'), rules.TACO_WORDS)} AS a FROM {_TACO})")
+def _(spark, sf):
+    types, confidence, price = rules.taco_types(F.col("name"), F.col("address"))
+    return tacos(spark, sf).select("id", types.alias("types"), confidence.alias("confidence"), price.alias("price"))
+
+
+_CAT = "lower(coalesce(cats, ''))"
+
+
+@query("E5_category_styles", f"SELECT id, CASE WHEN contains({_CAT}, 'detroit') THEN 'Detroit' WHEN contains({_CAT}, 'deep dish') THEN 'Chicago Deep Dish' END AS style, nullif(array_to_string(list_filter([CASE WHEN contains({_CAT}, 'birria') THEN 'Birria' END, CASE WHEN contains({_CAT}, 'seafood') THEN 'Fish' END, CASE WHEN contains({_CAT}, 'seafood') THEN 'Shrimp' END, CASE WHEN contains({_CAT}, 'pastor') THEN 'Al Pastor' END, CASE WHEN contains({_CAT}, 'street taco') THEN 'Carne Asada' END], lambda v: v IS NOT NULL), ', '), '') AS types FROM {_TACO}")
+def _(spark, sf):
+    cats = text.flat_strings(F.col("cats"))
+    return tacos(spark, sf).select("id", rules.style_from_categories(cats).alias("style"), rules.taco_types_from_categories(cats).alias("types"))
+
+
+@query("E8_E15_normalized_styles", f"SELECT id, CASE style WHEN 'traditional' THEN 'Standard Round' WHEN 'Tavern; New Haven' THEN 'New Haven / Connecticut' WHEN 'odd' THEN 'Unknown' WHEN 'Chicago|Grandma' THEN 'Grandma' END AS style FROM {_TACO}")
+def _(spark, sf):
+    return tacos(spark, sf).select("id", rules.normalized_style(F.col("style")).alias("style"))
+
+
+@query("E9_word_evidence", "SELECT doc_id, regexp_matches(lower(text), '(^|[^a-z])(the|carne[^a-z]+asada)([^a-z]|$)') AS evidence FROM documents")
+def _(spark, sf):
+    return X.raw(spark, sf, "documents").select("doc_id", rules.has_words(F.col("text"), ("the", "carne asada")).alias("evidence"))
+
+
+@query("E10_menus")
+def _(spark, sf):
+    rows = pages.page_facts(X.raw(spark, sf, "pages"))
+    notes = F.to_json(F.struct(F.col("menu_url"), F.transform("jsonld", lambda x: F.from_json(x, "map<string,string>")).alias("jsonld")))
+    return rows.select("page_id", pages.menu_json(notes, F.lit("http://site.example/")).alias("menu"))
+
+
+@query("E11_page_facts")
+def _(spark, sf):
+    rows = pages.page_facts(X.raw(spark, sf, "pages"))
+    return rows.select("page_id", "phone", "has_hours", F.length("excerpt").alias("n_excerpt"), "price_hint", "menu_url", F.array_join("style_hints", ",").alias("style_hints"), F.array_join("protein_hints", ",").alias("protein_hints"), "n_jsonld")
+
+
+@query("N1_N2_N8_N10_candidates", X.sql("candidate") + f"SELECT source_id, coalesce(name, '') AS name, lat, lng, CASE WHEN trim(coalesce(date_closed, '')) = '' OR lower(trim(date_closed)) IN ('null', 'none', 'unknown', 'n/a', 'not available') THEN false ELSE coalesce(try_cast(trim(date_closed) AS TIMESTAMP) <= TIMESTAMP '{AS_OF}', true) END AS is_closed, array_to_string({Q_CATEGORIES}, '+') AS categories FROM candidate")
+def _(spark, sf):
+    rows = T(spark, sf, "candidate")
+    raw = F.create_map(*(x for k, v in (("FSQ_Place_ID", "source_id"), ("Title", "name"), ("Latitude", "lat"), ("LON", "lng"), ("date_closed", "date_closed"), ("Categories", "category_text")) for x in (F.lit(k), F.col(v).cast("string"))))
+    out = feeds.normalize_feed(rows.select(raw.alias("fields")), "fsq_os_places", AS_OF)
+    return out.select("source_id", F.coalesce("name", F.lit("")).alias("name"), "lat", "lng", "is_closed", F.array_join("categories", "+").alias("categories"))
+
+
+@query("N4_source_record_keys", X.sql("candidate") + """SELECT source_id, 'srk_' || sha256('{"externalId":"' || source_id || '","profile":"apizzamichigan","sourceNamespace":"foursquare"}') AS record_key FROM candidate""")
+def _(spark, sf):
+    return T(spark, sf, "candidate").select("source_id", identity.source_record_key("apizzamichigan", "foursquare", F.col("source_id")).alias("record_key"))
+
+
+@query("S8_osm_rows", X.sql("canonical") + "SELECT 'osm:node/' || CAST(id AS STRING) AS id, name, lat, 'US' AS country, CAST(id % 90 + 1 AS STRING) || ' Main' AS address, CASE WHEN id % 7 = 0 THEN 'restaurant; pizza' ELSE 'pizza' END AS category, CASE WHEN id % 5 = 0 THEN 'disused' END AS operating_status FROM (SELECT id, name, lat FROM canonical WHERE id % 4 <> 0 AND id % 5 <> 0 UNION ALL SELECT id, name, lat FROM canonical WHERE false) UNION ALL SELECT 'osm:node/' || CAST(id AS STRING), name, lat, 'US', CAST(id % 90 + 1 AS STRING) || ' Main', CASE WHEN id % 7 = 0 THEN 'restaurant; x; pizza' ELSE 'x; pizza' END, 'disused' FROM canonical WHERE id % 4 <> 0 AND id % 5 = 0")
+def _(spark, sf):
+    c = T(spark, sf, "canonical")
+    pair = lambda k, v: (F.lit(k), v.cast("string"))
+    i = F.col("id")
+    tags = F.create_map(*pair("name", F.when(i % 4 != 0, F.col("name"))), *pair("addr:housenumber", i % 90 + 1), *pair("addr:street", F.lit("Main")), *pair("cuisine", F.lit("pizza")), *pair("amenity", F.when(i % 7 == 0, "restaurant")), *pair("disused:amenity", F.when(i % 5 == 0, "x")))
+    elements = c.select(F.lit("node").alias("type"), i.cast("string").alias("id"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.struct(F.col("lat").alias("lat"), F.col("lng").alias("lon")).alias("center"), tags.alias("tags"))
+    return feeds.osm_rows(elements).select("id", "name", "lat", "country", "address", "category", "operating_status")
+
+
+@query("S7_tile_projection", "SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, '2024-05-01.0' AS release FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) BETWEEN 10 AND 20")
+def _(spark, sf):
+    k = F.try_variant_get(F.try_parse_json(F.col("props")), "$.k", "bigint")
+    return X.raw(spark, sf, "events").select(F.col("event_id").alias("id"), k.alias("k"), F.lit("2024-05-01.0").alias("release")).where(F.col("k").between(10, 20))
+
+
+@query("E17_E18_W4_provenance", X.sql("queue") + "SELECT id, CASE WHEN status = 'pending' AND nearest_name_score >= 0.9 THEN 'linked' ELSE status END AS next_status, status = 'pending' AND nearest_name_score >= 0.9 AS history FROM queue")
+def _(spark, sf):
+    move = (F.col("status") == "pending") & (F.col("nearest_name_score") >= 0.9)
+    return T(spark, sf, "queue").select("id", F.when(move, "linked").otherwise(F.col("status")).alias("next_status"), move.alias("history"))
