@@ -51,7 +51,7 @@ def name_tokens(norm: Column) -> Column:
 
 
 def name_score(left: Column, right: Column) -> Column:
-    """M2 on normalized names: 0 if blank, 1 if equal, .85 if one holds the other, else the share of shared words."""
+    """M2 on columns of normalized names (made in an earlier select): 0 if blank, 1 if equal, .85 if one holds the other, else the share of shared words."""
     lt, rt = name_tokens(left), name_tokens(right)
     shared = F.size(F.filter(lt, lambda t: F.array_contains(rt, t)))
     return (
