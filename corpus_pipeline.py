@@ -16,10 +16,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, similarity of 0.8 or more): the smallest doc_id."""
+    """One document of each near-duplicate group (five-word shingles, similarity of 0.8 or more): the smallest doc_id.
+
+    Of rows that repeat a doc_id one stays; rows without an id are compared with none and stay.
+    """
     groups = minhash_paths.near_duplicates(docs, size=5, percent=80)
     gone = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return kept.withColumn("_alone", alone).dropDuplicates(["doc_id", "_alone"]).select(docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
