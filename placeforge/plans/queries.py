@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from placeforge.functions import identity, text
 from placeforge.operators import jobs as J
 from placeforge.operators import matching as M
-from placeforge.operators import municipal, pages, publish, review, rules
+from placeforge.operators import governance, municipal, pages, publish, review, rules
 from placeforge.plans import fixtures as X
 from placeforge.sources import feeds, tiles
 
@@ -723,3 +723,117 @@ def _(spark, sf):
 def _(spark, sf):
     move = (F.col("status") == "pending") & (F.col("nearest_name_score") >= 0.9)
     return T(spark, sf, "queue").select("id", F.when(move, "linked").otherwise(F.col("status")).alias("next_status"), move.alias("history"))
+
+
+# ---- governance ----------------------------------------------------------------------------------------------------
+@query("N16_V2_host_projection", X.sql("candidate") + "SELECT CASE WHEN c_custkey % 9 = 0 OR c_custkey % 9 = 1 THEN 'excluded' WHEN trim(coalesce(name, '')) = '' THEN 'rejected' ELSE 'projected' END AS outcome, count(*) AS n FROM candidate GROUP BY 1")
+def _(spark, sf):
+    flag = F.when(F.col("c_custkey") % 9 == 0, F.array(F.lit("Doesn't exist"))).when(F.col("c_custkey") % 9 == 1, F.array(F.lit("ok"), F.lit("PRIVATE-VENUE"))).otherwise(F.array(F.lit("dup")))
+    rows = T(spark, sf, "candidate").select(F.col("source_id").alias("id"), "name", "lat", "lng", flag.alias("flags"))
+    return governance.host_projection(rows).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("N27_place_identity", X.sql("queue") + "SELECT id, CASE WHEN source_id <> '' THEN source || ':' || CASE WHEN source = 'osm' THEN regexp_replace(source_id, '^osm:', '') ELSE source_id END END AS place_key FROM queue")
+def _(spark, sf):
+    return T(spark, sf, "queue").select("id", governance.place_identity(F.col("source"), F.col("source_id")).alias("place_key"))
+
+
+@query("F4_cascade", X.sql("candidate") + "SELECT count(*) AS input, count(*) FILTER (WHERE name <> '') AS named, count(*) FILTER (WHERE name <> '' AND website IS NOT NULL) AS with_site, count(*) FILTER (WHERE name <> '' AND website IS NOT NULL AND NOT is_closed) AS open FROM candidate")
+def _(spark, sf):
+    return governance.cascade(T(spark, sf, "candidate"), [("named", F.col("name") != ""), ("with_site", F.col("website").isNotNull()), ("open", ~F.col("is_closed"))])
+
+
+@query("F5_taxonomy_filter", X.sql("candidate") + f"SELECT source_id FROM candidate WHERE list_has_any({Q_CATEGORIES}, ['Flatbread', 'Bar'])")
+def _(spark, sf):
+    return T(spark, sf, "candidate").where(F.arrays_overlap(text.flat_strings(F.col("category_text")), F.array(F.lit("Flatbread"), F.lit("Bar")))).select("source_id")
+
+
+@query("F6_regions", "SELECT upper(trim(r_name)) AS key, r_regionkey, CASE upper(r_name) WHEN 'ASIA' THEN 0 ELSE 1 END AS turn FROM region WHERE r_name IN ('ASIA', 'EUROPE')")
+def _(spark, sf):
+    return governance.regions(X.raw(spark, sf, "region").select(F.col("r_name").alias("key"), "r_regionkey"), [" asia", "EUROPE", "Asia", "nowhere", ""]).select("key", "r_regionkey", "turn")
+
+
+@query("F8_deferral", X.sql("jobs") + "SELECT id, status IN ('failed', 'partial') AND created_at > TIMESTAMP '2024-01-15 00:00:00' AS deferred FROM jobs")
+def _(spark, sf):
+    return T(spark, sf, "jobs").select("id", governance.deferred(F.col("status"), F.col("created_at"), F.lit("2024-01-15").cast("timestamp")).alias("deferred"))
+
+
+_DISP = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in governance.DISPOSITIONS)
+
+
+@query("F12_dispositions", X.sql("evidence") + f", d(field, grp, disposition) AS (VALUES {_DISP}), f AS (SELECT 'website_url' AS field FROM evidence WHERE website IS NOT NULL UNION ALL SELECT 'phone' FROM evidence WHERE phone IS NOT NULL) SELECT field, grp, disposition, count(*) AS n FROM f JOIN d USING (field) GROUP BY 1, 2, 3")
+def _(spark, sf):
+    table = spark.createDataFrame(list(governance.DISPOSITIONS), "field string, grp string, disposition string")
+    fields = T(spark, sf, "evidence").select(F.explode(F.array_compact(F.array(F.when(F.col("website").isNotNull(), "website_url"), F.when(F.col("phone").isNotNull(), "phone")))).alias("field"))
+    return fields.join(F.broadcast(table), "field").groupBy("field", "grp", "disposition").agg(F.count("*").alias("n"))
+
+
+@query("J9_shadow_verify", X.sql("sync_local", "sync_public") + "SELECT l.id, l.style IS NOT DISTINCT FROM p.style AS same_style, l.lifecycle_status IS NOT DISTINCT FROM p.lifecycle_status AS same_life, p.id IS NOT NULL AS found FROM sync_local l LEFT JOIN (SELECT * FROM sync_public WHERE id % 13 <> 0) p ON l.id = p.id")
+def _(spark, sf):
+    a, b = T(spark, sf, "sync_local", "sync_public")
+    p = b.where("id % 13 <> 0").select("id", F.col("style").alias("p_style"), F.col("lifecycle_status").alias("p_life"), F.lit(True).alias("hit"))
+    return a.join(p, "id", "left").select("id", F.col("style").eqNullSafe(F.col("p_style")).alias("same_style"), F.col("lifecycle_status").eqNullSafe(F.col("p_life")).alias("same_life"), F.col("hit").isNotNull().alias("found"))
+
+
+_ANSWER = "CASE id % 5 WHEN 0 THEN 'Sure: {\"style\": \"Standard\", \"price_range\": \" $$ \", \"style_confidence\": \"confirmed\"} done' WHEN 1 THEN '{\"style\": \"Detroit\", \"price_range\": \"cheap\"}' WHEN 2 THEN 'no json' WHEN 3 THEN '{\"style\": \"odd\"}' END"
+
+
+@query("E12_model_results", X.sql("canonical") + "SELECT id, CASE id % 5 WHEN 0 THEN CASE WHEN id % 2 = 0 THEN 'Standard Round' END WHEN 1 THEN 'Detroit' WHEN 3 THEN 'Unknown' END AS style, CASE id % 5 WHEN 0 THEN '$$' END AS price, CASE id % 5 WHEN 0 THEN CASE WHEN id % 2 = 0 THEN 'confirmed' END WHEN 1 THEN 'inferred' WHEN 3 THEN 'inferred' END AS confidence FROM canonical")
+def _(spark, sf):
+    evidence = F.concat(F.col("address"), F.when(F.col("id") % 2 == 0, " STANDARD round pies").otherwise(""))
+    style, price, confidence = governance.model_result(F.expr(_ANSWER), evidence)
+    return T(spark, sf, "canonical").select("id", style.alias("style"), price.alias("price"), confidence.alias("confidence"))
+
+
+@query("E13_override", f"SELECT id, coalesce(b, c, k) AS style, price, CASE WHEN coalesce(b, c, k) IS NOT NULL THEN 'confirmed' END AS confidence FROM (SELECT id, CASE trim(brand) WHEN 'Q15109854' THEN 'California' WHEN 'Q7897209' THEN 'Chicago Deep Dish' END AS b, {q_first(_PLAIN('name'), rules.CHAIN_STYLES)} AS c, {q_first(_PLAIN('name'), rules.STYLE_WORDS)} AS k, {q_first(_PLAIN('name'), rules.CHAIN_PRICES)} AS price FROM {_NAMES})")
+def _(spark, sf):
+    style, price, confidence = governance.override(F.col("name"), F.col("brand"))
+    return names(spark, sf).select("id", style.alias("style"), price.alias("price"), confidence.alias("confidence"))
+
+
+@query("E14_prompts", X.sql("canonical") + """SELECT id, '{"name":"' || name || '","address":"' || address || '"' || CASE WHEN id % 2 = 0 THEN ',"excerpt":"' || left(style || ' pie', 6) || '"' ELSE '' END || '}' AS prompt FROM canonical WHERE style IS NOT NULL""")
+def _(spark, sf):
+    excerpt = F.when(F.col("id") % 2 == 0, F.concat(F.col("style"), F.lit(" pie"))).otherwise(" ")
+    return T(spark, sf, "canonical").where("style is not null").select("id", governance.prompt(F.col("name"), F.col("address"), F.lit(None).cast("string"), excerpt, 6).alias("prompt"))
+
+
+@query("T8_feeder", X.sql("jobs") + "SELECT place_type, active, CAST(greatest(0, least(50, 4200 - active)) AS BIGINT) AS capacity FROM (SELECT place_type, count(*) FILTER (WHERE status IN ('pending', 'processing')) AS active FROM jobs GROUP BY 1)")
+def _(spark, sf):
+    rows = T(spark, sf, "jobs").groupBy("place_type").agg(F.count_if(F.col("status").isin("pending", "processing")).alias("active"))
+    return rows.select("place_type", "active", governance.feeder_capacity(F.col("active"), 4200, 50).cast("long").alias("capacity"))
+
+
+@query("T10_cache", X.sql("evidence") + ", c AS (SELECT website AS url, max((retrieved_at, evidence_id)) AS m FROM evidence WHERE website LIKE 'http%' AND retrieved_at > TIMESTAMP '1999-06-01 00:00:00' - INTERVAL 30 DAY GROUP BY 1) SELECT u.url, c.m[2] AS data FROM (SELECT DISTINCT website AS url FROM evidence WHERE website LIKE 'http%') u LEFT JOIN c ON u.url = c.url")
+def _(spark, sf):
+    e = T(spark, sf, "evidence").where("website like 'http%'")
+    cache = e.select(F.col("website").alias("url"), F.col("retrieved_at").alias("fetched_at"), F.col("evidence_id").alias("data"))
+    return governance.cached(cache, e.select(F.col("website").alias("url")).distinct(), "1999-06-01 00:00:00").select("url", "data")
+
+
+_IMPORT = X.sql("canonical") + ", c AS (SELECT google_place_id, 'new ' || name AS name FROM canonical WHERE google_place_id IS NOT NULL AND id % 3 = 0 UNION ALL SELECT 'x:' || CAST(id AS STRING), name FROM canonical WHERE id % 100 = 0), k AS (SELECT c.name, c.google_place_id, o.id AS old_id FROM c LEFT JOIN canonical o ON c.google_place_id = o.google_place_id WHERE o.id IS NULL OR o.lifecycle_status = 'closed'), n AS (SELECT (SELECT max(id) FROM canonical) + row_number() OVER (ORDER BY google_place_id) AS id, name, google_place_id, old_id FROM k) "
+
+
+def imported(spark, sf):
+    c = T(spark, sf, "canonical")
+    new = c.where("google_place_id is not null and id % 3 = 0").selectExpr("google_place_id", "'new ' || name AS name").unionByName(c.where("id % 100 = 0").selectExpr("'x:' || CAST(id AS STRING) AS google_place_id", "name"))
+    return governance.import_places(c, new)
+
+
+@query("W5_imported_places", _IMPORT + "SELECT id, name, google_place_id FROM n")
+def _(spark, sf):
+    return imported(spark, sf)[0]
+
+
+@query("W5_replaced_places", _IMPORT + "SELECT old_id AS id, 'historical:' || google_place_id AS google_place_id, 'replaced' AS lifecycle_status, id AS replaced_by FROM n WHERE old_id IS NOT NULL")
+def _(spark, sf):
+    return imported(spark, sf)[1]
+
+
+@query("W10_receipts", X.sql("permits") + "SELECT object_id, CASE WHEN coalesce(abs(latitude) <= 90, false) THEN 'applied' ELSE 'rejected' END AS status, CASE WHEN NOT coalesce(abs(latitude) <= 90, false) THEN 'database_input_invalid' END AS reason FROM permits")
+def _(spark, sf):
+    return governance.receipts(T(spark, sf, "permits"), F.abs("latitude") <= 90).select("object_id", "status", "reason")
+
+
+@query("V9_identity_conflicts", X.sql("jobs") + "SELECT job_type, place_id, count(*) AS n FROM jobs GROUP BY 1, 2 HAVING count(*) > 1")
+def _(spark, sf):
+    return governance.identity_conflicts(T(spark, sf, "jobs"), ["job_type", "place_id"])
