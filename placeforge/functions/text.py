@@ -18,12 +18,26 @@ STREET_WORDS = (("street", "st"), ("avenue", "ave"), ("drive", "dr"), ("boulevar
 TRACKING = r"utm_[^=&]*|fbclid|gclid|mc_cid|mc_eid"
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.transform(F.array(value), lambda x: use(x))[0]
+
+
+def literals(values, form: str = "array") -> Column:
+    """An array (or map) of text literals, built in one call."""
+    quoted = ("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"{form}({', '.join(quoted)})")
+
+
 def any_contains(text: Column, terms) -> Column:
     """True if any of a fixed list of terms stands in the text."""
-    out = F.lit(False)
-    for term in terms:
-        out = out | F.contains(text, F.lit(term))
-    return out
+    terms = list(terms)
+    if len(terms) <= 3:
+        out = F.lit(False)
+        for term in terms:
+            out = out | F.contains(text, F.lit(term))
+        return out
+    return bound(text, lambda x: F.exists(literals(terms), lambda t: F.contains(x, t)))
 
 
 @F.pandas_udf(StringType())

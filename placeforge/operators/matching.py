@@ -123,9 +123,11 @@ def evaluated(candidates: DataFrame, places: DataFrame, config: Matching = Match
 def decide(routed: DataFrame, pairs: DataFrame) -> DataFrame:
     """M6: a decision for every routed candidate with its best and nearest place."""
     fields = ["canonical_place_id", "p_name", "distance_m", "name_score", "id_website", "id_phone", "match_method"]
-    best = pairs.where("best = 1").select("source_id", *(F.col(f).alias(f"best_{f}") for f in fields))
-    nearest = pairs.where("near = 1").select("source_id", F.col("canonical_place_id").alias("nearest_place_id"), F.col("distance_m").alias("nearest_distance_m"), F.col("name_score").alias("nearest_name_score"))
-    out = routed.join(best, "source_id", "left").join(nearest, "source_id", "left")
+    own = F.struct(*fields)
+    nearest = F.struct("canonical_place_id", "distance_m", "name_score")
+    chosen = pairs.where("best = 1 or near = 1").groupBy("source_id").agg(F.max(F.when(F.col("best") == 1, own)).alias("b"), F.max(F.when(F.col("near") == 1, nearest)).alias("n"))
+    chosen = chosen.select("source_id", *(F.col(f"b.{f}").alias(f"best_{f}") for f in fields), F.col("n.canonical_place_id").alias("nearest_place_id"), F.col("n.distance_m").alias("nearest_distance_m"), F.col("n.name_score").alias("nearest_name_score"))
+    out = routed.join(chosen, "source_id", "left")
     method, stable = F.coalesce("best_match_method", F.lit("no_match")), F.coalesce(F.col("source_id") != "", F.lit(False))
     disposition = (
         F.when(~F.col("route").isin("ready_for_match", "closed_evidence_candidate"), "not_compared")

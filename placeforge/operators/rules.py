@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from placeforge.functions.text import any_contains
+from placeforge.functions.text import any_contains, bound, literals
 
 # fixed values: chains and their pizza style, first hit in this order
 CHAIN_STYLES = {
@@ -74,10 +74,9 @@ def plain_name(name: Column) -> Column:
 
 def first_hit(text: Column, table: dict[str, str]) -> Column:
     """(match, value) of the first key in order that stands in the text; null without one."""
-    out = F.lit(None).cast("struct<match:string,value:string>")
-    for key, value in reversed(table.items()):
-        out = F.when(F.contains(text, F.lit(key)), F.struct(F.lit(key).alias("match"), F.lit(value).alias("value"))).otherwise(out)
-    return out
+    keys, values = literals(table), literals((x for pair in table.items() for x in pair), "map")
+    hit = bound(text, lambda x: F.try_element_at(F.filter(keys, lambda k: F.contains(x, k)), F.lit(1)))
+    return bound(hit, lambda h: F.when(h.isNotNull(), F.struct(h.alias("match"), values[h].alias("value"))))
 
 
 def style_from_name(name: Column, address: Column) -> tuple[Column, Column, Column]:
