@@ -31,7 +31,27 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge_urls(load(spark, sf_dir, "pages"))
+    return urls.judge_urls(load(spark, sf_dir, "pages")).withColumn("purity", F.round("purity", 6))
+
+
+OP5_SQL = f"""
+WITH rest AS (SELECT page_id, CASE WHEN strpos(u, '://') > 0 THEN substring(u, strpos(u, '://') + 3) ELSE '' END AS rest FROM (SELECT page_id, coalesce(url, '') AS u FROM pages)),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{urls.UPPER}', '{urls.LOW}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+ruled AS (SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1' WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+  WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/' WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/' WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM parts),
+base AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled,
+  list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: CASE WHEN regexp_matches(s, '[0-9]') OR length(s) > 24 THEN '*' || regexp_extract(s, '\\.[a-z]{{2,5}}$', 0) ELSE s END) AS steps FROM ruled),
+counted AS (SELECT host, steps, count(ruled) AS m, count(*) FILTER (WHERE ruled = 'block') AS b FROM base GROUP BY 1, 2),
+wide AS (SELECT host, list(depth) AS wild FROM (SELECT host, depth, count(DISTINCT step) AS k FROM (SELECT host, unnest(range(1, len(steps) + 1)) AS depth, unnest(steps) AS step FROM counted) GROUP BY 1, 2) WHERE k > {urls.BRANCHES} GROUP BY 1),
+tree AS (SELECT c.*, CASE WHEN wild IS NULL THEN steps ELSE list_transform(steps, lambda s, i: CASE WHEN list_contains(wild, i) THEN '*' ELSE s END) END AS template FROM counted c LEFT JOIN wide w ON c.host = w.host),
+nodes AS (SELECT host, template, len(template) AS depth, CASE WHEN len(template) > 0 THEN template[1:len(template) - 1] ELSE template END AS parent, sum(m) AS m, sum(b) AS b FROM tree GROUP BY 1, 2),
+pooled AS (SELECT *, sum(m) OVER (PARTITION BY host, parent, depth) AS pm, sum(b) OVER (PARTITION BY host, parent, depth) AS pb FROM nodes),
+merged AS (SELECT *, m > 0 AND abs(b / m - (pb + 1) / (pm + 2)) / sqrt((pb + 1) / (pm + 2) * (1 - (pb + 1) / (pm + 2)) / m) <= {urls.ALIKE} AS alike FROM (SELECT * REPLACE (CAST(m AS DOUBLE) AS m, CAST(b AS DOUBLE) AS b, CAST(pm AS DOUBLE) AS pm, CAST(pb AS DOUBLE) AS pb) FROM pooled)),
+shares AS (SELECT *, sum(m) OVER (PARTITION BY template) AS gm, sum(b) OVER (PARTITION BY template) AS gb, sum(m) OVER () AS rm, sum(b) OVER () AS rb FROM merged),
+purity AS (SELECT host, template, ((CASE WHEN alike THEN pb ELSE b END) + {urls.SMOOTH} * (gb + {urls.SMOOTH} * (rb + 1) / (rm + 2)) / (gm + {urls.SMOOTH})) / ((CASE WHEN alike THEN pm ELSE m END) + {urls.SMOOTH}) AS purity FROM shares)
+SELECT base.page_id, base.host, base.path, base.rule, coalesce(base.ruled, CASE WHEN purity >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(tree.template, '/') AS template, round(purity, 6) AS purity
+FROM base JOIN tree ON base.host = tree.host AND base.steps = tree.steps JOIN purity ON tree.host = purity.host AND tree.template = purity.template
+"""
 
 
 def op6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_urls": OP5_SQL}
