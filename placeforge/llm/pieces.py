@@ -290,7 +290,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, verify: bool = True) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            for a, b, raw, offsets in text_chunks(batch.column(at), 4 << 20):
+            for a, b, raw, offsets in text_chunks(batch.column(at)):
                 flat, bounds = encoder.encode(raw, offsets)
                 same = np.ones(b - a, bool)
                 if verify:

@@ -42,7 +42,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers(base, 1 << max(16, int(n - 1).bit_length()))[:n]
 
 
-def text_chunks(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, end row, bytes, offsets) in chunks of about `limit` bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
