@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,26 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="placeforge-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    del df
+    _sweep(spark)
+    return out
+
+
+SWEEP_S = 4.0
+_swept = 0.0
+
+
+def _sweep(spark: SparkSession) -> None:
+    """Let the driver drop what is no longer reachable, so that its cleaner deletes the shuffle and checkpoint files of it.
+
+    Without this they stay until the driver's heap happens to fill.
+    """
+    global _swept
+    if time.monotonic() - _swept >= SWEEP_S:
+        gc.collect()
+        spark._jvm.System.gc()
+        _swept = time.monotonic()
 
 
 def split_of(doc_id: str, parts: int) -> Column:
