@@ -18,8 +18,9 @@ SIGNATURE = 64
 TREES = 10
 LEAF = 48
 DEPTH = 5
-SURE = 0.9  # estimated similarity to a pivot from which a link to it is as good as certain
-MAYBE = 0.5  # estimated similarity below which a link of 0.8 is 7 standard errors away
+TWINS = 2  # levels whose nodes have two branches; deeper ones have one
+PIVOTS = 4
+MAYBE = 0.6  # share of equal minhashes below which a link of 0.8 is 4 standard errors away
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,9 +59,12 @@ def _shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     return out, bounds
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (equal for equal shingle sets; null if empty) and the minhash signature, by row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary())])
+def signatures(docs: DataFrame, size: int, trees: int = TREES) -> DataFrame:
+    """doc_id, n_shingles, set_key (equal for equal shingle sets; null if empty), first tokens and the signature, by row.
+
+    The first tokens are whole minhashes; the signature has one byte of each.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("roots", pa.binary()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mul, add = _coefficients(SIGNATURE)
@@ -75,9 +79,9 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     own = np.unique(values[bounds[i] : bounds[i + 1]])
                     counts.append(len(own))
                     keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                yield batch_of(schema, batch.column(0).slice(a, b - a), counts, keys, [s.tobytes() for s in sig])
+                yield batch_of(schema, batch.column(0).slice(a, b - a), counts, keys, [s[:trees].tobytes() for s in sig], [s.tobytes() for s in (sig & 0xFF).astype(np.uint8)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, roots binary, sig binary")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[pa.RecordBatch]]:
@@ -100,11 +104,11 @@ def _runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[pa.Recor
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _leaf_pairs(maybe: float):
-    """Compare the members of each small node; at least one of a pair must still seek links."""
+def _leaf_pairs(maybe: float, best: bool):
+    """Pairs of unlike labels within each node, by signature; with `best` only each member's likeliest."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.float32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,100 +116,133 @@ def _leaf_pairs(maybe: float):
             table = pa.Table.from_batches(held).combine_chunks()
             if not table.num_rows:
                 continue
-            node = table["node"].to_numpy()
-            rep, seeks = table["rep"].to_numpy(), table["seeks"].to_numpy()
+            node, rep, label = (table[c].to_numpy() for c in ("node", "rep", "label"))
             sig = _matrix(table["sig"])
             edges = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]])
             out: list[tuple[np.ndarray, ...]] = []
             for s, e in zip(edges[:-1], edges[1:], strict=True):
-                for i in range(s, e - 1):
-                    sim = (sig[i + 1 : e] == sig[i]).mean(1)
-                    ok = (sim >= maybe) & (seeks[i + 1 : e] | seeks[i]) & (rep[i + 1 : e] != rep[i])
-                    if ok.any():
-                        j = np.flatnonzero(ok) + i + 1
-                        out.append((np.minimum(rep[j], rep[i]), np.maximum(rep[j], rep[i]), sim[ok]))
+                for i in range(s, e if best else e - 1):
+                    rest = slice(s, e) if best else slice(i + 1, e)
+                    sim = np.where(label[rest] != label[i], (sig[rest] == sig[i]).mean(1), 0).astype(np.float32)
+                    j = np.flatnonzero(sim >= maybe)
+                    if best and len(j):
+                        j = j[[sim[j].argmax()]]
+                    if len(j):
+                        k = j + rest.start
+                        out.append((np.minimum(rep[k], rep[i]), np.maximum(rep[k], rep[i]), sim[j]))
             if out:
                 yield batch_of(schema, *(np.concatenate(c) for c in zip(*out, strict=True)))
 
     return run
 
 
-def candidate_pairs(reps: DataFrame, roots: DataFrame | None = None, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH, maybe: float = MAYBE, width: int = SIGNATURE) -> DataFrame:
-    """(a, b, sim) of pairs that share a small node of a tree, or a pivot; reps: rep, sig, with unlike sets.
+def _compare(rows: DataFrame, reps: DataFrame, maybe: float, best: bool = False) -> DataFrame:
+    full = rows.select("node", "rep", "label").join(reps.select("rep", "sig"), "rep").select("node", "rep", "label", "sig")
+    return full.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs(maybe, best), "a long, b long, sim float")
+
 
-    `roots` (rep, node) may name other first nodes than those of the trees;
-    `width` is the number of minhashes in a signature.
+def _sized(rows: DataFrame, label: DataFrame | None) -> DataFrame:
+    """node, rep, label, n and `open` (members outside the node's commonest label), of nodes that are not all one label."""
+    if label is None:
+        rows = rows.withColumn("label", F.col("rep"))
+        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.count("*").alias("open")).where("n > 1")
+    else:
+        rows = rows.join(label.select(F.col("id").alias("rep"), F.col("component").alias("label")), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        sizes = rows.groupBy("node", "label").agg(F.count("*").alias("k")).groupBy("node").agg(F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("m"))
+        sizes = sizes.select("node", "n", (F.col("n") - F.col("m.k")).alias("open"), F.col("m.label").alias("main")).where("open > 0")
+    return cut(rows.join(sizes, "node"))
+
+
+def _pivot_pairs(big: DataFrame, reps: DataFrame, maybe: float) -> DataFrame:
+    """Members of large nodes with the likeliest of the node's pivots (the members with the smallest hashes)."""
+    rank = lambda s: F.min(F.struct(F.xxhash64("rep", F.lit(s)).alias("h"), F.col("rep").alias("p")))
+    chosen = big.groupBy("node").agg(*(rank(s).alias(f"p{s}") for s in range(PIVOTS)))
+    chosen = chosen.select("node", F.explode(F.array_distinct(F.array(*(F.col(f"p{s}.p") for s in range(PIVOTS))))).alias("pivot"))
+    pairs = big.select("node", "rep").join(chosen, "node").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+    one = reps.select(F.col("rep").alias("a"), F.col("sig").alias("x"))
+    two = reps.select(F.col("rep").alias("b"), F.col("sig").alias("y"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    A tree's first token is the minimum of its own hash function; deeper nodes
-    follow two coordinates picked by the node. Nodes of up to `leaf` members are
-    compared exhaustively. In larger ones all members are held against a few
-    pivots; only members that no pivot surely links still seek, and what holds
-    a seeker branches on. Nodes that stay large at the last depth are dealt into
-    blocks, with the few seekers in each block, so none of their pairs is lost.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                mask = pa.array((_matrix(batch.column(2)) == _matrix(batch.column(3))).mean(1) >= maybe)
+                yield batch_of(schema, batch.column(0).filter(mask), batch.column(1).filter(mask))
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def connect(reps: DataFrame, roots: DataFrame, texts_of, verify, leaf: int = LEAF, depth: int = DEPTH, maybe: float = MAYBE) -> DataFrame:
+    """Verified links (a, b) that connect all similar members of the trees with the first nodes `roots` (rep, node).
+
+    reps: rep, sig (a byte for each minhash), of unlike sets. texts_of(ids)
+    gives (doc_id, text) for the ids (doc_id), verify(pairs, texts) the true
+    links. First each member's likeliest partner is verified: in nodes of up to
+    `leaf` members of all, in larger ones of a few pivots, then of a random
+    block. What verified links have joined is one label, and only pairs of
+    unlike labels can still matter. Small nodes are compared exhaustively for
+    them. In large ones, where few members stand outside the node's main label
+    they meet all its blocks, and other nodes branch by a coordinate that the
+    node picks. At the last depth every node is dealt into blocks in that way,
+    so no pair of a node is lost, whatever its size.
     """
-    token = lambda at: F.substring("sig", at * 4 + 1, 4)
-    if roots is None:
-        roots = reps.select("rep", F.explode(F.array(*(F.xxhash64(F.lit(t), token(t)) for t in range(trees)))).alias("node"))
-    rows = roots.select("rep", F.lit(True).alias("seeks"), "node")
     found = []
+    width = F.length("sig")
+    rows = _sized(roots.select("rep", "node"), None)
+    big = rows.where(F.col("n") > leaf)
+    # groups of near copies show in the first nodes: join them by few verified links before pairs are listed
+    near = _compare(rows.where(F.col("n") <= leaf), reps, maybe, best=True).select("a", "b").unionByName(_pivot_pairs(big, reps, maybe))
+    near = cut(near.distinct())
+    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(big.select(F.col("rep").alias("doc_id"))).distinct()
+    texts = cut(texts_of(ids))
+    links = cut(verify(near, texts))
+    label = cut(components(links))
     for level in range(depth + 1):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.count_if("seeks").alias("open")).where("n > 1 and open > 0")
-        rows = cut(rows.join(sizes, "node").select("node", "rep", "seeks", "n"))
-        small = rows.where(F.col("n") <= leaf).select("node", "rep", "seeks")
+        rows = _sized(rows.select("node", "rep"), label)
+        found.append(_compare(rows.where(F.col("n") <= leaf), reps, maybe))
         big = rows.where(F.col("n") > leaf)
-        found.append(_compare(small, reps, maybe))
         if big.isEmpty():
             break
-        if level == depth:
-            blocks = F.ceil(F.col("n") / leaf).cast("int")
-            own = F.pmod(F.xxhash64("rep", F.lit(level)), blocks).cast("int")
-            dealt = big.select("rep", "seeks", "node", F.when(F.col("seeks"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own)).alias("to"))
-            dealt = dealt.select(F.explode("to").alias("block"), "rep", "seeks", "node")
-            found.append(_compare(dealt.select(F.xxhash64("node", "block").alias("node"), "rep", "seeks"), reps, maybe))
-            break
-        held = cut(_against_pivots(big, reps))
-        found.append(held.where(f"sim >= {maybe} and rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"), "sim"))
-        rows = held.join(reps, "rep").select("rep", "seeks", F.explode(F.array(*(_child(F.col("node"), branch, token, width) for branch in range(2)))).alias("node"))
-    out = found[0]
+        if level == 0:
+            block = F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("n") / leaf).cast("long"))
+            near = _compare(big.select(F.xxhash64("node", block).alias("node"), "rep", "label"), reps, maybe, best=True).select("a", "b").distinct()
+            links = cut(verify(near, texts).unionByName(links))
+            label = cut(components(links))
+            big = _sized(big.select("node", "rep"), label)
+        few = (F.col("open") <= 2 * leaf) if level < depth else F.lit(True)
+        blocks = F.ceil(F.col("n") / leaf).cast("int")
+        own = F.pmod(F.xxhash64("rep", F.lit(9)), blocks).cast("int")
+        dealt = big.where(few).select("node", "rep", "label", F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), blocks - 1)).alias("to"))
+        dealt = dealt.select("node", "rep", "label", F.explode("to").alias("block"))
+        found.append(_compare(dealt.select(F.xxhash64("node", "block").alias("node"), "rep", "label"), reps, maybe))
+        rows = big.where(~few).join(reps.select("rep", "sig"), "rep")
+        branch = [F.xxhash64("node", F.lit(b), F.substring("sig", F.pmod(F.xxhash64("node", F.lit(b)), width).cast("int") + 1, F.lit(1))) for b in range(2 if level < TWINS else 1)]
+        rows = rows.select("rep", F.explode(F.array(*branch)).alias("node"))
+    pairs = found[0]
     for more in found[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-
-
-def _child(node, branch: int, token, width: int):
-    """The child node a member goes to on the `branch`-th coordinate that the node picks."""
-    at = F.pmod(F.xxhash64(node, F.lit(branch)), F.lit(width)).cast("int")
-    return F.xxhash64(node, F.lit(branch), token(at))
+        pairs = pairs.unionByName(more)
+    pairs = cut(pairs.groupBy("a", "b").agg(F.max("sim").alias("sim")))
+    return _connected(pairs, lambda some: verify(some, texts), links)
 
 
-def _compare(rows: DataFrame, reps: DataFrame, maybe: float) -> DataFrame:
-    full = rows.join(reps, "rep").select("node", "rep", "seeks", "sig")
-    return full.repartition("node").sortWithinPartitions("node").mapInArrow(_leaf_pairs(maybe), "a long, b long, sim float")
+def _connected(pairs: DataFrame, verify, links: DataFrame) -> DataFrame:
+    """Verified links that connect all that the pairs (a, b, sim) can connect, with those known before.
 
-
-def _against_pivots(big: DataFrame, reps: DataFrame, pivots: int = 4) -> DataFrame:
-    """node, rep, seeks, and the best of the node's pivots with the estimated similarity."""
-    rank = lambda s: F.min(F.struct(F.xxhash64("rep", F.lit(s)).alias("h"), F.col("rep").alias("p")))
-    chosen = big.groupBy("node").agg(*(rank(s).alias(f"p{s}") for s in range(pivots)))
-    chosen = chosen.select("node", F.explode(F.array_distinct(F.array(*(F.col(f"p{s}.p") for s in range(pivots))))).alias("rep"))
-    chosen = chosen.join(reps, "rep").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("rep", "sig"))).alias("pivots"))
-    full = big.select("node", "rep", "seeks").join(reps, "rep").join(chosen, "node").select("node", "rep", "seeks", "sig", F.col("pivots.rep").alias("ids"), F.col("pivots.sig").alias("sigs"))
-    schema = pa.schema([("node", pa.int64()), ("rep", pa.int64()), ("seeks", pa.bool_()), ("pivot", pa.int64()), ("sim", pa.float32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rep, seeks, best, sims = batch.column(1).to_pylist(), batch.column(2).to_pylist(), [], []
-            for sig, ids, sigs, own in zip(batch.column(3), batch.column(4), batch.column(5), rep, strict=True):
-                mine = np.frombuffer(sig.as_py(), np.uint32)
-                other = np.frombuffer(b"".join(sigs.as_py()), np.uint32).reshape(-1, len(mine))
-                sim = (other == mine).mean(1)
-                at = int(sim.argmax())
-                best.append(ids.as_py()[at])
-                sims.append(float(sim[at]))
-            seeks = [s and (x < SURE) for s, x in zip(seeks, sims, strict=True)]
-            yield batch_of(schema, batch.column(0), rep, seeks, best, sims)
-
-    return full.mapInArrow(run, "node long, rep long, seeks boolean, pivot long, sim float")
+    First each vertex's likeliest pair is verified; then all pairs whose ends
+    are not yet in one component, so no pair within a component is paid for.
+    """
+    best = pairs.select("a", "b", "sim", F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.max(F.struct("sim", -F.col("a"), -F.col("b"), "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+    first = verify(best)
+    first = cut(first.unionByName(links))
+    label = cut(components(first))
+    rest = (
+        pairs.join(best, ["a", "b"], "left_anti")
+        .join(label.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+        .join(label.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+        .where("ca is null or cb is null or ca <> cb")
+        .select("a", "b")
+    )
+    return first.unionByName(cut(verify(rest)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -230,25 +267,6 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def connected(pairs: DataFrame, verify) -> DataFrame:
-    """Verified links (a, b) that connect all that the pairs (a, b, sim) can connect.
-
-    First each vertex's likeliest pair is verified; then all pairs whose ends
-    are not yet in one component, so no pair within a component is paid for.
-    """
-    best = pairs.select("a", "b", "sim", F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.max(F.struct("sim", -F.col("a"), -F.col("b"), "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-    first = cut(verify(best).distinct())
-    label = cut(components(first))
-    rest = (
-        pairs.join(best, ["a", "b"], "left_anti")
-        .join(label.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
-        .join(label.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .where("ca is null or cb is null or ca <> cb")
-        .select("a", "b")
-    )
-    return first.unionByName(cut(verify(rest)))
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id), one row for each row of `docs`.
 
@@ -260,14 +278,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, trees: in
     blank texts have no shingles and stay alone; a null doc_id has a null
     component and is kept. Other columns are not read.
     """
-    sigs = cut(signatures(docs, size))
+    sigs = cut(signatures(docs, size, trees))
     known = sigs.where("set_key is not null and doc_id is not null")
-    reps = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")))
-    by_rep = reps.groupBy("rep").agg(F.min(F.struct("set_key", "sig")).alias("one")).select("rep", "one.sig")
-    pairs = cut(candidate_pairs(cut(by_rep), None, trees, leaf, depth))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(ends, "doc_id", "left_semi"))
-    final = components(connected(pairs, lambda some: verified(some, texts, size, percent)))
+    reps = cut(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("roots").alias("roots")))
+    by_rep = cut(reps.groupBy("rep").agg(F.min(F.struct("set_key", "sig", "roots")).alias("one")).select("rep", "one.sig", "one.roots"))
+    roots = by_rep.select("rep", F.explode(F.array(*(F.xxhash64(F.lit(t), F.substring("roots", t * 4 + 1, 4)) for t in range(trees)))).alias("node"))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    links = connect(by_rep, roots, lambda ids: whole.join(ids, "doc_id", "left_semi"), lambda pairs, texts: verified(pairs, texts, size, percent), leaf, depth)
+    final = components(links)
     by_class = reps.select("set_key", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     out = sigs.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
