@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from placeforge.llm import decontaminate, minhash_paths, pieces, quality, suffixes
 from placeforge.llm.runtime import cut, load
 
+WORDS = 51
+PASSAGE = 2 * WORDS - 1
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -28,8 +31,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of strings of 400 bytes that occur elsewhere too; a cut character goes whole."""
-    cut_texts = suffixes.remove_repeats(docs, length=400)
+    """Texts without the runs of repeated bytes that hold over 50 words or 400 bytes; a cut character goes whole.
+
+    A run is what strings of PASSAGE bytes that occur elsewhere too cover. No passage of 51 words is shorter than
+    PASSAGE (words of one byte), so all that repeat byte for byte are caught; texts without spaces go by 400 bytes.
+    """
+    cut_texts = suffixes.remove_repeats(docs, length=PASSAGE, least_words=WORDS, always=400)
     text = F.try_validate_utf8("kept")
     whole = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.coalesce(text, F.replace(F.make_valid_utf8("kept"), F.lit("�"), F.lit(""))))
     return cut_texts.withColumn("text", whole).withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)

@@ -230,7 +230,17 @@ def _hot_runs(segments: DataFrame, length: int) -> DataFrame:
     return starts.select("anchor", "seg", F.transform("at", lambda p: F.struct(p.alias("s"), (p + length).cast("int").alias("e"))).alias("runs"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP) -> DataFrame:
+def whole_words(raw: bytes, start: int, end: int) -> int:
+    """Words of `raw` that lie wholly within raw[start:end]."""
+    n = len(raw[start:end].split())
+    if start and n and not raw[start - 1 : start].isspace() and not raw[start : start + 1].isspace():
+        n -= 1
+    if end < len(raw) and n and not raw[end : end + 1].isspace() and not raw[end - 1 : end].isspace():
+        n -= 1
+    return n
+
+
+def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least_words: int = 0, always: int = 0) -> DataFrame:
     """All columns of `docs` with `kept` (the UTF-8 bytes that stay) and `spans` (removed runs, byte offsets).
 
     A byte goes if a string of `length` bytes over it also starts anywhere else
@@ -240,7 +250,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP) -> Da
     segments go through the transform; beyond `group` of them windows are
     counted by fingerprint instead, split over all tasks. Null and empty texts
     lose nothing (kept is empty); repeated rows count as two texts; columns
-    named like the new ones are replaced.
+    named like the new ones are replaced. With `least_words`, runs stay that
+    hold fewer whole words and are shorter than `always` bytes.
     """
     gram = max(4, length * 8 // 25)
     docs = docs.drop("kept", "spans", "uid")
@@ -260,10 +271,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP) -> Da
     spans = found.select("uid", "first", "anchor", "seg").join(runs, ["anchor", "seg"])
     spans = spans.select("uid", F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
     spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # at most a text's windows
-    return _cut_texts(keyed.join(spans, "uid", "left").drop("uid"))
+    return _cut_texts(keyed.join(spans, "uid", "left").drop("uid"), least_words, always)
 
 
-def _cut_texts(rows: DataFrame) -> DataFrame:
+def _cut_texts(rows: DataFrame, least_words: int, always: int) -> DataFrame:
     names = [c for c in rows.columns if c != "runs"]
     rows = rows.select(*names, "runs")
     at = names.index("text")
@@ -282,6 +293,8 @@ def _cut_texts(rows: DataFrame) -> DataFrame:
                             merged[-1][1] = max(merged[-1][1], r[1])
                         else:
                             merged.append(list(r))
+                if least_words:
+                    merged = [r for r in merged if r[1] - r[0] >= always or whole_words(raw, *r) >= least_words]
                 stay, place = [], 0
                 for s, e in merged:
                     stay.append(raw[place:s])

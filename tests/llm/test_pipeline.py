@@ -38,3 +38,23 @@ def test_stages_take_effect_and_keep_columns(spark, tmp_path):
     assert rows and all(x.round_trip and x.n_ids == len(x.ids) for x in rows)
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted((x.doc_id, x.ids) for x in whole if x.doc_id) == sorted((x.doc_id, x.ids) for x in rows if x.doc_id)
+
+
+def test_repeats_catch_a_passage_of_51_words_and_leave_one_of_50(spark):
+    import random
+
+    r, words = random.Random(8), [w for w in cases.vocabulary() if 2 <= len(w) <= 4]
+    passage, tiny, near = " ".join(r.choice(words) for _ in range(51)), " ".join(r.choice("abcdefgh") for _ in range(51)), " ".join(r.choice(words) for _ in range(50))
+    assert len(passage.encode()) < 270 and len(tiny) == 101
+    other = cases.vocabulary(9)
+    own = [cases.prose(r, other, 70) for _ in range(6)]
+    data = [(2 * k + j, f"{own[2 * k + j]} {j}x {p} {j + 3}y") for k, p in enumerate((passage, tiny, near)) for j in (0, 1)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x.doc_id: x for x in corpus_pipeline.drop_repeats(spark, docs, "").collect()}
+    for i, t in data:
+        assert got[i].n_chars == len(got[i].text)
+        assert got[i].text.startswith(own[i])
+        if i < 4:
+            assert len(got[i].text.split()) <= len(t.split()) - 51
+        else:
+            assert got[i].text == t
