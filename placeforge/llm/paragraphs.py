@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,16 +13,18 @@ from pyspark.sql.types import StructType
 from placeforge.llm.components import components
 from placeforge.llm.minhash_paths import _coefficients, _shingles, connect, shingle_set
 from placeforge.llm.runtime import cut
-from placeforge.llm.textkit import LOWER, batch_of, mix, per_text, word_hashes
+from placeforge.llm.suffixes import sliding_min
+from placeforge.llm.textkit import LOWER, batch_of, mix, per_text, word_hashes, words
 
 SIZE = 5
 PERCENT = 80
-LONG = 64  # words from which a line is cut at sentence ends
+LONG = 50  # words above which a line is cut
+REACH = 20  # places between words of which one is a cut; two or more fall in any 51 words
 LEAST = 5  # shorter paragraphs are left alone
 WIDTH = 24
 RECALL = 0.9995
 MAYBE = 0.4  # of WIDTH minhashes; a pair of 0.8 is 4.9 standard errors away
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+END = np.isin(np.arange(256), list(b".!?"))
 
 
 def tune(threshold: float, recall: float, width: int) -> tuple[int, int]:
@@ -35,19 +36,35 @@ def tune(threshold: float, recall: float, width: int) -> tuple[int, int]:
     raise ValueError("no banding reaches the recall")
 
 
+def _cuts(line: bytes) -> list[int]:
+    """Byte places behind words of a long line: of each REACH neighbouring places between words the last lowest one.
+
+    Ends of sentences are lowest, then the hash of the words on both sides, so
+    equal passages are cut alike wherever they stand.
+    """
+    raw = LOWER[np.frombuffer(line, np.uint8)]
+    starts, ends, _ = words(raw, np.array([0, len(raw)]))
+    n = len(starts) - 1
+    if n < LONG:
+        return []
+    hashes = word_hashes(raw, starts, ends)
+    key = mix(hashes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[1:]) >> np.uint64(33)
+    key |= np.where(END[raw[ends[:-1] - 1]], np.uint64(0), np.uint64(1 << 31))
+    low = sliding_min((key << np.uint64(32)) | np.arange(n - 1, -1, -1, dtype=np.uint64), REACH)
+    picked = np.unique(n - 1 - (low & np.uint64(0xFFFFFFFF)).astype(np.int64))
+    return ends[picked].tolist()
+
+
 def split_paragraphs(text: bytes) -> list[tuple[int, int]]:
-    """Byte spans of the paragraphs: lines, long ones cut behind sentence ends that their own words pick."""
+    """Byte spans of the paragraphs: lines, long ones cut at places that the words next to them pick."""
     out, at = [], 0
     for line in text.split(b"\n"):
         end = at + len(line)
         start = at
         if len(line) > 2 * LONG:
-            found = list(_WORD.finditer(line))
-            if len(found) > LONG:
-                for m in found[:-1]:
-                    if line[m.end() - 1] in b".!?" and sum(m.group()) % 3 == 0:
-                        out.append((start, at + m.end()))
-                        start = at + m.end()
+            for place in _cuts(line):
+                out.append((start, at + place))
+                start = at + place
         if start < end:
             out.append((start, end))
         at = end + 1
@@ -138,7 +155,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def duplicate_paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs and removed (numbers of the paragraphs to go), one row for each row of `docs`.
 
-    Paragraphs are lines (long ones cut at sentence ends). Those with LEAST or
+    Paragraphs are lines (those of over LONG words cut, at sentence ends if near). Those with LEAST or
     more words are compared: equal ones, and ones whose five-word shingles have
     a Jaccard similarity of 0.8 or more, make up clusters; of each cluster the
     paragraph with the smallest doc_id, then number, stays. Null and empty texts

@@ -243,6 +243,24 @@ def test_paragraphs(spark):
     assert sum(len(r.text) for r in kept) < sum(len(t or "") for _, t in data)
 
 
+@pytest.mark.parametrize("mark", ["", ".", "x."])
+def test_paragraphs_find_passages_within_long_lines(spark, mark):
+    r, vocabulary = random.Random(12), cases.vocabulary(3)
+    line = lambda n: " ".join(r.choice(vocabulary) + (mark if r.random() < 0.1 else "") for _ in range(n))
+    data, passages = [], []
+    for k in range(40):
+        passage = line(51 + k % 10)
+        passages.append(passage)
+        data += [(2 * k + j, f"{line(r.randint(20, 200))} {passage} {line(r.randint(20, 200))}") for j in (0, 1)]
+    got = {x.doc_id: x.removed for x in paragraphs.duplicate_paragraphs(cases.frame(spark, data)).collect()}
+    for k, passage in enumerate(passages):
+        assert got[2 * k] == [] and got[2 * k + 1], k
+        raw = data[2 * k + 1][1].encode()
+        spans = paragraphs.split_paragraphs(raw)
+        taken = sum(len(raw[spans[n][0] : spans[n][1]].split()) for n in got[2 * k + 1])  # a word beyond an end may go with a near copy
+        assert 51 - 2 * paragraphs.REACH <= taken <= len(passage.split()) + 4, k
+
+
 # 7
 def brute_links(table, cosine):
     good = {}
