@@ -17,6 +17,7 @@ WINDOW = 120
 RATE = 0.07
 INDEX_BYTES = 32 << 20
 BITS = 22
+STARTS = 1024  # windows that are aligned at a time
 FOLD = LOWER.copy()
 FOLD[SPACE] = 0x20
 LEAKS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>"
@@ -107,28 +108,67 @@ class Index:
                 n = end - start
                 if n >= need and (k not in found or found[k][2] > 0):
                     spans = pl[start + need - 1 : end] - pl[start : end - need + 1]
-                    last = -1
-                    for c in np.flatnonzero(spans <= window - Q):
-                        first = int(np.clip(pl[start + c], 0, len(self.items[k][1]) - window))
-                        if last >= 0 and first < last + window // 4:
-                            continue
-                        last = first
-                        begin = int(ps[start + c]) - (int(pl[start + c]) - first)
-                        hit = self._align(k, first, int(window), int(e), text, begin)
+                    at_ = start + np.flatnonzero(spans <= window - Q)
+                    firsts, one = self._firsts(k, pl[at_], pl[at_ + need - 1], int(window))
+                    if len(firsts):
+                        hit = self._align(k, firsts, int(window), int(e), text, firsts + (ps[at_] - pl[at_])[one])
                         if hit and (k not in found or hit[2] < found[k][2]):
                             found[k] = hit
                 start = end
         return [{"item_id": self.items[k][0], "start": s, "end": t, "edits": e} for k, (s, t, e) in sorted(found.items())]
 
-    def _align(self, k: int, first: int, window: int, edits: int, text: np.ndarray, begin: int) -> tuple[int, int, int] | None:
-        """Least edits of the item's window against text near `begin`, both ends free within the band."""
-        pattern = self.items[k][1][first : first + window]
-        s = max(0, begin - 2 * edits)
-        region = text[s : min(len(text), begin + window + 2 * edits)]
-        exact = region.tobytes().find(pattern.tobytes())
-        if exact >= 0:
-            return s + exact, s + exact + window, 0
-        return banded(pattern, region, s, edits, begin - s, 3 * edits + 1)
+    def _firsts(self, k: int, low: np.ndarray, high: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """All starts of item windows that hold the grams from `low` to `high` of one of the runs, and a run of each."""
+        last = len(self.items[k][1]) - window
+        lo, hi = np.clip(high + Q - window, 0, last), np.minimum(low, last)
+        size = np.maximum(hi - lo + 1, 0)
+        run = np.repeat(np.arange(len(low)), size)
+        firsts, where = np.unique(lo[run] + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size), return_index=True)
+        return firsts, run[where]
+
+    def _align(self, k: int, firsts: np.ndarray, window: int, edits: int, text: np.ndarray, begin: np.ndarray) -> tuple[int, int, int] | None:
+        """Least edits of the item's windows from `firsts` on against text near `begin`, both ends free within the band."""
+        band = 3 * edits + 1
+        best = np.concatenate([least_edits(self.items[k][1], firsts[i : i + STARTS], text, begin[i : i + STARTS], window, edits, band) for i in range(0, len(firsts), STARTS)])
+        for i in np.argsort(best, kind="stable"):
+            if best[i] > edits:
+                break
+            pattern = self.items[k][1][firsts[i] : firsts[i] + window]
+            s = max(0, int(begin[i]) - 3 * edits)
+            region = text[s : max(0, min(len(text), int(begin[i]) + window + 3 * edits))]
+            exact = region.tobytes().find(pattern.tobytes())
+            hit = (s + exact, s + exact + window, 0) if exact >= 0 else banded(pattern, region, s, edits, int(begin[i]) - s, band)
+            if hit:
+                return hit
+        return None
+
+
+def least_edits(item: np.ndarray, firsts: np.ndarray, text: np.ndarray, begin: np.ndarray, window: int, edits: int, band: int) -> np.ndarray:
+    """For each start of an item window its semi-global edits within `band` diagonals of `begin`; edits + 1 where above."""
+    reach = np.arange(window + 2 * band)
+    at = begin[:, None] - band + reach
+    near = np.where((at >= 0) & (at < len(text)), text[np.clip(at, 0, len(text) - 1)].astype(np.int16), 256)
+    pattern = item[firsts[:, None] + np.arange(window)]
+    out = np.full(len(firsts), edits + 1, np.int16)
+    exact = (near[:, band : band + window] == pattern).all(1)
+    if exact.any():
+        out[exact] = 0
+        return out
+    wide = np.arange(2 * band + 1, dtype=np.int16)
+    row = np.zeros((len(firsts), 2 * band + 1), np.int16)
+    live = np.arange(len(firsts))
+    for i in range(window):
+        following = row + (near[:, i : i + 2 * band + 1] != pattern[:, i : i + 1])
+        following[:, :-1] = np.minimum(following[:, :-1], row[:, 1:] + 1)
+        row = np.minimum.accumulate(following - wide, axis=1) + wide
+        if i % 8 == 7:
+            stay = row.min(1) <= edits
+            if not stay.all():
+                row, near, pattern, live = row[stay], near[stay], pattern[stay], live[stay]
+                if not len(live):
+                    return out
+    out[live] = np.minimum(row.min(1), edits + 1)
+    return out
 
 
 def banded(pattern: np.ndarray, region: np.ndarray, shift: int, edits: int, diagonal: int, band: int) -> tuple[int, int, int] | None:

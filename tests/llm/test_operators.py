@@ -323,6 +323,32 @@ def test_leaks(spark):
     assert multiset((x.doc_id, sorted(h.item_id for h in x.leaks)) for x in many) == multiset((x.doc_id, sorted(h.item_id for h in x.leaks)) for x in got)
 
 
+def test_leaks_of_edited_excerpts_of_longer_items():
+    r, vocabulary = random.Random(21), cases.vocabulary(7)
+    texts = [" ".join(r.choice(vocabulary) for _ in range(80)).encode()[:300] for _ in range(8)]
+    index = decontaminate.Index(list(enumerate(texts)))
+
+    def found(excerpt):
+        before, after = ("~" * 200 + " ").encode(), (" " + "~" * 200).encode()
+        raw = np.frombuffer(before + excerpt + after, np.uint8)
+        return [h["item_id"] for h in index.leaks(raw, np.array([0, len(raw)]))[0]]
+
+    early = bytearray(texts[0][50:170])
+    early[9] = early[19] = ord("#")
+    assert found(bytes(early)) == [0]
+    for n in range(160):
+        k, edits = n % 8, 1 + n // 8 % 8
+        first = r.randint(0, len(texts[k]) - 120)
+        own = [bytes([x]) for x in texts[k][first : first + 120]]
+        for at in r.sample(range(120), edits):
+            own[at] = r.choice([b"#", b"", own[at] + b"#"])
+        assert found(b"".join(own)) == [k], (n, k, edits, first)
+    for k in range(8):
+        own = bytearray(texts[k][60:180])
+        own[3::8] = b"#" * len(own[3::8])
+        assert found(bytes(own)) == []
+
+
 def test_banded_alignment_is_the_edit_distance():
     r = random.Random(3)
     for _ in range(60):
