@@ -33,8 +33,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the runs of repeated bytes that hold over 50 words or 400 bytes; a cut character goes whole.
 
-    A run is what strings of PASSAGE bytes that occur elsewhere too cover. No passage of 51 words is shorter than
-    PASSAGE (words of one byte), so all that repeat byte for byte are caught; texts without spaces go by 400 bytes.
+    Windows of 51 words (and of 400 bytes, for texts with few spaces) meet by their minimal grams. No 51 words are
+    shorter than PASSAGE bytes (words of one byte), so all that repeat byte for byte are caught.
     """
     cut_texts = suffixes.remove_repeats(docs, length=PASSAGE, least_words=WORDS, always=400)
     text = F.try_validate_utf8("kept")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from placeforge.llm.runtime import cut
-from placeforge.llm.textkit import BASE, BASE_INVERSE, batch_of, mix, powers, text_chunks
+from placeforge.llm.textkit import BASE, BASE_INVERSE, batch_of, mix, powers, text_chunks, word_hashes, words
 
 GROUP = 512  # distinct segments of one anchor that are expanded together
 BATCH = 1 << 20  # bytes that are expanded at a time
@@ -47,6 +47,11 @@ def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nda
     wide = length - gram + 1
     if len(grams) < wide:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+    return lowest(grams, wide)
+
+
+def lowest(grams: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start of the runs of windows of `wide` grams with one leftmost minimum, and that."""
     bits = np.uint64(max(1, int(len(grams) - 1).bit_length()))
     place = np.arange(len(grams), dtype=np.uint64)
     low = sliding_min(((grams >> bits) << bits) | place, wide) & ((np.uint64(1) << bits) - np.uint64(1))
@@ -55,6 +60,37 @@ def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nda
     return edge, last, grams[low[edge].astype(np.int64)]
 
 
+def passages(raw: np.ndarray, count: int, always: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For a text: first and end byte of the runs of `count`-word windows with one minimal word gram, and its hash.
+
+    Runs of `always`-byte windows come with them where such a window may hold fewer words.
+    """
+    starts, ends, _ = words(raw, np.array([0, len(raw)]))
+    gram = max(2, count * 4 // 25)
+    hashes = word_hashes(raw, starts, ends)
+    found = []
+    if len(starts) >= count:
+        grams = np.full(len(starts) - gram + 1, gram, np.uint64)
+        for k in range(gram):
+            grams = mix(grams * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[k : k + len(grams)])
+        edge, last, key = lowest(grams, count - gram + 1)
+        found.append((starts[edge], ends[last + count - 1], key))
+    if len(raw) >= always:
+        begun = np.zeros(len(raw) + 1, np.int64)
+        begun[starts + 1] = 1
+        begun = np.cumsum(begun)
+        sparse = begun[always:] - begun[:-always] <= count
+        if sparse.any():
+            before = np.concatenate([[0], np.cumsum(sparse)])
+            edge, last, key = anchors(raw, always, max(4, always * 8 // 25))
+            some = before[last + 1] > before[edge]
+            found.append((edge[some], last[some] + always, key[some]))
+    if not found:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+    first, end, key = (np.concatenate(c) for c in zip(*found, strict=True))
+    return first, end, key
+
+
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by their first `depth` bytes or more (prefix doubling from 8)."""
     n = len(text)
@@ -118,8 +154,8 @@ def long_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     return order, ~known[:n]
 
 
-def repeated_starts(segments: list[bytes], weights: list[int], length: int) -> list[np.ndarray]:
-    """For each segment a mask of the starts whose `length` bytes occur at least twice, counting segments by weight."""
+def repeated_starts(segments: list[bytes], weights: list[int], length: int, groups: list[int] | None = None) -> list[np.ndarray]:
+    """For each segment a mask of the starts whose `length` bytes occur at least twice in its group, counting segments by weight."""
     size = np.array([len(s) for s in segments], np.int64)
     text = np.frombuffer((bytes([END])).join(segments) + bytes([END]), np.uint8)
     begin = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
@@ -128,6 +164,9 @@ def repeated_starts(segments: list[bytes], weights: list[int], length: int) -> l
     for b, s, w in zip(begin, size, weights, strict=True):
         weight[b : b + s - length + 1] = w
     run = np.cumsum(~joined) - 1
+    if groups is not None:
+        group = np.repeat(np.unique(groups, return_inverse=True)[1], size + 1)
+        run = np.unique(run * len(segments) + group[order], return_inverse=True)[1]
     total = np.bincount(run, weight[order])
     often = np.zeros(len(text), bool)
     often[order] = total[run] >= 2
@@ -143,7 +182,7 @@ def covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at[np.concatenate([[0], cuts + 1])], at[np.append(cuts, len(at) - 1)] + length
 
 
-def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def _occurrences(docs: DataFrame, length: int, gram: int, least_words: int, always: int) -> DataFrame:
     schema = pa.schema([("uid", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("seg", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +192,11 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 found = []
                 for i in np.flatnonzero(np.diff(offsets) >= length):
                     own = raw[offsets[i] : offsets[i + 1]]
-                    first, last, key = anchors(own, length, gram)
+                    if least_words:
+                        first, end, key = passages(own, least_words, always)
+                        last = end - length
+                    else:
+                        first, last, key = anchors(own, length, gram)
                     sums = np.zeros(len(own) + 1, np.uint64)
                     np.cumsum((own.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(own)), out=sums[1:])
                     seg = mix((sums[last + length] - sums[first]) * powers(BASE_INVERSE, len(own))[first] + (last - first).astype(np.uint64))
@@ -178,7 +221,7 @@ def _segments(rows: DataFrame) -> DataFrame:
     return rows.select("text", "wanted").mapInArrow(run, "anchor long, seg long, w long, bytes binary")
 
 
-def _expand(segments: DataFrame, length: int) -> DataFrame:
+def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
     """(anchor, seg, runs): the covered byte runs of each segment that a repeat covers."""
     kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
     schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("runs", kind)])
@@ -197,7 +240,7 @@ def _expand(segments: DataFrame, length: int) -> DataFrame:
             yield solve(held)
 
     def solve(held: list[tuple]) -> pa.RecordBatch:
-        masks = repeated_starts([x[3] for x in held], [x[2] for x in held], length)
+        masks = repeated_starts([x[3] for x in held], [x[2] for x in held], length, [x[0] for x in held] if apart else None)
         out = []
         for x, mask in zip(held, masks, strict=True):
             if mask.any():
@@ -222,11 +265,12 @@ def _window_keys(segments: DataFrame, length: int) -> DataFrame:
     return segments.mapInArrow(run, "key long, anchor long, seg long, at int, w long")
 
 
-def _hot_runs(segments: DataFrame, length: int) -> DataFrame:
+def _hot_runs(segments: DataFrame, length: int, apart: bool) -> DataFrame:
     """The same as _expand for anchors with too many texts for one task: windows are counted by fingerprint."""
     keys = cut(_window_keys(segments, length))
-    often = keys.groupBy("key").agg(F.sum("w").alias("n")).where("n > 1")
-    starts = keys.join(often, "key").groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("at"))  # at most a segment's windows
+    same = ["anchor", "key"] if apart else ["key"]
+    often = keys.groupBy(*same).agg(F.sum("w").alias("n")).where("n > 1")
+    starts = keys.join(often, same).groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("at"))  # at most a segment's windows
     return starts.select("anchor", "seg", F.transform("at", lambda p: F.struct(p.alias("s"), (p + length).cast("int").alias("e"))).alias("runs"))
 
 
@@ -250,13 +294,17 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     segments go through the transform; beyond `group` of them windows are
     counted by fingerprint instead, split over all tasks. Null and empty texts
     lose nothing (kept is empty); repeated rows count as two texts; columns
-    named like the new ones are replaced. With `least_words`, runs stay that
-    hold fewer whole words and are shorter than `always` bytes.
+    named like the new ones are replaced.
+
+    With `least_words` strings count of that many words, or of `always` bytes;
+    no such string may be shorter than `length`, which then is the least overlap
+    that is looked for where windows with equal grams meet. Runs with fewer
+    whole words and bytes stay.
     """
     gram = max(4, length * 8 // 25)
     docs = docs.drop("kept", "spans", "uid")
     keyed = docs.withColumn("uid", F.xxhash64("doc_id", "text"))
-    found = cut(_occurrences(keyed.select("uid", F.col("text").cast("string").alias("text")), length, gram))
+    found = cut(_occurrences(keyed.select("uid", F.col("text").cast("string").alias("text")), length, gram, least_words, always))
     distinct = found.groupBy("anchor", "seg").agg(F.count("*").alias("w"), F.min(F.struct("uid", "first", "last")).alias("one"))
     distinct = cut(distinct.select("anchor", "seg", "w", "one.*"))
     anchor = distinct.groupBy("anchor").agg(F.sum("w").alias("n"), F.count("*").alias("kinds")).where("n > 1")
@@ -267,7 +315,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     wanted = unlike.groupBy("uid").agg(F.collect_list(F.struct("anchor", "seg", F.when(F.col("kinds") > group, -F.col("w")).otherwise(F.col("w")).alias("w"), "first", stop.alias("stop"))).alias("wanted"))
     texts = keyed.select("uid", F.col("text").cast("string").alias("text")).join(wanted, "uid").dropDuplicates(["uid"])
     segments = cut(_segments(texts))
-    runs = alike.unionByName(_expand(segments.where("w > 0"), length)).unionByName(_hot_runs(segments.where("w < 0").withColumn("w", -F.col("w")), length))
+    runs = alike.unionByName(_expand(segments.where("w > 0"), length, least_words > 0)).unionByName(_hot_runs(segments.where("w < 0").withColumn("w", -F.col("w")), length, least_words > 0))
     spans = found.select("uid", "first", "anchor", "seg").join(runs, ["anchor", "seg"])
     spans = spans.select("uid", F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
     spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # at most a text's windows

@@ -58,3 +58,15 @@ def test_repeats_catch_a_passage_of_51_words_and_leave_one_of_50(spark):
             assert len(got[i].text.split()) <= len(t.split()) - 51
         else:
             assert got[i].text == t
+
+
+def test_repeats_of_400_bytes_with_few_words_go(spark):
+    import random
+
+    r = random.Random(4)
+    letters = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    shared = letters(400)
+    data = [(k, letters(300) + shared + letters(300)) for k in range(2)] + [(2, letters(900)), (3, letters(300) + shared[:399] + "z" + letters(9))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x.doc_id: x.text for x in corpus_pipeline.drop_repeats(spark, docs, "").collect()}
+    assert all(shared[5:395] not in got[k] and len(got[k]) <= 600 for k in (0, 1)) and got[2] == data[2][1]
