@@ -2,27 +2,75 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeforge.llm.runtime import cut
+from placeforge.llm.textkit import batch_of
+
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+CHUNK = 1 << 19  # links that one task joins at a time
+
+
+def smallest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For vertices 0..n-1 the smallest one reachable over the links a, b."""
+    label = np.arange(n)
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The fewest links that join what a, b join: each id with the smallest of its component."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = smallest(len(ids), at[: len(a)], at[len(a) :])
+    far = root != np.arange(len(ids))
+    return ids[far], ids[root[far]]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of a partition become stars, CHUNK links at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        size += batch.num_rows
+        if size >= CHUNK:
+            held = [stars(*(np.concatenate(c) for c in zip(*held, strict=True)))]
+            yield batch_of(PAIR, *held[0])
+            held, size = [], 0
+    if size:
+        yield batch_of(PAIR, *stars(*(np.concatenate(c) for c in zip(*held, strict=True))))
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """(id, component): the smallest id reachable over `links` (a, b), for ids that stand in a link.
 
-    Alternating large and small stars: each round hangs every vertex and its
-    larger (then smaller) neighbours on the smallest neighbour. Hubs meet only
-    in a partial minimum and in a join that can be split, never in one group.
-    Null ends and self links are left out; an empty table gives an empty one.
+    Each task first turns its own links into stars. Then alternating large and
+    small stars: each round hangs every vertex and its larger (then smaller)
+    neighbours on the smallest neighbour. Hubs meet only in a partial minimum
+    and in a join that can be split, never in one group. Null ends and self
+    links are left out; an empty table gives an empty one.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u is not null and v is not null and u <> v").distinct())
+    edges = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
+    edges = cut(edges.mapInArrow(_contract, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
     mark = _mark(edges)
     for _ in range(rounds):
+        if not mark[0]:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        low = cut(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = cut(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(low.select("u", F.col("m").alias("v")))

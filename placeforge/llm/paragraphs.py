@@ -11,20 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from placeforge.llm.components import components
-from placeforge.llm.minhash_paths import _coefficients, _shingles, connect, shingle_set
+from placeforge.llm.minhash_paths import _coefficients, _shingles, connect, keyed
 from placeforge.llm.runtime import cut
 from placeforge.llm.suffixes import sliding_min
-from placeforge.llm.textkit import LOWER, batch_of, mix, per_text, word_hashes, words
+from placeforge.llm.textkit import BASE, BASE_INVERSE, LOWER, batch_of, mix, powers, text_chunks, word_hashes, words
 
 SIZE = 5
 PERCENT = 80
-LONG = 50  # words above which a line is cut
-REACH = 20  # places between words of which one is a cut; two or more fall in any 51 words
-LEAST = 5  # shorter paragraphs are left alone
-WIDTH = 24
-RECALL = 0.9995
-MAYBE = 0.4  # of WIDTH minhashes; a pair of 0.8 is 4.9 standard errors away
-END = np.isin(np.arange(256), list(b".!?"))
+LEAST = 20  # words of a paragraph that is compared; shorter ones recur in clean texts and stay
+SPREAD = 32  # starts of runs of which one is taken: LEAST + SPREAD - 1 words hold a whole run
+WIDTH = 32
+RECALL = 0.998
+MAYBE = 0.55  # of WIDTH minhashes; a pair of 0.8 is 3.5 standard errors away
 
 
 def tune(threshold: float, recall: float, width: int) -> tuple[int, int]:
@@ -36,157 +34,176 @@ def tune(threshold: float, recall: float, width: int) -> tuple[int, int]:
     raise ValueError("no banding reaches the recall")
 
 
-def _cuts(line: bytes) -> list[int]:
-    """Byte places behind words of a long line: of each REACH neighbouring places between words the last lowest one.
+def paragraphs_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Owner, first word, end word and kind (1: line, 0: run) of all texts' paragraphs; all words' starts and ends, and all shingles.
 
-    Ends of sentences are lowest, then the hash of the words on both sides, so
-    equal passages are cut alike wherever they stand.
+    Lines of LEAST or more words are paragraphs. So are runs of LEAST words
+    wherever they stand, across lines too: of any SPREAD neighbouring starts
+    the one with the lowest hash of its SIZE words begins a run, so equal
+    passages give equal runs.
     """
-    raw = LOWER[np.frombuffer(line, np.uint8)]
-    starts, ends, _ = words(raw, np.array([0, len(raw)]))
-    n = len(starts) - 1
-    if n < LONG:
-        return []
+    starts, ends, first = words(raw, offsets)
     hashes = word_hashes(raw, starts, ends)
-    key = mix(hashes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[1:]) >> np.uint64(33)
-    key |= np.where(END[raw[ends[:-1] - 1]], np.uint64(0), np.uint64(1 << 31))
-    low = sliding_min((key << np.uint64(32)) | np.arange(n - 1, -1, -1, dtype=np.uint64), REACH)
-    picked = np.unique(n - 1 - (low & np.uint64(0xFFFFFFFF)).astype(np.int64))
-    return ends[picked].tolist()
-
-
-def split_paragraphs(text: bytes) -> list[tuple[int, int]]:
-    """Byte spans of the paragraphs: lines, long ones cut at places that the words next to them pick."""
-    out, at = [], 0
-    for line in text.split(b"\n"):
-        end = at + len(line)
-        start = at
-        if len(line) > 2 * LONG:
-            for place in _cuts(line):
-                out.append((start, at + place))
-                start = at + place
-        if start < end:
-            out.append((start, end))
-        at = end + 1
-    return [(s, e) for s, e in out if text[s:e].strip()]
+    fresh = np.zeros(len(raw) + 1, np.int64)
+    fresh[1:] = np.cumsum(raw == 10)
+    line = fresh[starts]
+    edge = np.ones(len(starts), bool)
+    edge[1:] = line[1:] != line[:-1]
+    edge[first[:-1][first[:-1] < len(starts)]] = True
+    begin = np.flatnonzero(edge)
+    end = np.append(begin[1:], len(starts))
+    long = end - begin >= LEAST
+    begin, end = begin[long], end[long]
+    n = max(len(starts) - SIZE + 1, 0)
+    gram = np.full(n, SIZE, np.uint64)
+    for k in range(SIZE):
+        gram = mix(gram * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[k : k + n])
+    low = []
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        count = b - a - LEAST + 1  # starts of whole runs
+        if count > 0:
+            own = ((gram[a : a + count] >> np.uint64(32)) << np.uint64(32)) | np.arange(count, dtype=np.uint64)
+            picked = np.unique(sliding_min(own, min(SPREAD, count)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            low.append(a + picked)
+    run = np.concatenate(low) if low else np.zeros(0, np.int64)
+    at, to = np.concatenate([begin, run]), np.concatenate([end, run + LEAST])
+    kind = np.concatenate([np.ones(len(begin), np.int64), np.zeros(len(run), np.int64)])
+    owner = np.searchsorted(first, at, "right") - 1
+    order = np.lexsort((to, at))
+    return owner[order], at[order], to[order], kind[order], starts, ends, gram
 
 
 def _units(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, pos, key and band hashes of the paragraphs, and a row with pos -1 (and their number as key) for each document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32()), ("key", pa.int64()), ("bands", pa.list_(pa.int32()))])
+    """One row for each text: doc_id, text_key, n, its paragraphs' keys, byte spans and kinds, and of its lines sizes, bands and signatures."""
+    names = ("keys", "starts", "ends", "kinds", "sizes", "bands", "sigs")
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), *((x, pa.binary()) for x in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mul, add = _coefficients(bands * rows)
+        mul, add = _coefficients(WIDTH)
         for batch in batches:
-            n, done = batch.num_rows, 0
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            while done < n:
-                spans, owner, place, size, marks = [], [], [], 0, []
-                pieces = []
-                while done < n and size < 1 << 20:
-                    raw = (texts[done].as_py() or "").encode()
-                    own = [raw[s:e] for s, e in split_paragraphs(raw)]
-                    marks.append((ids[done], len(own)))
-                    for k, piece in enumerate(own):
-                        if len(piece.split()) >= LEAST:
-                            pieces.append(piece)
-                            owner.append(ids[done])
-                            place.append(k)
-                    size += len(raw)
-                    done += 1
-                if pieces:
-                    joined = np.frombuffer(b"".join(pieces), np.uint8)
-                    spans = np.concatenate([[0], np.cumsum([len(x) for x in pieces])])
-                    values, bounds = _shingles(joined, spans, SIZE)
-                    key = per_text(mix(values + np.uint64(17)), bounds, np.add, 0)
-                    key = mix(key + np.diff(bounds).astype(np.uint64)) ^ _whole(joined, spans)
-                    sig = np.stack([per_text(((values * mul[j] + add[j]) >> np.uint64(32)).astype(np.uint32), bounds, np.minimum, 0) for j in range(bands * rows)], 1)
-                    band = np.full((len(pieces), bands), 0x9E37, np.uint64)
-                    for j in range(bands * rows):
-                        band[:, j // rows] = mix(band[:, j // rows] * np.uint64(31) + sig[:, j] + np.uint64(1))
-                    flat = pa.array((band >> np.uint64(32)).astype(np.uint32).view(np.int32).ravel(), pa.int32())
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(pieces) + 1) * bands, pa.int32()), flat)
-                    yield batch_of(schema, owner, np.array(place, np.int32), key.view(np.int64), lists)
-                yield batch_of(schema, [m[0] for m in marks], [-1] * len(marks), [m[1] for m in marks], [[]] * len(marks))
-
-    def _whole(joined: np.ndarray, spans: np.ndarray) -> np.ndarray:
-        return word_hashes(LOWER[joined], spans[:-1], spans[1:])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, pos int, key long, bands array<int>")
-
-
-def _candidates(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, text and signature of the wanted paragraphs; wanted: doc_id, places (array of pos and key)."""
-    schema = pa.schema([("rep", pa.int64()), ("text", pa.binary()), ("sig", pa.binary())])
+            for a, b, raw, offsets in text_chunks(batch.column(2)):
+                owner, at, to, kind, starts, ends, gram = paragraphs_of(LOWER[raw], offsets)
+                last = to - SIZE + 1
+                chain = np.zeros(len(gram) + 1, np.uint64)
+                np.cumsum(gram * powers(BASE, max(len(gram), 1))[: len(gram)], out=chain[1:])
+                key = mix((chain[last] - chain[at]) * powers(BASE_INVERSE, len(gram) + 1)[at] + (to - at).astype(np.uint64))
+                lines = np.flatnonzero(kind == 1)
+                size = last[lines] - at[lines]
+                sig = np.zeros((len(lines), WIDTH), np.uint32)
+                if len(lines):
+                    bounds = np.concatenate([[0], np.cumsum(size)])
+                    own = gram[np.repeat(at[lines] - bounds[:-1], size) + np.arange(bounds[-1])]
+                    for j in range(WIDTH):
+                        sig[:, j] = np.minimum.reduceat(((own * mul[j] + add[j]) >> np.uint64(32)).astype(np.uint32), bounds[:-1])
+                band = np.full((len(lines), bands), 0x9E37, np.uint64)
+                for j in range(bands * rows):
+                    band[:, j // rows] = mix(band[:, j // rows] * np.uint64(31) + sig[:, j] + np.uint64(1))
+                text = np.arange(b - a + 1)
+                cut_at, line_at = np.searchsorted(owner, text), np.searchsorted(owner[lines], text)
+                begin, end = starts[at] - offsets[owner], ends[to - 1] - offsets[owner]
+                packed = [[x[i:j].tobytes() for i, j in zip(cut_at[:-1], cut_at[1:], strict=True)] for x in (key, begin.astype(np.int32), end.astype(np.int32), kind.astype(np.int8))]
+                packed += [[x[i:j].tobytes() for i, j in zip(line_at[:-1], line_at[1:], strict=True)] for x in (size.astype(np.int32), band, (sig & 0xFF).astype(np.uint8))]
+                yield batch_of(schema, batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), np.diff(cut_at), *packed)
+
+    return keyed(docs).mapInArrow(run, "doc_id long, text_key long, n long, " + ", ".join(f"{x} binary" for x in names))
+
+
+def _flat(units: DataFrame) -> DataFrame:
+    """key, doc_id, text_key, s and e of every paragraph of texts with an id."""
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mul, add = _coefficients(WIDTH)
         for batch in batches:
-            for text, places in zip(batch.column(0), batch.column(1), strict=True):
-                raw = (text.as_py() or "").encode()
-                spans = split_paragraphs(raw)
-                want = [p for p in places.as_py() if p["pos"] < len(spans)]
-                pieces = [raw[spans[p["pos"]][0] : spans[p["pos"]][1]] for p in want]
-                if pieces:
-                    values, bounds = _shingles(np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in pieces])]), SIZE)
-                    sig = np.stack([per_text(((values * mul[j] + add[j]) >> np.uint64(32)).astype(np.uint32), bounds, np.minimum, 0) for j in range(WIDTH)], 1)
-                    yield batch_of(schema, [p["key"] for p in want], pieces, [x.tobytes() for x in (sig & 0xFF).astype(np.uint8)])
+            n = batch.column(2).to_numpy()
+            key, s, e = (np.frombuffer(b"".join(batch.column(k).to_pylist()), kind) for k, kind in ((3, np.int64), (4, np.int32), (5, np.int32)))
+            yield batch_of(schema, key, np.repeat(batch.column(0).to_numpy(), n), np.repeat(batch.column(1).to_numpy(), n), s, e)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id").select("text", "places").mapInArrow(run, "rep long, text binary, sig binary")
+    return units.where("doc_id is not null").select("doc_id", "text_key", "n", "keys", "starts", "ends").mapInArrow(run, "key long, doc_id long, text_key long, s int, e int")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _lines(units: DataFrame, bands: int) -> DataFrame:
+    """key, one (doc_id, text_key, s, e), n (shingles), bands and sig of every line of texts with an id."""
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("n", pa.int64()), ("bands", pa.binary()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                one, two = shingle_set(x.decode(), SIZE), shingle_set(y.decode(), SIZE)
-                both = len(one & two)
-                keep.append(both > 0 and 100 * both >= PERCENT * (len(one) + len(two) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield batch_of(schema, batch.column(0).filter(mask), batch.column(1).filter(mask))
+            n = batch.column(2).to_numpy()
+            key, s, e, kind, size = (np.frombuffer(b"".join(batch.column(k).to_pylist()), t) for k, t in ((3, np.int64), (4, np.int32), (5, np.int32), (6, np.int8), (7, np.int32)))
+            own = np.flatnonzero(kind == 1)
+            band, sig = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(len(own), -1) for k in (8, 9))
+            yield batch_of(schema, key[own], np.repeat(batch.column(0).to_numpy(), n)[own], np.repeat(batch.column(1).to_numpy(), n)[own], s[own], e[own], size, [x.tobytes() for x in band], [x.tobytes() for x in sig])
 
-    left, right = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    rows = units.where("doc_id is not null and octet_length(sizes) > 0").select("doc_id", "text_key", "n", "keys", "starts", "ends", "kinds", "sizes", "bands", "sigs")
+    rows = rows.mapInArrow(run, "key long, doc_id long, text_key long, s int, e int, n long, bands binary, sig binary")
+    return rows.select("key", F.struct("doc_id", "text_key", "s", "e").alias("one"), "n", "bands", "sig")
 
 
-def duplicate_paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, n_paragraphs and removed (numbers of the paragraphs to go), one row for each row of `docs`.
-
-    Paragraphs are lines (those of over LONG words cut, at sentence ends if near). Those with LEAST or
-    more words are compared: equal ones, and ones whose five-word shingles have
-    a Jaccard similarity of 0.8 or more, make up clusters; of each cluster the
-    paragraph with the smallest doc_id, then number, stays. Null and empty texts
-    have none; a null doc_id keeps all its paragraphs and is compared with none;
-    rows that repeat a doc_id share their results; other columns are not read.
-    """
+def _line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, values): the whole shingle sets of the wanted lines; wanted: rep, one."""
+    schema = pa.schema([("rep", pa.int64()), ("values", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, places in zip(batch.column(0), batch.column(1), strict=True):
+                raw = np.frombuffer(text.as_py().encode(), np.uint8)
+                want = places.as_py()
+                own = [raw[p["s"] : p["e"]] for p in want]
+                values, bounds = _shingles(np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), SIZE)
+                yield batch_of(schema, [p["rep"] for p in want], [np.unique(values[i:j]).tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)])
+
+    places = wanted.groupBy("one.doc_id", "one.text_key").agg(F.collect_list(F.struct("rep", "one.s", "one.e")).alias("places"))  # at most a text's lines
+    return keyed(docs).join(places, ["doc_id", "text_key"]).select("text", "places").mapInArrow(run, "rep long, values binary")
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_paragraphs, n_removed (paragraphs) and spans (maximal removed runs, UTF-8 byte offsets), by row of `docs`."""
     bands, rows = tune(PERCENT / 100, RECALL, WIDTH)
     units = cut(_units(docs, bands, rows))
-    real = units.where("pos >= 0 and doc_id is not null")
-    kinds = real.groupBy("key").agg(F.min(F.struct("doc_id", "pos")).alias("one"), F.first("bands").alias("bands"))
-    roots = kinds.select(F.col("key").alias("rep"), "one", F.posexplode("bands").alias("band", "h")).select("rep", "one", F.xxhash64("band", "h").alias("node"))
-    crowded = roots.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-    roots = cut(roots.join(crowded.select("node"), "node"))
-    wanted = roots.select("rep", "one").distinct().groupBy("one.doc_id").agg(F.collect_list(F.struct("one.pos", F.col("rep").alias("key"))).alias("places"))
-    reps = cut(_candidates(docs, wanted).dropDuplicates(["rep"]))
-    texts_of = lambda ids: reps.select(F.col("rep").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    links = components(connect(reps.select("rep", "sig"), roots.select("rep", "node"), texts_of, _verified, maybe=MAYBE))
-    cluster = F.coalesce("component", "key")
-    placed = kinds.select("key", "one").join(links.withColumnRenamed("id", "key"), "key", "left").select("key", "one", cluster.alias("cluster"))
-    first = placed.groupBy("cluster").agg(F.min("one").alias("first"))
-    kept = placed.join(first, "cluster").select("key", "first")
-    gone = real.select("doc_id", "pos", "key").join(kept, "key").where("doc_id <> first.doc_id or pos <> first.pos")
-    gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))  # at most a text's paragraphs
-    marks = units.where("pos = -1").select("doc_id", F.col("key").alias("n_paragraphs"))
-    return marks.join(gone, "doc_id", "left").select("doc_id", "n_paragraphs", F.coalesce("removed", F.expr("cast(array() as array<int>)")).alias("removed"))
+    lines = _lines(units, bands)
+    reps = cut(lines.groupBy(F.col("key").alias("rep")).agg(F.min("one").alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    roots = reps.select("rep", F.explode(F.array(*(F.xxhash64(F.lit(b), F.substring("bands", b * 8 + 1, 8)) for b in range(bands)))).alias("node"))
+    links = connect(reps.select("rep", "sig", "n"), roots, lambda ids: _line_sets(docs, reps.select("rep", "one").join(ids, "rep", "left_semi")), PERCENT, maybe=MAYBE)
+    near = components(links).select(F.col("id").alias("key"), "component")
+    flat = _flat(units)
+    equal = flat.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    clusters = cut(equal.join(near, "key", "full").select("key", F.coalesce("component", "key").alias("cluster")))
+    placed = cut(flat.join(clusters, "key").select("cluster", F.struct("doc_id", "text_key", "s", "e").alias("one")))
+    first = cut(placed.groupBy("cluster").agg(F.min("one").alias("first")))
+    same = (F.col("one.doc_id") == F.col("first.doc_id")) & (F.col("one.text_key") == F.col("first.text_key")) & (F.col("one.s") < F.col("first.e"))
+    gone = placed.join(first, "cluster").where(~same).select("one.*").distinct()
+    gone = gone.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("gone"))  # at most a text's paragraphs
+    out = units.select("doc_id", "text_key", F.col("n").alias("n_paragraphs")).join(cut(gone), ["doc_id", "text_key"], "left")
+    none = F.expr("cast(array() as array<struct<s:int,e:int>>)")
+    joined = F.aggregate("gone", none, lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e"))))).otherwise(F.concat(acc, F.array(x))))
+    return out.select("doc_id", "text_key", "n_paragraphs", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(joined, none).alias("spans"))
+
+
+def duplicate_paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, n_paragraphs, n_removed (paragraphs), removed_bytes and spans (maximal removed runs, UTF-8 byte offsets), one row for each row of `docs`.
+
+    Paragraphs are lines of LEAST or more words, and runs of LEAST words that
+    content picks anywhere, across lines too, so that a passage of over 50 words
+    holds a whole run wherever it stands. Lines whose bands collide and whose
+    five-word shingles have a Jaccard similarity of 0.8 or more make up
+    clusters, and so do equal paragraphs (by a 64-bit key of their words). A
+    run's similarity of 0.8 allows for no more than its last word, so runs are
+    compared whole. Words are lower-cased (A-Z). Of each cluster the paragraph
+    with the smallest doc_id, then place, stays, with those of its text that
+    overlap it. Null and empty texts have no paragraphs; very long texts are
+    read whole; a null doc_id loses nothing and is compared with none; rows that
+    repeat a doc_id and its text share their results, unlike texts of one id
+    are compared as two; an empty table gives an empty one; other columns are
+    not read.
+    """
+    size = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["e"] - x["s"])
+    return repeated_spans(docs).select("doc_id", "n_paragraphs", "n_removed", size.alias("removed_bytes"), "spans")
 
 
 def remove_paragraphs(docs: DataFrame) -> DataFrame:
-    """All columns of `docs`, `text` without the paragraphs that duplicate_paragraphs names; a null text becomes empty."""
-    removed = duplicate_paragraphs(docs).select(F.col("doc_id").alias("_id"), "removed").dropDuplicates(["_id"])
-    joined = docs.join(removed, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(*docs.columns, "removed")
+    """All columns of `docs`, `text` without the spans that duplicate_paragraphs names; a null text becomes empty."""
+    found = repeated_spans(docs).where("n_removed > 0").select(F.struct("doc_id", "text_key").alias("text_id"), "spans").dropDuplicates(["text_id"])
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key")).alias("text_id"))
+    joined = packed.join(found, "text_id", "left").select("row.*", F.col("spans").alias("removed spans"))
     at = docs.columns.index("text")
     schema = StructType(list(docs.schema.fields))
 
@@ -196,11 +213,9 @@ def remove_paragraphs(docs: DataFrame) -> DataFrame:
             for text, gone in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
                 raw = (text.as_py() or "").encode()
                 out, place = [], 0
-                spans = split_paragraphs(raw) if gone.as_py() else []
-                for k in gone.as_py() or []:
-                    if k < len(spans):
-                        out.append(raw[place : spans[k][0]])
-                        place = spans[k][1]
+                for span in gone.as_py() or []:
+                    out.append(raw[place : span["s"]])
+                    place = span["e"]
                 texts.append(b"".join([*out, raw[place:]]).decode())
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, batch.schema.field(at).type)

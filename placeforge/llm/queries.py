@@ -56,7 +56,8 @@ FROM base JOIN tree ON base.host = tree.host AND base.steps = tree.steps JOIN pu
 
 def op6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = paragraphs.duplicate_paragraphs(load(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_paragraphs", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), ",")
+    return found.select("doc_id", "n_paragraphs", "n_removed", "removed_bytes", spans.alias("spans"))
 
 
 def op7_smallworld(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -216,49 +216,104 @@ def test_urls_block_what_labels_say(spark):
 
 
 # 6
-def test_paragraphs(spark):
-    data = cases.rows()
-    got = paragraphs.duplicate_paragraphs(cases.frame(spark, data)).collect()
-    units, count = {}, {}
-    for i, t in data:
+def words_of(raw):
+    """(start, end, word) of the words of a text, lower-cased."""
+    return [(m.start(), m.end(), m[0].lower()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+
+
+def brute_paragraphs(raw, starts):
+    """Lines of LEAST or more words, and the runs that begin at `starts` (taken from the operator: content picks them)."""
+    found, out = words_of(raw), []
+    line = {}
+    for k, (s, _, _) in enumerate(found):
+        line.setdefault(raw.count(b"\n", 0, s), []).append(k)
+    out += [(ks[0], ks[-1] + 1, True) for ks in line.values() if len(ks) >= paragraphs.LEAST]
+    out += [(k, k + paragraphs.LEAST, False) for k in starts]
+    return [(found[a][0], found[b - 1][1], [w for _, _, w in found[a:b]], line_) for a, b, line_ in sorted(out)]
+
+
+def brute_spans(data):
+    units = []
+    for i, t in {(i, t) for i, t in data if i is not None}:
         raw = (t or "").encode()
-        spans = paragraphs.split_paragraphs(raw)
-        count[(i, t)] = len(spans)
-        for k, (s, e) in enumerate(spans):
-            if i is not None and len(raw[s:e].split()) >= paragraphs.LEAST:
-                units[(i, k)] = minhash_paths.shingle_set(raw[s:e].decode(), 5)
-    sets, keys = Sets(), list(units)
-    for x in range(len(keys)):
+        _, at, _, kind, *_ = paragraphs.paragraphs_of(paragraphs.LOWER[np.frombuffer(raw, np.uint8)], np.array([0, len(raw)]))
+        units += [(i, t or "", s, e, tuple(w), line) for s, e, w, line in brute_paragraphs(raw, [int(a) for a, k in zip(at, kind, strict=True) if k == 0])]
+    units.sort(key=lambda u: u[:4])
+    sets, shingles = Sets(), [set(zip(*(u[4][k:] for k in range(5)), strict=False)) for u in units]
+    for x, u in enumerate(units):
         for y in range(x):
-            a, b = units[keys[x]], units[keys[y]]
-            if 100 * len(a & b) >= 80 * len(a | b):
-                sets.join(keys[x], keys[y])
+            v = units[y]
+            if u[4] == v[4] or (u[5] and v[5] and 100 * len(shingles[x] & shingles[y]) >= 80 * len(shingles[x] | shingles[y])):
+                sets.join(x, y)
     gone = defaultdict(list)
-    for k in sorted(keys):
-        if sets.root(k) != k:
-            gone[k[0]].append(k[1])
-    assert multiset((i, count[(i, t)], gone.get(i, [])) for i, t in data) == multiset((r.doc_id, r.n_paragraphs, r.removed) for r in got)
-    kept = paragraphs.remove_paragraphs(cases.frame(spark, data)).collect()
-    assert len(kept) == len(data) and kept[0].asDict().keys() == cases.frame(spark, data[:1]).collect()[0].asDict().keys()
-    assert sum(len(r.text) for r in kept) < sum(len(t or "") for _, t in data)
+    for x, u in enumerate(units):
+        first = units[sets.root(x)]
+        if u[:2] != first[:2] or u[2] >= first[3]:
+            gone[u[:2]].append(u[2:4])
+    out = {}
+    for key, spans in gone.items():
+        merged = []
+        for s, e in sorted(spans):
+            if merged and s <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([s, e])
+        out[key] = merged
+    return out
+
+
+def test_paragraphs(spark):
+    data = cases.rows()
+    r, vocabulary = random.Random(14), cases.vocabulary()
+    base = [[r.choice(vocabulary) for _ in range(60)] for _ in range(5)]
+    for k in range(30):  # lines of one word changed, within other lines
+        own = base[k % 5][:]
+        own[r.randrange(60)] = "changed"
+        data.append((9000 + k, cases.prose(r, vocabulary, 9) + "\n" + " ".join(own) + "\n" + cases.prose(r, vocabulary, 30)))
+    got = paragraphs.duplicate_paragraphs(cases.frame(spark, data)).collect()
+    want = brute_spans(data)
+    assert multiset((i, want.get((i, t or ""), [])) for i, t in data) == multiset((r.doc_id, [[s.s, s.e] for s in r.spans]) for r in got)
+    assert all(r.removed_bytes == sum(s.e - s.s for s in r.spans) and (r.n_removed > 0) == bool(r.spans) for r in got)
+    kept = paragraphs.remove_paragraphs(cases.frame(spark, data).withColumnRenamed("key", "removed").withColumnRenamed("node", "_id")).collect()
+    assert len(kept) == len(data) and "removed" in kept[0].asDict() and "_id" in kept[0].asDict()
+
+    def cut(i, t):
+        raw, out, place = (t or "").encode(), b"", 0
+        for s, e in want.get((i, t or ""), []):
+            out, place = out + raw[place:s], e
+        return (out + raw[place:]).decode()
+
+    assert multiset((i, cut(i, t)) for i, t in data) == multiset((x.doc_id, x.text) for x in kept)
 
 
-@pytest.mark.parametrize("mark", ["", ".", "x."])
-def test_paragraphs_find_passages_within_long_lines(spark, mark):
+@pytest.mark.parametrize("layout", ["one line", "own line", "many lines", "start", "end"])
+def test_paragraphs_find_passages_wherever_they_stand(spark, layout):
     r, vocabulary = random.Random(12), cases.vocabulary(3)
-    line = lambda n: " ".join(r.choice(vocabulary) + (mark if r.random() < 0.1 else "") for _ in range(n))
+    line = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
     data, passages = [], []
-    for k in range(40):
+    for k in range(30):
         passage = line(51 + k % 10)
+        if layout == "many lines":
+            passage = "\n".join(" ".join(passage.split(" ")[n : n + 9]) for n in range(0, 99, 9)).strip()
         passages.append(passage)
-        data += [(2 * k + j, f"{line(r.randint(20, 200))} {passage} {line(r.randint(20, 200))}") for j in (0, 1)]
-    got = {x.doc_id: x.removed for x in paragraphs.duplicate_paragraphs(cases.frame(spark, data)).collect()}
+        mark = "\n" if layout == "own line" else " "
+        for j in (0, 1):
+            before, after = ("" if layout == "start" else line(r.randint(20, 200)) + mark), ("" if layout == "end" else mark + line(r.randint(20, 200)))
+            data.append((2 * k + j, before + passage + after))
+    got = {x.doc_id: x for x in paragraphs.duplicate_paragraphs(cases.frame(spark, data)).collect()}
     for k, passage in enumerate(passages):
-        assert got[2 * k] == [] and got[2 * k + 1], k
+        assert got[2 * k].n_removed == 0 and got[2 * k + 1].n_removed > 0, k
         raw = data[2 * k + 1][1].encode()
-        spans = paragraphs.split_paragraphs(raw)
-        taken = sum(len(raw[spans[n][0] : spans[n][1]].split()) for n in got[2 * k + 1])  # a word beyond an end may go with a near copy
-        assert 51 - 2 * paragraphs.REACH <= taken <= len(passage.split()) + 4, k
+        at = raw.index(passage.encode())
+        assert all(at <= s.s and s.e <= at + len(passage.encode()) for s in got[2 * k + 1].spans)
+        assert sum(len(raw[s.s : s.e].split()) for s in got[2 * k + 1].spans) >= paragraphs.LEAST
+
+
+def test_paragraphs_leave_short_common_lines(spark):
+    r, vocabulary = random.Random(2), cases.vocabulary(3)
+    common = " ".join(r.choice(vocabulary) for _ in range(13)) + "."
+    data = [(k, "\n".join([cases.prose(r, vocabulary, 40), common, cases.prose(r, vocabulary, 40)])) for k in range(60)]
+    assert all(x.n_removed == 0 for x in paragraphs.duplicate_paragraphs(cases.frame(spark, data)).collect())
 
 
 # 7
@@ -399,27 +454,82 @@ def test_forest_arrays_equal_a_walk():
 
 
 # 10
-@pytest.mark.parametrize(("size", "leaf"), [(2, 48), (2, 3), (5, 48)])
-def test_near_duplicates(spark, size, leaf):
-    data = cases.rows()
-    base = cases.prose(random.Random(1), cases.vocabulary(), 120).split(" ")
-    for k in range(40):  # a group of near copies larger than a leaf
-        own = base[:]
-        own[3 * k] = f"w{k}"
-        data.append((5000 + k, " ".join(own)))
-    got = minhash_paths.near_duplicates(cases.frame(spark, data), size=size, leaf=leaf).collect()
+def brute_groups(data, size):
     sets, full = Sets(), {}
     for i, t in data:
         if i is not None:
-            full[i] = minhash_paths.shingle_set(t, size)
-    ids = sorted(full)
-    for x in range(len(ids)):
+            full.setdefault((i, t or ""), minhash_paths.shingle_set(t, size))
+    keys = sorted(full)
+    for x in range(len(keys)):
         for y in range(x):
-            a, b = full[ids[x]], full[ids[y]]
+            a, b = full[keys[x]], full[keys[y]]
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
-                sets.join(ids[x], ids[y])
-    want = [(i, len(minhash_paths.shingle_set(t, size)), sets.root(i) if i is not None else None, i is None or sets.root(i) == i) for i, t in data]
-    assert multiset(want) == multiset((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got)
+                sets.join(keys[x], keys[y])
+    return [(i, len(minhash_paths.shingle_set(t, size)), sets.root((i, t or ""))[0] if i is not None else None, i is None or sets.root((i, t or ""))[0] == i) for i, t in data]
+
+
+def crowd(seed, n, most):
+    """Near copies of one text with up to `most` of its words changed: many at the edge of the threshold."""
+    r, words = random.Random(seed), cases.vocabulary(11)
+    base = [r.choice(words) for _ in range(90)]
+    out = []
+    for _ in range(n):
+        own = base[:]
+        for k in r.sample(range(90), r.randint(0, most)):
+            own[k] = r.choice(words)
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize(("size", "leaf", "unit"), [(2, 128, 1024), (2, 4, 16), (5, 128, 1024)])
+def test_near_duplicates(spark, size, leaf, unit):
+    data = cases.rows()
+    data += [(5000 + k, t) for k, t in enumerate(crowd(1, 120, 14))]
+    data += [(data[0][0], "another text of the same id " + data[5][1]), (data[0][0], None)]
+    got = minhash_paths.near_duplicates(cases.frame(spark, data), size=size, leaf=leaf, unit=unit).collect()
+    assert multiset(brute_groups(data, size)) == multiset((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got)
+
+
+def test_near_duplicates_at_the_threshold(spark):
+    texts = crowd(5, 300, 11)
+    full = [minhash_paths.shingle_set(t, 2) for t in texts]
+    sims = [len(a & b) / len(a | b) for x, a in enumerate(full) for b in full[:x]]
+    assert sum(0.78 <= s <= 0.82 for s in sims) > 1000
+    data = list(enumerate(texts))
+    for leaf, unit in ((128, 1024), (8, 32)):
+        got = minhash_paths.near_duplicates(cases.frame(spark, data), size=2, leaf=leaf, unit=unit).collect()
+        assert multiset(brute_groups(data, 2)) == multiset((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got)
+
+
+def test_trees_reach_the_recall():
+    for threshold in (0.8, 0.9):
+        assert (1 - minhash_paths.tree_recall(threshold)) ** minhash_paths.trees_for(threshold) <= 1 - minhash_paths.RECALL
+    assert 0.74 < minhash_paths.tree_recall(0.8) < 0.76
+
+
+def test_shared_counts_and_forest():
+    r = random.Random(3)
+    sets = [np.unique(np.array([r.randrange(40 + 400 * (k % 2)) for _ in range(r.randint(0, 60))], np.uint64)) for k in range(50)]
+    got = minhash_paths.shared_counts(sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(50) for j in range(50) if i != j)
+    near = got >= 8
+    np.fill_diagonal(near, False)
+    for label in (np.arange(50), np.arange(50) // 3):
+        links = minhash_paths.forest(near, label)
+        whole, part = Sets(), Sets()
+        for i in range(50):
+            for j in range(50):
+                if label[i] == label[j]:
+                    whole.join(i, j)
+                    part.join(i, j)
+                if near[i, j]:
+                    whole.join(i, j)
+        before = len({part.root(k) for k in range(50)})
+        for i, j in links:
+            assert near[i, j]
+            part.join(i, j)
+        assert [part.root(k) for k in range(50)] == [whole.root(k) for k in range(50)]
+        assert len(links) == before - len({whole.root(k) for k in range(50)})
 
 
 def test_components(spark):
