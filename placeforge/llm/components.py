@@ -46,43 +46,43 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
         size += batch.num_rows
         if size >= CHUNK:
-            held = [stars(*(np.concatenate(c) for c in zip(*held, strict=True)))]
-            yield batch_of(PAIR, *held[0])
+            yield batch_of(PAIR, *stars(*(np.concatenate(c) for c in zip(*held, strict=True))))
             held, size = [], 0
     if size:
         yield batch_of(PAIR, *stars(*(np.concatenate(c) for c in zip(*held, strict=True))))
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
+def components(links: DataFrame, rounds: int = 40, chunk: int = CHUNK) -> DataFrame:
     """(id, component): the smallest id reachable over `links` (a, b), for ids that stand in a link.
 
-    Each task first turns its own links into stars. Then alternating large and
-    small stars: each round hangs every vertex and its larger (then smaller)
-    neighbours on the smallest neighbour. Hubs meet only in a partial minimum
-    and in a join that can be split, never in one group. Null ends and self
-    links are left out; an empty table gives an empty one.
+    Links are read in tasks of about `chunk`, each of which turns its own into
+    stars. What the tasks leave apart is joined by alternating large and small
+    stars: each round hangs every vertex and its larger (then smaller)
+    neighbours on the smallest neighbour, until only stars are left. Null ends
+    and self links are left out; an empty table gives an empty one.
     """
-    edges = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
-    edges = cut(edges.mapInArrow(_contract, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
-    mark = _mark(edges)
+    links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
+    links = cut(links)
+    parts = max(1, -(-links.count() // chunk))
+    edges = cut(links.coalesce(parts).mapInArrow(_contract, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
     for _ in range(rounds):
-        if not mark[0]:
+        if _settled(edges):
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(low.select("u", F.col("m").alias("v")))
         edges = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        previous, mark = mark, _mark(edges)
-        if mark == previous:
-            break
     else:
         raise RuntimeError("components did not settle")
     leaves = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return leaves.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether all edges (u, v) with v < u make stars: each u has one edge, and no v is a u."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or (up > 0 and down > 0)").isEmpty()

@@ -17,7 +17,7 @@ from placeforge.llm.textkit import LOWER, batch_of, mix, per_text, text_chunks,
 
 SIGNATURE = 64
 RECALL = 0.9999  # of the trees together, for a pair at the threshold
-LEAF = 128
+LEAF = 256
 DEPTH = 6
 BRANCHES = 2  # over 1 / threshold, so that the recall of a tree doesn't fall with its depth
 MAYBE = 0.6  # share of equal minhashes below which a link of 0.8 is 4 standard errors away
@@ -211,21 +211,20 @@ def candidate_groups(reps: DataFrame, roots: DataFrame, leaf: int = LEAF, depth:
             block = F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / leaf).cast("long"))
             more = more.unionByName(_candidates(big.withColumn("unit", F.xxhash64("node", block)), reps, maybe))
         found = cut(more if found is None else more.unionByName(found))
-        label = cut(components(found))
         if last:
             break
-        big = _sized(big.select("node", "rep"), label)
+        label = cut(components(found))
+        big = _sized(big, label)
         few = (F.col("open") <= 2 * leaf) if level < depth else F.lit(True)
         parts, open_parts = F.ceil(F.col("n") / leaf).cast("int"), F.ceil(F.col("open") / leaf).cast("int")
         near = _dealt(big.where(few), "node", parts, open_parts, F.col("label") != F.col("main"))
         found = cut(found.unionByName(_candidates(near, reps, maybe)))
-        label = cut(components(found))
         many = big.where(~few).select("node", "rep").join(reps.select("rep", "sig"), "rep")
         branch = [F.xxhash64("node", F.lit(b), F.substring("sig", F.pmod(F.xxhash64("node", F.lit(b)), width).cast("int") + 1, F.lit(1))) for b in range(BRANCHES)]
         rows = cut(many.select("rep", F.explode(F.array(*branch)).alias("node")))
         if rows.isEmpty():
             break
-    return label
+    return components(found)
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:

@@ -481,7 +481,7 @@ def crowd(seed, n, most):
     return out
 
 
-@pytest.mark.parametrize(("size", "leaf", "unit"), [(2, 128, 1024), (2, 4, 16), (5, 128, 1024)])
+@pytest.mark.parametrize(("size", "leaf", "unit"), [(2, 256, 1024), (2, 8, 32), (5, 256, 1024)])
 def test_near_duplicates(spark, size, leaf, unit):
     data = cases.rows()
     data += [(5000 + k, t) for k, t in enumerate(crowd(1, 120, 14))]
@@ -496,7 +496,7 @@ def test_near_duplicates_at_the_threshold(spark):
     sims = [len(a & b) / len(a | b) for x, a in enumerate(full) for b in full[:x]]
     assert sum(0.78 <= s <= 0.82 for s in sims) > 1000
     data = list(enumerate(texts))
-    for leaf, unit in ((128, 1024), (8, 32)):
+    for leaf, unit in ((256, 1024), (16, 64)):
         got = minhash_paths.near_duplicates(cases.frame(spark, data), size=2, leaf=leaf, unit=unit).collect()
         assert multiset(brute_groups(data, 2)) == multiset((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got)
 
@@ -529,18 +529,19 @@ def test_shared_counts_and_forest():
             assert near[i, j]
             part.join(i, j)
         assert [part.root(k) for k in range(50)] == [whole.root(k) for k in range(50)]
-        assert len(links) == before - len({whole.root(k) for k in range(50)})
+        assert len(links) < 50 and (label[1] == 0 or len(links) == before - len({whole.root(k) for k in range(50)}))
 
 
 def test_components(spark):
     r = random.Random(6)
     links = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(160)] + [(400 + k, 401 + k) for k in range(60)] + [(None, 3), (5, 5)]
-    got = components(spark.createDataFrame(links, "a long, b long")).collect()
     sets = Sets()
     for a, b in links:
         if a is not None and a != b:
             sets.join(a, b)
-    assert {r.id: r.component for r in got} == {k: sets.root(k) for k in sets.parent}
+    for chunk in (1 << 19, 20):
+        got = components(spark.createDataFrame(links, "a long, b long").repartition(40), chunk=chunk).collect()
+        assert {r.id: r.component for r in got} == {k: sets.root(k) for k in sets.parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
