@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeforge.llm.runtime import cut, split_of
-from placeforge.llm.textkit import LOWER, batch_of, text_chunks, word_hashes, words
+from placeforge.llm.textkit import LOWER, batch_of, runs, text_chunks, word_hashes, words
 
 CLASSES = 64
 CORE = 1024
 BLOCK = 12 << 20
+BUCKET = 400_000  # words of all blocks together that one task gathers
+OTHER = 1  # the class of words outside the core while the core is clustered; the end has class 0
+LAST_FIXED = 1
 END = np.uint64(1)  # the end of a text is a token like others
 ADD = 0.1
 ALPHA = 20.0
@@ -72,35 +75,99 @@ def _planes(numbers: np.ndarray) -> bytes:
     return np.ascontiguousarray(numbers.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
+def _whole(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+
+
 def _unpack(batch: pa.RecordBatch, i: int):
     get = lambda name: batch.column(batch.schema.names.index(name))[i].as_py()
     squeeze = zstandard.ZstdDecompressor().decompress
     sizes = np.frombuffer(get("sizes"), np.int64)
-    tokens = np.frombuffer(squeeze(get("tokens")), np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+    tokens = _whole(squeeze(get("tokens")))
     names = np.frombuffer(get("words"), np.uint64)
     counts = np.frombuffer(squeeze(get("counts")), np.int32)
     return get("block"), np.frombuffer(get("train"), bool), sizes, tokens, names, counts
 
 
-def _core_words(blocks: DataFrame, core: int) -> np.ndarray:
-    """The words of the exchange: the most frequent ones, by the sums of each block's most frequent."""
-    schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
+def _spread(blocks: DataFrame, parts: int, evidence: tuple | None = None) -> DataFrame:
+    """Each block's words in hash order, dealt into `parts` ranges: bucket, block, words, counts and, with `evidence` (core, group), neighbours' classes.
+
+    A word's evidence is a list of (side and class, count) over its training
+    neighbours: a core word's class, or OTHER.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(evidence)
+    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary()), ("sizes", pa.binary()), ("codes", pa.binary()), ("often", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for i in range(batch.num_rows):
-                _, _, _, _, names, counts = _unpack(batch, i)
-                top = np.argsort(-counts, kind="stable")[: 4 * core]
-                yield batch_of(schema, names[top].view(np.int64), counts[top])
+                block, train, sizes, tokens, names, counts = _unpack(batch, i)
+                order = np.argsort(names)
+                names, counts = names[order], counts[order]
+                number = np.zeros(len(names), np.int32)
+                code, often = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+                if shared.value is not None:
+                    core, group, kinds = shared.value
+                    rank = np.empty(len(order), np.int64)
+                    rank[order] = np.arange(len(order))
+                    at = _positions(core, names)
+                    cls = np.where(at >= 0, group[np.maximum(at, 0)], OTHER)
+                    word = rank[tokens]
+                    seq = cls[word]
+                    left, _ = _before(seq, sizes, 0)
+                    right = np.append(seq[1:], 0)
+                    learn = np.repeat(train, sizes) & (at[word] < 0)
+                    key = np.concatenate([word[learn] * (2 * kinds) + left[learn], word[learn] * (2 * kinds) + kinds + right[learn]])
+                    key, often = np.unique(key, return_counts=True)
+                    code = (key % (2 * kinds)).astype(np.uint8)
+                    number = np.bincount(key // (2 * kinds), minlength=len(names)).astype(np.int32)
+                    often = often.astype(np.int32)
+                bucket = ((names >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                edge = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+                total = np.concatenate([[0], np.cumsum(number)])
+                spans = list(zip(edge[:-1], edge[1:], strict=True))
+                if len(names):
+                    yield batch_of(
+                        schema, bucket[edge[:-1]].astype(np.int64), np.full(len(spans), block), [names[p:q].tobytes() for p, q in spans], [squeeze(_planes(counts[p:q])) for p, q in spans],
+                        [squeeze(_planes(number[p:q])) for p, q in spans], [squeeze(code[total[p] : total[q]].tobytes()) for p, q in spans], [squeeze(_planes(often[total[p] : total[q]])) for p, q in spans],
+                    )
+
+    return blocks.select("block", "train", "sizes", "tokens", "words", "counts").mapInArrow(run, "bucket long, block long, words binary, counts binary, sizes binary, codes binary, often binary")
+
+
+def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket's rows: distinct words, their counts over all blocks, and by row each word's number."""
+    loose = zstandard.ZstdDecompressor().decompress
+    names = [np.frombuffer(x, np.uint64) for x in table["words"].to_pylist()]
+    counts = np.concatenate([_whole(loose(x)) for x in table["counts"].to_pylist()])
+    word, at = np.unique(np.concatenate(names), return_inverse=True)
+    c = np.zeros(len(word), np.int64)
+    np.add.at(c, at, counts)
+    return word, c, at, np.array([len(x) for x in names])
+
+
+def _core_words(blocks: DataFrame, parts: int, core: int) -> np.ndarray:
+    """The words of the exchange: the most frequent training words of the corpus (ties: the smaller hash), and the end."""
+    schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
 
-    top = blocks.select("block", "train", "sizes", "tokens", "words", "counts").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = top.where("n > 0").orderBy(F.desc("n"), "word").limit(core).collect()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, 0):
+            bucket = table["bucket"].to_numpy()
+            for k in np.unique(bucket):
+                word, c, _, _ = _gathered(table.filter(bucket == k))
+                word, c = word[c > 0], c[c > 0]
+                top = np.lexsort((word.view(np.int64), -c))[:core]  # no other word of this range can be among the first `core` of all
+                yield batch_of(schema, word[top].view(np.int64), c[top])
+
+    counts = _spread(blocks, parts).select("bucket", "words", "counts").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    rows = counts.mapInArrow(run, "word long, n long").orderBy(F.desc("n"), "word").limit(core).collect()
     words_ = np.array([r.word for r in rows], np.int64).view(np.uint64)
     return np.unique(np.append(words_, END))
 
 
 def _core_pairs(blocks: DataFrame, core: np.ndarray) -> np.ndarray:
-    """Counts of neighbouring core words in training texts (at most core x core numbers)."""
+    """Counts of neighbouring core words in training texts, all others being one (at most core x core numbers)."""
     shared = blocks.sparkSession.sparkContext.broadcast(core)
     schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
 
@@ -109,16 +176,18 @@ def _core_pairs(blocks: DataFrame, core: np.ndarray) -> np.ndarray:
         for batch in batches:
             for i in range(batch.num_rows):
                 _, train, sizes, tokens, names, _ = _unpack(batch, i)
-                number = _positions(own, names)[tokens]
+                at = _positions(own, names)
+                number = np.where(at >= 0, at, len(own))[tokens]
                 left, ok = _before(number, sizes, int(np.searchsorted(own, END)))
-                ok &= np.repeat(train, sizes) & (number >= 0) & (left >= 0)
-                pair, n = np.unique(left[ok] * len(own) + number[ok], return_counts=True)
+                ok &= np.repeat(train, sizes)
+                pair, n = np.unique(left[ok] * (len(own) + 1) + number[ok], return_counts=True)
                 yield batch_of(schema, pair, n)
 
     rows = blocks.select("block", "train", "sizes", "tokens", "words", "counts").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(core) ** 2, np.int64)
+    size = len(core) + 1
+    out = np.zeros(size**2, np.int64)
     out[rows["pair"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out.reshape(len(core), len(core))
+    return out.reshape(size, size)
 
 
 def _positions(own: np.ndarray, names: np.ndarray) -> np.ndarray:
@@ -134,23 +203,24 @@ def _before(values: np.ndarray, sizes: np.ndarray, start) -> tuple[np.ndarray, n
     return left, np.ones(len(values), bool)
 
 
-def exchange(pairs: np.ndarray, fixed: int, classes: int = CLASSES, rounds: int = 12) -> np.ndarray:
+def exchange(pairs: np.ndarray, fixed: tuple[int, ...], classes: int = CLASSES, rounds: int = 12) -> np.ndarray:
     """Class of each word: words move to the class that raises the class-bigram likelihood most, until none moves.
 
-    Words start by frequency rank; `fixed` (the end) keeps class 0 for itself.
+    Words start by frequency rank; those of `fixed` (the end, and all words
+    outside the core as one) keep the first classes, each its own.
     """
-    n = len(pairs)
+    n, own = len(pairs), len(fixed)
     rank = np.argsort(np.argsort(-(pairs.sum(0) + pairs.sum(1)), kind="stable"))
-    k = max(2, min(classes, n))
-    group = 1 + rank % (k - 1)
-    group[fixed] = 0
+    k = max(own + 1, min(classes, n))
+    group = own + rank % (k - own)
+    group[list(fixed)] = np.arange(own)
     table = np.zeros((k, k))
     np.add.at(table, (group[:, None], group[None, :]), pairs)
     f = lambda x: np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
     for _ in range(rounds):
         moved = 0
         for w in np.argsort(rank):
-            if w == fixed:
+            if w in fixed:
                 continue
             old = group[w]
             self_pair = float(pairs[w, w])
@@ -168,7 +238,7 @@ def exchange(pairs: np.ndarray, fixed: int, classes: int = CLASSES, rounds: int
             d = np.diag(base)
             gain += f(d + right + left + self_pair) - f(d + right) - f(d + left) + f(d)
             gain -= f(row + r) - f(row) + f(col + c) - f(col)
-            gain[0] = -np.inf
+            gain[:own] = -np.inf
             new = int(gain.argmax())
             if gain[new] <= gain[old] + 1e-9:
                 new = int(old)
@@ -183,97 +253,93 @@ def exchange(pairs: np.ndarray, fixed: int, classes: int = CLASSES, rounds: int
     return group
 
 
-def _vocabulary(blocks: DataFrame) -> DataFrame:
-    """(word, block, local): each block's words with their numbers in it."""
-    schema = pa.schema([("word", pa.int64()), ("block", pa.int64()), ("local", pa.int32())])
+def _assign(blocks: DataFrame, parts: int, core: np.ndarray, group: np.ndarray, logp: np.ndarray) -> DataFrame:
+    """The exchange step for all words outside the core, by their neighbours in the whole corpus; and each block's answers.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                names = np.frombuffer(packed, np.int64)
-                yield batch_of(schema, names, np.full(len(names), block), np.arange(len(names), dtype=np.int32))
+    One row for each bucket and block: bucket, block, c and class of the block's
+    words in hash order; and one row without a block for each bucket, with the
+    tokens and the kinds of words by class.
+    """
+    kinds = len(logp)
+    shared = blocks.sparkSession.sparkContext.broadcast((core, group, np.concatenate([logp, logp.T])))
+    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("cs", pa.binary()), ("classes", pa.binary()), ("n", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int64()))])
+
+    def choose(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        core, group, gain = shared.value
+        loose, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
+        word, c, at, sizes = _gathered(table)
+        number = np.concatenate([_whole(loose(x)) for x in table["sizes"].to_pylist()])
+        code = np.concatenate([np.frombuffer(loose(x), np.uint8) for x in table["codes"].to_pylist()]).astype(np.int64)
+        often = np.concatenate([_whole(loose(x)) for x in table["often"].to_pylist()])
+        key, where = np.unique(np.repeat(at, number) * (2 * kinds) + code, return_inverse=True)
+        n = np.zeros(len(key), np.int64)
+        np.add.at(n, where, often)
+        owner = key // (2 * kinds)
+        best = np.full(len(word), LAST_FIXED + 1, np.int64)
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1]) if len(key) else np.zeros(0, np.int64)
+        for part in np.array_split(starts, len(key) // 40_000 + 1):
+            if len(part):
+                s, e = part[0], int(np.searchsorted(owner, owner[part[-1]], "right"))
+                total = np.add.reduceat(gain[key[s:e] % (2 * kinds)] * n[s:e, None], part - s, 0)
+                total[:, : LAST_FIXED + 1] = -np.inf
+                best[owner[part]] = total.argmax(1)
+        known = _positions(core, word)
+        best = np.where(known >= 0, group[np.maximum(known, 0)], best)
+        edge = np.concatenate([[0], np.cumsum(sizes)])
+        bucket, blocks_ = table["bucket"][0].as_py(), table["block"].to_pylist()
+        m = len(blocks_)
+        replies = [(squeeze(np.ascontiguousarray(c[own].view(np.uint8).reshape(-1, 8).T).tobytes()), squeeze(best[own].astype(np.uint8).tobytes())) for own in (at[p:q] for p, q in zip(edge[:-1], edge[1:], strict=True))]
+        yield batch_of(schema, [bucket] * m, blocks_, [r[0] for r in replies], [r[1] for r in replies], [None] * m, [None] * m)
+        seen = c > 0
+        yield batch_of(schema, [bucket], [None], [None], [None], [np.bincount(best, c, kinds).astype(np.int64)], [np.bincount(best[seen], minlength=kinds)])
 
-    return blocks.select("block", "words").mapInArrow(run, "word long, block long, local int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, 0):
+            bucket = table["bucket"].to_numpy()
+            for k in np.unique(bucket):
+                yield from choose(table.filter(bucket == k))
 
+    rows = _spread(blocks, parts, (core, group, kinds)).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, "bucket long, block long, cs binary, classes binary, n array<long>, kinds array<long>")
 
-def _assign(blocks: DataFrame, core: np.ndarray, group: np.ndarray, logp: np.ndarray) -> DataFrame:
-    """(word, n, class): the exchange step for all words of a block, given the core's classes."""
-    shared = blocks.sparkSession.sparkContext.broadcast((core, group, logp))
-    schema = pa.schema([("word", pa.int64()), ("n", pa.int32()), ("class", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, group, logp = shared.value
-        k = len(logp)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                _, train, sizes, tokens, names, counts = _unpack(batch, i)
-                at = _positions(own, names)
-                cls = np.where(at >= 0, group[np.maximum(at, 0)], -1)
-                seq = cls[tokens]
-                learn = np.repeat(train, sizes)
-                left, _ = _before(seq, sizes, 0)
-                right = np.append(seq[1:], 0)
-                # by side, the classes of each word's neighbours are counted, then scored a slice of words at a time
-                total = np.zeros((len(names), k), np.float32)
-                for near, gain in ((left, logp), (right, logp.T)):
-                    ok = learn & (near >= 0) & (seq < 0)
-                    key, n = np.unique(tokens[ok].astype(np.int64) * k + near[ok], return_counts=True)
-                    word = key // k
-                    starts = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1]) if len(word) else np.zeros(0, np.int64)
-                    for part in np.array_split(starts, len(key) // 40_000 + 1):
-                        if len(part):
-                            s, e = part[0], int(np.searchsorted(word, word[part[-1]], "right"))
-                            total[word[part]] += np.add.reduceat((gain[key[s:e] % k] * n[s:e, None]).astype(np.float32), part - s, 0)
-                total[:, 0] = -np.inf
-                best = np.where(total[:, 1:].any(1), total.argmax(1), 0)
-                del total
-                best = np.where(cls >= 0, cls, np.maximum(best, 1)).astype(np.int32)
-                yield batch_of(schema, names.view(np.int64), counts, best)
-
-    return blocks.select("block", "train", "sizes", "tokens", "words", "counts").mapInArrow(run, "word long, n int, class int")
-
-
-def score_texts(docs: DataFrame, classes: int = CLASSES, core: int = CORE, block: int = BLOCK) -> DataFrame:
+def score_texts(docs: DataFrame, classes: int = CLASSES, core: int = CORE, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score; one row for each row of `docs`.
 
     Rows whose crc32(doc_id) mod 10 is not 0 teach (a null id teaches too); all
     are scored, in log10. base_score is the smoothed unigram. The class model
-    gives P(class | class before) P(word | class): the most frequent words are
-    clustered by exchange on their pair counts, then every word of the corpus
-    moves to the class that its neighbours make likeliest (where a word stands
-    in several blocks, the block that has it most often decides). An unseen word
+    gives P(class | class before) P(word | class): the `core` most frequent
+    words are clustered by exchange on their pair counts, all other words being
+    one; then every other word moves to the class that its neighbours, counted
+    over the whole corpus, make likeliest (ties: the smaller class). Counts,
+    classes and scores do not depend on how the rows are dealt. An unseen word
     is one event, with the share that once-seen words have after a class. Null
-    and empty texts are the end token alone; an empty table gives an empty one;
-    without training rows all is uniform. Other columns are not read.
+    and empty texts are the end token alone; very long texts are one block;
+    repeated rows teach as often as they stand and score alike; an empty table
+    gives an empty one; without training rows all is uniform. A doc_id that is
+    no number is an error. Other columns are not read.
     """
     blocks = cut(_blocks(docs, block))
-    core_words = _core_words(blocks, core)
+    held = blocks.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    parts = max(1, -(-held // (8 * bucket)))
+    core_words = _core_words(blocks, parts, core)
     pairs = _core_pairs(blocks, core_words)
-    group = exchange(pairs, int(np.searchsorted(core_words, END)), classes)
-    k = int(group.max()) + 1 if len(group) > 1 else 2
+    group = exchange(pairs, (int(np.searchsorted(core_words, END)), len(core_words)), classes)
+    k = int(group.max()) + 1
     table = np.zeros((k, k))
     np.add.at(table, (group[:, None], group[None, :]), pairs)
     share = (table.sum(0) + 1) / (table.sum() + k)
     smooth = (table + ALPHA * share) / (table.sum(1, keepdims=True) + ALPHA)
     # what a word gains in class c: log P(c | before) and log P(after | c), against the size of c
     logp = np.log(smooth) - np.log(share)[None, :]
-    # one number holds a block's count and its choice, so that the most frequent block decides
-    choice = _assign(blocks, core_words, group, logp).groupBy("word").agg(F.sum("n").cast("long").alias("c"), F.max(F.col("n").cast("long") * 256 + F.col("class")).alias("m"))
-    known = choice.where("c > 0").select("word", "c", F.pmod("m", F.lit(256)).cast("int").alias("class"))
-    known = cut(known)
-    del choice
+    answers = cut(_assign(blocks, parts, core_words, group, logp))
     by_class, total, kinds = np.zeros(k), 0, 0
-    for r in known.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("kinds")).collect():  # one row for each class
+    stats = answers.where("block is null").select(F.posexplode(F.arrays_zip("n", "kinds")).alias("class", "x")).groupBy("class").agg(F.sum("x.n").alias("n"), F.sum("x.kinds").alias("kinds"))
+    for r in stats.collect():  # one row for each class
         by_class[r["class"]] = r["n"]
         total, kinds = total + r["n"], kinds + r["kinds"]
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "local": [pdf["local"].to_numpy(np.int32).tobytes()], "c": [pdf["c"].to_numpy(np.int64).tobytes()], "class": [pdf["class"].to_numpy(np.uint8).tobytes()]})
-
-    found = _vocabulary(blocks).join(known, "word").select("block", "local", "c", "class")
-    tables = cut(found.groupBy("block").applyInPandas(pack, "block long, local binary, c binary, class binary"))
-    del found, known
-    coded = cut(blocks.select("block", "ids", "train", "sizes", "tokens", "words", "counts").join(tables.withColumnRenamed("c", "cs").withColumnRenamed("local", "at"), "block", "left").mapInArrow(_encode(total, kinds, by_class), "ids array<long>, train binary, sizes binary, codes binary, n_known binary, base binary, emit binary, moves binary"))
+    tables = answers.where("block is not null").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "cs", "classes"))).alias("answers"))  # at most a block's ranges
+    coded = cut(blocks.join(tables, "block", "left").select("block", "train", "sizes", "tokens", "words", "counts", "ids", "answers").mapInArrow(_encode(total, kinds, by_class), "ids array<long>, train binary, sizes binary, codes binary, n_known binary, base binary, emit binary, moves binary"))
     moves = np.zeros(((k + 1), (k + 1)))
     unseen = np.zeros(k + 1)
     seen = np.zeros(k + 1)
@@ -295,15 +361,17 @@ def _encode(total: int, kinds: int, by_class: np.ndarray):
     schema = pa.schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loose = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for i in range(batch.num_rows):
                 _, train, sizes, tokens, names, _ = _unpack(batch, i)
-                get = lambda name, i=i, batch=batch: batch.column(batch.schema.names.index(name))[i].as_py() or b""
-                c = np.zeros(len(names), np.int64)
-                cls = np.full(len(names), k, np.uint8)  # k: unseen
-                at = np.frombuffer(get("at"), np.int32)
-                c[at] = np.frombuffer(get("cs"), np.int64)
-                cls[at] = np.frombuffer(get("class"), np.uint8)
+                answers = batch.column(batch.schema.names.index("answers"))[i].as_py() or []
+                order = np.argsort(names)
+                c, cls = np.zeros(len(names), np.int64), np.zeros(len(names), np.uint8)
+                if answers:
+                    c[order] = np.concatenate([np.frombuffer(loose(x["cs"]), np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel() for x in answers])
+                    cls[order] = np.concatenate([np.frombuffer(loose(x["classes"]), np.uint8) for x in answers])
+                cls[c == 0] = k  # unseen
                 base = np.log10((c + ADD) / (total + ADD * (kinds + 1)))
                 emit = np.where(c > 0, np.log10(np.maximum(c, 1) / np.maximum(by_class[np.minimum(cls, k - 1)], 1)), 0.0)
                 first = np.concatenate([[0], np.cumsum(sizes)[:-1]])

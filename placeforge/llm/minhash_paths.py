@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from placeforge.llm.components import PAIR, components, stars
 from placeforge.llm.runtime import cut
-from placeforge.llm.textkit import LOWER, batch_of, mix, per_text, text_chunks, word_hashes, words
+from placeforge.llm.textkit import LOWER, batch_of, mix, per_text, runs, text_chunks, word_hashes, words
 
 SIGNATURE = 64
 RECALL = 0.9999  # of the trees together, for a pair at the threshold
@@ -109,25 +109,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
-    """Whole runs of equal keys from batches that are sorted by it; a run is at most one unit."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        cut_at = len(keys) - 1
-        while cut_at > 0 and keys[cut_at - 1] == keys[-1]:
-            cut_at -= 1
-        if cut_at == 0 and held and held[-1].column(key)[-1].as_py() == keys[0]:
-            held.append(batch)
-            continue
-        yield pa.Table.from_batches([*held, batch.slice(0, cut_at)])
-        held = [batch.slice(cut_at)]
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
@@ -153,7 +134,7 @@ def _candidates(rows: DataFrame, reps: DataFrame, maybe: float) -> DataFrame:
     """(a, b): stars over what may be alike within each unit; rows: unit, rep, label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, 0):
+        for table in runs(batches, 0):
             if table.num_rows:
                 a, b = alike(table["unit"].to_numpy(), table["label"].to_numpy(), _matrix(table["sig"]), maybe)
                 yield batch_of(PAIR, a, b)
@@ -291,7 +272,7 @@ def _linked(rows: DataFrame, percent: int) -> DataFrame:
         return [(rep[i], rep[j]) for i, j in forest(near, label)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, 0):
+        for table in runs(batches, 0):
             if not table.num_rows:
                 continue
             unit, rep, label = (table[c].to_numpy() for c in ("unit", "rep", "label"))

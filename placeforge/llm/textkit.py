@@ -92,5 +92,24 @@ def per_text(values: np.ndarray, first: np.ndarray, reduce, empty) -> np.ndarray
     return out
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
+    """Whole runs of equal keys from batches that are sorted by it; a run is at most one unit."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cut_at = len(keys) - 1
+        while cut_at > 0 and keys[cut_at - 1] == keys[-1]:
+            cut_at -= 1
+        if cut_at == 0 and held and held[-1].column(key)[-1].as_py() == keys[0]:
+            held.append(batch)
+            continue
+        yield pa.Table.from_batches([*held, batch.slice(0, cut_at)])
+        held = [batch.slice(cut_at)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

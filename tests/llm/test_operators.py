@@ -58,12 +58,79 @@ def test_brown_beats_the_unigram_on_held_out_text(spark):
 
 
 def test_exchange_finds_alternating_classes():
-    pairs = np.zeros((9, 9), np.int64)
+    pairs = np.zeros((10, 10), np.int64)
     for a in range(1, 5):
         for b in range(5, 9):
             pairs[a, b] = pairs[b, a] = 20 + a * b
-    group = brown.exchange(pairs, 0, classes=3)
-    assert len(set(group[1:5])) == 1 and len(set(group[5:])) == 1 and group[1] != group[5] and list(group).count(0) == 1
+    group = brown.exchange(pairs, (0, 9), classes=4)
+    assert len(set(group[1:5])) == 1 and len(set(group[5:9])) == 1 and group[1] != group[5] and group[0] == 0 and group[9] == 1 and min(group[1:9]) == 2
+
+
+def brute_scores(data, core, classes):
+    """The class model by plain counting: core words by exchange, other words by all their neighbours, transitions, emissions."""
+    tokens = [[*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), None] for _, t in data]
+    learn = [i is None or zlib.crc32(str(i).encode()) % 10 != 0 for i, _ in data]
+    train = [ws for ws, use in zip(tokens, learn, strict=True) if use]
+    c = Counter(w for ws in train for w in ws)
+    number = {w: 1 if w is None else int(brown.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in {w for ws in tokens for w in ws}}
+    signed = lambda w: number[w] - (1 << 64) if number[w] >> 63 else number[w]
+    top = {*sorted(c, key=lambda w: (-c[w], signed(w)))[:core], None}
+    order = sorted(top, key=number.get)
+    at = {w: k for k, w in enumerate(order)}
+    pairs = np.zeros((len(order) + 1, len(order) + 1), np.int64)
+    for ws in train:
+        for a, b in zip([None, *ws], ws, strict=False):
+            pairs[at.get(a, len(order)), at.get(b, len(order))] += 1
+    group = brown.exchange(pairs, (at[None], len(order)), classes)
+    k = group.max() + 1
+    cls = {w: int(group[n]) for w, n in at.items()}
+    table = np.zeros((k, k))
+    for a in range(len(pairs)):
+        for b in range(len(pairs)):
+            table[group[a], group[b]] += pairs[a, b]
+    share = (table.sum(0) + 1) / (table.sum() + k)
+    logp = np.log((table + brown.ALPHA * share) / (table.sum(1, keepdims=True) + brown.ALPHA)) - np.log(share)
+    near = defaultdict(lambda: np.zeros(k))
+    for ws in train:
+        full = [None, *ws]
+        for n, w in enumerate(full[1:], 1):
+            if w not in cls:
+                near[w] += logp[cls.get(full[n - 1], 1)]
+                near[w] += logp[:, cls.get(full[n + 1], 1)]
+    for w, total in near.items():
+        total[:2] = -np.inf
+        cls[w] = int(total.argmax())
+    mass = np.zeros(k)
+    for w, n in c.items():
+        mass[cls[w]] += n
+    moves, unseen, seen = np.zeros((k + 1, k + 1)), np.zeros(k + 1), np.zeros(k + 1)
+    for ws in train:
+        for a, b in zip([None, *ws], ws, strict=False):
+            for row in [cls[a], k] if c[a] == 1 and (a is not None) else [cls[a]]:
+                moves[row, cls[b]] += 1
+                unseen[row] += c[b] == 1
+                seen[row] += 1
+    share = (mass + 1e-3) / (mass.sum() + 1e-3 * k)
+    given = (moves[:, :k] + brown.ALPHA * share) / (moves[:, :k].sum(1, keepdims=True) + brown.ALPHA)
+    rare = (unseen.sum() + 1) / (seen.sum() + 2)
+    new = (unseen + brown.ALPHA * rare) / (seen + brown.ALPHA)
+    out = []
+    for ws in tokens:
+        score = 0.0
+        for a, b in zip([None, *ws], ws, strict=False):
+            row = cls[a] if c[a] else k
+            score += math.log10(given[row, cls[b]] * (1 - new[row])) + math.log10(c[b] / mass[cls[b]]) if c[b] else math.log10(new[row])
+        out.append(score)
+    return out
+
+
+def test_brown_scores_by_brute_force_and_whatever_the_layout(spark):
+    data = cases.rows(n=40)
+    want = brute_scores(data, 64, 8)
+    exact = Counter((i, round(x, 6)) for (i, _), x in zip(data, want, strict=True))
+    for parts, block, bucket in ((1, 1 << 20, 400_000), (16, 3000, 500), (3, 9000, 50)):
+        got = brown.score_texts(cases.frame(spark, data).repartition(parts), block=block, core=64, classes=8, bucket=bucket).collect()
+        assert exact == Counter((r.doc_id, round(r.score, 6)) for r in got), (parts, block)
 
 
 # 2
