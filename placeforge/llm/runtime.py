@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,15 +16,19 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the folder the cluster names.
 
-    The files go when the frame is no longer reachable, if the session cleans
-    checkpoints; a lost executor never loses them.
+    Without such a folder, one beside the warehouse is used, which executors
+    see too. The files go when the frame is no longer reachable, if the session
+    cleans checkpoints; a lost executor never loses them. The frame is made anew
+    from the rows: a checkpoint keeps what the planner knew of the old plan, and
+    over many rounds that makes planning slower than the work.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="placeforge-"))
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints")
     out = df.checkpoint(eager=True)
+    rows = out._jdf.queryExecution().toRdd()
+    out = DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, out._jdf.schema(), False), spark)
     del df
     _sweep(spark)
     return out
