@@ -28,3 +28,11 @@ def neighbours(df, lat: str, lng: str, size: float, reach: int, names=("cy", "cx
     """A row for each of the (2 reach + 1)^2 cells around a point; the point's side of a grid join."""
     steps = F.array(*(F.lit(k).cast("long") for k in range(-reach, reach + 1)))
     return df.withColumn("_dy", F.explode(steps)).withColumn("_dx", F.explode(steps)).withColumn(names[0], cell(F.col(lat), size) + F.col("_dy")).withColumn(names[1], cell(F.col(lng), size) + F.col("_dx")).drop("_dy", "_dx")
+
+
+def touched(df, lat: str, lng: str, size: float, metres: float, names=("cy", "cx")):
+    """A row for each cell that the box of `metres` around a point meets: one cell for most points where cells are wide."""
+    pad = F.lit(1.01 * metres / METERS_PER_DEGREE)
+    wide = pad / F.greatest(F.cos(radians(F.least(F.abs(F.col(lat)) + pad, F.lit(90.0)))), F.lit(0.01))
+    steps = lambda x, by: F.sequence(cell(x - by, size), cell(x + by, size))
+    return df.withColumn(names[0], F.explode(steps(F.col(lat), pad))).withColumn(names[1], F.explode(steps(F.col(lng), wide)))

@@ -1,11 +1,12 @@
-"""Projection, scope, refresh and model-output rules."""
+"""Projection, scope, refresh, model-output and quality rules."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeforge.operators import rules
+from placeforge.operators.order import running
 
 # fixed values: flags that keep a row out, price bands, styles' evidence, dispositions of promoted fields
 REMOVAL_FLAGS = ("delete", "doesntexist", "inappropriate", "privatevenue")
@@ -65,15 +66,21 @@ def place_identity(source: Column, source_id: Column) -> Column:
     return F.when(F.coalesce(source_id, F.lit("")) != "", F.concat(source, F.lit(":"), F.when(source == "osm", F.regexp_replace(source_id, "^osm:", "")).otherwise(source_id)))
 
 
-def model_result(answer: Column, evidence: Column) -> tuple[Column, Column, Column]:
-    """Style, price and confidence of a model's answer: the JSON object in it, enums only, styles only with a word of evidence."""
+def model_result(answer: Column, known: Column, sources: list[Column], entity: str = "pizza") -> tuple[Column, Column, Column]:
+    """Style (or taco types), price and confidence of a model's answer: the JSON object in it, enums only, and only what the evidence supports.
+
+    known: the evidence text; sources: JSON texts that may name a price. A style
+    keeps the model's `confirmed`, else it is inferred; nothing kept, no confidence.
+    """
     fields = F.from_json(F.regexp_extract(answer, r"(?s)(\{.*\})", 1), "map<string,string>")
-    style = rules.normalized_style(fields["style"])
     price = F.when(F.trim(fields["price_range"]).isin(*PRICES), F.trim(fields["price_range"]))
-    low = F.lower(F.coalesce(evidence, F.lit("")))
-    word = F.contains(low, F.lower(style))
-    shown = style.isin("Other", "Unknown") | word
-    kept = F.when(shown, style)
+    price = F.when(rules.has_price_evidence(price, *sources), price)
+    if entity == "taco":
+        parts = F.array_distinct(F.filter(F.transform(F.split(fields["style"], ","), F.trim), lambda x: x.isin(*rules.TACO_EVIDENCE) & rules.has_taco_evidence(x, known)))
+        kept = F.when(F.size(parts) > 0, F.array_join(parts, ", "))
+    else:
+        style = rules.normalized_style(fields["style"])
+        kept = F.when(rules.has_style_evidence(style, known), style)
     return kept, price, F.when(kept.isNotNull(), F.when(fields["style_confidence"] == "confirmed", "confirmed").otherwise("inferred"))
 
 
@@ -117,8 +124,7 @@ def import_places(places: DataFrame, candidates: DataFrame) -> tuple[DataFrame,
     old = places.select(F.col("google_place_id"), F.col("id").alias("old_id"), F.coalesce("lifecycle_status", F.lit("")).alias("life"))
     rows = candidates.join(old, "google_place_id", "left").where(F.col("old_id").isNull() | F.col("life").isin("closed", "replaced", "demolished"))
     top = places.agg(F.max("id").alias("top"))
-    number = F.row_number().over(Window.orderBy("google_place_id"))
-    new = rows.crossJoin(F.broadcast(top)).select((F.col("top") + number).alias("id"), "name", "google_place_id", "old_id")
+    new = running(rows, ["google_place_id"]).crossJoin(F.broadcast(top)).select((F.col("top") + F.col("number")).alias("id"), "name", "google_place_id", "old_id")
     gone = new.where("old_id is not null").select(F.col("old_id").alias("id"), F.concat(F.lit("historical:"), "google_place_id").alias("google_place_id"), F.lit("replaced").alias("lifecycle_status"), F.col("id").alias("replaced_by"))
     return new.drop("old_id"), gone
 
@@ -132,3 +138,124 @@ def receipts(commands: DataFrame, valid: Column) -> DataFrame:
 def identity_conflicts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """V9: keys that more than one row has."""
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def classifier_candidates(places: DataFrame, evidence: DataFrame, entity: str = "pizza", least: float = 0.9) -> DataFrame:
+    """places with an id, without style or price, that were scraped, have tags, or have evidence of at least `least`."""
+    proven = evidence.where((F.col("entity_type") == entity) & (F.col("match_confidence") >= least)).select(F.col("place_id").alias("id")).distinct().withColumn("proven", F.lit(True))
+    rows = places.where("trim(coalesce(google_place_id, '')) <> '' and (style is null or price_range is null)").join(proven, "id", "left")
+    return rows.where("scrape_method in ('fetch', 'browser') or osm_tags is not null or proven").drop("proven")
+
+
+def repaired_confidence(places: DataFrame, as_of: str, hours: int) -> DataFrame:
+    """Recently enriched places of map ids with a known style but no confidence, as they are once it is `inferred`."""
+    fresh = F.col("last_enriched_at") >= F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(hours)} HOURS")
+    rows = places.where(fresh & F.col("google_place_id").like("osm:%") & F.col("style").isin(*rules.STYLES) & F.col("style_confidence").isNull())
+    return rows.withColumn("style_confidence", F.lit("inferred"))
+
+
+# fixed values: tables that may be published, by entity, and those that never leave
+TARGETS = {"pizza": "pizza_places", "taco": "taco_places"}
+LOCAL_ONLY = ("place_sources", "source_review_queue")
+
+
+def sync_target(table: Column, entity: Column) -> Column:
+    """null if rows of the entity may be written to the table, else why not."""
+    own = F.create_map(*(F.lit(x) for pair in TARGETS.items() for x in pair))
+    return F.when(table.isin(*LOCAL_ONLY), "local_only").when(~table.isin(*TARGETS.values()), "unsupported").when(entity.isNotNull() & ~F.coalesce(own[entity] == table, F.lit(False)), "wrong_entity")
+
+
+def classification_flags(places: DataFrame, entity: str = "pizza") -> DataFrame:
+    """Places with eight quality flags: four are faults, two warnings, two only counted."""
+    s, c, p = (F.col(x) for x in ("style", "style_confidence", "price_range"))
+    has = lambda x: F.coalesce(x != "", F.lit(False))
+    known = rules.evidence_text(F.col("name"), F.col("website_url"), F.col("osm_tags"), F.col("scrape_notes"))
+    chain = rules.style_from_name(F.col("name"), F.lit(""))[0] if entity == "pizza" else None
+    chain_style = F.when(rules.known_chain(F.col("name")), chain)
+    chain_price = rules.price_from_chain(F.col("name"))
+    bad = (s.isNotNull() & ~s.isin(*rules.STYLES)) | (p.isNotNull() & ~p.isin(*PRICES)) | (c.isNotNull() & ~c.isin("confirmed", "inferred"))
+    mismatch = (has(s) & has(chain_style) & (s != chain_style)) | (has(p) & has(chain_price) & (p != chain_price))
+    flags = {
+        "invalid_value": bad, "confidence_without_style": ~has(s) & has(c), "style_without_confidence": has(s) & ~has(c), "chain_mismatch": mismatch,
+        "confirmed_without_evidence": has(s) & (c == "confirmed") & ~rules.has_style_evidence(s, known), "low_pizza_signal": has(s) & ~rules.has_pizza_signal(known),
+        "price_only": ~has(s) & ~has(c) & has(p), "null_output": ~has(s) & ~has(c) & ~has(p),
+    }
+    return places.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()})
+
+
+def classification_qa(places: DataFrame, by: list[str], entity: str = "pizza") -> DataFrame:
+    """By group the flags, totals and the verdict: FAIL with a fault, WARN with a warning, else OK."""
+    rows = classification_flags(places, entity)
+    names = ("invalid_value", "confidence_without_style", "style_without_confidence", "chain_mismatch", "confirmed_without_evidence", "low_pizza_signal", "price_only", "null_output")
+    fault = sum((F.count_if(F.col(x)) for x in names[:4]), F.lit(0))
+    warning = sum((F.count_if(F.col(x)) for x in names[4:6]), F.lit(0))
+    verdict = F.when(fault > 0, "FAIL").when(warning > 0, "WARN").otherwise("OK")
+    return rows.groupBy(*by).agg(F.count("*").alias("inspected"), F.count_if(F.col("style") != "").alias("with_style"), F.count_if(F.col("price_range") != "").alias("with_price"), *(F.count_if(F.col(x)).alias(x) for x in names), verdict.alias("verdict"))
+
+
+def osm_summary(tiles: DataFrame, by: list[str], as_of: str, refresh_hours: int = 720) -> DataFrame:
+    """A10: tiles by status, stale successes, and how many the refresh queue holds; tiles: status, completed_at."""
+    status = F.coalesce(F.nullif("status", F.lit("")), F.lit("unprocessed"))
+    done = lambda x: F.count_if(status == x)
+    old = F.unix_millis(F.lit(as_of).cast("timestamp")) - F.unix_millis("completed_at") >= F.lit(refresh_hours * 3600000).cast("long")
+    stale = F.count_if((status == "success") & (F.col("completed_at").isNull() | old))
+    out = tiles.groupBy(*by).agg(F.count("*").alias("tiles"), done("success").alias("success"), done("failed").alias("failed"), done("partial").alias("partial"), stale.alias("stale"))
+    c = F.col
+    out = out.withColumn("unprocessed", F.greatest(c("tiles") - c("success") - c("partial") - c("failed"), F.lit(0)))
+    return out.withColumn("retryable", c("failed") + c("partial")).withColumn("refresh_queue", c("unprocessed") + c("failed") + c("partial") + c("stale"))
+
+
+def qa_repairable(flags: dict[str, int]) -> bool:
+    """The only hard faults of a quality report are styles without a confidence."""
+    return flags.get("style_without_confidence", 0) > 0 and not any(flags.get(k, 0) for k in ("invalid_value", "confidence_without_style", "chain_mismatch"))
+
+
+def publication_gate(health, quality, repair, readiness, capability, write, check, rounds: int = 3) -> dict:
+    """The publication sequence: health, quality with up to `rounds` repairs, readiness, bulk capability, a dry run, the write, health again.
+
+    Each step is a function; quality gives (verdict, flags). The first step that
+    fails ends the sequence before anything is written.
+    """
+    if not health():
+        return {"published": False, "stopped_at": "health"}
+    verdict, flags = quality()
+    repairs = 0
+    while verdict == "FAIL" and repairs < rounds and qa_repairable(flags):
+        repair()
+        repairs += 1
+        verdict, flags = quality()
+    out = {"published": False, "repairs": repairs}
+    if verdict == "FAIL":
+        return out | {"stopped_at": "quality"}
+    for name, step in (("readiness", readiness), ("capability", capability), ("dry_run", lambda: write(True))):
+        if not step():
+            return out | {"stopped_at": name}
+    write(False)
+    return out | {"published": True, "stopped_at": None if check() else "post_health"}
+
+
+def delivery_page(rows: DataFrame, state: dict, limit: int, complete: bool) -> dict:
+    """T4: the next page of an ordered delivery (rows: number from 1, id): start, end, a digest of all rows up to its end, and whether it is the last.
+
+    A page that waits for its acknowledgement is given again. What was delivered
+    before must still be the same rows, else it is an error.
+    """
+    if not 1 <= limit <= 10_000:
+        raise ValueError("invalid delivery limit")
+    digest = lambda end: rows.where(F.col("number") <= end).agg(F.count("*").alias("n"), F.sum(F.xxhash64("number", "id").cast("decimal(38,0)")).alias("h")).first()
+    if state["offset"]:
+        n, h = digest(state["offset"])
+        if (n, str(h)) != (state["offset"], state["prefix"]):
+            raise ValueError("the delivered rows have changed")
+    if state.get("pending"):
+        return state
+    total = rows.count()
+    end = min(state["offset"] + limit, total)
+    return state | {"pending": {"start": state["offset"], "end": end, "prefix": str(digest(end)[1]), "complete": complete and end == total}}
+
+
+def acknowledged(state: dict, pending: dict) -> dict:
+    """T4: the state once the pending page has been delivered; another page is an error."""
+    if not state.get("pending") or state["pending"] != pending:
+        raise ValueError("the acknowledgement is of another page")
+    return {"offset": pending["end"], "prefix": pending["prefix"], "complete": pending["complete"], "pending": None}

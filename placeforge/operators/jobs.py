@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PERMANENT = r"(?i)\b(400|401|403|404|405|406|410|414|451)\b|enotfound|certificate|unsupported|invalid url|not found"
+# fixed values: errors of fetches that no retry mends, errors that are tried again, and what is queued anew or never is
+PERMANENT_HTTP = r"^HTTP (403|404|410|520|521|523|525|526|530)$"
+PERMANENT_PREFIX = "Non-HTML content:"
+NOT_FOUND = r"(?i)(getaddrinfo|dns).*ENOTFOUND|\bENOTFOUND\b"
+RETRY_HTTP = r"^HTTP 5[0-9]{2}$"
+RETRY_TEXTS = ("fetch failed", "This operation was aborted")
+REQUEUE_LIKE = ("%fetch failed%", "%this operation was aborted%", "%timeout%", "http 5%", "%econnreset%", "%etimedout%")
+REQUEUE_NOT_LIKE = ("http 403%", "cached error: http 403%", "http 404%", "cached error: http 404%", "http 410%", "cached error: http 410%")
 
 
 def claim_order(rows: DataFrame) -> list[Column]:
@@ -62,7 +69,44 @@ def backlog_hours(candidates: Column, completed: Column, hours: float) -> Column
 
 def permanent_error(message: Column) -> Column:
     """errors that no retry can mend."""
-    return F.coalesce(message.rlike(PERMANENT), F.lit(False))
+    return F.coalesce(message.rlike(PERMANENT_HTTP) | message.startswith(PERMANENT_PREFIX) | message.rlike(NOT_FOUND), F.lit(False))
+
+
+def retryable_error(message: Column) -> Column:
+    """errors that are tried again at once; some are permanent too, many are neither."""
+    return F.coalesce(message.rlike(RETRY_HTTP) | message.isin(*RETRY_TEXTS), F.lit(False))
+
+
+def unclaimable(jobs: DataFrame) -> DataFrame:
+    """Pending scrapes without attempts left, as they are once failed."""
+    return jobs.where("job_type = 'scrape' and status = 'pending' and attempts >= max_attempts").withColumn("status", F.lit("failed"))
+
+
+def requeued(jobs: DataFrame, stamp: str, batch: int = 100, most_pending: int = 200) -> DataFrame:
+    """The first `batch` failed scrapes with a passing error, as they wait again; none while more than `most_pending` wait."""
+    low = F.lower("last_error")
+    passing, never = F.lit(False), F.lit(False)
+    for x in REQUEUE_LIKE:
+        passing = passing | low.like(x)
+    for x in REQUEUE_NOT_LIKE:
+        never = never | low.like(x)
+    scrapes = jobs.where("job_type = 'scrape'")
+    waiting = scrapes.agg(F.count_if(F.col("status") == "pending").alias("waiting"))
+    rows = scrapes.where((F.col("status") == "failed") & passing & ~never).orderBy("id").limit(batch)
+    rows = rows.crossJoin(F.broadcast(waiting)).where(F.col("waiting") <= most_pending).drop("waiting")  # one row
+    note = F.concat(F.lit(f"requeued {stamp} (was: "), F.left("last_error", F.lit(120)), F.lit(")"))
+    return rows.withColumns({"status": F.lit("pending"), "worker_id": F.lit(None).cast("string"), "attempts": F.lit(0), "last_error": note})
+
+
+def due(last_success: Column, cadence_hours: Column, as_of: Column) -> Column:
+    """never run, or the last success lies a cadence back."""
+    late = F.unix_millis(as_of) - F.unix_millis(last_success) >= cadence_hours * F.lit(3600000).cast("long")
+    return last_success.isNull() | late
+
+
+def cadence(source: Column, has_backlog: Column, resume_hours: Column, hours: Column, resuming=("fsq_os_places",)) -> Column:
+    """a source that resumes pages runs more often while it has a backlog (an hour if none is configured)."""
+    return F.when(source.isin(*resuming) & has_backlog, F.coalesce(F.when(resume_hours != 0, resume_hours), F.lit(1))).otherwise(hours)
 
 
 def boosted(jobs: DataFrame, priority: Column) -> DataFrame:
@@ -73,3 +117,21 @@ def boosted(jobs: DataFrame, priority: Column) -> DataFrame:
 def cooldown_minutes(attempts: Column, base: float = 15.0, most: float = 360.0) -> Column:
     """Exponential wait, at most six hours."""
     return F.least(F.lit(most), F.lit(base) * F.pow(F.lit(2.0), F.greatest(attempts - 1, F.lit(0))))
+
+
+def scheduled(jobs: DataFrame, as_of: str) -> DataFrame:
+    """What may run now, failed ones first, then by age: waiting jobs, and failed ones whose cooldown is over."""
+    age = F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(F.col("created_at"))
+    rows = jobs.where(F.col("status").isin("failed", "pending") & ~((F.col("attempts") > 0) & (age < cooldown_minutes(F.col("attempts")) * 60000000.0)))
+    return rows.orderBy(F.when(F.col("status") == "failed", 0).otherwise(1), "created_at", "id")
+
+
+def backlog(candidates: DataFrame, last: DataFrame, by: list[str]) -> DataFrame:
+    """Candidates with their last job (id, status, retries) in eight states."""
+    rows = candidates.join(last.select("id", F.col("status").alias("job_status"), "retries"), "id", "left")
+    s, retries = F.col("job_status"), F.coalesce("retries", F.lit(0))
+    known = ("pending", "processing", "failed", "completed")
+    return rows.groupBy(*by).agg(
+        F.count("*").alias("candidates"), F.count_if(s.isNull()).alias("missing_job"), *(F.count_if(s == x).alias(x) for x in known[:3]),
+        F.count_if((s == "completed") & (retries < 1)).alias("retryable_partial"), F.count_if((s == "completed") & (retries >= 1)).alias("exhausted_partial"), F.count_if(~s.isin(*known)).alias("other"),
+    )

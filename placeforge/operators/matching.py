@@ -1,4 +1,4 @@
-"""Routing and matching of source candidates to canonical places."""
+"""Routing and matching of source candidates to canonical places."""
 
 from __future__ import annotations
 
@@ -22,11 +22,7 @@ class Matching:
     cell_degrees: float = 0.02
     tile_degrees: float = 1.0
     keep: int = 10
-
-    @property
-    def reach(self) -> int:
-        steps = -(-(self.max_distance_m / geo.METERS_PER_DEGREE) // self.cell_degrees)
-        return max(1, int(steps) + 1)
+    prefetch_batch: int = 100
 
 
 def in_scope(lat: Column, lng: Column, region: Column, scope=SCOPE) -> Column:
@@ -92,13 +88,13 @@ def prefetch(places: DataFrame, candidates: DataFrame, config: Matching = Matchi
     return places.join(hit, "canonical_place_id", "left_semi")
 
 
-def grid_pairs(left: DataFrame, right: DataFrame, reach_m: float, cell_degrees: float, reach: int) -> DataFrame:
+def grid_pairs(left: DataFrame, right: DataFrame, reach_m: float, cell_degrees: float) -> DataFrame:
     """Pairs of a left row (lat, lng) and a right row (p_lat, p_lng) within `reach_m`, with distance_m.
 
-    The left side takes the neighbouring cells, so the join is an equi join on
-    the cell that adaptive execution can split where a cell is crowded.
+    The left side takes the cells that its circle touches, so the join is an
+    equi join on the cell that adaptive execution can split where one is crowded.
     """
-    spread = geo.neighbours(left, "lat", "lng", cell_degrees, reach)
+    spread = geo.touched(left, "lat", "lng", cell_degrees, reach_m)
     placed = right.withColumn("cy", geo.cell(F.col("p_lat"), cell_degrees)).withColumn("cx", geo.cell(F.col("p_lng"), cell_degrees))
     pairs = spread.join(placed, ["cy", "cx"]).drop("cy", "cx")
     pairs = pairs.withColumn("distance_m", geo.haversine(F.col("lat"), F.col("lng"), F.col("p_lat"), F.col("p_lng")))
@@ -107,10 +103,10 @@ def grid_pairs(left: DataFrame, right: DataFrame, reach_m: float, cell_degrees:
 
 def evaluated(candidates: DataFrame, places: DataFrame, config: Matching = Matching(), ascii_only: bool = False) -> DataFrame:
     """The nearest `keep` places of each candidate, scored; `near` ranks by distance, `best` by worth."""
-    right = places.select("canonical_place_id", F.col("name").alias("p_name"), F.col("google_place_id").alias("p_google_place_id"), F.col("website_url").alias("p_website"), F.col("phone").alias("p_phone"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
+    right = places.select("canonical_place_id", F.col("name").alias("p_name"), F.col("website_url").alias("p_website"), F.col("phone").alias("p_phone"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
     right = right.withColumn("p_norm", text.normalized(F.col("p_name"), ascii_only))
-    left = candidates.withColumn("norm", text.normalized(F.col("name"), ascii_only))
-    pairs = grid_pairs(left, right, config.max_distance_m, config.cell_degrees, config.reach)
+    left = candidates.select("source_id", "lat", "lng", "website", "phone", text.normalized(F.col("name"), ascii_only).alias("norm"))
+    pairs = grid_pairs(left, right, config.max_distance_m, config.cell_degrees)
     near = Window.partitionBy("source_id").orderBy("distance_m", "canonical_place_id")
     pairs = pairs.withColumn("near", F.row_number().over(near)).where(F.col("near") <= config.keep)
     website, phone = text.identifier_match(F.col("website"), F.col("phone"), F.col("p_website"), F.col("p_phone"))
@@ -141,24 +137,75 @@ def decide(routed: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def match(candidates: DataFrame, places: DataFrame, config: Matching = Matching(), ascii_only: bool = False) -> DataFrame:
-    """The whole matcher: route, prefetch, nearest places, decisions."""
+    """The whole matcher: route, nearest places, decisions; the grid join needs no prefetch."""
     routed = route(candidates, ascii_only=ascii_only)
     matchable = routed.where(F.col("route").isin("ready_for_match", "closed_evidence_candidate"))
-    return decide(routed, evaluated(matchable, prefetch(places, matchable, config), config, ascii_only))
+    return decide(routed, evaluated(matchable, places, config, ascii_only))
+
+
+ROUTES = ("ready_for_match", "closed_evidence_candidate", "filtered_non_pizza", "excluded_unusable", "excluded_out_of_scope")
 
 
 def match_report(decisions: DataFrame) -> DataFrame:
-    """M7: one row of counters."""
+    """M7: one row of counters that the decisions give."""
     count = lambda cond, name: F.count_if(cond).alias(name)
     d, r = F.col("disposition"), F.col("route")
-    routes = ("ready_for_match", "closed_evidence_candidate", "filtered_non_pizza", "excluded_unusable", "excluded_out_of_scope")
     return decisions.agg(
-        F.count("*").alias("decision_rows"), *(count(r == x, f"route_{x}") for x in routes), count(d == "matched_existing", "matched_existing_places"),
-        count(d == "ambiguous_review", "ambiguous_review_candidates"), count(d == "likely_new", "likely_new_candidates"), count(d == "closed_evidence", "closed_signals_matched"),
+        F.count("*").alias("decision_rows"), *(count(r == x, f"route_{x}") for x in ROUTES), count(d == "matched_existing", "matched_existing_places"),
+        count(d == "ambiguous_review", "ambiguous_review_candidates"), count(d == "likely_new", "likely_new_unmatched_candidates"), count(d == "closed_evidence", "closed_signals_matched"),
         count(d == "closed_evidence_dropped", "closed_evidence_dropped"), count((d == "matched_existing") & (r == "ready_for_match") & F.col("stable_source_id_present"), "active_matches_with_source_id"),
     )
 
 
+def full_report(candidates: DataFrame, places: DataFrame, decisions: DataFrame, config: Matching = Matching()) -> DataFrame:
+    """M7: the decisions' counters with those of the run: candidates, compared ones, snapshot and prefetched rows, tiles, queries and cells."""
+    routed = candidates.agg(F.count("*").alias("candidate_rows"), F.count_if(F.col("route") == ROUTES[0]).alias("active_candidates_compared"), F.count_if(F.col("route") == ROUTES[1]).alias("closed_candidates_compared"))
+    matchable = candidates.where(F.col("route").isin(*ROUTES[:2]))
+    boxes = prefetch_boxes(matchable, config).agg(F.count("*").alias("canonical_prefetch_tiles"))
+    fetched = prefetch(places, matchable, config)
+    cells = fetched.agg(F.count("*").alias("canonical_rows_prefetched"), F.countDistinct(geo.cell(F.col("lat"), config.cell_degrees), geo.cell(F.col("lng"), config.cell_degrees)).alias("grid_cells_built"))
+    out = match_report(decisions)
+    for part in (routed, places.agg(F.count("*").alias("canonical_snapshot_rows")), boxes, cells):
+        out = out.crossJoin(F.broadcast(part))  # each is one row
+    return out.withColumn("canonical_prefetch_queries", F.ceil(F.col("canonical_prefetch_tiles") / config.prefetch_batch))
+
+
+def report_violations(report: DataFrame) -> DataFrame:
+    """Names of the identities that a full report breaks (none for a sound one)."""
+    c = F.col
+    routes = sum((c(f"route_{x}") for x in ROUTES), F.lit(0))
+    matchable = c("active_candidates_compared") + c("closed_candidates_compared")
+    rules = {
+        "routes": routes != c("candidate_rows"), "active": c("active_candidates_compared") != c("route_ready_for_match"), "closed": c("closed_candidates_compared") != c("route_closed_evidence_candidate"),
+        "decisions": c("decision_rows") != c("candidate_rows"), "active_dispositions": c("matched_existing_places") + c("ambiguous_review_candidates") + c("likely_new_unmatched_candidates") != c("active_candidates_compared"),
+        "closed_dispositions": c("closed_signals_matched") + c("closed_evidence_dropped") != c("closed_candidates_compared"), "source_ids": c("active_matches_with_source_id") > c("matched_existing_places"),
+        "prefetched": c("canonical_rows_prefetched") > c("canonical_snapshot_rows"), "cells": c("grid_cells_built") > c("canonical_rows_prefetched"), "tiles": c("canonical_prefetch_tiles") > matchable,
+        "no_tiles": (c("canonical_prefetch_tiles") == 0) != (matchable == 0), "no_cells": (c("grid_cells_built") == 0) != (c("canonical_rows_prefetched") == 0),
+    }
+    broken = F.array_compact(F.array(*(F.when(cond, name) for name, cond in rules.items())))
+    return report.select(F.explode(broken).alias("violation"))
+
+
+def decision_violations(decisions: DataFrame) -> DataFrame:
+    """Decisions whose route, disposition, method and places do not go together (none for sound ones)."""
+    d, r, m = F.col("disposition"), F.col("route"), F.col("best_match_method")
+    compared = r.isin(*ROUTES[:2])
+    accepted, ambiguous = F.coalesce(m.isin(*ACCEPTED), F.lit(False)), F.coalesce(m.isin("weak_spatial_name", "spatial_only_review"), F.lit(False))
+    best, nearest = F.col("best_canonical_place_id").isNotNull(), F.col("nearest_place_id").isNotNull()
+    wrong = (
+        ((d == "not_compared") & (compared | best | nearest)) | ((d != "not_compared") & ~compared) | ((d == "matched_existing") & ((r != ROUTES[0]) | ~accepted)) | ((d == "ambiguous_review") & ((r != ROUTES[0]) | ~ambiguous))
+        | ((d == "likely_new") & ((r != ROUTES[0]) | (F.coalesce(m, F.lit("no_match")) != "no_match"))) | ((d == "closed_evidence") & ((r != ROUTES[1]) | ~accepted | ~F.col("stable_source_id_present")))
+        | ((d == "closed_evidence_dropped") & ((r != ROUTES[1]) | (accepted & F.col("stable_source_id_present")))) | (best != nearest) | F.coalesce(F.col("nearest_distance_m") > F.col("best_distance_m"), F.lit(False))
+    )
+    return decisions.where(wrong)
+
+
+def reconciled(candidates: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:
+    """How many candidates and decisions stand for each key, where that is not one each (none for a sound run)."""
+    both = candidates.select(*keys, F.lit(1).alias("c"), F.lit(0).alias("d")).unionByName(decisions.select(*keys, F.lit(0).alias("c"), F.lit(1).alias("d")))
+    return both.groupBy(*keys).agg(F.sum("c").alias("candidates"), F.sum("d").alias("decisions")).where("candidates <> 1 or decisions <> 1")
+
+
 def match_confidence(score: Column, distance: Column, method: Column) -> Column:
     """M8: three parts name and one part nearness, at least .9 with an identifier, within [.0001, 1]."""
     mixed = score * 0.75 + F.greatest(F.lit(0.0), F.lit(1.0) - distance / 100.0) * 0.25
@@ -169,7 +216,7 @@ def match_confidence(score: Column, distance: Column, method: Column) -> Column:
 def nearby_places(rows: DataFrame, places: DataFrame, reach_m: float = 150.0, top: int = 3, skip=("closed", "replaced", "demolished")) -> DataFrame:
     """Up to `top` open places within `reach_m` of each row, distances rounded to centimetres."""
     right = places.where(~F.coalesce(F.col("lifecycle_status"), F.lit("")).isin(*skip)).select("canonical_place_id", F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
-    pairs = grid_pairs(rows.select("source_id", "lat", "lng"), right, reach_m, 0.02, 1)
+    pairs = grid_pairs(rows.select("source_id", "lat", "lng"), right, reach_m, 0.002)
     order = Window.partitionBy("source_id").orderBy("distance_m", "canonical_place_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("source_id", "rank", "canonical_place_id", F.round("distance_m", 2).alias("distance_m"))
 
@@ -177,7 +224,7 @@ def nearby_places(rows: DataFrame, places: DataFrame, reach_m: float = 150.0, to
 def nearest_sibling(rows: DataFrame, reach_m: float = 25.0) -> DataFrame:
     """Of the rows' other source ids the nearest within `reach_m`."""
     other = rows.select(F.col("source_id").alias("o_id"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
-    pairs = grid_pairs(rows.select("source_id", "lat", "lng"), other, reach_m, 0.02, 1).where("source_id <> o_id")
+    pairs = grid_pairs(rows.select("source_id", "lat", "lng"), other, reach_m, 0.0005).where("source_id <> o_id")
     return pairs.groupBy("source_id").agg(F.min(F.struct("distance_m", "o_id")).alias("m")).select("source_id", F.col("m.o_id").alias("sibling_id"), F.round("m.distance_m", 2).alias("distance_m"))
 
 

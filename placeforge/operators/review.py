@@ -73,26 +73,77 @@ def _letters(x: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[^a-z0-9]", "")
 
 
-def auto_link(queue: DataFrame, places: DataFrame, evidence: DataFrame, least_score: float = 0.95, most_metres: float = 50.0, least_identifiers: int = 2) -> DataFrame:
-    """Pending queue rows that may be linked, with the first reason that holds."""
-    p = places.select(F.col("id").alias("nearest_place_id"), F.col("address").alias("p_address"), F.col("phone").alias("p_phone"), F.col("website_url").alias("p_website"), F.col("google_place_id").alias("p_google"), F.col("lifecycle_status").alias("p_life"), F.col("name").alias("p_name"), F.col("brand_wikidata").alias("p_brand"))
-    rows = queue.where("status = 'pending'").join(p, "nearest_place_id")
-    conflict = evidence.select("entity_type", "source", "source_id", F.col("place_id").alias("e_place")).distinct()
-    keys = rows.select("id", "entity_type", "source", "source_id", "nearest_place_id").join(conflict, ["entity_type", "source", "source_id"]).where("e_place <> nearest_place_id").select("id").distinct().withColumn("conflict", F.lit(True))
-    rows = rows.join(keys, "id", "left")
+def auto_link(
+    queue: DataFrame, places: DataFrame, evidence: DataFrame, entity: str = "pizza", exact_identifiers: bool = False, exact_source_id: bool = False, source_identity: bool = False,
+    brand_rules: bool = False, include_score_distance: bool = False, least_score: float = 0.98, most_metres: float = 100.0, source: str | None = None,
+) -> DataFrame:
+    """Pending ambiguous rows of an entity that may be linked to their nearest place, with the first reason that holds.
+
+    Without a mode, name score and distance decide. The exact modes and the
+    source identity leave that class out; brand rules do unless it is included.
+    Rows whose source id already has evidence are out, in the exact modes only
+    if it is of another place. Exact identifiers are address, phone and website,
+    all three.
+    """
+    p = places.select(
+        F.col("id").alias("nearest_place_id"), F.col("address").alias("p_address"), F.col("phone").alias("p_phone"), F.col("website_url").alias("p_website"), F.col("google_place_id").alias("p_google"),
+        F.col("lifecycle_status").alias("p_life"), F.col("name").alias("p_name"), F.col("brand_wikidata").alias("p_brand"), F.col("osm_tags").alias("p_tags"), F.col("status").alias("p_status"), F.col("rating").alias("p_rating"), F.col("notes").alias("p_notes"),
+    )
+    rows = queue.where((F.col("status") == "pending") & (F.col("review_kind") == "ambiguous") & (F.col("entity_type") == entity))
+    if source or exact_identifiers:
+        rows = rows.where(F.col("source") == (source or "all_the_places"))
+    key = ["entity_type", "source", "source_id"]
+    known = evidence.select(*key, F.col("place_id").alias("e_place"))
+    taken = rows.select("id", *key, "nearest_place_id").join(known, key)
+    if exact_identifiers or exact_source_id:
+        taken = taken.where("e_place <> nearest_place_id")
+    rows = rows.join(taken.select("id").distinct(), "id", "left_anti").join(p, "nearest_place_id")
     c = F.col
     phone, own = F.right(F.regexp_replace(F.coalesce(c("phone"), F.lit("")), "[^0-9]", ""), F.lit(10)), F.right(F.regexp_replace(F.coalesce(c("p_phone"), F.lit("")), "[^0-9]", ""), F.lit(10))
     site, own_site = text.url_key(c("website")), text.url_key(c("p_website"))
-    same = ((_letters(c("address")) != "") & (_letters(c("address")) == _letters(c("p_address")))).cast("int") + ((F.length(phone) == 10) & (phone == own)).cast("int") + ((site != "") & (site == own_site)).cast("int")
     near = F.coalesce(c("nearest_distance_m") <= most_metres, F.lit(False))
     spaced = lambda x: F.lower(F.regexp_replace(F.coalesce(x, F.lit("")), "[^a-z0-9]+", " "))
-    exact = (site != "") & (site == own_site) & (same >= least_identifiers) & near & c("conflict").isNull()
-    by_id = (c("source") == "osm") & F.coalesce(c("source_id") == F.concat(F.lit("osm:"), F.replace(c("p_google"), F.lit("osm:"))), F.lit(False)) & near & (F.coalesce(c("p_life"), F.lit("")) == "") & ((spaced(c("source_name")) == "") | (spaced(c("source_name")) == spaced(c("p_name")))) & c("conflict").isNull()
-    identity = (c("source") == "wikidata") & (c("source_id") == c("p_brand")) & F.coalesce(c("nearest_distance_m") <= 25, F.lit(False))
+    same = (_letters(c("address")) != "") & (_letters(c("address")) == _letters(c("p_address"))) & (F.length(phone) == 10) & (phone == own) & (site != "") & (site == own_site) & near
+    names_agree = spaced(c("source_name")) == spaced(c("p_name"))
+    by_id = (c("source") == "osm") & F.coalesce(c("source_id") == c("p_google"), F.lit(False)) & near & (F.coalesce(c("p_life"), F.lit("")) == "") & ((spaced(c("source_name")) == "") | names_agree)
+    brand = F.coalesce(c("source_id") == F.nullif(c("p_brand"), F.lit("")), F.lit(False)) | F.coalesce(c("source_id") == F.nullif(F.get_json_object(c("p_tags"), "$['brand:wikidata']"), F.lit("")), F.lit(False))
+    latin = lambda x: F.coalesce(x.rlike("[A-Za-z]"), F.lit(False))
+    unreviewed = (F.coalesce(c("p_status"), F.lit("unvisited")) == "unvisited") & c("p_rating").isNull() & (F.trim(F.coalesce(c("p_notes"), F.lit(""))) == "")
+    identity = (c("source") == "wikidata") & brand & F.coalesce(c("nearest_distance_m") <= 25, F.lit(False)) & unreviewed & ~(latin(c("source_name")) & latin(c("p_name")) & ~names_agree)
     score = F.coalesce((c("nearest_name_score") >= least_score) & near, F.lit(False))
-    rule = brand_rule(c("report_file"), c("nearest_place_name"), c("source_name"), c("nearest_distance_m"))
-    reason = F.when(exact, "exact_identifiers").when(by_id, "exact_source_id").when(identity, "source_identity").when(score, "score_distance").otherwise(F.concat(F.lit("brand_rule:"), rule))
-    return rows.withColumn("auto_link_reason", reason).where(F.col("auto_link_reason").isNotNull())
+    rule = F.when(c("source") == "all_the_places", brand_rule(c("report_file"), c("nearest_place_name"), c("source_name"), c("nearest_distance_m")))
+    scored = include_score_distance or not brand_rules
+    modes = [(exact_identifiers, same, "exact_identifiers"), (exact_source_id, by_id, "exact_source_id"), (source_identity, identity, "source_identity"), (scored and not (exact_identifiers or exact_source_id or source_identity), score, "score_distance")]
+    eligible, reason = F.lit(False), F.concat(F.lit("brand_rule:"), rule) if brand_rules else F.lit("unknown")
+    reason = F.when(score, "score_distance").otherwise(reason) if scored else reason
+    for on, cond, name in modes:
+        eligible = eligible | cond if on else eligible
+    for on, cond, name in reversed(modes[:3]):
+        reason = F.when(cond, name).otherwise(reason) if on else reason
+    if brand_rules:
+        eligible = eligible | rule.isNotNull()
+    return rows.where(eligible).withColumn("auto_link_reason", reason)
+
+
+def linked(rows: DataFrame, reviewer: str, stamp: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of queue rows to be linked the new state, a history row, and an evidence row (guard: only pending rows move)."""
+    move = rows.where("status = 'pending' and nearest_place_id is not null")
+    when = F.lit(stamp).cast("timestamp")
+    state = move.select("id", F.lit("linked").alias("status"), F.lit("linked_existing").alias("decision"), F.col("nearest_place_id").alias("canonical_place_id"))
+    history = move.select(F.col("id").alias("queue_id"), F.col("status").alias("previous_status"), F.lit("linked").alias("next_status"), F.col("nearest_place_id").alias("canonical_place_id"), F.lit(reviewer).alias("reviewer"), when.alias("decided_at"))
+    proof = move.select("entity_type", F.col("nearest_place_id").alias("place_id"), "source", "source_id", F.col("nearest_name_score").alias("match_confidence"), "auto_link_reason", when.alias("retrieved_at"))
+    return state, history, proof
+
+
+def website_provenance(places: DataFrame, entity: str, as_of: str) -> DataFrame:
+    """An evidence row of the official website for each place that has one; `data` holds the scraped facts."""
+    facts = ["phone", "menu_url", "email", "hours", "delivery", "takeaway", "scrape_method"]
+    data = F.to_json(F.struct(F.col("website_url").alias("website"), *facts), {"ignoreNullFields": "false"})
+    return places.where("trim(coalesce(website_url, '')) <> ''").select(
+        F.lit(entity).alias("entity_type"), F.col("id").alias("place_id"), F.lit("official_website").alias("source"), F.concat(F.lit("place:"), "id").alias("source_id"), F.col("website_url").alias("source_url"),
+        F.lit("first-party-factual-evidence").alias("license"), F.lit("official restaurant website").alias("attribution"), data.alias("data"), F.lit(1.0).alias("match_confidence"),
+        F.lit("scraped_first_party").alias("match_method"), F.coalesce("last_enriched_at", F.lit(as_of).cast("timestamp")).alias("retrieved_at"),
+    )
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
@@ -132,20 +183,41 @@ def promotions(evidence: DataFrame, places: DataFrame, as_of: str, least: float
     return rows.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("field", "place_id", "value", "source", "source_id", "match_confidence")
 
 
-def import_issues(evidence: DataFrame, places: DataFrame, queue: DataFrame) -> DataFrame:
-    """Evidence with its place and its queue row, and how many of the checks fail."""
+def import_issues(evidence: DataFrame, places: DataFrame, queue: DataFrame, entity: str = "pizza") -> DataFrame:
+    """Evidence of reviewed-new imports with its place and the queue row that its data names, and how many of nine checks fail."""
     p = places.select(F.col("id").alias("p_id"), F.col("google_place_id").alias("p_google"), F.col("name").alias("p_name"))
-    q = queue.where("review_kind = 'likely_new'").select("entity_type", "source", F.when(F.col("source") == "osm", F.regexp_replace("source_id", "^osm:", "")).otherwise(F.col("source_id")).alias("source_id"), F.col("id").alias("q_id"), "status", "decision", F.col("canonical_place_id").alias("q_place"))
-    rows = evidence.join(p, evidence.place_id == p.p_id, "left").join(q, ["entity_type", "source", "source_id"], "left")
+    q = queue.where("review_kind = 'likely_new'").select("entity_type", "source", F.col("source_id").alias("q_source_id"), F.col("id").alias("q_id"), "status", "decision", F.col("canonical_place_id").alias("q_place"))
+    e = evidence.where((F.col("entity_type") == entity) & (F.col("match_method") == "reviewed_new_import"))
+    e = e.withColumn("named", F.nullif(F.get_json_object("data", "$.review.queue_id"), F.lit("")).cast("long"))
+    same_id = (F.col("source") != "osm") | (F.col("source_id") == F.regexp_replace("q_source_id", "^osm:", ""))
+    hit = e.select("evidence_id", "entity_type", "source", "source_id", F.col("named").alias("q_id")).join(q, ["entity_type", "source", "q_id"]).where(same_id).select("evidence_id", "q_id", "status", "decision", "q_place")
+    rows = e.join(p, e.place_id == p.p_id, "left").join(hit, "evidence_id", "left")
     c = F.col
+    differs = lambda a, b: F.coalesce(a != b, F.lit(False))
     checks = [
-        c("p_id").isNull(), c("q_id").isNull(), c("q_id").isNotNull() & F.coalesce(c("q_place") != c("place_id"), F.lit(False)),
-        c("q_id").isNotNull() & F.coalesce(c("status") != "linked", F.lit(False)), c("q_id").isNotNull() & F.coalesce(c("decision") != "imported_new", F.lit(False)),
-        ~c("p_google").eqNullSafe(F.concat(c("source"), F.lit(":"), c("source_id"))),
+        c("p_id").isNull(), c("q_id").isNull(), differs(c("p_id"), c("place_id")), differs(c("q_place"), c("place_id")), differs(c("status"), F.lit("linked")), differs(c("decision"), F.lit("imported_new")),
+        ~c("p_google").eqNullSafe(F.concat(c("source"), F.lit(":"), c("source_id"))), ~c("p_name").eqNullSafe(F.get_json_object("data", "$.imported_place.name")),
+        ~F.get_json_object("data", "$.imported_place.id").cast("int").eqNullSafe(c("place_id").cast("int")),
     ]
     return rows.withColumn("issue_count", sum((x.cast("int") for x in checks), F.lit(0)))
 
 
+def unproven_links(queue: DataFrame, evidence: DataFrame, entity: str = "pizza") -> DataFrame:
+    """Linked reviewed-new rows without an evidence row of their key and place."""
+    rows = queue.where((F.col("entity_type") == entity) & F.expr("review_kind = 'likely_new' and status = 'linked' and decision = 'imported_new'"))
+    rows = rows.withColumn("e_id", F.when(F.col("source") == "osm", F.regexp_replace("source_id", "^osm:", "")).otherwise(F.col("source_id")))
+    e = evidence.select("entity_type", "source", F.col("source_id").alias("e_id"), F.col("place_id").alias("canonical_place_id"))
+    return rows.join(e, ["entity_type", "source", "e_id", "canonical_place_id"], "left_anti").select("id", "canonical_place_id", "source", "source_id", "source_name")
+
+
+def unpublished_imports(places: DataFrame, evidence: DataFrame, queue: DataFrame, public: DataFrame, entity: str = "pizza") -> DataFrame:
+    """Classified places that a reviewed-new import made (by evidence or by a queue row) and that the public side lacks; public: id."""
+    e = evidence.where((F.col("entity_type") == entity) & (F.col("match_method") == "reviewed_new_import")).select(F.col("place_id").alias("id"))
+    q = queue.where((F.col("entity_type") == entity) & F.expr("status in ('accepted', 'linked') and decision = 'imported_new'")).select(F.col("canonical_place_id").alias("id"))
+    rows = places.where("last_enriched_at is not null and (style is not null or price_range is not null or style_confidence is not null)")
+    return rows.join(e.unionByName(q).distinct(), "id", "left_semi").join(public, "id", "left_anti")
+
+
 def review_rows(decisions: DataFrame) -> DataFrame:
     """Queue rows: ambiguous ones with their best place, likely new ones with the nearest; without id blocked."""
     kind = F.when(F.col("disposition") == "ambiguous_review", "ambiguous").when(F.col("disposition") == "likely_new", "likely_new")

@@ -188,6 +188,27 @@ TACO_WORDS = {
     "carne asada": "Carne Asada", "carnitas": "Carnitas", "pollo": "Pollo", "chicken": "Pollo", "barbacoa": "Barbacoa", "lengua": "Lengua", "cabeza": "Cabeza", "chorizo": "Chorizo",
     "pescado": "Fish", "fish taco": "Fish", "baja": "Fish", "camarones": "Shrimp", "shrimp": "Shrimp", "mariscos": "Shrimp",
 }
+# fixed values: further taco chains and their price band, first hit in this order
+TACO_PRICES = {
+    "taco bell": "$", "del taco": "$", "taco bueno": "$", "taco john's": "$", "taco johns": "$", "taco cabana": "$", "taco casa": "$", "taco mayo": "$", "taco time": "$",
+    "taco palenque": "$", "king taco": "$", "tacos el gordo": "$", "rubio's": "$$", "rubios": "$$", "chronic tacos": "$$", "fuzzy's taco shop": "$$", "fuzzys taco shop": "$$",
+    "torchy's tacos": "$$", "torchys tacos": "$$", "velvet taco": "$$", "bartaco": "$$", "tacodeli": "$$", "wahoo's fish taco": "$$$", "wahoos fish taco": "$$$",
+}
+# fixed values: words that support a pizza style, that point to pizza at all, and that support a taco type
+STYLE_EVIDENCE = {
+    "Detroit": ("detroit",), "New Haven / Connecticut": ("new haven", "connecticut", "apizza"), "Chicago Deep Dish": ("chicago", "deep dish", "deep-dish", "stuffed"),
+    "Chicago Tavern": ("chicago tavern", "chicago thin"), "New York": ("new york", "ny style", "ny-style", "brooklyn"),
+    "Neapolitan": ("neapolitan", "wood fired", "wood-fired", "brick oven", "coal fired", "napoletana", "napoli"), "Sicilian": ("sicilian",), "Grandma": ("grandma",),
+    "Roman": ("roman", "al taglio", "taglio"), "St. Louis": ("st. louis", "st louis", "st-louis"), "Tavern": ("tavern", "party cut", "thin crust", "square cut"), "California": ("california",),
+    "Standard Round": ("pizza", "pizzeria", "pizzaria", "pizzer\u00eda", "pizzas", "domino", "pizza hut", "papa john", "little caesars", "sbarro"),
+}
+PIZZA_SIGNALS = ("pizza", "pizzeria", "pizzaria", "pizzer\u00eda", "pizzas", "pizz", "slice", "slices", "pie", 'cuisine":"pizza', "cuisine:pizza", "italian")
+TACO_EVIDENCE = {
+    "Al Pastor": ("al pastor", "pastor", "adobada"), "Carne Asada": ("carne asada", "asada"), "Carnitas": ("carnitas",), "Chorizo": ("chorizo",), "Pollo": ("pollo", "chicken"),
+    "Barbacoa": ("barbacoa",), "Birria": ("birria", "birrieria", "quesabirria"), "Lengua": ("lengua",), "Fish": ("fish taco", "pescado"), "Shrimp": ("shrimp", "camarones"),
+    "Ground Beef": ("ground beef",), "Cabeza": ("cabeza",), "Veggie": ("veggie", "vegetarian"),
+}
+PRICE_KEYS = ("price_hint", "pricerange", "price_range", "price:range")
 # fixed values: styles from the most to the least specific, and other names of styles
 STYLES = ("New Haven / Connecticut", "Neapolitan", "Detroit", "Sicilian", "Grandma", "Roman", "Chicago Deep Dish", "Chicago Tavern", "New York", "California", "St. Louis", "Tavern", "Standard Round", "Other", "Unknown")
 STYLE_ALIASES = {"Traditional": "Standard Round", "Standard": "Standard Round", "Chicago": "Chicago Deep Dish", "Connecticut style": "New Haven / Connecticut", "New Haven": "New Haven / Connecticut"}
@@ -197,7 +218,8 @@ def taco_types(name: Column, address: Column) -> tuple[Column, Column, Column]:
     """Types (comma-joined), confidence and price: a chain, else all words of the name, else the address's first word."""
     n, a = plain_name(name), plain_name(address)
     chain = first_hit(n, {k: v[0] for k, v in TACO_CHAINS.items()})
-    price = first_hit(n, {k: v[1] for k, v in TACO_CHAINS.items()})["value"]
+    first = first_hit(n, {k: v[1] for k, v in TACO_CHAINS.items()})
+    price = F.when(first.isNotNull(), first["value"]).otherwise(first_hit(n, TACO_PRICES)["value"])
     words = F.array_distinct(F.array_compact(F.array(*(F.when(F.contains(n, F.lit(k)), v) for k, v in TACO_WORDS.items()))))
     place = first_hit(a, TACO_WORDS)
     types = F.when(chain.isNotNull(), chain["value"]).when(F.size(words) > 0, F.array_join(words, ", ")).otherwise(place["value"])
@@ -229,3 +251,38 @@ def has_words(text: Column, terms) -> Column:
 
     pattern = "|".join(re.sub(r"[^a-z]+", "[^a-z]+", t.lower()) for t in terms)
     return F.lower(text).rlike(rf"(^|[^a-z])({pattern})([^a-z]|$)")
+
+
+def evidence_text(*parts: Column) -> Column:
+    """What is known of a place as one lower-cased text, empty parts left out."""
+    return F.lower(F.concat_ws(" ", *(F.when(p != "", p) for p in parts)))
+
+
+def has_style_evidence(style: Column, known: Column) -> Column:
+    """A style (or none) that the known text supports; Other and Unknown need no support."""
+    out = style.isNull() | style.isin("", "Other", "Unknown")
+    for name, terms in STYLE_EVIDENCE.items():
+        out = out | ((style == name) & any_contains(known, terms))
+    return F.coalesce(out, F.lit(False))
+
+
+def has_pizza_signal(known: Column) -> Column:
+    return any_contains(known, PIZZA_SIGNALS)
+
+
+def has_taco_evidence(kind: Column, known: Column) -> Column:
+    """A taco type (or none) whose words stand in the known text with no letter before or behind."""
+    out = kind.isNull() | (kind == "")
+    for name, terms in TACO_EVIDENCE.items():
+        out = out | ((kind == name) & has_words(known, terms))
+    return F.coalesce(out, F.lit(False))
+
+
+def has_price_evidence(price: Column, *sources: Column) -> Column:
+    """A price band (or none) that a JSON source names under a price key at any depth."""
+    key = "|".join(PRICE_KEYS)
+    named = lambda s: F.exists(F.regexp_extract_all(F.coalesce(s, F.lit("")), F.lit(rf'(?i)"(?:{key})"\s*:\s*"\s*(\$+)\s*"'), F.lit(1)), lambda x: x == price)
+    shown = F.lit(False)
+    for s in sources:
+        shown = shown | named(s)
+    return F.coalesce(price.isNull() | (price == "") | (price.rlike(r"^\${1,4}$") & shown), F.lit(False))

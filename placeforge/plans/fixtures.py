@@ -27,6 +27,18 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
             "price_range": "CASE WHEN p_size % 3 = 0 THEN NULL WHEN p_size % 3 = 1 THEN '$' ELSE '$$' END",
             "style_confidence": "CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 2 = 0 THEN 'inferred' ELSE 'confirmed' END",
             "brand_wikidata": "CASE WHEN p_partkey % 37 = 0 THEN 'Q' || CAST(p_partkey % 10 AS STRING) ELSE 'bad' END",
+            "status": "CASE WHEN p_partkey % 6 = 0 THEN 'visited' WHEN p_partkey % 6 = 1 THEN 'unvisited' END",
+            "rating": "CASE WHEN p_partkey % 9 = 0 THEN 4 END",
+            "notes": "CASE WHEN p_partkey % 8 = 0 THEN ' ' WHEN p_partkey % 8 = 1 THEN 'good' END",
+            "osm_tags": "CASE p_partkey % 4 WHEN 1 THEN '{\"cuisine\":\"pizza\",\"brand:wikidata\":\"Q' || CAST(p_partkey % 10 AS STRING) || '\"}' WHEN 2 THEN '{\"price_range\":\" $$ \",\"name\":\"detroit\"}' END",
+            "scrape_notes": "CASE p_partkey % 5 WHEN 1 THEN '{\"a\":{\"priceRange\":\"$\"},\"t\":\"brooklyn slices\"}' WHEN 2 THEN 'coal fired $ pies' END",
+            "scrape_method": "CASE p_partkey % 7 WHEN 0 THEN 'fetch' WHEN 1 THEN 'browser' WHEN 2 THEN 'none' END",
+            "last_enriched_at": "CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 3 = 1 THEN CAST('2024-05-31 12:00:00' AS TIMESTAMP) ELSE CAST('2024-04-01 00:00:00' AS TIMESTAMP) END",
+            "menu_url": "CASE WHEN p_partkey % 4 = 0 THEN 'https://shop.example/menu' END",
+            "email": "CASE WHEN p_partkey % 10 = 0 THEN 'a@shop.example' END",
+            "hours": "CASE WHEN p_partkey % 5 = 0 THEN '10-22' END",
+            "delivery": "p_partkey % 2 = 0",
+            "takeaway": "p_partkey % 3 = 0",
         },
     ),
     "candidate": (
@@ -90,7 +102,8 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
             "source_id": "'s' || CAST(o_orderkey % 5000 AS STRING)",
             "website": "CASE WHEN o_orderkey % 3 = 0 THEN 'http://site' || CAST(o_custkey AS STRING) || '.example' WHEN o_orderkey % 3 = 1 THEN 'localhost' END",
             "phone": "CASE WHEN o_orderkey % 5 = 0 THEN '313-555-' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') WHEN o_orderkey % 5 = 1 THEN '12' END",
-            "match_method": "CASE WHEN o_orderkey % 6 = 5 THEN 'weak_spatial_name' ELSE 'strong_spatial_name' END",
+            "match_method": "CASE WHEN o_orderkey % 6 = 5 THEN 'weak_spatial_name' WHEN o_orderkey % 6 = 4 THEN 'reviewed_new_import' ELSE 'strong_spatial_name' END",
+            "data": "CASE WHEN o_orderkey % 12 = 4 THEN '{\"review\":{\"queue_id\":\"' || CAST(o_orderkey % 1500 AS STRING) || '\"},\"imported_place\":{\"id\":' || CAST(o_custkey AS STRING) || ',\"name\":\"x\"}}' WHEN o_orderkey % 12 = 10 THEN '{\"review\":{\"queue_id\":\"\"}}' END",
             "match_confidence": "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 0.8e0 + (o_orderkey % 20) / 100e0 END",
             "retrieved_at": "CAST(o_orderdate AS TIMESTAMP)",
         },
@@ -107,7 +120,7 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
             "worker_id": "CASE WHEN user_id % 9 = 0 THEN NULL ELSE 'w' || CAST(user_id % 40 AS STRING) END",
             "attempts": "CAST(event_id % 4 AS INT)",
             "max_attempts": "3",
-            "last_error": "CASE WHEN event_id % 7 = 0 THEN 'HTTP 404' WHEN event_id % 7 = 1 THEN 'timeout of 30s' END",
+            "last_error": "CASE event_id % 14 WHEN 0 THEN 'HTTP 404' WHEN 1 THEN 'Timeout of 30s' WHEN 2 THEN 'HTTP 520' WHEN 3 THEN 'HTTP 503' WHEN 4 THEN 'fetch failed' WHEN 5 THEN 'Non-HTML content: image/png' WHEN 6 THEN 'getaddrinfo ENOTFOUND x.example' WHEN 7 THEN 'HTTP 401' WHEN 8 THEN 'Cached error: HTTP 403' WHEN 9 THEN 'read ECONNRESET' END",
             "created_at": "CAST(ts AS TIMESTAMP)",
         },
     ),

@@ -116,18 +116,6 @@ def _(spark, sf):
     return decisions(spark, sf).select("source_id", "route", "disposition", F.col("best_canonical_place_id").alias("best_place_id"), F.round("best_distance_m", 3).alias("best_distance_m"), F.round("best_name_score", 4).alias("best_name_score"), F.col("best_match_method").alias("match_method"), "nearest_place_id", F.round("nearest_distance_m", 3).alias("nearest_distance_m"))
 
 
-_COUNT = lambda cond, name: f"count(*) FILTER (WHERE {cond}) AS {name}"
-
-
-@query(
-    "M7_M10_match_report",
-    Q_MATCH + "SELECT count(*) AS decision_rows, " + ", ".join(_COUNT(f"route = '{r}'", f"route_{r}") for r in ("ready_for_match", "closed_evidence_candidate", "filtered_non_pizza", "excluded_unusable", "excluded_out_of_scope"))
-    + ", " + ", ".join(_COUNT(f"disposition = '{d}'", n) for d, n in (("matched_existing", "matched_existing_places"), ("ambiguous_review", "ambiguous_review_candidates"), ("likely_new", "likely_new_candidates"), ("closed_evidence", "closed_signals_matched"), ("closed_evidence_dropped", "closed_evidence_dropped")))
-    + ", " + _COUNT("disposition = 'matched_existing' AND route = 'ready_for_match'", "active_matches_with_source_id") + " FROM decided",
-)
-def _(spark, sf):
-    return M.match_report(decisions(spark, sf))
-
 
 @query("F1_F2_F3_route", X.sql("candidate") + f"SELECT source_id, {Q_ROUTE} AS route FROM (SELECT *, {Q_CATEGORIES} AS categories FROM candidate)")
 def _(spark, sf):
@@ -150,20 +138,14 @@ def _(spark, sf):
     return review.review_rows(decisions(spark, sf)).withColumns({"distance_m": F.round("distance_m", 3), "name_score": F.round("name_score", 4)})
 
 
-@query("J8_decision_reconciliation", Q_MATCH + "SELECT c.source, count(*) AS candidates, count(d.source_id) AS decisions FROM candidate c FULL JOIN decided d ON c.source_id = d.source_id GROUP BY 1")
-def _(spark, sf):
-    d = decisions(spark, sf).select("source_id", F.lit(1).alias("hit"))
-    return T(spark, sf, "candidate").join(d, "source_id", "full").groupBy("source").agg(F.count("*").alias("candidates"), F.count("hit").alias("decisions"))
-
-
 @query("A11_J2_prefetch_boxes", X.sql("candidate") + "SELECT ty, tx, round(s - 100e0 / 111320e0, 9) AS s, round(n + 100e0 / 111320e0, 9) AS n, round(w - 100e0 / (111320e0 * greatest(cos((s + n) / 2e0 * pi() / 180e0), 0.01e0)), 9) AS w, round(e + 100e0 / (111320e0 * greatest(cos((s + n) / 2e0 * pi() / 180e0), 0.01e0)), 9) AS e FROM (SELECT CAST(floor(lat) AS BIGINT) AS ty, CAST(floor(lng) AS BIGINT) AS tx, min(lat) AS s, max(lat) AS n, min(lng) AS w, max(lng) AS e FROM candidate GROUP BY 1, 2)")
 def _(spark, sf):
     return M.prefetch_boxes(T(spark, sf, "candidate")).select("ty", "tx", *(F.round(c, 9).alias(c) for c in ("s", "n", "w", "e")))
 
 
-@query("J2_prefetched_places", X.sql("canonical", "candidate") + ", boxes AS (SELECT ty, tx, s - 100e0 / 111320e0 AS s, n + 100e0 / 111320e0 AS n, w - 100e0 / (111320e0 * greatest(cos((s + n) / 2e0 * pi() / 180e0), 0.01e0)) AS w, e + 100e0 / (111320e0 * greatest(cos((s + n) / 2e0 * pi() / 180e0), 0.01e0)) AS e FROM (SELECT floor(lat) AS ty, floor(lng) AS tx, min(lat) AS s, max(lat) AS n, min(lng) AS w, max(lng) AS e FROM candidate WHERE c_custkey % 50 = 0 GROUP BY 1, 2)) SELECT DISTINCT p.canonical_place_id FROM canonical p JOIN boxes b ON abs(floor(p.lat) - b.ty) <= 1 AND abs(floor(p.lng) - b.tx) <= 1 AND p.lat BETWEEN b.s AND b.n AND p.lng BETWEEN b.w AND b.e")
+@query("J2_prefetched_places", X.sql("canonical", "candidate") + ", boxes AS (SELECT ty, tx, s - 100e0 / 111320e0 AS s, n + 100e0 / 111320e0 AS n, w - 100e0 / (111320e0 * greatest(cos((s + n) / 2e0 * pi() / 180e0), 0.01e0)) AS w, e + 100e0 / (111320e0 * greatest(cos((s + n) / 2e0 * pi() / 180e0), 0.01e0)) AS e FROM (SELECT floor(lat) AS ty, floor(lng) AS tx, min(lat) AS s, max(lat) AS n, min(lng) AS w, max(lng) AS e FROM candidate GROUP BY 1, 2)) SELECT DISTINCT p.canonical_place_id FROM canonical p JOIN boxes b ON abs(floor(p.lat) - b.ty) <= 1 AND abs(floor(p.lng) - b.tx) <= 1 AND p.lat BETWEEN b.s AND b.n AND p.lng BETWEEN b.w AND b.e")
 def _(spark, sf):
-    return M.prefetch(T(spark, sf, "canonical"), T(spark, sf, "candidate").where("c_custkey % 50 = 0")).select("canonical_place_id")
+    return M.prefetch(T(spark, sf, "canonical"), T(spark, sf, "candidate")).select("canonical_place_id")
 
 
 _NEAR3 = "SELECT c.source_id, p.canonical_place_id, {d} AS d FROM {left} c JOIN canonical p ON p.lat BETWEEN c.lat - 0.002e0 AND c.lat + 0.002e0 AND p.lng BETWEEN c.lng - 0.003e0 AND c.lng + 0.003e0 WHERE coalesce(p.lifecycle_status, '') NOT IN ('closed', 'replaced', 'demolished')"
@@ -341,21 +323,11 @@ def q_spaced(x: str) -> str:
     return f"lower(regexp_replace(coalesce({x}, ''), '[^a-z0-9]+', ' ', 'g'))"
 
 
-@query("J7_M12_auto_link", X.sql("queue", "canonical", "evidence") + f""", r AS (SELECT q.*, p.address AS pa, p.phone AS pp, p.website_url AS pw, p.google_place_id AS pg, p.lifecycle_status AS pl, p.name AS pn, p.brand_wikidata AS pb, coalesce(q.nearest_distance_m <= 50, false) AS near,
-  NOT EXISTS (SELECT 1 FROM evidence e WHERE e.entity_type = q.entity_type AND e.source = q.source AND e.source_id = q.source_id AND e.place_id <> q.nearest_place_id) AS free FROM queue q JOIN canonical p ON p.id = q.nearest_place_id WHERE q.status = 'pending')
-  SELECT id, reason AS auto_link_reason FROM (SELECT id, CASE WHEN {q_url('website')} <> '' AND {q_url('website')} = {q_url('pw')} AND near AND free AND (CASE WHEN {q_letters('address')} <> '' AND {q_letters('address')} = {q_letters('pa')} THEN 1 ELSE 0 END + CASE WHEN length({q_digits('phone')}) = 10 AND {q_digits('phone')} = {q_digits('pp')} THEN 1 ELSE 0 END + 1) >= 2 THEN 'exact_identifiers'
-   WHEN source = 'osm' AND coalesce(source_id = pg, false) AND near AND coalesce(pl, '') = '' AND ({q_spaced('source_name')} = '' OR {q_spaced('source_name')} = {q_spaced('pn')}) AND free THEN 'exact_source_id'
-   WHEN source = 'wikidata' AND source_id = pb AND coalesce(nearest_distance_m <= 25, false) THEN 'source_identity' WHEN coalesce(nearest_name_score >= 0.95 AND near, false) THEN 'score_distance' ELSE 'brand_rule:' || {_BRAND} END AS reason FROM r) WHERE reason IS NOT NULL""")
-def _(spark, sf):
-    q, p, e = T(spark, sf, "queue", "canonical", "evidence")
-    return review.auto_link(q, p, e).select("id", "auto_link_reason")
-
-
 _POLICY = ", ".join(f"('{s}', {p}, {d}, {m}e0)" for s, p, d, m in review.SOURCE_POLICY)
 
 
 @query("E16_J11_W6_promotions", X.sql("evidence", "canonical") + f""", policy(source, priority, days, minimum) AS (VALUES {_POLICY}), ok AS (SELECT e.*, priority, p.website_url AS pw, p.phone AS pp FROM evidence e JOIN policy USING (source) JOIN canonical p ON p.id = e.place_id
-  WHERE e.retrieved_at >= TIMESTAMP '1999-06-01 00:00:00' - to_days(CAST(days AS INT)) AND match_method <> 'weak_spatial_name' AND match_confidence >= greatest(0.85e0, minimum)),
+  WHERE e.retrieved_at >= TIMESTAMP '1999-06-01 00:00:00' - to_days(CAST(days AS INT)) AND match_method = 'strong_spatial_name' AND match_confidence >= greatest(0.85e0, minimum)),
   f AS (SELECT 'website_url' AS field, place_id, CASE WHEN website LIKE 'http%' THEN website || '/' END AS value, pw AS cur, source, source_id, evidence_id, priority, match_confidence FROM ok UNION ALL
    SELECT 'phone', place_id, CASE WHEN length(regexp_replace(coalesce(phone, ''), '[^0-9]', '', 'g')) BETWEEN 7 AND 16 THEN regexp_replace(phone, '[^0-9]', '', 'g') END, pp, source, source_id, evidence_id, priority, match_confidence FROM ok)
   SELECT field, place_id, value, source, source_id, round(match_confidence, 6) AS match_confidence FROM (SELECT *, row_number() OVER (PARTITION BY field, place_id ORDER BY priority DESC, match_confidence DESC NULLS LAST, evidence_id) AS r FROM f WHERE value IS NOT NULL AND trim(coalesce(cur, '')) = '') WHERE r = 1""")
@@ -377,18 +349,6 @@ def _(spark, sf):
     return review.upsert_pending(q.where("id % 3 <> 0").select("id", "source_name", "status"), q.where("id % 2 = 0").selectExpr("id", "'new ' || CAST(id AS STRING) AS source_name"), ["id"])
 
 
-@query("J12_import_issues", X.sql("evidence", "canonical", "queue") + "SELECT e.evidence_id, q.id AS q_id, CAST(p.id IS NULL AS INT) + CAST(q.id IS NULL AS INT) + CAST(q.id IS NOT NULL AND coalesce(q.canonical_place_id <> e.place_id, false) AS INT) + CAST(q.id IS NOT NULL AND coalesce(q.status <> 'linked', false) AS INT) + CAST(q.id IS NOT NULL AND coalesce(q.decision <> 'imported_new', false) AS INT) + CAST(p.google_place_id IS DISTINCT FROM (e.source || ':' || e.source_id) AS INT) AS issue_count FROM evidence e LEFT JOIN canonical p ON p.id = e.place_id LEFT JOIN (SELECT * FROM queue WHERE review_kind = 'likely_new') q ON q.entity_type = e.entity_type AND q.source = e.source AND e.source_id = CASE WHEN q.source = 'osm' THEN regexp_replace(q.source_id, '^osm:', '') ELSE q.source_id END")
-def _(spark, sf):
-    e, p, q = T(spark, sf, "evidence", "canonical", "queue")
-    return review.import_issues(e, p, q).select("evidence_id", "q_id", "issue_count")
-
-
-@query("J13_O9_reconcile", X.sql("canonical", "sync_public") + "SELECT DISTINCT c.id FROM canonical c WHERE c.google_place_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sync_public s WHERE s.id = c.id AND s.id % 3 <> 0)")
-def _(spark, sf):
-    c, s = T(spark, sf, "canonical", "sync_public")
-    return c.where("google_place_id is not null").join(s.where("id % 3 <> 0").select("id"), "id", "left_anti").select("id").distinct()
-
-
 @query("J17_A13_evidence_lists", X.sql("evidence") + "SELECT place_id, array_to_string(list(source || ':' || source_id ORDER BY match_confidence DESC NULLS LAST, retrieved_at DESC, evidence_id), ',') AS evidence FROM evidence GROUP BY 1")
 def _(spark, sf):
     rank = F.struct((-F.coalesce("match_confidence", F.lit(-1.0))).alias("a"), (-F.unix_micros(F.col("retrieved_at"))).alias("b"), F.col("evidence_id").alias("c"), F.concat("source", F.lit(":"), "source_id").alias("v"))
@@ -441,44 +401,12 @@ def _(spark, sf):
     return T(spark, sf, "canonical").groupBy(F.coalesce("style", F.lit("(null)")).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value")
 
 
-@query("A7_classification_qa", X.sql("canonical") + ", f AS (SELECT coalesce(style NOT IN ('Detroit', 'New York'), false) AS bad, style IS NULL AND style_confidence IS NOT NULL AS cw, style IS NOT NULL AND style_confidence IS NULL AS sw, style IS NULL AND style_confidence IS NULL AND price_range IS NOT NULL AS po, style IS NULL AND style_confidence IS NULL AND price_range IS NULL AS no, state FROM canonical) SELECT coalesce(state, '(null)') AS state, count(*) AS inspected, count(*) FILTER (WHERE bad) AS invalid_values, count(*) FILTER (WHERE cw) AS confidence_without_style, count(*) FILTER (WHERE sw) AS style_without_confidence, count(*) FILTER (WHERE po) AS price_only, count(*) FILTER (WHERE no) AS null_output, CASE WHEN count(*) FILTER (WHERE bad OR cw OR sw) > 0 THEN 'FAIL' ELSE 'OK' END AS verdict FROM f GROUP BY 1")
-def _(spark, sf):
-    s, c, p = (F.col(x) for x in ("style", "style_confidence", "price_range"))
-    bad, cw, sw = F.coalesce(~s.isin("Detroit", "New York"), F.lit(False)), s.isNull() & c.isNotNull(), s.isNotNull() & c.isNull()
-    none = s.isNull() & c.isNull()
-    return T(spark, sf, "canonical").groupBy(F.coalesce("state", F.lit("(null)")).alias("state")).agg(
-        F.count("*").alias("inspected"), F.count_if(bad).alias("invalid_values"), F.count_if(cw).alias("confidence_without_style"), F.count_if(sw).alias("style_without_confidence"),
-        F.count_if(none & p.isNotNull()).alias("price_only"), F.count_if(none & p.isNull()).alias("null_output"), F.when(F.count_if(bad | cw | sw) > 0, "FAIL").otherwise("OK").alias("verdict"),
-    )
-
-
 @query("A8_health", X.sql("workers") + f", w AS (SELECT worker_id, max(last_heartbeat) AS beat FROM workers GROUP BY 1) SELECT worker_id, round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(beat)) / 60000000e0, 1) AS minutes FROM w")
 def _(spark, sf):
     w = J.latest_workers(T(spark, sf, "workers"))
     return w.select("worker_id", F.round((F.unix_micros(F.lit(AS_OF).cast("timestamp")) - F.unix_micros(F.col("last_heartbeat"))) / 60000000.0, 1).alias("minutes"))
 
 
-@query("A9_J10_F9_backlog", X.sql("canonical", "jobs") + ", b AS (SELECT c.state, j.status FROM canonical c LEFT JOIN (SELECT place_id, max(status) AS status FROM jobs WHERE job_type = 'classify' GROUP BY 1) j ON c.id = j.place_id WHERE c.style IS NULL OR c.price_range IS NULL), s AS (SELECT coalesce(state, '(null)') AS state, count(*) AS candidates, count(*) FILTER (WHERE status IS NULL) AS missing_job, count(*) FILTER (WHERE status = 'pending') AS pending, count(*) FILTER (WHERE status = 'processing') AS processing, count(*) FILTER (WHERE status = 'completed') AS completed, count(*) FILTER (WHERE status = 'failed') AS failed FROM b GROUP BY 1) SELECT *, CASE WHEN missing_job > 0 THEN 'unfed' WHEN pending + processing > 0 THEN 'queued' WHEN failed > 0 THEN 'manual_review' ELSE 'clear' END AS backlog, round(CASE WHEN candidates <= 0 THEN 0 WHEN completed > 0 THEN candidates * 24e0 / completed END, 4) AS hours FROM s")
-def _(spark, sf):
-    c, jobs = T(spark, sf, "canonical", "jobs")
-    last = jobs.where("job_type = 'classify'").groupBy(F.col("place_id").alias("id")).agg(F.max("status").alias("status"))
-    rows = c.where("style is null or price_range is null").select("id", "state").join(last, "id", "left")
-    is_ = lambda x: F.count_if(F.col("status") == x).alias(x)
-    s = rows.groupBy(F.coalesce("state", F.lit("(null)")).alias("state")).agg(F.count("*").alias("candidates"), F.count_if(F.col("status").isNull()).alias("missing_job"), is_("pending"), is_("processing"), is_("completed"), is_("failed"))
-    state = J.backlog_state(F.col("missing_job"), F.col("pending"), F.col("processing"), F.lit(0), F.col("failed"))
-    return s.select("*", state.alias("backlog"), F.round(J.backlog_hours(F.col("candidates"), F.col("completed"), 24), 4).alias("hours"))
-
-
-@query("F10_scrape_candidates", X.sql("canonical") + "SELECT id, website_url FROM canonical WHERE website_url IS NOT NULL AND style IS NULL ORDER BY CASE WHEN state = 'MI' THEN 0 ELSE 1 END, id LIMIT 50")
-def _(spark, sf):
-    return T(spark, sf, "canonical").where("website_url is not null and style is null").orderBy(F.when(F.col("state") == "MI", 0).otherwise(1), "id").limit(50).select("id", "website_url")
-
-
-@query("F11_T12_errors", X.sql("jobs") + "SELECT last_error, status, count(*) AS n, coalesce(regexp_matches(last_error, '(?i)\\b(400|401|403|404|405|406|410|414|451)\\b|enotfound|certificate|unsupported|invalid url|not found'), false) AS permanent FROM jobs GROUP BY 1, 2")
-def _(spark, sf):
-    return T(spark, sf, "jobs").groupBy("last_error", "status").agg(F.count("*").alias("n")).withColumn("permanent", J.permanent_error(F.col("last_error")))
-
-
 @query("T11_boost", X.sql("jobs") + "SELECT id, CASE WHEN status = 'pending' AND priority < 90 THEN 90 ELSE priority END AS priority FROM jobs WHERE job_type = 'scrape'")
 def _(spark, sf):
     return J.boosted(T(spark, sf, "jobs").where("job_type = 'scrape'"), F.lit(90)).select("id", "priority")
@@ -510,12 +438,12 @@ def _(spark, sf):
     return payloads(spark, sf).select("id", "verdict", F.array_join("changed", ",").alias("changed"), "publish")
 
 
-@query("A14_A18_changed_fields", _PAYLOAD + "SELECT field, count(*) AS n FROM (SELECT unnest(changed) AS field FROM v WHERE verdict LIKE 'ok%') GROUP BY 1")
+@query("A14_changed_fields", _PAYLOAD + "SELECT field, count(*) AS n FROM (SELECT unnest(changed) AS field FROM v WHERE verdict LIKE 'ok%') GROUP BY 1")
 def _(spark, sf):
     return payloads(spark, sf).where("publish").select(F.explode("changed").alias("field")).groupBy("field").agg(F.count("*").alias("n"))
 
 
-@query("O10_T5_W8_keyset_page", X.sql("evidence") + "SELECT retrieved_at, evidence_id FROM evidence WHERE website IS NOT NULL AND (retrieved_at, evidence_id) > (TIMESTAMP '1997-03-01 00:00:00', 100) ORDER BY 1, 2 LIMIT 200")
+@query("O10_T5_keyset_page", X.sql("evidence") + "SELECT retrieved_at, evidence_id FROM evidence WHERE website IS NOT NULL AND (retrieved_at, evidence_id) > (TIMESTAMP '1997-03-01 00:00:00', 100) ORDER BY 1, 2 LIMIT 200")
 def _(spark, sf):
     rows = T(spark, sf, "evidence").where("website is not null")
     return publish.keyset_page(rows, ["retrieved_at", "evidence_id"], ("1997-03-01 00:00:00", 100), 200).select("retrieved_at", "evidence_id")
@@ -526,19 +454,6 @@ def _(spark, sf):
     return publish.chunked(T(spark, sf, "evidence"), ["source"], ["evidence_id"], 500).groupBy("source", "chunk").agg(F.count("*").alias("n"), F.min("evidence_id").alias("first_id"))
 
 
-@query("A10_manifest", X.sql("jobs") + f"SELECT place_type, count(*) FILTER (WHERE status = 'completed' AND created_at <= TIMESTAMP '{AS_OF}' - INTERVAL 3660 HOUR) AS stale, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'pending') AS unprocessed FROM jobs GROUP BY 1")
-def _(spark, sf):
-    late = F.col("created_at") <= F.lit(AS_OF).cast("timestamp") - F.expr("INTERVAL 3660 HOURS")
-    return T(spark, sf, "jobs").groupBy("place_type").agg(F.count_if((F.col("status") == "completed") & late).alias("stale"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("status") == "pending").alias("unprocessed"))
-
-
-@query("O4_review_order", X.sql("queue") + "SELECT id, row_number() OVER (ORDER BY CASE WHEN review_kind = 'ambiguous' THEN 0 ELSE 1 END, nearest_name_score DESC NULLS LAST, nearest_distance_m ASC NULLS LAST, id) AS place FROM queue ORDER BY 2 LIMIT 100")
-def _(spark, sf):
-    order = [F.when(F.col("review_kind") == "ambiguous", 0).otherwise(1), F.desc_nulls_last("nearest_name_score"), F.asc_nulls_last("nearest_distance_m"), F.col("id")]
-    top = T(spark, sf, "queue").orderBy(*order).limit(100)  # top-k before the ranking, so one task ranks 100 rows
-    return top.select("id", F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))
-
-
 @query("O5_scan_filter_limit", X.sql("queue") + "SELECT id FROM (SELECT * FROM queue ORDER BY id LIMIT 400) WHERE status = 'pending' ORDER BY id LIMIT 25")
 def _(spark, sf):
     return T(spark, sf, "queue").orderBy("id").limit(400).where("status = 'pending'").orderBy("id").limit(25).select("id")
@@ -557,19 +472,6 @@ def _(spark, sf):
     return e.where("source = 'osm'").join(c.select(F.col("id").alias("place_id")), "place_id", "left_semi").groupBy("place_id").agg(F.min("retrieved_at").alias("oldest")).orderBy("oldest", "place_id").limit(100)
 
 
-@query("O13_F7_region_choice", X.sql("canonical") + "SELECT region, backlog, CAST(row_number() OVER (ORDER BY backlog DESC, region) AS INT) AS turn FROM (SELECT coalesce(upper(state), '') AS region, count(*) FILTER (WHERE style IS NULL) AS backlog FROM canonical GROUP BY 1)")
-def _(spark, sf):
-    rows = T(spark, sf, "canonical").groupBy(F.coalesce(F.upper("state"), F.lit("")).alias("region")).agg(F.count_if(F.col("style").isNull()).alias("backlog"))
-    return rows.select("region", "backlog", F.row_number().over(Window.orderBy(F.desc("backlog"), "region")).alias("turn"))
-
-
-@query("A16_A17_ids", X.sql("queue") + ", d AS (SELECT source_id, max(id) AS last_id FROM queue WHERE source = 'all_the_places' GROUP BY 1) SELECT source_id, last_id, (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY source_id) AS new_id FROM d WHERE last_id % 100 = 2")
-def _(spark, sf):
-    d = T(spark, sf, "queue").where("source = 'all_the_places'").groupBy("source_id").agg(F.max("id").alias("last_id")).where("last_id % 100 = 2")
-    top = X.raw(spark, sf, "part").agg(F.max("p_partkey").alias("top"))
-    return d.crossJoin(F.broadcast(top)).select("source_id", "last_id", (F.col("top") + F.row_number().over(Window.orderBy("source_id"))).alias("new_id"))
-
-
 # ---- sources -------------------------------------------------------------------------------------------------------
 @query("S4_S5_S6_scan", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderkey > 500 AND o_totalprice BETWEEN 20000 AND 200000 AND coalesce(o_orderstatus, 'O') <> 'F' AND (o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%') ORDER BY o_orderkey LIMIT 300")
 def _(spark, sf):
@@ -585,31 +487,6 @@ def _(spark, sf):
     return rows.select(F.col("brand_wikidata").alias("qid"), "id", "name")
 
 
-@query("S10_preflight", "SELECT s.s_suppkey AS spider, CASE WHEN n IS NULL THEN 'missing' WHEN n = 0 THEN 'empty' WHEN bad > n / 3 THEN 'warning' ELSE 'ok' END AS preflight FROM supplier s LEFT JOIN (SELECT l_suppkey, count(*) AS n, count(*) FILTER (WHERE l_returnflag = 'R') AS bad FROM lineitem WHERE l_suppkey % 7 <> 0 GROUP BY 1) l ON s.s_suppkey = l.l_suppkey WHERE s.s_acctbal > 0")
-def _(spark, sf):
-    stats = X.raw(spark, sf, "lineitem").where("l_suppkey % 7 <> 0").groupBy("l_suppkey").agg(F.count("*").alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("bad"))
-    rows = X.raw(spark, sf, "supplier").where("s_acctbal > 0").join(stats, F.col("s_suppkey") == F.col("l_suppkey"), "left")
-    return rows.select(F.col("s_suppkey").alias("spider"), F.when(F.col("n").isNull(), "missing").when(F.col("n") == 0, "empty").when(F.col("bad") > F.col("n") / 3, "warning").otherwise("ok").alias("preflight"))
-
-
-@query("S11_missing_ids", "SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)")
-def _(spark, sf):
-    asked = X.raw(spark, sf, "orders").where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("id"))
-    return asked.join(X.raw(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id")), "id", "left_anti")
-
-
-@query("S12_O1_running_bytes", X.sql("canonical") + "SELECT canonical_place_id, CAST(sum(strlen(name)) OVER (PARTITION BY coalesce(state, '') ORDER BY canonical_place_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS bytes_so_far FROM canonical")
-def _(spark, sf):
-    w = Window.partitionBy(F.coalesce("state", F.lit(""))).orderBy("canonical_place_id").rowsBetween(Window.unboundedPreceding, 0)
-    return T(spark, sf, "canonical").select("canonical_place_id", F.sum(F.octet_length("name")).over(w).alias("bytes_so_far"))
-
-
-@query("S12_A12_key_checks", X.sql("evidence") + "SELECT source_id, count(*) AS n FROM evidence GROUP BY 1 HAVING count(*) > 2 OR source_id IS NULL OR trim(source_id) = '' OR length(source_id) > 256")
-def _(spark, sf):
-    bad = F.col("source_id").isNull() | (F.trim("source_id") == "") | (F.length("source_id") > 256)
-    return T(spark, sf, "evidence").groupBy("source_id").agg(F.count("*").alias("n")).where((F.col("n") > 2) | bad)
-
-
 @query("S15_tiles", "SELECT round(lat, 6) AS south, round(lng, 6) AS west, round(least(lat + 0.5e0, 43.2e0), 6) AS north, round(least(lng + 0.5e0, -82.9e0), 6) AS east FROM (SELECT 41.6e0 + i * 0.5e0 AS lat FROM range(10) t(i)), (SELECT -84.5e0 + j * 0.5e0 AS lng FROM range(10) u(j)) WHERE round(lat, 6) < 43.2e0 AND round(lng, 6) < -82.9e0")
 def _(spark, sf):
     return tiles.grid(spark, (41.6, -84.5, 43.2, -82.9), 0.5)
@@ -625,16 +502,8 @@ def _(spark, sf):
     return tiles.merge(T(spark, sf, "evidence"), "source_id", "evidence_id").select("source_id", "evidence_id", "place_id")
 
 
-@query("S17_schedule", X.sql("jobs") + f"SELECT id, turn FROM (SELECT id, CAST(row_number() OVER (ORDER BY CASE status WHEN 'failed' THEN 0 WHEN 'pending' THEN 1 ELSE 2 END, created_at, id) AS INT) AS turn FROM jobs WHERE status IN ('failed', 'pending') AND NOT (attempts > 0 AND epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(created_at) < least(360e0, 15e0 * pow(2e0, greatest(attempts - 1, 0))) * 60000000e0)) WHERE turn <= 100")
-def _(spark, sf):
-    late = F.unix_micros(F.lit(AS_OF).cast("timestamp")) - F.unix_micros(F.col("created_at"))
-    rows = T(spark, sf, "jobs").where(F.col("status").isin("failed", "pending") & ~((F.col("attempts") > 0) & (late < J.cooldown_minutes(F.col("attempts")) * 60000000.0)))
-    order = [F.when(F.col("status") == "failed", 0).when(F.col("status") == "pending", 1).otherwise(2), F.col("created_at"), F.col("id")]
-    return rows.orderBy(*order).limit(100).select("id", F.row_number().over(Window.orderBy(*order)).alias("turn"))
-
-
 # ---- further inference, pages and identity -------------------------------------------------------------------------
-_TACO = "(SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 'Taco Bell #' || CAST(c_custkey AS STRING) WHEN 1 THEN 'Birria y Carne Asada' WHEN 2 THEN 'El Pescado Baja' WHEN 3 THEN 'Plain' WHEN 4 THEN NULL WHEN 5 THEN 'Mariscos Lopez' WHEN 6 THEN 'Los Tacos No. 1' ELSE 'Pollo Chicken House' END AS name, CASE WHEN c_custkey % 3 = 0 THEN '9 Carnitas Way' END AS address, CASE c_custkey % 5 WHEN 0 THEN 'Seafood, Street Tacos' WHEN 1 THEN 'Birria; Tacos al Pastor' WHEN 2 THEN '' WHEN 3 THEN 'Detroit Style | Deep Dish' END AS cats, CASE c_custkey % 6 WHEN 0 THEN 'traditional' WHEN 1 THEN 'Tavern; New Haven' WHEN 2 THEN 'odd' WHEN 3 THEN ' ' WHEN 4 THEN 'Chicago|Grandma' END AS style FROM customer)"
+_TACO = "(SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 'Taco Bell #' || CAST(c_custkey AS STRING) WHEN 1 THEN 'Birria y Carne Asada' WHEN 2 THEN 'El Pescado Baja' WHEN 3 THEN CASE WHEN c_custkey % 3 = 0 THEN 'Wahoo''s Fish Taco' WHEN c_custkey % 3 = 1 THEN 'Bartaco Plaza' ELSE 'Plain' END WHEN 4 THEN NULL WHEN 5 THEN 'Mariscos Lopez' WHEN 6 THEN 'Los Tacos No. 1' ELSE 'Pollo Chicken House' END AS name, CASE WHEN c_custkey % 3 = 0 THEN '9 Carnitas Way' END AS address, CASE c_custkey % 5 WHEN 0 THEN 'Seafood, Street Tacos' WHEN 1 THEN 'Birria; Tacos al Pastor' WHEN 2 THEN '' WHEN 3 THEN 'Detroit Style | Deep Dish' END AS cats, CASE c_custkey % 6 WHEN 0 THEN 'traditional' WHEN 1 THEN 'Tavern; New Haven' WHEN 2 THEN 'odd' WHEN 3 THEN ' ' WHEN 4 THEN 'Chicago|Grandma' END AS style FROM customer)"
 
 
 def tacos(spark, sf) -> DataFrame:
@@ -652,7 +521,7 @@ _TC = {k: v[0] for k, v in rules.TACO_CHAINS.items()}
 _TP = {k: v[1] for k, v in rules.TACO_CHAINS.items()}
 
 
-@query("E6_E7_taco_types", f"SELECT id, CASE WHEN c IS NOT NULL THEN c WHEN len(w) > 0 THEN array_to_string({_FIRSTS('w')}, ', ') ELSE a END AS types, CASE WHEN c IS NOT NULL THEN 'high' WHEN len(w) > 0 THEN 'medium' WHEN a IS NOT NULL THEN 'low' END AS confidence, price FROM (SELECT id, {q_first(_PLAIN('name'), _TC)} AS c, {q_first(_PLAIN('name'), _TP)} AS price, {_TW(_PLAIN('name'))} AS w, {q_first(_PLAIN('address'), rules.TACO_WORDS)} AS a FROM {_TACO})")
+@query("E6_E7_taco_types", f"SELECT id, CASE WHEN c IS NOT NULL THEN c WHEN len(w) > 0 THEN array_to_string({_FIRSTS('w')}, ', ') ELSE a END AS types, CASE WHEN c IS NOT NULL THEN 'high' WHEN len(w) > 0 THEN 'medium' WHEN a IS NOT NULL THEN 'low' END AS confidence, price FROM (SELECT id, {q_first(_PLAIN('name'), _TC)} AS c, coalesce({q_first(_PLAIN('name'), _TP)}, {q_first(_PLAIN('name'), rules.TACO_PRICES)}) AS price, {_TW(_PLAIN('name'))} AS w, {q_first(_PLAIN('address'), rules.TACO_WORDS)} AS a FROM {_TACO})")
 def _(spark, sf):
     types, confidence, price = rules.taco_types(F.col("name"), F.col("address"))
     return tacos(spark, sf).select("id", types.alias("types"), confidence.alias("confidence"), price.alias("price"))
@@ -698,9 +567,9 @@ def _(spark, sf):
     return out.select("source_id", F.coalesce("name", F.lit("")).alias("name"), "lat", "lng", "is_closed", F.array_join("categories", "+").alias("categories"))
 
 
-@query("N4_source_record_keys", X.sql("candidate") + """SELECT source_id, 'srk_' || sha256('{"externalId":"' || source_id || '","profile":"apizzamichigan","sourceNamespace":"foursquare"}') AS record_key FROM candidate""")
+@query("N4_source_record_keys", X.sql("candidate") + """SELECT source_id, 'srk_' || sha256('{"externalId":"' || source_id || '","profile":"places","sourceNamespace":"registry"}') AS record_key FROM candidate""")
 def _(spark, sf):
-    return T(spark, sf, "candidate").select("source_id", identity.source_record_key("apizzamichigan", "foursquare", F.col("source_id")).alias("record_key"))
+    return T(spark, sf, "candidate").select("source_id", identity.source_record_key("places", "registry", F.col("source_id")).alias("record_key"))
 
 
 @query("S8_osm_rows", X.sql("canonical") + "SELECT 'osm:node/' || CAST(id AS STRING) AS id, name, lat, 'US' AS country, CAST(id % 90 + 1 AS STRING) || ' Main' AS address, CASE WHEN id % 7 = 0 THEN 'restaurant; pizza' ELSE 'pizza' END AS category, CASE WHEN id % 5 = 0 THEN 'disused' END AS operating_status FROM (SELECT id, name, lat FROM canonical WHERE id % 4 <> 0 AND id % 5 <> 0 UNION ALL SELECT id, name, lat FROM canonical WHERE false) UNION ALL SELECT 'osm:node/' || CAST(id AS STRING), name, lat, 'US', CAST(id % 90 + 1 AS STRING) || ' Main', CASE WHEN id % 7 = 0 THEN 'restaurant; x; pizza' ELSE 'x; pizza' END, 'disused' FROM canonical WHERE id % 4 <> 0 AND id % 5 = 0")
@@ -719,12 +588,6 @@ def _(spark, sf):
     return X.raw(spark, sf, "events").select(F.col("event_id").alias("id"), k.alias("k"), F.lit("2024-05-01.0").alias("release")).where(F.col("k").between(10, 20))
 
 
-@query("E17_E18_W4_provenance", X.sql("queue") + "SELECT id, CASE WHEN status = 'pending' AND nearest_name_score >= 0.9 THEN 'linked' ELSE status END AS next_status, status = 'pending' AND nearest_name_score >= 0.9 AS history FROM queue")
-def _(spark, sf):
-    move = (F.col("status") == "pending") & (F.col("nearest_name_score") >= 0.9)
-    return T(spark, sf, "queue").select("id", F.when(move, "linked").otherwise(F.col("status")).alias("next_status"), move.alias("history"))
-
-
 # ---- governance ----------------------------------------------------------------------------------------------------
 @query("N16_V2_host_projection", X.sql("candidate") + "SELECT CASE WHEN c_custkey % 9 = 0 OR c_custkey % 9 = 1 THEN 'excluded' WHEN trim(coalesce(name, '')) = '' THEN 'rejected' ELSE 'projected' END AS outcome, count(*) AS n FROM candidate GROUP BY 1")
 def _(spark, sf):
@@ -778,13 +641,6 @@ def _(spark, sf):
 _ANSWER = "CASE id % 5 WHEN 0 THEN 'Sure: {\"style\": \"Standard\", \"price_range\": \" $$ \", \"style_confidence\": \"confirmed\"} done' WHEN 1 THEN '{\"style\": \"Detroit\", \"price_range\": \"cheap\"}' WHEN 2 THEN 'no json' WHEN 3 THEN '{\"style\": \"odd\"}' END"
 
 
-@query("E12_model_results", X.sql("canonical") + "SELECT id, CASE id % 5 WHEN 0 THEN CASE WHEN id % 2 = 0 THEN 'Standard Round' END WHEN 1 THEN 'Detroit' WHEN 3 THEN 'Unknown' END AS style, CASE id % 5 WHEN 0 THEN '$$' END AS price, CASE id % 5 WHEN 0 THEN CASE WHEN id % 2 = 0 THEN 'confirmed' END WHEN 1 THEN 'inferred' WHEN 3 THEN 'inferred' END AS confidence FROM canonical")
-def _(spark, sf):
-    evidence = F.concat(F.col("address"), F.when(F.col("id") % 2 == 0, " STANDARD round pies").otherwise(""))
-    style, price, confidence = governance.model_result(F.expr(_ANSWER), evidence)
-    return T(spark, sf, "canonical").select("id", style.alias("style"), price.alias("price"), confidence.alias("confidence"))
-
-
 @query("E13_override", f"SELECT id, coalesce(b, c, k) AS style, price, CASE WHEN coalesce(b, c, k) IS NOT NULL THEN 'confirmed' END AS confidence FROM (SELECT id, CASE trim(brand) WHEN 'Q15109854' THEN 'California' WHEN 'Q7897209' THEN 'Chicago Deep Dish' END AS b, {q_first(_PLAIN('name'), rules.CHAIN_STYLES)} AS c, {q_first(_PLAIN('name'), rules.STYLE_WORDS)} AS k, {q_first(_PLAIN('name'), rules.CHAIN_PRICES)} AS price FROM {_NAMES})")
 def _(spark, sf):
     style, price, confidence = governance.override(F.col("name"), F.col("brand"))

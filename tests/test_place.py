@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeforge.functions import geo, identity, text
-from placeforge.operators import jobs, matching, pages, publish, review, rules
+from placeforge.operators import governance, jobs, matching, pages, publish, review, rules
+from placeforge.operators.order import running
 from placeforge.plans import contracts
-from placeforge.sources import artifacts, feeds, tiles
+from placeforge.sources import artifacts, feeds, snapshots, tiles
 from placeforge.streaming import state
 
 
@@ -199,7 +200,110 @@ def test_job_stream(spark, tmp_path):
 
 
 def test_jobs_and_scalars(spark):
-    assert values(spark, jobs.permanent_error(A), "HTTP 404", "timeout", None) == [True, False, False]
+    assert values(spark, jobs.permanent_error(A), "HTTP 404", "HTTP 530", "HTTP 401", "HTTP 4040", "Non-HTML content: image/png", "getaddrinfo ENOTFOUND x", "timeout", None) == [True, True, False, False, True, True, False, False]
+    assert values(spark, jobs.retryable_error(A), "HTTP 503", "HTTP 530", "fetch failed", "fetch failed twice", "HTTP 404", None) == [True, True, True, False, False, False]
     row = spark.createDataFrame([(2202.0, 16.0)], "c double, d double")
     assert row.select(jobs.backlog_hours(F.col("c"), F.col("d"), 1)).first()[0] == 137.625
     assert abs(row.select(geo.haversine(F.lit(42.0), F.lit(-83.0), F.lit(42.001), F.lit(-83.0))).first()[0] - 111.19) < 0.01
+
+
+def test_running_numbers_and_sums(spark):
+    rows = [(k * 37 % 101, k) for k in range(300)] + [(None, 5), (None, 7)]
+    got = running(spark.createDataFrame(rows, "a int, b int"), ["a", "b"], {"total": F.col("b")}, parts=7).orderBy("number").collect()
+    want = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1]))
+    assert [(r.a, r.b) for r in got] == want and [r.number for r in got] == list(range(1, 303))
+    assert [r.total for r in got] == [sum(b for _, b in want[: k + 1]) for k in range(302)]
+    assert running(spark.createDataFrame([], "a string"), ["a"]).count() == 0
+
+
+def test_evidence_rules(spark):
+    known = rules.evidence_text(B)
+    assert values(spark, rules.has_style_evidence(A, known), ("Detroit", "A DETROIT pie"), ("Detroit", "pizza"), ("Other", None), (None, "x"), ("Odd", "odd")) == [True, False, True, True, False]
+    assert values(spark, rules.has_taco_evidence(A, known), ("Al Pastor", "tacos al-pastor!"), ("Al Pastor", "pastoral"), ("Pollo", "chicken"), ("Odd", "odd")) == [True, False, True, False]
+    cases = [("$$", '{"a": {"PriceRange": " $$ "}}'), ("$", '{"price_range": "$$"}'), ("$", "menu $ 9"), ("$", '[{"price:range":"$"}]'), (None, None), ("cheap", '{"price_range":"cheap"}')]
+    assert values(spark, rules.has_price_evidence(A, B), *cases) == [True, False, False, True, True, False]
+    assert values(spark, rules.taco_types(A, F.lit(""))[2], "Wahoo's Fish Taco", "BARTACO", "Taco Bell", "x") == ["$$$", "$$", "$", None]
+    answer = governance.model_result(A, known, [B], "taco")
+    assert values(spark, answer[0], ('{"style": "Al Pastor, Birria, Odd"}', "al pastor"), ('{"style": "Birria"}', "x"), ("no", None)) == ["Al Pastor", None, None]
+
+
+def test_snapshot_pages_fail_and_never_cut(spark):
+    rows = spark.createDataFrame([(f"k{n}", "x" * n) for n in range(6)], "id string, v string")
+    page = snapshots.snapshot_page(rows, "id", ["id", "v"], "k0", 4, 20, 1000).orderBy("cursor").collect()
+    assert [r.cursor for r in page] == ["k1", "k2", "k3", "k4"] and [r.payload is None for r in page] == [False, False, True, True]
+    assert page[0].payload == '{"id":"k1","v":"x"}' and page[1].bytes_so_far == page[0].payload_bytes + page[1].payload_bytes + 2
+    with pytest.raises(Exception, match="byte limits"):
+        snapshots.whole_page(snapshots.snapshot_page(rows, "id", ["id", "v"], None, 6, 20, 1000)).collect()
+    with pytest.raises(ValueError, match="limit"):
+        snapshots.snapshot_page(rows, "id", ["id"], page_rows=5001)
+
+
+def test_record_counts_and_reports(spark):
+    assert values(spark, snapshots.record_count(A), "[]", "[1,2]", "null", None, '{"rows":[1]}', '{"rows":{}}', "3") == [0, 2, 0, 0, 1, 1, 1]
+    with pytest.raises(Exception, match="several"):
+        values(spark, snapshots.record_count(A), '{"rows":[1],"places":[]}')
+    assert snapshots.markdown_table(["a", "b"], [{"a": "x|y", "b": None}]) == "| a | b |\n| --- | --- |\n| x\\|y |  |"
+    assert snapshots.markdown_table(["a"], []) == "_none_"
+    rows = spark.createDataFrame([('say "hi", you', None)], "a string, b int")
+    assert [r.line for r in snapshots.csv_lines(rows, ["a", "b"]).collect()] == ["a,b", '"say ""hi"", you",']
+
+
+def test_resumed_scans_and_spiders(spark):
+    rows = spark.createDataFrame([(f, n) for f in ("a", "b", "c") for n in range(4)], "file string, row int")
+    assert [(r.file, r.row) for r in snapshots.resumed(rows, "file", "row", ("b", 2), 3).collect()] == [("b", 3), ("c", 0), ("c", 1)]
+    manifest = spark.createDataFrame([(f"s{k}", k != 2, "g") for k in range(6)], "spider string, import_enabled boolean, group string")
+    assert sorted((r.turn, r.spider) for r in snapshots.spiders(manifest, 3, 3).collect()) == [(0, "s4"), (1, "s5"), (2, "s0")]
+
+
+def test_deliveries_are_acknowledged_page_by_page(spark):
+    rows = spark.createDataFrame([(n, f"r{n}") for n in range(1, 8)], "number long, id string")
+    state_ = {"offset": 0, "prefix": None, "complete": False, "pending": None}
+    first = governance.delivery_page(rows, state_, 4, True)
+    assert (first["pending"]["start"], first["pending"]["end"], first["pending"]["complete"]) == (0, 4, False)
+    assert governance.delivery_page(rows, first, 4, True) == first
+    with pytest.raises(ValueError, match="acknowledgement"):
+        governance.acknowledged(first, {"end": 3})
+    state_ = governance.acknowledged(first, first["pending"])
+    second = governance.delivery_page(rows, state_, 4, True)
+    assert second["pending"]["end"] == 7 and second["pending"]["complete"]
+    with pytest.raises(ValueError, match="changed"):
+        governance.delivery_page(rows.withColumn("id", F.upper("id")), state_, 4, True)
+
+
+def test_publication_gate():
+    log, quality = [], iter([("FAIL", {"style_without_confidence": 2}), ("OK", {})])
+    step = lambda name, ok=True: lambda *a: log.append((name, *a)) or ok
+    out = governance.publication_gate(step("health"), lambda: next(quality), step("repair"), step("readiness"), step("capability"), step("write"), step("check"))
+    assert out == {"published": True, "repairs": 1, "stopped_at": None}
+    assert log == [("health",), ("repair",), ("readiness",), ("capability",), ("write", True), ("write", False), ("check",)]
+    stopped = governance.publication_gate(step("h"), lambda: ("FAIL", {"invalid_value": 1, "style_without_confidence": 1}), step("r"), step("x"), step("c"), step("w"), step("k"))
+    assert stopped == {"published": False, "repairs": 0, "stopped_at": "quality"}
+
+
+def test_due_and_requeue(spark):
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    assert values(spark, jobs.due(A.cast("timestamp"), F.lit(24), now), None, "2024-05-31 00:00:00", "2024-05-31 00:00:01") == [True, True, False]
+    assert values(spark, jobs.cadence(A, B == "y", F.lit(0), F.lit(168)), ("fsq_os_places", "y"), ("fsq_os_places", "n"), ("osm", "y")) == [1, 168, 168]
+    rows = spark.createDataFrame([(k, "scrape", "failed" if k < 4 else "pending", e, "w", 3, 3) for k, e in enumerate(["HTTP 503", "HTTP 404 timeout", "Request TIMEOUT", None, None])], "id int, job_type string, status string, last_error string, worker_id string, attempts int, max_attempts int")
+    assert [(r.id, r.status, r.last_error) for r in jobs.requeued(rows, "t", 5, 1).collect()] == [(0, "pending", "requeued t (was: HTTP 503)"), (2, "pending", "requeued t (was: Request TIMEOUT)")]
+    assert jobs.requeued(rows, "t", 5, 0).count() == 0 and [r.id for r in jobs.unclaimable(rows).collect()] == [4]
+
+
+def test_auto_links_need_all_three_identifiers(spark):
+    queue = [(k, "pizza", "ambiguous", "all_the_places", f"s{k}", "P", "1 Main", "313-555-0199" if k else "", "https://p.example/1", 1, "P", 10.0, 0.5, "x", "pending") for k in (0, 1, 2)]
+    q = spark.createDataFrame(queue, "id int, entity_type string, review_kind string, source string, source_id string, source_name string, address string, phone string, website string, nearest_place_id int, nearest_place_name string, nearest_distance_m double, nearest_name_score double, report_file string, status string")
+    p = spark.createDataFrame([(1, "1 Main", "3135550199", "http://www.p.example/1/", None, None, "P", None, None, None, None, None)], "id int, address string, phone string, website_url string, google_place_id string, lifecycle_status string, name string, brand_wikidata string, osm_tags string, status string, rating int, notes string")
+    e = spark.createDataFrame([("pizza", "all_the_places", "s2", 9)], "entity_type string, source string, source_id string, place_id int")
+    rows = review.auto_link(q, p, e, exact_identifiers=True)
+    assert [(r.id, r.auto_link_reason) for r in rows.collect()] == [(1, "exact_identifiers")]
+    state_, history, proof = review.linked(rows, "auto", "2024-06-01")
+    assert state_.first().canonical_place_id == 1 and history.first().previous_status == "pending" and proof.first().place_id == 1
+    assert review.auto_link(q, p, e).count() == 0
+
+
+def test_reports_that_do_not_reconcile(spark):
+    sound = {"candidate_rows": 5, "decision_rows": 5, "route_ready_for_match": 2, "route_closed_evidence_candidate": 1, "route_filtered_non_pizza": 1, "route_excluded_unusable": 1, "route_excluded_out_of_scope": 0, "active_candidates_compared": 2, "closed_candidates_compared": 1,
+             "matched_existing_places": 1, "ambiguous_review_candidates": 0, "likely_new_unmatched_candidates": 1, "closed_signals_matched": 1, "closed_evidence_dropped": 0, "active_matches_with_source_id": 1, "canonical_rows_prefetched": 3, "canonical_snapshot_rows": 9, "grid_cells_built": 2, "canonical_prefetch_tiles": 1}
+    broken = lambda **x: {r.violation for r in matching.report_violations(spark.createDataFrame([sound | x])).collect()}
+    assert broken() == set()
+    assert broken(decision_rows=4) == {"decisions"} and broken(grid_cells_built=4) == {"cells"} and broken(canonical_prefetch_tiles=0) == {"no_tiles"} and broken(likely_new_unmatched_candidates=2) == {"active_dispositions"}
