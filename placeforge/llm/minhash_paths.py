@@ -17,7 +17,7 @@ from placeforge.llm.textkit import LOWER, batch_of, mix, per_text, runs, text_ch
 
 SIGNATURE = 64
 RECALL = 0.9999  # of the trees together, for a pair at the threshold
-LEAF = 256
+LEAF = 1024
 DEPTH = 6
 BRANCHES = 2  # over 1 / threshold, so that the recall of a tree doesn't fall with its depth
 MAYBE = 0.6  # share of equal minhashes below which a link of 0.8 is 4 standard errors away
@@ -149,7 +149,9 @@ def _sized(rows: DataFrame, label: DataFrame | None) -> DataFrame:
         rows = rows.withColumn("label", F.col("rep"))
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.count("*").alias("open"), F.lit(0).cast("long").alias("main")).where("n > 1")
     else:
-        rows = rows.select("node", "rep").join(label.select(F.col("id").alias("rep"), F.col("component").alias("label")), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        shared = cut(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"))
+        rows = rows.select("node", "rep").join(shared, "node")
+        rows = rows.join(label.select(F.col("id").alias("rep"), F.col("component").alias("label")), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         sizes = rows.groupBy("node", "label").agg(F.count("*").alias("k")).groupBy("node").agg(F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("m"))
         sizes = sizes.select("node", "n", (F.col("n") - F.col("m.k")).alias("open"), F.col("m.label").alias("main")).where("open > 0")
     return cut(rows.join(cut(sizes), "node"))  # sizes are written first, so that the join of a crowded node can be split
