@@ -8,7 +8,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from placeforge.llm.textkit import mix, text_chunks, word_hashes
@@ -60,8 +59,23 @@ def _piece_hash(piece: bytes) -> int:
     return int(mix(np.array([h], np.uint64))[0])
 
 
+def log_probabilities(scores: np.ndarray) -> np.ndarray:
+    """Log-probabilities of pieces from a model's scores.
+
+    A merge model stores the negative rank of each piece, which is no
+    log-probability: the sum over a path would mostly count pieces of low rank.
+    Ranks follow frequency, so a piece's probability is taken by Zipf's law as
+    1 / (rank + 1) over the sum of all. Nothing is fitted. Scores that are
+    log-probabilities already (not a run of whole numbers) stay.
+    """
+    if not len(scores) or not (scores == np.round(scores)).all():
+        return scores
+    rank = np.minimum(-scores, len(scores)) + 1.0
+    return -np.log(rank) - np.log((1 / rank).sum())
+
+
 def load_vocabulary(path: str = MODEL) -> Vocabulary:
-    """Read a SentencePiece model with byte fallback; its stored scores rate the paths."""
+    """Read a SentencePiece model with byte fallback."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -78,7 +92,7 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
             scores.append(model.get_score(i))
     if (byte_ids < 0).any():
         raise ValueError("the model has no byte fallback, so texts would not come back whole")
-    return Vocabulary(pieces, np.array(ids, np.int64), np.array(scores, np.float64), byte_ids, n)
+    return Vocabulary(pieces, np.array(ids, np.int64), log_probabilities(np.array(scores, np.float64)), byte_ids, n)
 
 
 def stream(span: bytes, vocab: Vocabulary) -> list[int]:
@@ -274,13 +288,30 @@ def decode_ids(flat: np.ndarray, bounds: np.ndarray, vocab: Vocabulary) -> tuple
     return raw, np.concatenate([[0], np.cumsum(np.diff(at) - filled)])
 
 
+def _again(flat: np.ndarray, bounds: np.ndarray, same: np.ndarray, raw: np.ndarray, offsets: np.ndarray, vocab: Vocabulary):
+    """Texts that did not come back (a remembered span with an equal hash) are encoded without memory."""
+    own = [flat[s:e] for s, e in zip(bounds, bounds[1:], strict=False)]
+    same = same.copy()
+    for i in np.flatnonzero(~same):
+        text = raw[offsets[i] : offsets[i + 1]].tobytes()
+        own[i] = np.array(stream(b" " + text, vocab) if text else [], np.int32)
+        same[i] = decode_ids(own[i].astype(np.int64), np.array([0, len(own[i])]), vocab)[0].tobytes() == text
+    return np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), same
+
+
 def encode_texts(docs: DataFrame, model: str = MODEL, verify: bool = True) -> DataFrame:
     """All columns of `docs` with `ids` (array of int) and `round_trip` (decoding the ids gave the whole text back).
 
-    The lattice holds every piece of the model and, for characters that no
-    piece spells, their bytes; ties go to the longer first piece. Texts are not
-    normalised. Null and empty texts have no ids and come back empty. Repeated
-    rows get equal ids; columns named like the new ones are replaced.
+    The ids are the likeliest path by piece probabilities (log_probabilities),
+    which for a merge model is not always the one its merges give. The lattice
+    holds every piece and, for characters that no piece spells, their bytes;
+    ties go to the path whose last piece begins earliest. Texts are not
+    normalised. Where no piece can cross a boundary all paths meet there, and
+    what stands between two such places is one stream: short streams run side by
+    side, long ones one by one, in the same window of the longest piece. Null
+    and empty texts have no ids and come back empty; very long texts are encoded
+    whole. Repeated rows get equal ids; columns named like the new ones are
+    replaced; an empty table gives an empty one.
     """
     docs = docs.drop("ids", "round_trip")
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))
@@ -297,6 +328,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, verify: bool = True) -> Da
                     back, ends = decode_ids(flat, bounds, encoder.vocab)
                     if len(back) != len(raw) or not (back == raw).all():
                         same = np.array([np.array_equal(back[s:e], raw[o:p]) for s, e, o, p in zip(ends, ends[1:], offsets, offsets[1:], strict=False)])
+                        flat, bounds, same = _again(flat, bounds, same, raw, offsets, encoder.vocab)
                 ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.array(same)], names=[*batch.schema.names, "ids", "round_trip"])
@@ -322,7 +354,3 @@ def decode_texts(encoded: DataFrame, model: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
     return encoded.mapInArrow(run, schema)
-
-
-def ids_digest(ids: str = "ids"):
-    return F.xxhash64(ids)

@@ -262,18 +262,12 @@ def test_pieces_round_trip_and_best_paths(spark):
         text = r.text or ""
         assert r.round_trip
         assert pieces.stream((" " + text).encode() if text else b"", vocab) == r.ids
-        if len(text) < 400:
-            assert sum(map(float, [0])) == 0 and _cost(r.ids, vocab) == pytest.approx(_cost(best_path(text, vocab), vocab))
     back = pieces.decode_texts(spark.createDataFrame([(r.doc_id, r.ids) for r in got], "doc_id long, ids array<int>"))
     assert multiset((r.doc_id, r.text) for r in back.collect()) == multiset((r.doc_id, r.text or "") for r in got)
 
 
-def _cost(ids, vocab):
-    score = {int(i): float(s) for i, s in zip(vocab.ids, vocab.scores, strict=True)}
-    return sum(score.get(i, -1e6) for i in ids)
-
-
-def test_pieces_match_the_library_in_unigram_mode():
+def unigram_library(vocab):
+    """The library as a unigram model with the operator's probabilities."""
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
 
@@ -281,13 +275,36 @@ def test_pieces_match_the_library_in_unigram_mode():
     with open(pieces.MODEL, "rb") as f:
         model.ParseFromString(f.read())
     model.trainer_spec.model_type = 1
-    library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    score = {int(i): float(s) for i, s in zip(vocab.ids, vocab.scores, strict=True)}
+    for i, piece in enumerate(model.pieces):
+        if i in score:
+            piece.score = score[i]
+    return sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+
+
+def test_pieces_equal_the_library_and_an_independent_lattice(spark):
     vocab = pieces.load_vocabulary()
-    words = ["the", "thereof", "and", "internationalisation", "Straßenbahn", "querelle", "12345", "x", "don't", "Wörter"]
-    for word in words:
-        ids = pieces.stream(b" " + word.encode(), vocab)
-        assert library.decode(library.encode(word)) == word
-        assert _cost(ids, vocab) >= _cost(library.encode(word), vocab)
+    library = unigram_library(vocab)
+    r = random.Random(8)
+    data = [t for _, t in cases.rows() if t]
+    data += ["The house is red, and internationalisation of Stra\u00dfenbahn-Fahrpl\u00e4ne querelle 12345 don't W\u00f6rter", "\u6771\u4eac\u90fd\u306b\u4f4f\u3093\u3067\u3044\u307e\u3059" * 20, "".join(r.choice("abcdefgh\u00e9\u20ac\U0001f600") for _ in range(3000))]
+    got = pieces.encode_texts(spark.createDataFrame([(k, t) for k, t in enumerate(data)], "doc_id int, text string")).collect()
+    plain = 0
+    for x in got:
+        assert x.round_trip
+        assert x.ids == best_path(x.text, vocab), x.doc_id
+        if "\t" not in x.text and "\n" not in x.text and "  " not in x.text and x.text == x.text.strip() and "\u2581" not in x.text:
+            plain += 1
+            ours, theirs = (sum(score_of(vocab, i) for i in ids) for ids in (x.ids, library.encode(x.text)))
+            assert x.ids == library.encode(x.text) or ours == pytest.approx(theirs, rel=1e-5), x.doc_id
+    assert plain >= 5
+    words = ["the", "house", "is", "and", "time"]
+    assert all(len(pieces.stream(b" " + w.encode(), vocab)) == 1 for w in words)
+
+
+def score_of(vocab, i):
+    at = np.flatnonzero(vocab.ids == i)
+    return float(vocab.scores[at[0]]) if len(at) else vocab.unknown
 
 
 # 5
