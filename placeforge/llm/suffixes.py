@@ -253,22 +253,23 @@ def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
 
 def _window_keys(segments: DataFrame, length: int) -> DataFrame:
     """(key, anchor, seg, at, w) of every window of the segments of hot anchors."""
-    schema = pa.schema([("key", pa.int64()), ("anchor", pa.int64()), ("seg", pa.int64()), ("at", pa.int32()), ("w", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("check", pa.int64()), ("anchor", pa.int64()), ("seg", pa.int64()), ("at", pa.int32()), ("w", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for anchor, seg, w, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                key = windows_hash(np.frombuffer(raw, np.uint8), length).view(np.int64)
+                own = np.frombuffer(raw, np.uint8)
+                key, check = windows_hash(own, length).view(np.int64), windows_hash(own ^ np.uint8(0x5A), length).view(np.int64)
                 n = len(key)
-                yield batch_of(schema, key, np.full(n, anchor), np.full(n, seg), np.arange(n), np.full(n, w))
+                yield batch_of(schema, key, check, np.full(n, anchor), np.full(n, seg), np.arange(n), np.full(n, w))
 
-    return segments.mapInArrow(run, "key long, anchor long, seg long, at int, w long")
+    return segments.mapInArrow(run, "key long, check long, anchor long, seg long, at int, w long")
 
 
 def _hot_runs(segments: DataFrame, length: int, apart: bool) -> DataFrame:
-    """The same as _expand for anchors with too many texts for one task: windows are counted by fingerprint."""
+    """The same as _expand for anchors with too many texts for one task: windows are counted by two fingerprints (128 bits)."""
     keys = cut(_window_keys(segments, length))
-    same = ["anchor", "key"] if apart else ["key"]
+    same = ["anchor", "key", "check"] if apart else ["key", "check"]
     often = keys.groupBy(*same).agg(F.sum("w").alias("n")).where("n > 1")
     starts = keys.join(often, same).groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("at"))  # at most a segment's windows
     return starts.select("anchor", "seg", F.transform("at", lambda p: F.struct(p.alias("s"), (p + length).cast("int").alias("e"))).alias("runs"))
@@ -293,8 +294,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     segments around an anchor are one with a weight. Anchors with unlike
     segments go through the transform; beyond `group` of them windows are
     counted by fingerprint instead, split over all tasks. Null and empty texts
-    lose nothing (kept is empty); repeated rows count as two texts; columns
-    named like the new ones are replaced.
+    lose nothing (kept is empty); very long texts are read whole; a null doc_id
+    is a row like others; repeated rows count as two texts; ties need no rule,
+    as all of equal strings go; columns named like the new ones are replaced,
+    others stay whatever their names; an empty table gives an empty one.
 
     With `least_words` strings count of that many words, or of `always` bytes;
     no such string may be shorter than `length`, which then is the least overlap
@@ -302,9 +305,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     whole words and bytes stay.
     """
     gram = max(4, length * 8 // 25)
-    docs = docs.drop("kept", "spans", "uid")
-    keyed = docs.withColumn("uid", F.xxhash64("doc_id", "text"))
-    found = cut(_occurrences(keyed.select("uid", F.col("text").cast("string").alias("text")), length, gram, least_words, always))
+    docs = docs.drop("kept", "spans")
+    text = F.col("text").cast("string")
+    # the rows travel as one column, so that no name of theirs can clash
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text.alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
+    found = cut(_occurrences(keyed.select("uid", "text"), length, gram, least_words, always))
     distinct = found.groupBy("anchor", "seg").agg(F.count("*").alias("w"), F.min(F.struct("uid", "first", "last")).alias("one"))
     distinct = cut(distinct.select("anchor", "seg", "w", "one.*"))
     anchor = distinct.groupBy("anchor").agg(F.sum("w").alias("n"), F.count("*").alias("kinds")).where("n > 1")
@@ -313,27 +318,26 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     alike = distinct.where("kinds = 1").select("anchor", "seg", F.array(F.struct(F.lit(0).alias("s"), (stop - F.col("first")).alias("e"))).alias("runs"))
     unlike = distinct.where("kinds > 1")
     wanted = unlike.groupBy("uid").agg(F.collect_list(F.struct("anchor", "seg", F.when(F.col("kinds") > group, -F.col("w")).otherwise(F.col("w")).alias("w"), "first", stop.alias("stop"))).alias("wanted"))
-    texts = keyed.select("uid", F.col("text").cast("string").alias("text")).join(wanted, "uid").dropDuplicates(["uid"])
+    texts = keyed.select("uid", "text").join(wanted, "uid").dropDuplicates(["uid"])
     segments = cut(_segments(texts))
     runs = alike.unionByName(_expand(segments.where("w > 0"), length, least_words > 0)).unionByName(_hot_runs(segments.where("w < 0").withColumn("w", -F.col("w")), length, least_words > 0))
     spans = found.select("uid", "first", "anchor", "seg").join(runs, ["anchor", "seg"])
     spans = spans.select("uid", F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
     spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # at most a text's windows
-    return _cut_texts(keyed.join(spans, "uid", "left").drop("uid"), least_words, always)
+    return _cut_texts(keyed.select("uid", "row").join(spans, "uid", "left").select("row.*", F.col("runs").alias("runs of repeats")), docs, least_words, always)
 
 
-def _cut_texts(rows: DataFrame, least_words: int, always: int) -> DataFrame:
-    names = [c for c in rows.columns if c != "runs"]
-    rows = rows.select(*names, "runs")
+def _cut_texts(rows: DataFrame, docs: DataFrame, least_words: int, always: int) -> DataFrame:
+    names = docs.columns
     at = names.index("text")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    schema = StructType([f for f in rows.schema.fields if f.name != "runs"]).add("kept", "binary").add("spans", ArrayType(StructType().add("start", "long").add("end", "long")))
+    schema = StructType(list(docs.schema.fields)).add("kept", "binary").add("spans", ArrayType(StructType().add("start", "long").add("end", "long")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, spans = [], []
             for text, runs in zip(batch.column(at), batch.column(len(names)), strict=True):
-                raw = str(text.as_py() if text.is_valid else "").encode()
+                raw = str(text.as_py() if text.is_valid else "").encode()  # a text of another type counts as its string
                 merged: list[list[int]] = []
                 if runs.is_valid:
                     for r in sorted((r["s"], r["e"]) for r in runs.as_py()):
