@@ -151,7 +151,11 @@ def brute_repeats(data, length):
 @pytest.mark.parametrize(("length", "group"), [(60, 512), (60, 1), (400, 512)])
 def test_repeats(spark, length, group):
     data = cases.rows()
-    got = suffixes.remove_repeats(cases.frame(spark, data), length=length, group=group).collect()
+    frame = cases.frame(spark, data).withColumnRenamed("key", "uid").withColumnRenamed("node", "runs")
+    found = suffixes.remove_repeats(frame, length=length, group=group)
+    assert found.columns == [c for c in frame.columns if c not in ("kept", "spans")] + ["kept", "spans"]
+    got = found.collect()
+    assert {(r.uid, r.runs) for r in got} == {("k", 1)}
     mine = [(r.doc_id, len((r.text or "").encode()), len((r.text or "").encode()) - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got]
     assert multiset(mine) == multiset(brute_repeats(data, length))
 
@@ -471,12 +475,23 @@ def test_vectors(spark, shard):
     assert all(r.kept == (r.component_id == r.vec_id) for r in got if r.vec_id is not None)
 
 
+def test_audits_of_vectors_without_links_see_misses():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(900, 48)).astype(np.float32)
+    graph = smallworld.Graph(smallworld._unit(x)).build(np.arange(900))
+    beams, search = [], graph.search
+    graph.search = lambda q, beam, near: beams.append(beam) or search(q, beam, near)
+    graph.layers[-1][1][:] = -1  # a graph that reaches nothing
+    assert all(len(f) == 0 for f in smallworld.linked(graph, x, r.normal(size=(30, 48)).astype(np.float32), 0.93))
+    assert max(beams) == 900
+
+
 def test_graph_recall():
     r = np.random.default_rng(1)
     x = smallworld._unit(r.normal(size=(3000, 24)) + 3 * r.normal(size=(40, 24))[r.integers(0, 40, 3000)])
     graph = smallworld.Graph(x).build(np.arange(3000))
     truth = x[:200] @ x.T >= 0.93
-    found, _ = graph.search(x[:200], 64, 0.93)
+    found, _, _ = graph.search(x[:200], 64, 0.93)
     assert sum(len(f) for f in found) >= 0.9 * truth.sum()
 
 
