@@ -15,6 +15,7 @@ from placeforge.llm.textkit import mix, text_chunks, word_hashes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 STEP = 0x9E3779B97F4A7C15
 UNKNOWN_PENALTY = 10.0
+LOOK = 64
 SHORT = 48  # longest span that is decoded side by side with others
 CACHE = 600_000
 
@@ -98,12 +99,23 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
 def stream(span: bytes, vocab: Vocabulary) -> list[int]:
     """Viterbi over one span with a window of the longest piece.
 
-    Ids are committed as soon as all surviving backpointer paths meet in one
-    boundary, so only the open part of the span is held.
+    Ids are committed where all surviving backpointer paths meet in one
+    boundary, so only the open part of the span is held. Whether they meet is
+    looked for when the open part has reached LOOK bytes, and again each time it
+    has doubled, so the looking stays in proportion to the span.
     """
     out: list[int] = []
     best: dict[int, tuple[float, int, tuple[int, ...]]] = {0: (0.0, -1, ())}
-    done = 0
+    done, look = 0, LOOK
+
+    def commit(meet: int) -> None:
+        path, q = [], meet
+        while q > done:
+            path.append(best[q][2])
+            q = best[q][1]
+        for ids in reversed(path):
+            out.extend(ids)
+
     for p in range(len(span)):
         if p in best:
             here = best[p][0]
@@ -118,9 +130,10 @@ def stream(span: bytes, vocab: Vocabulary) -> list[int]:
             q = p + width
             if not single and (q not in best or here + vocab.unknown > best[q][0]):
                 best[q] = (here + vocab.unknown, p, tuple(int(vocab.byte_ids[b]) for b in span[p:q]))
+        if p - done < look:
+            continue
         # paths that can still grow end after p: follow them back to where they meet
-        ends = [q for q in range(p + 1, min(len(span), p + vocab.longest + 3) + 1) if q in best]
-        front = set(ends)
+        front = {q for q in range(p + 1, min(len(span), p + vocab.longest + 3) + 1) if q in best}
         while len(front) > 1:
             last = max(front)
             front.discard(last)
@@ -128,24 +141,14 @@ def stream(span: bytes, vocab: Vocabulary) -> list[int]:
             if min(front) <= done:
                 break
         meet = front.pop() if len(front) == 1 else done
-        if meet > done and meet <= p + 1:
-            path, q = [], meet
-            while q > done:
-                path.append(best[q][2])
-                q = best[q][1]
-            for ids in reversed(path):
-                out += ids
-            for q in list(best):
-                if q < meet:
-                    del best[q]
+        if done < meet <= p + 1:
+            commit(meet)
+            best = {q: x for q, x in best.items() if q >= meet}
             best[meet] = (best[meet][0], -1, ())
-            done = meet
-    path, q = [], len(span)
-    while q > done:
-        path.append(best[q][2])
-        q = best[q][1]
-    for ids in reversed(path):
-        out += ids
+            done, look = meet, LOOK
+        else:
+            look *= 2
+    commit(len(span))
     return out
 
 
