@@ -70,3 +70,51 @@ def test_repeats_of_400_bytes_with_few_words_go(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
     got = {x.doc_id: x.text for x in corpus_pipeline.drop_repeats(spark, docs, "").collect()}
     assert all(shared[5:395] not in got[k] and len(got[k]) <= 600 for k in (0, 1)) and got[2] == data[2][1]
+
+
+CLASHES = ("row", "uid", "kept", "spans", "leaks", "quality_ok", "quality_score", "one", "text_key", "alone", "removed", "node", "label", "runs", "ids")
+
+
+def edge_tables(spark, path, empty=False):
+    import random
+
+    r, words = random.Random(7), cases.vocabulary()
+    long = cases.prose(r, words, 30_000)
+    data = [(k, cases.prose(r, words, 70)) for k in range(40)]
+    data += [(100, data[0][1]), (101, data[0][1]), (5, data[5][1]), (5, cases.prose(r, words, 70)), (46, None), (47, ""), (None, data[1][1]), (None, data[1][1]), (None, None), (200, long), (201, long + " end"), (202, "x" * 200_000)]
+    rows = [(i, t, None if k % 7 == 0 else "en", None if k % 5 == 0 else "s", None if k % 9 == 0 else len(t or ""), *[f"{c}{k}" for c in CLASHES]) for k, (i, t) in enumerate(data)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    if empty:
+        docs = docs.where("false")
+    spark.createDataFrame([(i, 1) for i, _ in data if i is not None] + [(None, 1), (3, None)], "doc_id long, quality int").where("false" if empty else "true").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, cases.prose(r, words, 40)), (None, None), (2, "")], "item_id long, text string").where("false" if empty else "true").write.parquet(f"{path}/benchmark.parquet")
+    return docs
+
+
+def test_stages_take_nulls_long_texts_repeats_and_clashing_columns(spark, tmp_path):
+    docs = edge_tables(spark, tmp_path)
+    before = [x.asDict() for x in docs.collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        after = [x.asDict() for x in out.collect()]
+        mark = {x["row"]: x for x in before}
+        assert all({c: x[c] for c in ("doc_id", "lang", "source", *CLASHES)} == {c: mark[x["row"]][c] for c in ("doc_id", "lang", "source", *CLASHES)} for x in after), name
+        if name in ("quality", "leaks"):
+            assert len(after) == len(before) and sorted(map(repr, after)) == sorted(map(repr, before)), name
+        if name == "near_copies":
+            ids = [x["doc_id"] for x in after]
+            assert 100 not in ids and 101 not in ids and 201 not in ids and 200 in ids and ids.count(5) == 2 and ids.count(None) == 3 and 46 in ids and 47 in ids
+        if name == "repeats":
+            by = {x["doc_id"]: x["text"] for x in after}
+            assert len(after) == len(before) and len(by[200]) < 1000 and by[202] == "" and by[46] is None and by[47] == "" and by[3] == {x["doc_id"]: x["text"] for x in before}[3]
+    out = corpus_pipeline.to_pieces(spark, docs, str(tmp_path))
+    rows = out.collect()
+    assert len(rows) == len(before) and all(x.round_trip and x.n_ids == len(x.ids) for x in rows)
+
+
+def test_stages_take_empty_tables(spark, tmp_path):
+    docs = edge_tables(spark, tmp_path, empty=True)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0 and (name == "pieces" or out.columns == docs.columns), name
