@@ -13,6 +13,7 @@ from placeforge.llm.runtime import cut
 from placeforge.llm.textkit import batch_of
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+LABEL = pa.schema([("id", pa.int64()), ("component", pa.int64())])
 CHUNK = 1 << 19  # links that one task joins at a time
 
 
@@ -52,18 +53,29 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(PAIR, *stars(*(np.concatenate(c) for c in zip(*held, strict=True))))
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links of a partition at once: each id with the smallest of its component, that one too."""
+    held = [(x.column(0).to_numpy(), x.column(1).to_numpy()) for x in batches if x.num_rows]
+    if held:
+        a, b = stars(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        root = np.unique(b)
+        yield batch_of(LABEL, np.concatenate([a, root]), np.concatenate([b, root]))
+
+
 def components(links: DataFrame, rounds: int = 40, chunk: int = CHUNK) -> DataFrame:
     """(id, component): the smallest id reachable over `links` (a, b), for ids that stand in a link.
 
     Links are read in tasks of about `chunk`, each of which turns its own into
-    stars. What the tasks leave apart is joined by alternating large and small
-    stars: each round hangs every vertex and its larger (then smaller)
-    neighbours on the smallest neighbour, until only stars are left. Null ends
-    and self links are left out; an empty table gives an empty one.
+    stars (one task is enough for up to `chunk` of them). What the tasks leave
+    apart is joined by alternating large and small stars: each round hangs every
+    vertex and its larger (then smaller) neighbours on the smallest neighbour,
+    until only stars are left. Null ends and self links are left out; an empty
+    table gives an empty one.
     """
-    links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
-    links = cut(links)
+    links = cut(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b"))
     parts = max(1, -(-links.count() // chunk))
+    if parts == 1:
+        return cut(links.coalesce(1).mapInArrow(_labelled, "id long, component long"))
     edges = cut(links.coalesce(parts).mapInArrow(_contract, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
     for _ in range(rounds):
         if _settled(edges):
@@ -78,7 +90,7 @@ def components(links: DataFrame, rounds: int = 40, chunk: int = CHUNK) -> DataFr
     else:
         raise RuntimeError("components did not settle")
     leaves = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return leaves.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    return cut(leaves.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))
 
 
 def _settled(edges: DataFrame) -> bool:

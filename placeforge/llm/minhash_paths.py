@@ -21,7 +21,7 @@ LEAF = 1024
 DEPTH = 6
 BRANCHES = 2  # over 1 / threshold, so that the recall of a tree doesn't fall with its depth
 MAYBE = 0.6  # share of equal minhashes below which a link of 0.8 is 4 standard errors away
-UNIT = 1024  # sets that one task compares whole
+UNIT = 4096  # sets that one task compares whole
 UNIT_VALUES = 1 << 20  # and their shingles
 RARE = 12  # shingles of so few sets are counted pair by pair
 
@@ -130,8 +130,8 @@ def alike(unit: np.ndarray, label: np.ndarray, sig: np.ndarray, maybe: float) ->
     return stars(np.concatenate(a), np.concatenate(b))
 
 
-def _candidates(rows: DataFrame, reps: DataFrame, maybe: float) -> DataFrame:
-    """(a, b): stars over what may be alike within each unit; rows: unit, rep, label."""
+def _candidates(rows: DataFrame, maybe: float) -> DataFrame:
+    """(a, b): stars over what may be alike within each unit; rows: unit, label, sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, 0):
@@ -139,22 +139,21 @@ def _candidates(rows: DataFrame, reps: DataFrame, maybe: float) -> DataFrame:
                 a, b = alike(table["unit"].to_numpy(), table["label"].to_numpy(), _matrix(table["sig"]), maybe)
                 yield batch_of(PAIR, a, b)
 
-    full = rows.select("unit", "rep", "label").join(reps.select("rep", "sig"), "rep").select("unit", "label", "sig")
-    return full.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
+    return rows.select("unit", "label", "sig").repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
 
 
-def _sized(rows: DataFrame, label: DataFrame | None) -> DataFrame:
-    """node, rep, label, n and `open` (members outside the node's commonest label `main`), of nodes that are not all one label."""
-    if label is None:
-        rows = rows.withColumn("label", F.col("rep"))
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.count("*").alias("open"), F.lit(0).cast("long").alias("main")).where("n > 1")
-    else:
-        shared = cut(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"))
-        rows = rows.select("node", "rep").join(shared, "node")
-        rows = rows.join(label.select(F.col("id").alias("rep"), F.col("component").alias("label")), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        sizes = rows.groupBy("node", "label").agg(F.count("*").alias("k")).groupBy("node").agg(F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("m"))
-        sizes = sizes.select("node", "n", (F.col("n") - F.col("m.k")).alias("open"), F.col("m.label").alias("main")).where("open > 0")
-    return cut(rows.join(cut(sizes), "node"))  # sizes are written first, so that the join of a crowded node can be split
+def _sized(rows: DataFrame) -> DataFrame:
+    """The rows with n, the members of their node, where there are more than one."""
+    sizes = cut(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"))  # written first, so that the join of a crowded node can be split
+    return cut(rows.join(sizes, "node"))
+
+
+def _opened(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows with label, `main` (the node's commonest label) and `open` (members outside it), of nodes that are not all one label."""
+    rows = rows.join(label.select(F.col("id").alias("rep"), F.col("component").alias("label")), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    sizes = rows.groupBy("node", "label").agg(F.count("*").alias("k")).groupBy("node").agg(F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("m"))
+    sizes = cut(sizes.select("node", (F.col("all") - F.col("m.k")).alias("open"), F.col("m.label").alias("main")).where("open > 0"))
+    return cut(rows.join(sizes, "node"))
 
 
 def _dealt(rows: DataFrame, group: str, parts: Column, open_parts: Column, is_open: Column) -> DataFrame:
@@ -182,31 +181,29 @@ def candidate_groups(reps: DataFrame, roots: DataFrame, leaf: int = LEAF, depth:
     which each meets each. No task lists pairs: each gives at most one link
     for each member, which joins it to a group.
     """
-    found, label = None, None
+    found = None
     width = F.length("sig")
-    rows = roots.select("rep", "node")
+    rows = roots.select("rep", "node").join(reps.select("rep", "sig"), "rep") if "sig" not in roots.columns else roots.select("rep", "node", "sig")
     for level in range(depth + 1):
-        rows = _sized(rows, label)
-        more = _candidates(rows.where(F.col("n") <= leaf).withColumn("unit", F.col("node")), reps, maybe)
-        big = rows.where(F.col("n") > leaf)
-        last = big.isEmpty()
-        if not last:
-            block = F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / leaf).cast("long"))
-            more = more.unionByName(_candidates(big.withColumn("unit", F.xxhash64("node", block)), reps, maybe))
+        rows = _sized(rows)
+        crowded = F.col("n") > leaf
+        block = F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / leaf).cast("long"))
+        unit = F.when(crowded, F.xxhash64("node", block)).otherwise(F.col("node"))
+        more = _candidates(rows.select(unit.alias("unit"), F.col("rep").alias("label"), "sig"), maybe)
         found = cut(more if found is None else more.unionByName(found))
-        if last:
+        big = rows.where(crowded)
+        if big.isEmpty():
             break
-        label = cut(components(found))
-        big = _sized(big, label)
+        big = _opened(big, components(found))
         few = (F.col("open") <= 2 * leaf) if level < depth else F.lit(True)
         parts, open_parts = F.ceil(F.col("n") / leaf).cast("int"), F.ceil(F.col("open") / leaf).cast("int")
         near = _dealt(big.where(few), "node", parts, open_parts, F.col("label") != F.col("main"))
-        found = cut(found.unionByName(_candidates(near, reps, maybe)))
-        many = big.where(~few).select("node", "rep").join(reps.select("rep", "sig"), "rep")
-        branch = [F.xxhash64("node", F.lit(b), F.substring("sig", F.pmod(F.xxhash64("node", F.lit(b)), width).cast("int") + 1, F.lit(1))) for b in range(BRANCHES)]
-        rows = cut(many.select("rep", F.explode(F.array(*branch)).alias("node")))
-        if rows.isEmpty():
+        found = cut(found.unionByName(_candidates(near, maybe)))
+        many = big.where(~few)
+        if level == depth or many.isEmpty():
             break
+        branch = [F.xxhash64("node", F.lit(b), F.substring("sig", F.pmod(F.xxhash64("node", F.lit(b)), width).cast("int") + 1, F.lit(1))) for b in range(BRANCHES)]
+        rows = cut(many.select("rep", F.explode(F.array(*branch)).alias("node"), "sig"))
     return components(found)
 
 
@@ -269,7 +266,10 @@ def _linked(rows: DataFrame, percent: int) -> DataFrame:
             both = len(np.intersect1d(*sets, assume_unique=True))
             return [(rep[0], rep[1])] if label[0] != label[1] and both and 100 * both >= percent * (size.sum() - both) else []
         both = shared_counts(sets)
-        near = (both > 0) & (100 * both >= percent * (size[:, None] + size[None, :] - both))
+        near = np.empty(both.shape, bool)
+        for k in range(0, len(size), 256):  # a few rows at a time, as the numbers are wide
+            part = both[k : k + 256]
+            near[k : k + 256] = (part > 0) & (100.0 * part >= percent * (size[k : k + 256, None] + size[None, :] - part))
         np.fill_diagonal(near, False)
         return [(rep[i], rep[j]) for i, j in forest(near, label)]
 
@@ -301,11 +301,11 @@ def connect(reps: DataFrame, roots: DataFrame, sets_of: Callable[[DataFrame], Da
     outside a group's main component meet all of it in blocks. Tasks give
     spanning links only, so rows stay linear in the members.
     """
-    groups = cut(candidate_groups(reps, roots, leaf, depth, maybe))
+    groups = candidate_groups(reps, roots, leaf, depth, maybe)
     sets = cut(sets_of(groups.select(F.col("id").alias("rep"))))
     own = groups.select(F.col("id").alias("rep"), F.col("component").alias("node")).join(reps.select("rep", F.col("n").alias("size")), "rep")
     weight = F.greatest(F.ceil(F.col("k") / unit), F.ceil(F.col("v") / unit_values)).cast("int")
-    sizes = cut(own.groupBy("node").agg(F.count("*").alias("k"), F.sum("size").alias("v")).select("node", weight.alias("parts")))
+    sizes = cut(own.groupBy("node").agg(F.count("*").alias("k"), F.sum("size").alias("v")).select("node", "k", weight.alias("parts")))
     rows = own.select("rep", "node").join(sizes, "node").withColumn("label", F.col("rep"))
     small = rows.where("parts = 1").select(F.col("node").alias("unit"), "rep", "label").join(sets, "rep")
     large = cut(rows.where("parts > 1"))
@@ -316,9 +316,8 @@ def connect(reps: DataFrame, roots: DataFrame, sets_of: Callable[[DataFrame], Da
         block = F.pmod(F.xxhash64("rep", F.lit(salt)), F.col("parts").cast("long"))
         links = links.unionByName(_linked(large.select(F.xxhash64("node", block).alias("unit"), "rep", "label").join(sets, "rep"), percent))
     links = cut(links)
-    label = cut(components(links))
-    open_ = _sized(large.select("node", "rep"), label).join(sizes.select("node", "parts"), "node")
-    open_parts = F.ceil(F.col("open") * F.col("parts") / F.col("n")).cast("int")
+    open_ = _opened(large.select("node", "rep", "k", "parts"), components(links))
+    open_parts = F.ceil(F.col("open") * F.col("parts") / F.col("k")).cast("int")
     dealt = _dealt(open_, "node", F.col("parts"), open_parts, F.col("label") != F.col("main"))
     return cut(links.unionByName(_linked(dealt.select("unit", "rep", "label").join(sets, "rep"), percent)))
 
@@ -351,11 +350,11 @@ def grouped(docs: DataFrame, size: int, percent: int, recall: float = RECALL, le
     known = sigs.where("set_key is not null and doc_id is not null")
     reps = known.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("sig").alias("sig"), F.first("roots").alias("roots"), F.first("n_shingles").alias("n"))
     reps = cut(reps.withColumn("rep", F.col("one.doc_id")))
-    again = cut(reps.groupBy("rep").agg(F.min("set_key").alias("least"), F.count("*").alias("k")).where("k > 1").select("rep", "least"))
-    if not again.isEmpty():  # an id with unlike texts is the first of several classes: all but one go by a number of their own
+    again = reps.groupBy("rep").agg(F.min("set_key").alias("least"), F.count("*").alias("k")).where("k > 1").select("rep", "least")
+    if again.count():  # an id with unlike texts is the first of several classes: all but one go by a number of their own
         reps = reps.join(again, "rep", "left")
         reps = cut(reps.withColumn("rep", F.when(F.col("least") != F.col("set_key"), F.xxhash64("set_key")).otherwise(F.col("rep"))).drop("least"))
-    roots = reps.select("rep", F.explode(F.array(*(F.xxhash64(F.lit(t), F.substring("roots", t * 4 + 1, 4)) for t in range(trees)))).alias("node"))
+    roots = reps.select("rep", "sig", F.explode(F.array(*(F.xxhash64(F.lit(t), F.substring("roots", t * 4 + 1, 4)) for t in range(trees)))).alias("node"))
 
     def sets_of(ids: DataFrame) -> DataFrame:
         return document_sets(docs, reps.select("rep", "one.*").join(ids, "rep", "left_semi"), size)

@@ -161,7 +161,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     units = cut(_units(docs, bands, rows))
     lines = _lines(units, bands)
     reps = cut(lines.groupBy(F.col("key").alias("rep")).agg(F.min("one").alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
-    roots = reps.select("rep", F.explode(F.array(*(F.xxhash64(F.lit(b), F.substring("bands", b * 8 + 1, 8)) for b in range(bands)))).alias("node"))
+    roots = reps.select("rep", "sig", F.explode(F.array(*(F.xxhash64(F.lit(b), F.substring("bands", b * 8 + 1, 8)) for b in range(bands)))).alias("node"))
     links = connect(reps.select("rep", "sig", "n"), roots, lambda ids: _line_sets(docs, reps.select("rep", "one").join(ids, "rep", "left_semi")), PERCENT, maybe=MAYBE)
     near = components(links).select(F.col("id").alias("key"), "component")
     flat = _flat(units)
