@@ -47,8 +47,8 @@ tree AS (SELECT c.*, CASE WHEN wild IS NULL THEN steps ELSE list_transform(steps
 nodes AS (SELECT host, template, len(template) AS depth, CASE WHEN len(template) > 0 THEN template[1:len(template) - 1] ELSE template END AS parent, sum(m) AS m, sum(b) AS b FROM tree GROUP BY 1, 2),
 pooled AS (SELECT *, sum(m) OVER (PARTITION BY host, parent, depth) AS pm, sum(b) OVER (PARTITION BY host, parent, depth) AS pb FROM nodes),
 merged AS (SELECT *, m > 0 AND abs(b / m - (pb + 1) / (pm + 2)) / sqrt((pb + 1) / (pm + 2) * (1 - (pb + 1) / (pm + 2)) / m) <= {urls.ALIKE} AS alike FROM (SELECT * REPLACE (CAST(m AS DOUBLE) AS m, CAST(b AS DOUBLE) AS b, CAST(pm AS DOUBLE) AS pm, CAST(pb AS DOUBLE) AS pb) FROM pooled)),
-shares AS (SELECT *, sum(m) OVER (PARTITION BY template) AS gm, sum(b) OVER (PARTITION BY template) AS gb, sum(m) OVER () AS rm, sum(b) OVER () AS rb FROM merged),
-purity AS (SELECT host, template, ((CASE WHEN alike THEN pb ELSE b END) + {urls.SMOOTH} * (gb + {urls.SMOOTH} * (rb + 1) / (rm + 2)) / (gm + {urls.SMOOTH})) / ((CASE WHEN alike THEN pm ELSE m END) + {urls.SMOOTH}) AS purity FROM shares)
+shares AS (SELECT *, sum(m) FILTER (WHERE alike) OVER (PARTITION BY host, parent, depth) AS am, sum(b) FILTER (WHERE alike) OVER (PARTITION BY host, parent, depth) AS ab, sum(m) OVER (PARTITION BY template) AS gm, sum(b) OVER (PARTITION BY template) AS gb, sum(m) OVER () AS rm, sum(b) OVER () AS rb FROM merged),
+purity AS (SELECT host, template, ((CASE WHEN alike THEN ab ELSE b END) + {urls.SMOOTH} * (gb + {urls.SMOOTH} * (rb + 1) / (rm + 2)) / (gm + {urls.SMOOTH})) / ((CASE WHEN alike THEN am ELSE m END) + {urls.SMOOTH}) AS purity FROM shares)
 SELECT base.page_id, base.host, base.path, base.rule, coalesce(base.ruled, CASE WHEN purity >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(tree.template, '/') AS template, round(purity, 6) AS purity
 FROM base JOIN tree ON base.host = tree.host AND base.steps = tree.steps JOIN purity ON tree.host = purity.host AND tree.template = purity.template
 """

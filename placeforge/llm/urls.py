@@ -43,13 +43,15 @@ def judge_urls(pages: DataFrame, rules=RULES, branches: int = BRANCHES, reject:
 
     Rules decide first. Their verdicts also label the tree: each host's paths
     become segments, variable ones (digits, long or mixed ids, or a depth with
-    more than `branches` segments) become `*`. Sibling branches whose blocked
-    shares do not differ significantly are merged. A template's purity is its
-    blocked share, smoothed towards the same template over all hosts and that
+    more than `branches` segments) become `*`. Sibling leaves whose blocked
+    share does not differ significantly from that of all of them are merged into
+    one branch. A template's purity is its branch's blocked share, smoothed towards the same template over all hosts and that
     towards the share over all pages; from `reject` on its pages are blocked.
     A url that is null or has no `://` has an empty host and path and is judged
-    by the purity of the empty template. Repeated rows are judged alike; an
-    empty table gives an empty one; other columns are not read.
+    by the purity of the empty template. A purity of just `reject` blocks; of
+    rules of one length the longer host, then block, wins. Repeated rows are
+    judged alike and count as often as they stand; very long urls are read
+    whole; an empty table gives an empty one; other columns are not read.
     """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     base = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
@@ -73,7 +75,11 @@ def judge_urls(pages: DataFrame, rules=RULES, branches: int = BRANCHES, reject:
     share = (F.col("pb") + 1) / (F.col("pm") + 2)
     z = F.abs(F.col("b") / F.col("m") - share) / F.sqrt(share * (1 - share) / F.col("m"))
     merged = (F.col("m") > 0) & (z <= ALIKE)
-    nodes = nodes.select("host", "template", F.when(merged, F.col("pm")).otherwise(F.col("m")).alias("m"), F.when(merged, F.col("pb")).otherwise(F.col("b")).alias("b"), F.col("m").alias("own_m"), F.col("b").alias("own_b"))
+    nodes = nodes.withColumn("merged", merged)
+    # a merged branch holds what is alike, not the siblings that differ
+    alike = nodes.where("merged").groupBy("host", "parent", "depth").agg(F.sum("m").alias("am"), F.sum("b").alias("ab"))
+    nodes = nodes.join(alike, ["host", "parent", "depth"], "left")
+    nodes = nodes.select("host", "template", F.when(F.col("merged"), F.col("am")).otherwise(F.col("m")).alias("m"), F.when(F.col("merged"), F.col("ab")).otherwise(F.col("b")).alias("b"), F.col("m").alias("own_m"), F.col("b").alias("own_b"))
 
     everywhere = nodes.groupBy("template").agg(F.sum("own_m").alias("gm"), F.sum("own_b").alias("gb"))
     root = nodes.agg(F.sum("own_m").alias("rm"), F.sum("own_b").alias("rb"))
