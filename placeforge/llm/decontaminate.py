@@ -15,7 +15,7 @@ from placeforge.llm.textkit import LOWER, SPACE, mix, text_chunks
 Q = 10
 WINDOW = 120
 RATE = 0.07
-INDEX_BYTES = 32 << 20
+INDEX_BYTES = 4 << 20  # of items; a task holds about 40 times as much while it sorts them
 BITS = 22
 STARTS = 1024  # windows that are aligned at a time
 FOLD = LOWER.copy()

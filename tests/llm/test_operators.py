@@ -542,6 +542,50 @@ def test_leaks_of_edited_excerpts_of_longer_items():
         assert found(bytes(own)) == []
 
 
+def semi_global(pattern, text):
+    """The least edits that turn the pattern into any part of the text."""
+    row = np.zeros(len(text) + 1, np.int32)
+    place = np.arange(len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = np.empty_like(row)
+        new[0] = i
+        new[1:] = np.minimum(row[:-1] + (text != c), row[1:] + 1)
+        row = np.minimum.accumulate(new - place) + place
+    return int(row.min())
+
+
+def test_leaks_by_brute_force(spark):
+    r, words = random.Random(31), cases.vocabulary(7)
+    items = [(k, " ".join(r.choice(words) for _ in range(n))) for k, n in enumerate((30, 22, 9, 4, 3))]
+    data = []
+    for n in range(70):
+        k, edits = n % 5, n // 5
+        raw = bytearray(items[k][1].encode())
+        if len(raw) > 130:
+            first = r.randint(0, len(raw) - 125)
+            raw = raw[first : first + 125]
+        for _ in range(edits):
+            at = r.randrange(len(raw))
+            raw[at : at + 1] = r.choice([b"#", b"", bytes([raw[at]]) + b"#"])
+        data.append((n, cases.prose(r, words, 5) + " " + raw.decode("utf-8", "replace") + " " + cases.prose(r, words, 5)))
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    got = {x.doc_id: {h.item_id for h in x.leaks} for x in decontaminate.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    hits = 0
+    for i, text in data:
+        folded = decontaminate.FOLD[np.frombuffer(text.encode(), np.uint8)]
+        want = set()
+        for k, item in items:
+            own = decontaminate.FOLD[np.frombuffer(item.encode(), np.uint8)]
+            if len(own) < decontaminate.Q:
+                continue
+            window, edits, _ = decontaminate.budget(len(own))
+            if any(semi_global(own[at : at + window], folded) <= edits for at in range(len(own) - window + 1)):
+                want.add(k)
+        hits += len(want)
+        assert got[i] == want, (i, got[i], want)
+    assert 25 < hits < 70
+
+
 def test_banded_alignment_is_the_edit_distance():
     r = random.Random(3)
     for _ in range(60):

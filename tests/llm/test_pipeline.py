@@ -118,3 +118,41 @@ def test_stages_take_empty_tables(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, str(tmp_path))
         assert out.count() == 0 and (name == "pieces" or out.columns == docs.columns), name
+
+
+def test_repeats_by_brute_force(spark):
+    """All bytes of every repeated window of 51 words go, and none goes that no repeated string of PASSAGE bytes covers."""
+    import random
+    from collections import Counter
+
+    r, words = random.Random(12), cases.vocabulary(5)
+    shared = [cases.prose(r, words, n).replace("\n", " ") for n in (51, 52, 60, 90, 45, 30)]
+    data = []
+    for k in range(40):
+        parts = [cases.prose(r, words, r.randint(5, 60)) for _ in range(3)]
+        parts.insert(r.randint(0, 3), r.choice(shared))
+        data.append((k, r.choice([" ", "\n"]).join(parts)))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.suffixes.remove_repeats(corpus_pipeline.packed(docs), length=corpus_pipeline.PASSAGE, least_words=corpus_pipeline.WORDS, always=400)
+    got = {x.doc_id: [(s.start, s.end) for s in x.spans] for x in found.collect()}
+    import re
+
+    spots = {i: [m.span() for m in re.finditer(rb"\S+", t.encode())] for i, t in data}
+    raw = {i: t.encode() for i, t in data}
+    window = Counter(raw[i][w[k][0] : w[k + 50][1]] for i, w in spots.items() for k in range(len(w) - 50))
+    length = corpus_pipeline.PASSAGE
+    string = Counter(b[k : k + length] for b in raw.values() for k in range(len(b) - length + 1))
+    must_all = 0
+    for i, w in spots.items():
+        must, may = set(), set()
+        for k in range(len(w) - 50):
+            if window[raw[i][w[k][0] : w[k + 50][1]]] > 1:
+                must |= set(range(w[k][0], w[k + 50][1]))
+        for k in range(len(raw[i]) - length + 1):
+            if string[raw[i][k : k + length]] > 1:
+                may |= set(range(k, k + length))
+        gone = {x for s, e in got[i] for x in range(s, e)}
+        must_all += len(must)
+        assert must <= gone <= may, i
+        assert all(len(raw[i][s:e].split()) >= 51 or e - s >= 400 for s, e in got[i])
+    assert must_all > 5000
