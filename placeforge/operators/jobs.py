@@ -135,3 +135,27 @@ def backlog(candidates: DataFrame, last: DataFrame, by: list[str]) -> DataFrame:
         F.count("*").alias("candidates"), F.count_if(s.isNull()).alias("missing_job"), *(F.count_if(s == x).alias(x) for x in known[:3]),
         F.count_if((s == "completed") & (retries < 1)).alias("retryable_partial"), F.count_if((s == "completed") & (retries >= 1)).alias("exhausted_partial"), F.count_if(~s.isin(*known)).alias("other"),
     )
+
+
+def minutes_since(at: Column, as_of: str) -> Column:
+    """Minutes, to one decimal."""
+    return F.round((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(at)) / 60000000.0, 1)
+
+
+def stale_jobs(jobs: DataFrame, as_of: str, minutes: int, job_type: str = "classify") -> DataFrame:
+    """Jobs that have been processing for more than `minutes`, oldest first; jobs: started_at."""
+    late = F.col("started_at") < F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    return jobs.where((F.col("job_type") == job_type) & (F.col("status") == "processing") & late).withColumn("minutes_processing", minutes_since(F.col("started_at"), as_of)).orderBy("started_at")
+
+
+def stale_workers(workers: DataFrame, as_of: str, minutes: int) -> DataFrame:
+    """Workers that are not idle (or hold a job) and have been silent for more than `minutes`."""
+    late = F.col("last_heartbeat") < F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    busy = (F.col("status") != "idle") | F.col("current_job_id").isNotNull()
+    return workers.where(late & busy).withColumn("minutes_since_heartbeat", minutes_since(F.col("last_heartbeat"), as_of)).orderBy("last_heartbeat")
+
+
+def runnable(jobs: DataFrame, control: DataFrame) -> DataFrame:
+    """Jobs of types that are not paused; control: key, value, with `true` at pause_<type>."""
+    paused = control.where("value = 'true' and key like 'pause!_%' escape '!'").select(F.expr("substring(key, 7)").alias("job_type"))
+    return jobs.join(F.broadcast(paused), "job_type", "left_anti")  # one row for each job type

@@ -72,3 +72,11 @@ def ledger_changes(commands: DataFrame, versions: DataFrame) -> DataFrame:
     rows = rows.join(versions.select("source_id", F.col("version").alias("_ledger")), "source_id", "left")
     last = F.when(F.col("_rank") == 1, F.col("_ledger")).otherwise(F.col("_before"))
     return rows.withColumn("changed", ~F.col("version").eqNullSafe(last)).drop("_before", "_rank", "_ledger")
+
+
+def readiness(rows: DataFrame, batch: int = 500) -> DataFrame:
+    """Of compared rows (payload) how many would be updated, are unchanged, missing or held back, and the batches of the write."""
+    missing, update = F.col("verdict") == "missing", F.col("publish")
+    held = ~F.col("verdict").startswith("ok") & ~missing
+    out = rows.agg(F.count("*").alias("rows"), F.count_if(update).alias("would_update"), F.count_if(missing).alias("missing"), F.count_if(held).alias("held_back"), F.sum(F.when(update, F.size("changed")).otherwise(0)).alias("changed_fields"))
+    return out.withColumn("unchanged", F.col("rows") - F.col("would_update") - F.col("missing") - F.col("held_back")).withColumn("batches", F.ceil(F.col("would_update") / batch))

@@ -218,6 +218,25 @@ def unpublished_imports(places: DataFrame, evidence: DataFrame, queue: DataFrame
     return rows.join(e.unionByName(q).distinct(), "id", "left_semi").join(public, "id", "left_anti")
 
 
+def filled_places(places: DataFrame, promoted: DataFrame, most: int) -> DataFrame:
+    """Places whose blank website or phone a promotion fills, the first `most` by id, as they then are; promoted: place_id, field, value."""
+    value = lambda f: F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"new_{f}")
+    new = promoted.groupBy(F.col("place_id").alias("id")).agg(value("website_url"), value("phone"))
+    blank = lambda c: F.col(c).isNull() | (F.col(c) == "")
+    rows = places.join(new, "id").where((F.col("new_website_url").isNotNull() & blank("website_url")) | (F.col("new_phone").isNotNull() & blank("phone"))).orderBy("id").limit(most)
+    fill = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"new_{c}"))
+    return rows.withColumns({c: fill(c) for c in ("website_url", "phone")}).drop("new_website_url", "new_phone")
+
+
+def known_identities(candidates: DataFrame, external: DataFrame, places: DataFrame, entity: str = "pizza") -> DataFrame:
+    """Identities of the candidates that exist: external ones as source:id, and legacy ids of places; once each."""
+    own = F.when(F.col("source") == "osm", F.regexp_replace(F.trim("source_id"), "^osm:", "")).otherwise(F.trim("source_id"))
+    keys = candidates.select(F.trim("source").alias("source"), own.alias("source_id"), "google_place_id").where("source <> '' and source_id <> '' and google_place_id is not null")
+    hit = external.where(F.col("entity_type") == entity).select("source", F.col("external_id").alias("source_id")).join(keys, ["source", "source_id"], "left_semi")
+    legacy = places.select("google_place_id").join(candidates.select("google_place_id"), "google_place_id", "left_semi")
+    return hit.select(F.concat_ws(":", "source", "source_id").alias("identity")).unionByName(legacy.select(F.concat(F.lit("legacy:"), "google_place_id").alias("identity"))).distinct()
+
+
 def review_rows(decisions: DataFrame) -> DataFrame:
     """Queue rows: ambiguous ones with their best place, likely new ones with the nearest; without id blocked."""
     kind = F.when(F.col("disposition") == "ambiguous_review", "ambiguous").when(F.col("disposition") == "likely_new", "likely_new")

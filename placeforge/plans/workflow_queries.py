@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from placeforge.operators import governance, review, rules
+from placeforge.operators import governance, publish, review, rules
 from placeforge.operators import jobs as J
 from placeforge.operators import matching as M
 from placeforge.operators.order import running
 from placeforge.plans import fixtures as X
-from placeforge.plans.queries import _BRAND, _PLAIN, AS_OF, Q_MATCH, SQL, T, candidates, decisions, q_digits, q_first, q_letters, q_spaced, q_url, query
-from placeforge.sources import snapshots, tiles
+from placeforge.plans.queries import _BRAND, _PAYLOAD, _PLAIN, AS_OF, Q_MATCH, SQL, T, candidates, decisions, payloads, q_digits, q_first, q_letters, q_norm, q_spaced, q_url, query
+from placeforge.sources import feeds, snapshots, tiles
 
 _FILTER = lambda cond, name: f"count(*) FILTER (WHERE {cond}) AS {name}"
 
@@ -359,3 +359,77 @@ def _(spark, sf):
 @query("S15_S18_subtiles", "SELECT count(*) AS n FROM range(4) t(i), range(4) u(j)")
 def _(spark, sf):
     return tiles.split(spark, (40.0, -84.0, 41.0, -82.0), 4).agg(F.count("*").alias("n"))
+
+
+_META = ", ".join(f"('{k}', '{a}', '{b}')" for k, (a, b) in feeds.ATTRIBUTION.items())
+
+
+@query("N28_attribution", X.sql("evidence", "candidate") + f"SELECT s.source, coalesce(m.license, 'source-specific') AS license, coalesce(m.attribution, s.source) AS attribution FROM (SELECT source FROM evidence UNION SELECT source FROM candidate UNION SELECT 'p' || c_mktsegment FROM customer) s LEFT JOIN (VALUES {_META}) m(source, license, attribution) ON s.source = m.source")
+def _(spark, sf):
+    e, c = T(spark, sf, "evidence", "candidate")
+    sources = e.select("source").unionByName(c.select("source")).unionByName(X.raw(spark, sf, "customer").select(F.concat(F.lit("p"), "c_mktsegment").alias("source"))).distinct()
+    a, b = feeds.source_metadata(F.col("source"))
+    return sources.select("source", a.alias("license"), b.alias("attribution"))
+
+
+@query("N26_public_states", "SELECT r_regionkey, CASE WHEN length(trim(r_name)) <= 10 THEN trim(r_name) ELSE 'ME' END AS state FROM region")
+def _(spark, sf):
+    return X.raw(spark, sf, "region").select("r_regionkey", governance.public_state(F.col("r_name"), {"middle east": "ME"}).alias("state"))
+
+
+_RAW = """'{"id":' || coalesce('"' || sid || '"', 'null') || ',"name":' || coalesce('"' || name || '"', 'null') || '}'"""
+_NUMBER = lambda x: f"regexp_replace(CAST({x} AS STRING), '\\.0$', '')"
+
+
+@query("N4_envelopes", X.sql("candidate") + f""", r AS (SELECT CASE WHEN c_custkey % 4 <> 0 THEN source_id END AS sid, c_custkey, name, lat, lng, region FROM candidate), e AS (SELECT *, coalesce(sid, 'fallback-v1:sha256:' || sha256('{{"address":"","country":"us","lat":' || {_NUMBER('lat')} || ',"lng":' || {_NUMBER('lng')} || ',"locality":"","name":"' || {q_norm('name')} || '","postcode":"","region":"' || {q_norm('region')} || '"}}')) AS external_id, {_RAW} AS raw FROM r),
+  k AS (SELECT *, 'srk_' || sha256('{{"externalId":"' || external_id || '","profile":"places","sourceNamespace":"registry"}}') AS source_record_key FROM e) SELECT c_custkey, external_id, source_record_key, 'obs_' || sha256('{{"payload":' || raw || ',"sourceRecordKey":"' || source_record_key || '","sourceRevision":null}}') AS observation_id FROM k""")
+def _(spark, sf):
+    rows = T(spark, sf, "candidate").withColumn("sid", F.when(F.col("c_custkey") % 4 != 0, F.col("source_id")))
+    none = F.lit(None).cast("string")
+    rows = rows.select("c_custkey", F.expr(_RAW).alias("raw"), F.col("sid").alias("source_id"), "name", "lat", "lng", "region", none.alias("address"), none.alias("locality"), none.alias("postcode"), F.lit("US").alias("country"))
+    return feeds.envelopes(rows, "places", "registry").select("c_custkey", "external_id", "source_record_key", "observation_id")
+
+
+@query("S9_wikidata_seeds", X.sql("canonical") + ", q AS (SELECT id, name, brand_wikidata AS qid FROM canonical UNION ALL SELECT id, name, json_extract_string(osm_tags, '$.\"brand:wikidata\"') FROM canonical UNION ALL SELECT id, name, json_extract_string(osm_tags, '$.\"operator:wikidata\"') FROM canonical) SELECT qid, id, name, 'entity ' || qid AS label FROM (SELECT qid, min(id) AS id, arg_min(name, id) AS name FROM q WHERE regexp_matches(qid, '^Q[0-9]+$') GROUP BY 1) WHERE qid <> 'Q3'")
+def _(spark, sf):
+    c = T(spark, sf, "canonical")
+    entities = spark.createDataFrame([(f"Q{k}", f"entity Q{k}") for k in range(10) if k != 3], "qid string, label string")
+    return feeds.wikidata_seeds(c, F.broadcast(entities))
+
+
+@query("A8_stale_jobs", X.sql("jobs") + f"SELECT id, round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(created_at)) / 60000000e0, 1) AS minutes_processing FROM jobs WHERE job_type = 'classify' AND status = 'processing' AND created_at < TIMESTAMP '{AS_OF}' - INTERVAL 200000 MINUTE")
+def _(spark, sf):
+    return J.stale_jobs(T(spark, sf, "jobs").withColumnRenamed("created_at", "started_at"), AS_OF, 200_000).select("id", "minutes_processing")
+
+
+@query("A8_stale_workers", X.sql("workers") + f", w AS (SELECT worker_id, max(last_heartbeat) AS last_heartbeat, arg_max(current_job_id, (last_heartbeat, current_job_id)) AS current_job_id, arg_max(status, (last_heartbeat, current_job_id)) AS status FROM workers GROUP BY 1) SELECT worker_id, round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(last_heartbeat)) / 60000000e0, 1) AS minutes_since_heartbeat FROM w WHERE last_heartbeat < TIMESTAMP '{AS_OF}' - INTERVAL 60 MINUTE AND (status <> 'idle' OR current_job_id % 2 = 0)")
+def _(spark, sf):
+    w = J.latest_workers(T(spark, sf, "workers")).withColumn("current_job_id", F.when(F.col("current_job_id") % 2 == 0, F.col("current_job_id")))
+    return J.stale_workers(w, AS_OF, 60).select("worker_id", "minutes_since_heartbeat")
+
+
+@query("T2_runnable", X.sql("jobs") + "SELECT job_type, count(*) AS n FROM jobs WHERE job_type <> 'scrape' GROUP BY 1")
+def _(spark, sf):
+    control = spark.createDataFrame([("pause_scrape", "true"), ("pause_classify", "false"), ("pauseXmenu_parse", "true")], "key string, value string")
+    return J.runnable(T(spark, sf, "jobs"), control).groupBy("job_type").agg(F.count("*").alias("n"))
+
+
+_PROMOTED = SQL["E16_J11_W6_promotions"]
+
+
+@query("W6_filled_places", _PROMOTED[: _PROMOTED.rindex("  SELECT field")] + ", pr AS (" + _PROMOTED[_PROMOTED.rindex("  SELECT field") :] + "), n AS (SELECT place_id, max(value) FILTER (WHERE field = 'website_url') AS w, max(value) FILTER (WHERE field = 'phone') AS t FROM pr GROUP BY 1) SELECT c.id, coalesce(nullif(c.website_url, ''), w) AS website_url, coalesce(nullif(c.phone, ''), t) AS phone FROM canonical c JOIN n ON n.place_id = c.id WHERE (w IS NOT NULL AND coalesce(c.website_url, '') = '') OR (t IS NOT NULL AND coalesce(c.phone, '') = '') ORDER BY c.id LIMIT 50")
+def _(spark, sf):
+    e, p = T(spark, sf, "evidence", "canonical")
+    return review.filled_places(p, review.promotions(e, p, "1999-06-01 00:00:00"), 50).select("id", "website_url", "phone")
+
+
+@query("J16_known_identities", X.sql("queue", "canonical", "evidence") + "SELECT DISTINCT source || ':' || source_id AS identity FROM evidence e WHERE entity_type = 'pizza' AND EXISTS (SELECT 1 FROM queue q WHERE q.source = e.source AND CASE WHEN q.source = 'osm' THEN regexp_replace(trim(q.source_id), '^osm:', '') ELSE trim(q.source_id) END = e.source_id AND trim(q.source_id) <> '' AND q.id % 5 <> 4) UNION SELECT 'legacy:' || google_place_id FROM canonical WHERE google_place_id IN (SELECT 'osm:node/' || CAST(id AS STRING) FROM queue WHERE id % 5 <> 4)")
+def _(spark, sf):
+    q, p, e = T(spark, sf, "queue", "canonical", "evidence")
+    rows = q.withColumn("google_place_id", F.when(F.col("id") % 5 != 4, F.concat(F.lit("osm:node/"), F.col("id").cast("string"))))
+    return review.known_identities(rows, e.withColumnRenamed("source_id", "external_id"), p)
+
+
+@query("A18_readiness", _PAYLOAD + "SELECT *, rows - would_update - missing - held_back AS unchanged, CAST(ceil(would_update / 500e0) AS BIGINT) AS batches FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE verdict LIKE 'ok%' AND len(changed) > 0) AS would_update, count(*) FILTER (WHERE verdict = 'missing') AS missing, count(*) FILTER (WHERE verdict NOT LIKE 'ok%' AND verdict <> 'missing') AS held_back, CAST(sum(CASE WHEN verdict LIKE 'ok%' AND len(changed) > 0 THEN len(changed) ELSE 0 END) AS BIGINT) AS changed_fields FROM v)")
+def _(spark, sf):
+    return publish.readiness(payloads(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.functions import text
+from placeforge.functions import identity, text
 
 # fixed values: per source its label, license, attribution and the aliases of its fields
 SOURCES = {
@@ -18,6 +18,7 @@ SOURCES = {
     "denue": {"label": "DENUE / INEGI", "license": "verify-before-import", "id": ("clee", "id", "record_id"), "lat": ("latitud", "lat", "latitude"), "lng": ("longitud", "lng", "lon", "longitude"), "category": ("nombre_act", "activity", "category"), "website": ("sitio_internet", "website"), "phone": ("telefono", "phone")},
     "official_website": {"label": "Official restaurant website", "license": "first-party-factual-evidence", "id": ("url", "website", "source_url", "id"), "lat": ("lat", "latitude"), "lng": ("lng", "lon", "longitude"), "category": ("category", "cuisine", "menu_tags"), "website": ("url", "website", "source_url"), "phone": ("phone",)},
 }
+# fixed values: aliases that all sources share, words and flags of closed places
 SHARED = {
     "name": ("name", "label", "title", "business_name", "facility_name", "dba", "trade_name"), "address": ("address", "addr:full", "addr:street_address", "street_address", "address1", "location_address"),
     "locality": ("locality", "city", "addr:city", "municipality"), "region": ("region", "state", "addr:state", "province"), "postcode": ("postcode", "postal_code", "zip", "addr:postcode"), "country": ("country", "addr:country"),
@@ -26,6 +27,20 @@ CLOSED_WORDS = ("closed", "permanently closed", "permanently_closed", "inactive"
 CLOSED_FLAGS = ("closed", "delete", "doesnt exist")
 
 
+# fixed values: per source the license and attribution of evidence
+ATTRIBUTION = {
+    "all_the_places": ("CC0-1.0", "All the Places contributors"), "fsq_os_places": ("Apache-2.0", "Copyright Foursquare Labs, Inc."), "osm": ("ODbL-1.0", "OpenStreetMap contributors"),
+    "overture_places": ("see-release-attribution", "Overture Maps Foundation and source contributors"), "wikidata": ("CC0-1.0", "Wikidata contributors"), "government_open_data": ("dataset-specific", "dataset-specific"),
+    "denue": ("verify-before-import", "INEGI DENUE"), "official_website": ("first-party-factual-evidence", "official restaurant website"),
+}
+
+
+def source_metadata(source: Column) -> tuple[Column, Column]:
+    """License and attribution of a source; unknown ones are source-specific and name themselves."""
+    table = lambda k: F.create_map(*(F.lit(x) for s, v in ATTRIBUTION.items() for x in (s, v[k])))
+    return F.coalesce(table(0)[source], F.lit("source-specific")), F.coalesce(table(1)[source], source)
+
+
 def _fields(json: Column) -> Column:
     """A JSON object as a map of its values' texts."""
     return F.from_json(json, "map<string,string>")
@@ -100,3 +115,25 @@ def osm_rows(elements: DataFrame) -> DataFrame:
         F.concat_ws("; ", *(tag(n) for n in ("amenity", "disused:amenity", "abandoned:amenity", "demolished:amenity", "cuisine", "shop"))).alias("category"), status.alias("operating_status"),
     )
     return rows.where("name is not null and lat is not null and lng is not null")
+
+
+def wikidata_seeds(places: DataFrame, entities: DataFrame) -> DataFrame:
+    """The first place of each brand or operator id (columns, then tags) with the fetched entity; entities: qid, label."""
+    tag = lambda k: F.get_json_object("osm_tags", f"$['{k}']")
+    ids = F.array(F.col("brand_wikidata"), tag("brand:wikidata"), tag("operator:wikidata"))
+    rows = places.select("id", "name", F.explode(ids).alias("qid")).where(F.col("qid").rlike("^Q[0-9]+$"))
+    first = rows.groupBy("qid").agg(F.min(F.struct("id", "name")).alias("m")).select("qid", "m.*")
+    return first.join(entities, "qid")
+
+
+def envelopes(rows: DataFrame, profile: str, namespace: str) -> DataFrame:
+    """Normalised rows (and raw, their canonical JSON) with external id, record key and observation id, in the order of the keys.
+
+    Without a source id the digest of what identifies the place stands for it.
+    """
+    word = lambda c: identity.json_text(text.normalized(F.col(c)))
+    number = lambda c: F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"\.0$", ""), F.lit("null"))
+    place = identity.object_digest(name=word("name"), lat=number("lat"), lng=number("lng"), **{c: word(c) for c in ("address", "locality", "region", "postcode", "country")})
+    external = F.coalesce("source_id", F.concat(F.lit("fallback-v1:sha256:"), place))
+    out = rows.withColumn("external_id", external).withColumn("source_record_key", identity.source_record_key(profile, namespace, F.col("external_id")))
+    return out.withColumn("observation_id", identity.observation_id(F.col("source_record_key"), F.col("raw"))).orderBy("source_record_key", "observation_id")
