@@ -1,13 +1,13 @@
-"""Text, number and identifier expressions (N1-N18, M1-M3). All are Columns; only non-ASCII folding needs Arrow."""
+"""Text, number and identifier expressions (N1-N18, M1-M3), all as Columns that stay in the JVM."""
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # fixed values: words that carry no identity in a place name
 NAME_STOP_WORDS = ("the", "and", "pizza", "pizzeria", "restaurant", "bar", "grill")
@@ -40,22 +40,36 @@ def any_contains(text: Column, terms) -> Column:
     return bound(text, lambda x: F.exists(literals(terms), lambda t: F.contains(x, t)))
 
 
-@F.pandas_udf(StringType())
-def _fold(text: pd.Series) -> pd.Series:
-    def one(x):
-        return None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not "̀" <= c <= "ͯ")
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """From the Unicode tables: characters that fold to one ASCII sign and those signs (accents, without one, come last), and those that fold to several."""
+    one, marks, several = {}, [], {}
+    for point in range(0x80, 0x20000):
+        c = chr(point)
+        if 0x300 <= point <= 0x36F:
+            marks.append(c)
+            continue
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not 0x300 <= ord(x) <= 0x36F)
+        if len(plain) == 1 and plain.isascii():
+            one[c] = plain
+        elif len(plain) > 1 and any(x.isascii() for x in plain):
+            several[c] = plain
+    return "".join(one) + "".join(marks), "".join(one.values()), several
 
-    return text.map(one)
 
+FOLDED, SIGNS, SEVERAL = _foldings()
 
-def normalized(text: Column, ascii_only: bool = False) -> Column:
-    """Lower case, without accents, `&` as a word, other signs as single spaces. Null gives ''.
 
-    ascii_only leaves out the Arrow step for inputs known to be ASCII.
-    """
-    low = F.lower(F.coalesce(text.cast("string"), F.lit("")))
-    if not ascii_only:
-        low = F.when(low.rlike(r"[^\x00-\x7F]"), _fold(low)).otherwise(low)
+def folded(text: Column) -> Column:
+    """Compatibility decomposition without accents, as far as ASCII signs come of it. ASCII texts pass untouched, others stay in the JVM too."""
+    table = F.from_json(F.lit(json.dumps(SEVERAL)), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.when(c.rlike(r"[^\x00-\x7F]"), table[c]), c)), "")
+    rare = f"[{''.join(re.escape(c) for c in SEVERAL)}]"
+    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.translate(F.when(text.rlike(rare), spelled).otherwise(text), FOLDED, SIGNS))
+
+
+def normalized(text: Column) -> Column:
+    """Lower case, without accents, `&` as a word, other signs as single spaces. Null gives ''."""
+    low = folded(F.lower(F.coalesce(text.cast("string"), F.lit(""))))
     return F.trim(F.regexp_replace(F.replace(low, F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", " "))
 
 

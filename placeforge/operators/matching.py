@@ -35,18 +35,18 @@ def in_scope(lat: Column, lng: Column, region: Column, scope=SCOPE) -> Column:
     return out
 
 
-def has_term(name: Column, categories: Column, website: Column, source_url: Column, terms=PIZZA_TERMS, ascii_only: bool = False) -> Column:
+def has_term(name: Column, categories: Column, website: Column, source_url: Column, terms=PIZZA_TERMS) -> Column:
     """a term in the normalized name, categories and urls."""
     blank = F.lit("")
     joined = F.concat_ws(" ", F.coalesce(name, blank), F.array_join(categories, " "), F.coalesce(website, blank), F.coalesce(source_url, blank))
-    return text.any_contains(text.normalized(joined, ascii_only), terms)
+    return text.any_contains(text.normalized(joined), terms)
 
 
-def route(candidates: DataFrame, scope=SCOPE, ascii_only: bool = False) -> DataFrame:
+def route(candidates: DataFrame, scope=SCOPE) -> DataFrame:
     """adds `route`, the first of the five that fits."""
     c = F.col
     usable = F.coalesce(c("name") != "", F.lit(False)) & c("lat").isNotNull() & c("lng").isNotNull()
-    pizza = has_term(c("name"), c("categories"), c("website"), c("source_url"), ascii_only=ascii_only)
+    pizza = has_term(c("name"), c("categories"), c("website"), c("source_url"))
     chosen = (
         F.when(~usable, "excluded_unusable")
         .when(~in_scope(c("lat"), c("lng"), c("region"), scope), "excluded_out_of_scope")
@@ -101,11 +101,11 @@ def grid_pairs(left: DataFrame, right: DataFrame, reach_m: float, cell_degrees:
     return pairs.where(F.col("distance_m") <= reach_m)
 
 
-def evaluated(candidates: DataFrame, places: DataFrame, config: Matching = Matching(), ascii_only: bool = False) -> DataFrame:
+def evaluated(candidates: DataFrame, places: DataFrame, config: Matching = Matching()) -> DataFrame:
     """The nearest `keep` places of each candidate, scored; `near` ranks by distance, `best` by worth."""
     right = places.select("canonical_place_id", F.col("name").alias("p_name"), F.col("website_url").alias("p_website"), F.col("phone").alias("p_phone"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
-    right = right.withColumn("p_norm", text.normalized(F.col("p_name"), ascii_only))
-    left = candidates.select("source_id", "lat", "lng", "website", "phone", text.normalized(F.col("name"), ascii_only).alias("norm"))
+    right = right.withColumn("p_norm", text.normalized(F.col("p_name")))
+    left = candidates.select("source_id", "lat", "lng", "website", "phone", text.normalized(F.col("name")).alias("norm"))
     pairs = grid_pairs(left, right, config.max_distance_m, config.cell_degrees)
     near = Window.partitionBy("source_id").orderBy("distance_m", "canonical_place_id")
     pairs = pairs.withColumn("near", F.row_number().over(near)).where(F.col("near") <= config.keep)
@@ -136,11 +136,11 @@ def decide(routed: DataFrame, pairs: DataFrame) -> DataFrame:
     return out.withColumn("disposition", disposition).withColumn("stable_source_id_present", stable)
 
 
-def match(candidates: DataFrame, places: DataFrame, config: Matching = Matching(), ascii_only: bool = False) -> DataFrame:
+def match(candidates: DataFrame, places: DataFrame, config: Matching = Matching()) -> DataFrame:
     """The whole matcher: route, nearest places, decisions; the grid join needs no prefetch."""
-    routed = route(candidates, ascii_only=ascii_only)
+    routed = route(candidates)
     matchable = routed.where(F.col("route").isin("ready_for_match", "closed_evidence_candidate"))
-    return decide(routed, evaluated(matchable, places, config, ascii_only))
+    return decide(routed, evaluated(matchable, places, config))
 
 
 ROUTES = ("ready_for_match", "closed_evidence_candidate", "filtered_non_pizza", "excluded_unusable", "excluded_out_of_scope")

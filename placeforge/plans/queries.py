@@ -102,7 +102,7 @@ def candidates(spark, sf) -> DataFrame:
 
 
 def decisions(spark, sf) -> DataFrame:
-    return M.match(candidates(spark, sf), T(spark, sf, "canonical"), ascii_only=True)
+    return M.match(candidates(spark, sf), T(spark, sf, "canonical"))
 
 
 # ---- matching ------------------------------------------------------------------------------------------------------
@@ -119,12 +119,12 @@ def _(spark, sf):
 
 @query("F1_F2_F3_route", X.sql("candidate") + f"SELECT source_id, {Q_ROUTE} AS route FROM (SELECT *, {Q_CATEGORIES} AS categories FROM candidate)")
 def _(spark, sf):
-    return M.route(candidates(spark, sf), ascii_only=True).select("source_id", "route")
+    return M.route(candidates(spark, sf)).select("source_id", "route")
 
 
 @query("A1_route_counts", X.sql("candidate") + f"SELECT route, source, count(*) AS n FROM (SELECT *, {Q_ROUTE} AS route FROM (SELECT *, {Q_CATEGORIES} AS categories FROM candidate)) GROUP BY 1, 2")
 def _(spark, sf):
-    return M.route(candidates(spark, sf), ascii_only=True).groupBy("route", "source").agg(F.count("*").alias("n"))
+    return M.route(candidates(spark, sf)).groupBy("route", "source").agg(F.count("*").alias("n"))
 
 
 @query("M8_M9_match_confidence", Q_MATCH + "SELECT source_id, round(least(1e0, greatest(0.0001e0, CASE WHEN method = 'exact_identifier_nearby' THEN greatest(score * 0.75e0 + greatest(0e0, 1e0 - d / 100e0) * 0.25e0, 0.9e0) ELSE score * 0.75e0 + greatest(0e0, 1e0 - d / 100e0) * 0.25e0 END)), 6) AS confidence, method IN ('exact_identifier_nearby', 'exact_name_nearby', 'strong_spatial_name') AS accepted FROM decided WHERE method IS NOT NULL")
@@ -171,13 +171,13 @@ def _(spark, sf):
 def _(spark, sf):
     c, p = T(spark, sf, "candidate", "canonical")
     rows = c.join(p.select(F.col("id").alias("base"), F.col("name").alias("p_name")), "base")
-    a, b = text.normalized(F.col("name"), True), text.normalized(F.col("p_name"), True)
+    a, b = text.normalized(F.col("name")), text.normalized(F.col("p_name"))
     return rows.select("source_id", a.alias("norm"), F.round(text.name_score(a, b), 6).alias("score"), F.round(text.name_score(b, a), 6).alias("reverse_score"))
 
 
-@query("N5_folded_documents")
+@query("N5_folded_documents", "SELECT doc_id, md5(trim(regexp_replace(replace(lower(strip_accents(coalesce(text, ''))), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))) AS norm FROM documents")
 def _(spark, sf):
-    return X.raw(spark, sf, "documents").select("doc_id", F.xxhash64(text.normalized(F.col("text"))).alias("norm_hash"))
+    return X.raw(spark, sf, "documents").select("doc_id", F.md5(text.normalized(F.col("text")).cast("binary")).alias("norm"))
 
 
 @query("M3_N11_N12_identifiers", X.sql("candidate", "canonical") + f"SELECT source_id, url_key, phone_key, url_key <> '' AND url_key = o_url AND contains(url_key, '/') AS website, phone_key <> '' AND phone_key = o_phone AS phone FROM (SELECT c.source_id, {q_url('c.website')} AS url_key, {q_phone('c.phone')} AS phone_key, {q_url('p.website_url')} AS o_url, {q_phone('p.phone')} AS o_phone FROM candidate c JOIN canonical p ON c.base = p.id)")

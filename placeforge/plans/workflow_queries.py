@@ -32,7 +32,7 @@ _REPORT = Q_MATCH + f""", m AS (SELECT * FROM routed WHERE route IN ('ready_for_
 
 def report(spark, sf):
     d = decisions(spark, sf)
-    return M.full_report(M.route(candidates(spark, sf), ascii_only=True), T(spark, sf, "canonical"), d)
+    return M.full_report(M.route(candidates(spark, sf)), T(spark, sf, "canonical"), d)
 
 
 @query("M7_match_report", _REPORT)

@@ -307,3 +307,18 @@ def test_reports_that_do_not_reconcile(spark):
     broken = lambda **x: {r.violation for r in matching.report_violations(spark.createDataFrame([sound | x])).collect()}
     assert broken() == set()
     assert broken(decision_rows=4) == {"decisions"} and broken(grid_cells_built=4) == {"cells"} and broken(canonical_prefetch_tiles=0) == {"no_tiles"} and broken(likely_new_unmatched_candidates=2) == {"active_dispositions"}
+
+
+def test_folding_equals_the_unicode_tables(spark):
+    import re
+    import unicodedata
+
+    def plain(x):
+        low = "".join(c for c in unicodedata.normalize("NFKD", x.lower()) if not 0x300 <= ord(c) <= 0x36F)
+        return re.sub("[^a-z0-9]+", " ", low.replace("&", " and ")).strip()
+
+    texts = ["Crème Brûlée & Größe", "ﬁne ½ ㎏ Ⅳ ＡＢＣ１２", "Łódź ñandú Đà Nẵng", "éä ́x", "пицца 東京 5", "𝐁𝐨𝐥𝐝 ① ™ ª²", "", "plain"]
+    texts += [f"a{chr(p)}b" for p in range(0x80, 0x3000, 7)] + [f"a{chr(p)}b" for p in range(0xF900, 0x1F200, 13) if not 0xD800 <= p <= 0xDFFF]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, a string").orderBy("i").select(text.normalized(A)).collect()
+    wrong = [(t, r[0], plain(t)) for t, r in zip(texts, got, strict=True) if r[0] != plain(t)]
+    assert not wrong, wrong[:5]
