@@ -80,3 +80,32 @@ def readiness(rows: DataFrame, batch: int = 500) -> DataFrame:
     held = ~F.col("verdict").startswith("ok") & ~missing
     out = rows.agg(F.count("*").alias("rows"), F.count_if(update).alias("would_update"), F.count_if(missing).alias("missing"), F.count_if(held).alias("held_back"), F.sum(F.when(update, F.size("changed")).otherwise(0)).alias("changed_fields"))
     return out.withColumn("unchanged", F.col("rows") - F.col("would_update") - F.col("missing") - F.col("held_back")).withColumn("batches", F.ceil(F.col("would_update") / batch))
+
+
+def command_version(contract: Column, transform: Column, policy: Column, mapped_digest: Column) -> Column:
+    """The version of a command: sha256 of its contract, transform and policy versions and its mapped digest, as a JSON array."""
+    return F.sha2(F.concat(F.lit("["), contract.cast("string"), F.lit(","), transform.cast("string"), F.lit(","), policy.cast("string"), F.lit(',"'), mapped_digest, F.lit('"]')), 256)
+
+
+# fixed values: columns of which one must be set for a row to be published
+SYNC_VALUES = ("style", "price_range", "style_confidence", "lifecycle_status")
+
+
+def sync_select(rows: DataFrame, ids: list[int] | None = None, reconcile: bool = False, after_id: int = 0, checkpoint: tuple[str, int] | None = None, checkpoint_mode: bool = False, changed_since: str | None = None, only_classified: bool = False, batch: int = 500) -> DataFrame:
+    """The next batch to publish: given ids, else the next ids, or in checkpoint mode the next by time and id."""
+    ids = list(dict.fromkeys(i for i in ids or [] if i > 0))
+    has = lambda names: F.expr(" or ".join(f"{c} is not null" for c in names))
+    rows = rows.where(has([c for c in SYNC_VALUES if c in rows.columns]))
+    by_time = (checkpoint_mode or checkpoint is not None) and not ids and not reconcile
+    if ids:
+        rows = rows.where(F.col("id").isin(ids))
+    elif by_time:
+        rows = rows.where("last_enriched_at is not null")
+    else:
+        rows = rows.where(F.col("id") > (checkpoint[1] if reconcile and checkpoint else after_id))
+    if changed_since is not None:
+        rows = rows.where(F.col("last_enriched_at") >= F.lit(changed_since).cast("timestamp"))
+    if only_classified:
+        rows = rows.where(has([c for c in SYNC_VALUES[:3] if c in rows.columns]))
+    order = ["last_enriched_at", "id"] if by_time else ["id"]
+    return keyset_page(rows, order, checkpoint if by_time else None, max(batch, len(ids)))

@@ -433,3 +433,35 @@ def _(spark, sf):
 @query("A18_readiness", _PAYLOAD + "SELECT *, rows - would_update - missing - held_back AS unchanged, CAST(ceil(would_update / 500e0) AS BIGINT) AS batches FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE verdict LIKE 'ok%' AND len(changed) > 0) AS would_update, count(*) FILTER (WHERE verdict = 'missing') AS missing, count(*) FILTER (WHERE verdict NOT LIKE 'ok%' AND verdict <> 'missing') AS held_back, CAST(sum(CASE WHEN verdict LIKE 'ok%' AND len(changed) > 0 THEN len(changed) ELSE 0 END) AS BIGINT) AS changed_fields FROM v)")
 def _(spark, sf):
     return publish.readiness(payloads(spark, sf))
+
+
+@query("W9_command_versions", X.sql("permits") + "SELECT object_id, sha256('[1,2,' || CAST(object_id % 3 AS STRING) || ',\"' || sha256(address) || '\"]') AS version FROM permits")
+def _(spark, sf):
+    rows = T(spark, sf, "permits")
+    return rows.select("object_id", publish.command_version(F.lit(1), F.lit(2), F.col("object_id") % 3, F.sha2("address", 256)).alias("version"))
+
+
+_SYNCED = "style IS NOT NULL OR price_range IS NOT NULL OR style_confidence IS NOT NULL OR lifecycle_status IS NOT NULL"
+
+
+@query("W8_sync_batches", X.sql("canonical") + f"SELECT * FROM (SELECT 'next' AS mode, id FROM canonical WHERE id > 30 AND ({_SYNCED}) ORDER BY id LIMIT 40) UNION ALL SELECT * FROM (SELECT 'ids', id FROM canonical WHERE id IN (7, 9, 1000000) AND ({_SYNCED})) UNION ALL SELECT * FROM (SELECT 'checkpoint', id FROM canonical WHERE last_enriched_at IS NOT NULL AND ({_SYNCED}) AND (last_enriched_at, id) > (TIMESTAMP '2024-04-01 00:00:00', 50) AND last_enriched_at >= TIMESTAMP '2024-03-01 00:00:00' AND (style IS NOT NULL OR price_range IS NOT NULL OR style_confidence IS NOT NULL) ORDER BY last_enriched_at, id LIMIT 60)")
+def _(spark, sf):
+    c = T(spark, sf, "canonical")
+    one = publish.sync_select(c, after_id=30, batch=40).select(F.lit("next").alias("mode"), "id")
+    two = publish.sync_select(c, ids=[7, 9, 7, -1, 1_000_000]).select(F.lit("ids").alias("mode"), "id")
+    three = publish.sync_select(c, checkpoint=("2024-04-01 00:00:00", 50), changed_since="2024-03-01 00:00:00", only_classified=True, batch=60).select(F.lit("checkpoint").alias("mode"), "id")
+    return one.unionByName(two).unionByName(three)
+
+
+@query("S6_F5_tile_page", X.sql("candidate") + """SELECT source_id AS id, name, primary_category, '{"primary":"' || primary_category || '"' || CASE WHEN h IS NOT NULL THEN ',"hierarchy":["' || h || '"]' ELSE '' END || CASE WHEN a IS NOT NULL THEN ',"alternates":["' || a || '"]' ELSE '' END || '}' AS taxonomy, lat, lng, region FROM (SELECT source_id, name, lat, lng, region, 'food' AS primary_category, CASE c_custkey % 4 WHEN 0 THEN 'pizza' WHEN 1 THEN 'bar' END AS h, CASE WHEN c_custkey % 5 = 0 THEN 'pizza' WHEN c_custkey % 5 = 1 THEN 'x' END AS a, is_closed, c_custkey FROM candidate)
+  WHERE (coalesce(h = 'pizza', false) OR coalesce(a = 'pizza', false)) AND c_custkey % 6 <> 5 AND lng BETWEEN -84e0 AND -83.9e0 AND lat BETWEEN 42e0 AND 42.5e0 AND NOT is_closed AND source_id > 'fsq-1' ORDER BY 1 LIMIT 100""")
+def _(spark, sf):
+    k, none = F.col("c_custkey"), F.lit(None).cast("string")
+    tax = F.struct(F.lit("food").alias("primary"), F.when(k % 4 < 2, F.array(F.when(k % 4 == 0, "pizza").otherwise("bar"))).alias("hierarchy"), F.when(k % 5 < 2, F.array(F.when(k % 5 == 0, "pizza").otherwise("x"))).alias("alternates"))
+    address = F.array(F.struct(none.alias("freeform"), none.alias("locality"), F.col("region"), none.alias("postcode"), F.when(k % 6 == 5, "CA").otherwise("US").alias("country")))
+    rows = T(spark, sf, "candidate").select(
+        F.col("source_id").alias("id"), F.struct(F.col("name").alias("primary")).alias("names"), F.lit(0.5).alias("confidence"), none.alias("basic_category"), tax.alias("taxonomy"), address.alias("addresses"),
+        F.array("website").alias("websites"), F.array("phone").alias("phones"), F.array(none).alias("sources"), F.struct(F.col("lng").alias("xmin"), F.col("lat").alias("ymin")).alias("bbox"), F.when(F.col("is_closed"), "permanently_closed").alias("operating_status"),
+    )
+    page = tiles.tile_page(rows, (42.0, -84.0, 42.5, -83.9), ["pizza"], 100, "fsq-1")
+    return page.select("id", "name", "primary_category", "taxonomy", "lat", "lng", "region")

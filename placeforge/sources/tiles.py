@@ -42,3 +42,24 @@ def merge(rows: DataFrame, key: str, sequence: str) -> DataFrame:
     """Of all tiles the last row of each id."""
     last = Window.partitionBy(key).orderBy(F.desc(sequence))
     return rows.withColumn("_rank", F.row_number().over(last)).where("_rank = 1").drop("_rank")
+
+
+def tile_page(rows: DataFrame, bbox: tuple[float, float, float, float], categories: list[str], limit: int, after: str | None = None, country: str = "US") -> DataFrame:
+    """The next page of a tile by id: places of the country inside the box, not closed for good, whose taxonomy (or an alternate) is wanted.
+
+    rows: id, names.primary, confidence, basic_category, taxonomy (primary,
+    hierarchy, alternates), addresses, websites, phones, sources, bbox and
+    operating_status; nested values come as JSON.
+    """
+    south, west, north, east = bbox
+    wanted = F.array(*(F.lit(c) for c in categories))
+    meets = lambda c: F.coalesce(F.arrays_overlap(F.col(c), wanted), F.lit(False))
+    first = lambda f: F.try_element_at("addresses", F.lit(1))[f]
+    inside = F.col("bbox.xmin").between(west, east) & F.col("bbox.ymin").between(south, north)
+    kept = rows.where((meets("taxonomy.hierarchy") | meets("taxonomy.alternates")) & (first("country") == country) & inside & (F.coalesce("operating_status", F.lit("open")) != "permanently_closed"))
+    kept = kept if after is None else kept.where(F.col("id") > after)
+    return kept.orderBy("id").limit(limit).select(
+        "id", F.col("names.primary").alias("name"), "confidence", "basic_category", F.col("taxonomy.primary").alias("primary_category"), F.to_json("taxonomy").alias("taxonomy"), "operating_status",
+        F.col("bbox.xmin").alias("lng"), F.col("bbox.ymin").alias("lat"), first("freeform").alias("address"), *(first(f).alias(f) for f in ("locality", "region", "postcode", "country")),
+        *(F.to_json(c).alias(n) for c, n in (("websites", "websites"), ("phones", "phones"), ("sources", "record_sources"))),
+    )
