@@ -204,8 +204,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES
     kinds of white space count as equal. The item set is measured first: up to
     `index_bytes` of it are held by each task at a time, larger sets take as
     many passes. Null or short (under Q bytes) items match nothing; null and
-    empty texts hold none; repeated rows get equal results. A column named
-    `leaks` is replaced.
+    empty texts hold none; very long texts are read whole; repeated rows get
+    equal results, repeated items count once for each id. Of several places of
+    an item the one with the fewest edits is given, of those the first found.
+    Empty tables give no leaks. A column named `leaks` is replaced.
     """
     docs = docs.drop("leaks")
     items = items.where("text is not null and item_id is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))

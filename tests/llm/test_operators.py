@@ -617,6 +617,32 @@ def test_quality_learns_and_scores_all(spark):
     assert {x.quality_score for x in quality.score_quality(frame, none).collect()} == {0.5}
 
 
+def brute_statistics(text):
+    raw = text.encode()
+    w = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    lines = [x for x in raw.split(b"\n") if x]
+    n, size = max(len(w), 1), max(len(raw), 1)
+    share = lambda signs: sum(b in signs for b in raw) / size
+    symbols = b"#$%&*@~^_=+<>\\{}[]"
+    counts, pairs = Counter(w), set(zip(w, w[1:], strict=False))
+    p = [c / size for c in Counter(raw).values()]
+    return [
+        math.log1p(len(raw)), math.log1p(len(w)), sum(map(len, w)) / n, share(range(65, 91)), share(range(48, 58)), share(symbols), share(b".,;:"), share(b"|"), share(b"\n"), share(range(128, 256)),
+        len(counts) / n, (len(pairs) if len(w) > 1 else min(len(w), 1)) / max(len(w) - 1, 1), max(counts.values(), default=0) / n, sum(a == b for a, b in zip(w, w[1:], strict=False)) / n,
+        math.log1p(len(lines)), len(set(lines)) / max(len(lines), 1), len(w) / max(len(lines), 1), sum(len(x) > 14 for x in w) / n, sum(len(x) < 4 for x in w) / n,
+        sum(x[-1] in symbols + b"|" for x in w) / n, sum(x[-1] in b".,;:!?" for x in w) / n, sum(65 <= x[0] <= 90 for x in w) / n, share(b"!?"), -sum(x * math.log2(x) for x in p),
+    ]
+
+
+def test_statistics_by_brute_force():
+    texts = [t or "" for _, t in cases.rows()] + ["same", "same word word", "word", "A|B #x! 12\n\n12", "a\na\nb"]
+    raw = [t.encode() for t in texts]
+    got = quality.statistics(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+    assert got.shape[1] == len(quality.FEATURES)
+    for text, row in zip(texts, got, strict=True):
+        assert np.allclose(row, brute_statistics(text), rtol=1e-4, atol=1e-6), (text[:60], dict(zip(quality.FEATURES, zip(row, brute_statistics(text), strict=True), strict=True)))
+
+
 def test_forest_arrays_equal_a_walk():
     r = np.random.default_rng(0)
     x = r.normal(size=(500, 5)).astype(np.float32)
