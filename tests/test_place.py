@@ -1,6 +1,7 @@
 """Boundary values of the place engine, its file readers, contracts and streams."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -322,3 +323,30 @@ def test_folding_equals_the_unicode_tables(spark):
     got = spark.createDataFrame(list(enumerate(texts)), "i int, a string").orderBy("i").select(text.normalized(A)).collect()
     wrong = [(t, r[0], plain(t)) for t, r in zip(texts, got, strict=True) if r[0] != plain(t)]
     assert not wrong, wrong[:5]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_page_facts_by_plain_expressions(spark):
+    import html
+    import re
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(400).collect()
+    got = {r.page_id: r for r in pages.page_facts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for r in rows:
+        source = r.html or ""
+        blocks = re.findall(r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script\s*>', source)
+        body = re.sub(r"(?is)<!--.*?-->|<!doctype[^>]*>|<(script|style)\b[^>]*>.*?</\1\s*>", "", source)
+        body = html.unescape(re.sub(r"(?s)</?[a-zA-Z][^>]*>", "", body))
+        phone = re.search(r"\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}", body)
+        tel = re.search(r'href="tel:([^"]*)"', source)
+        want_phone = re.sub(r"[^\d+]", "", phone[0]) if phone else re.sub(r"[^\d+]", "", tel[1]) if tel else None
+        times = re.findall(r"(?i)\d{1,2}(?::\d{2})?\s*(?:am|pm)", body)
+        prices = [float(p) for p in re.findall(r"\$(\d+(?:\.\d{2})?)", body) if 0 < float(p) < 100]
+        mean = sum(prices) / len(prices) if prices else None
+        band = None if mean is None else "$" if mean < 10 else "$$" if mean < 20 else "$$$" if mean < 35 else "$$$$"
+        x, low = got[r.page_id], body.lower()
+        assert x.phone == want_phone and x.price_hint == band, r.page_id
+        assert x.has_hours == (bool(re.search("hours|schedule|open|close", low)) and len(times) >= 2), r.page_id
+        assert x.excerpt == re.sub(r"[ \t\n\x0b\f\r]+", " ", body).strip(" ")[:6000], r.page_id
+        assert x.style_hints == [t for t in pages.STYLE_HINTS if t in low] and x.protein_hints == [t for t in pages.PROTEIN_HINTS if t in low]
+        assert x.n_jsonld == min(3, len(blocks))
