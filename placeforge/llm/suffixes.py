@@ -38,30 +38,38 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For a text: first and last start of the runs of `length`-windows with one leftmost minimal gram, and its hash.
+NONE = (*(np.zeros(0, np.int64),) * 2, np.zeros(0, np.uint64), np.zeros(0, bool))
+
+
+def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For a text: first and last start of the runs of `length`-windows with one minimal gram, its hash, and whether it repeats there.
 
     Equal windows have equal minimal grams, wherever they stand.
     """
     grams = windows_hash(raw, gram)
     wide = length - gram + 1
     if len(grams) < wide:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+        return NONE
     return lowest(grams, wide)
 
 
-def lowest(grams: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last start of the runs of windows of `wide` grams with one leftmost minimum, and that."""
+def lowest(grams: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start of the runs of windows of `wide` grams with one minimum, that, and whether it stands in the run more than once.
+
+    Where a gram repeats, its next place continues the run: only the value
+    matters, and a text that repeats itself makes few runs instead of one a byte.
+    """
     bits = np.uint64(max(1, int(len(grams) - 1).bit_length()))
     place = np.arange(len(grams), dtype=np.uint64)
     low = sliding_min(((grams >> bits) << bits) | place, wide) & ((np.uint64(1) << bits) - np.uint64(1))
-    edge = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
+    least = grams[low.astype(np.int64)]
+    edge = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
     last = np.append(edge[1:] - 1, len(low) - 1)
-    return edge, last, grams[low[edge].astype(np.int64)]
+    return edge, last, least[edge], low[last] != low[edge]
 
 
-def passages(raw: np.ndarray, count: int, always: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For a text: first and end byte of the runs of `count`-word windows with one minimal word gram, and its hash.
+def passages(raw: np.ndarray, count: int, always: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For a text: first and end byte of the runs of `count`-word windows with one minimal word gram, its hash, and whether it repeats there.
 
     Runs of `always`-byte windows come with them where such a window may hold fewer words.
     """
@@ -73,8 +81,8 @@ def passages(raw: np.ndarray, count: int, always: int) -> tuple[np.ndarray, np.n
         grams = np.full(len(starts) - gram + 1, gram, np.uint64)
         for k in range(gram):
             grams = mix(grams * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[k : k + len(grams)])
-        edge, last, key = lowest(grams, count - gram + 1)
-        found.append((starts[edge], ends[last + count - 1], key))
+        edge, last, key, again = lowest(grams, count - gram + 1)
+        found.append((starts[edge], ends[last + count - 1], key, again))
     if len(raw) >= always:
         begun = np.zeros(len(raw) + 1, np.int64)
         begun[starts + 1] = 1
@@ -82,13 +90,10 @@ def passages(raw: np.ndarray, count: int, always: int) -> tuple[np.ndarray, np.n
         sparse = begun[always:] - begun[:-always] <= count
         if sparse.any():
             before = np.concatenate([[0], np.cumsum(sparse)])
-            edge, last, key = anchors(raw, always, max(4, always * 8 // 25))
+            edge, last, key, again = anchors(raw, always, max(4, always * 8 // 25))
             some = before[last + 1] > before[edge]
-            found.append((edge[some], last[some] + always, key[some]))
-    if not found:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    first, end, key = (np.concatenate(c) for c in zip(*found, strict=True))
-    return first, end, key
+            found.append((edge[some], last[some] + always, key[some], again[some]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else NONE
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -183,7 +188,7 @@ def covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _occurrences(docs: DataFrame, length: int, gram: int, least_words: int, always: int) -> DataFrame:
-    schema = pa.schema([("uid", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("seg", pa.int64())])
+    schema = pa.schema([("uid", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("seg", pa.int64()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,18 +198,18 @@ def _occurrences(docs: DataFrame, length: int, gram: int, least_words: int, alwa
                 for i in np.flatnonzero(np.diff(offsets) >= length):
                     own = raw[offsets[i] : offsets[i + 1]]
                     if least_words:
-                        first, end, key = passages(own, least_words, always)
+                        first, end, key, again = passages(own, least_words, always)
                         last = end - length
                     else:
-                        first, last, key = anchors(own, length, gram)
+                        first, last, key, again = anchors(own, length, gram)
                     sums = np.zeros(len(own) + 1, np.uint64)
                     np.cumsum((own.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(own)), out=sums[1:])
                     seg = mix((sums[last + length] - sums[first]) * powers(BASE_INVERSE, len(own))[first] + (last - first).astype(np.uint64))
-                    found.append((np.full(len(first), uids[a + i]), first, last, key.view(np.int64), seg.view(np.int64)))
+                    found.append((np.full(len(first), uids[a + i]), first, last, key.view(np.int64), seg.view(np.int64), again))
                 if found:
                     yield batch_of(schema, *(np.concatenate(c) for c in zip(*found, strict=True)))
 
-    return docs.select("uid", "text").mapInArrow(run, "uid long, first int, last int, anchor long, seg long")
+    return docs.select("uid", "text").mapInArrow(run, "uid long, first int, last int, anchor long, seg long, again boolean")
 
 
 def _segments(rows: DataFrame) -> DataFrame:
@@ -310,13 +315,13 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     # the rows travel as one column, so that no name of theirs can clash
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text.alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
     found = cut(_occurrences(keyed.select("uid", "text"), length, gram, least_words, always))
-    distinct = found.groupBy("anchor", "seg").agg(F.count("*").alias("w"), F.min(F.struct("uid", "first", "last")).alias("one"))
-    distinct = cut(distinct.select("anchor", "seg", "w", "one.*"))
-    anchor = distinct.groupBy("anchor").agg(F.sum("w").alias("n"), F.count("*").alias("kinds")).where("n > 1")
+    distinct = found.groupBy("anchor", "seg").agg(F.count("*").alias("w"), F.min(F.struct("uid", "first", "last")).alias("one"), F.first("again").alias("again"))
+    distinct = cut(distinct.select("anchor", "seg", "w", "again", "one.*"))
+    anchor = distinct.groupBy("anchor").agg(F.sum("w").alias("n"), F.count("*").alias("kinds"), F.max("again").alias("alone")).where("n > 1 or alone").drop("alone")
     distinct = cut(distinct.join(anchor, "anchor"))
     stop = (F.col("last") + length).cast("int")
-    alike = distinct.where("kinds = 1").select("anchor", "seg", F.array(F.struct(F.lit(0).alias("s"), (stop - F.col("first")).alias("e"))).alias("runs"))
-    unlike = distinct.where("kinds > 1")
+    alike = distinct.where("kinds = 1 and n > 1").select("anchor", "seg", F.array(F.struct(F.lit(0).alias("s"), (stop - F.col("first")).alias("e"))).alias("runs"))
+    unlike = distinct.where("kinds > 1 or n = 1")  # one text can repeat within itself
     wanted = unlike.groupBy("uid").agg(F.collect_list(F.struct("anchor", "seg", F.when(F.col("kinds") > group, -F.col("w")).otherwise(F.col("w")).alias("w"), "first", stop.alias("stop"))).alias("wanted"))
     texts = keyed.select("uid", "text").join(wanted, "uid").dropDuplicates(["uid"])
     segments = cut(_segments(texts))
