@@ -53,6 +53,30 @@ def _templates(spark, templates) -> tuple[DataFrame, int]:
     return frame.withColumn("gram", F.xxhash64("ws")), -(-most // MASK)
 
 
+def key_words(templates, cover: float) -> list[str]:
+    """Words of which every text holds one that any template can match, by cover for the long ones.
+
+    Greedily the word that settles most open templates, longer ones first: a
+    short template must hold a chosen word; of a long one fewer grams than
+    `cover` asks for may be without any.
+    """
+    open_ = [phrase.split() for phrase, *_ in templates]
+    chosen: list[str] = []
+
+    def settled(words: list[str], have: set[str]) -> bool:
+        if len(words) < LONG_WORDS:
+            return bool(have & set(words))
+        free = sum(not have & set(words[i : i + LONG_GRAM]) for i in range(len(words) - LONG_GRAM + 1))
+        return free < cover * (len(words) - LONG_GRAM + 1)
+
+    while open_:
+        names = sorted({w for words in open_ for w in words})
+        best = max(names, key=lambda w: (sum(settled(words, {*chosen, w}) for words in open_ if len(w) > 3 or len(words) < 4), len(w), w))
+        chosen.append(best)
+        open_ = [words for words in open_ if not settled(words, set(chosen))]
+    return chosen
+
+
 def _sieve(fixed: DataFrame) -> Column:
     """A bit for each value of the low bits of the templates' grams (a table fixed in the code), as an array of longs."""
     words = [0] * (SIEVE // 64)
@@ -73,8 +97,9 @@ def _hits(words: Column, k: int, sieve: Column) -> Column:
 def scan_licenses(docs: DataFrame, base=BASE, notices=(*NAMES, *NOTICES), cover: float = COVER) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score; one row for each row of `docs`.
 
-    All rolling word grams of a text (four words for templates of LONG_WORDS or
-    more, else two) are joined with the template positions (a table fixed in the
+    Texts without any key word of the templates can match none; of the others
+    all rolling word grams (four words for templates of LONG_WORDS or more, else
+    two) are joined with the template positions (a table fixed in the
     code), votes are added up by template and diagonal (word minus template
     position), and spans are verified on the words themselves. A short template
     must match whole; a long one also counts where neighbouring diagonals (at
@@ -90,9 +115,12 @@ def scan_licenses(docs: DataFrame, base=BASE, notices=(*NAMES, *NOTICES), cover:
     templates, masks = _templates(spark, [(p, x, True) for p, x in base] + [(p, x, False) for p, x in notices])
     sieve = _sieve(templates)
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
+    edge = WORD.replace("[^", "[").rstrip("+")
+    may = text.rlike(f"(?:^|{edge})(?:{'|'.join(key_words([*base, *notices], cover))})(?:$|{edge})")
+    words = F.when(may, F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
     # the words stand in a row of their own, so that no later step splits the text again
-    found = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))).alias("w"))
-    marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("gram"), F.size("w").cast("string").alias("ws")))
+    found = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.when(~may, F.regexp_count(text, F.lit(WORD))).alias("n"), F.explode(F.array(words)).alias("w"))
+    marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("gram"), F.coalesce("n", F.size("w")).cast("string").alias("ws")))
     rows = found.select("doc_id", "text_key", F.explode(F.concat(marker, _hits(F.col("w"), 2, sieve), _hits(F.col("w"), LONG_GRAM, sieve))).alias("p")).select("doc_id", "text_key", "p.*")
     fixed = F.broadcast(templates.select("gram", "t", "at", F.col("ws").alias("tw"), "grams", "label", "base", "size"))
     hits = rows.join(fixed, "gram", "left").where("pos < 0 or ws = tw")
