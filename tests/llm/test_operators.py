@@ -201,19 +201,6 @@ def brute_labels(words):
     return ",".join(sorted(labels)), best
 
 
-def test_key_words_stand_in_all_that_can_match():
-    templates = [*licenses.BASE, *licenses.NAMES, *licenses.NOTICES]
-    chosen = set(licenses.key_words(templates, licenses.COVER))
-    assert len(chosen) < 12
-    for phrase, _ in templates:
-        own = phrase.split()
-        if len(own) < licenses.LONG_WORDS:
-            assert chosen & set(own), phrase
-        else:
-            k = licenses.LONG_GRAM
-            assert sum(not chosen & set(own[i : i + k]) for i in range(len(own) - k + 1)) < licenses.COVER * (len(own) - k + 1), phrase
-
-
 def test_licenses(spark):
     r, words = random.Random(4), cases.vocabulary()
     data = cases.rows() + [
