@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import brown, decontaminate, licenses, minhash_paths, paragraphs, pieces, quality, smallworld, suffixes, urls
+from placeforge.llm import brown, decontaminate, licenses, merkle, minhash_paths, paragraphs, pieces, quality, runs, sharding, smallworld, suffixes, urls
 from placeforge.llm.runtime import load, split_of
 
 
@@ -81,8 +81,31 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_paths.near_duplicates(load(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(runs.looped(load(spark, sf_dir, "documents"))).withColumn("best", runs.longest(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.*", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shuffle_shards(load(spark, sf_dir, "documents"), shards=16)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = merkle.manifest(load(spark, sf_dir, "documents"), {"changed": F.when(tampered, merkle.leaf(n_chars=F.try_add("n_chars", F.lit(1))))})
+    proof = F.array_join(F.zip_with("lefts", "rights", lambda a, b: F.concat(a, b)), "")
+    found = found.select("doc_id", "lang", "leaf", "subroot", "root", F.sha2(proof, 256).alias("proof_sha256"), merkle.folded(F.coalesce("changed", "leaf"), F.col("lefts"), F.col("rights")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_brown, op2_suffixes, op3_licenses, op4_sentencepiece, op5_urls, op6_paragraphs, op7_smallworld, op8_decontaminate, op9_quality, op10_minhash)
+    found = (op1_brown, op2_suffixes, op3_licenses, op4_sentencepiece, op5_urls, op6_paragraphs, op7_smallworld, op8_decontaminate, op9_quality, op10_minhash, op11_runs, op12_shards, op13_manifest)
     return {f.__name__: f for f in found}
 
 

@@ -4,28 +4,56 @@ from __future__ import annotations
 
 import gc
 import time
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BESIDE = 1 << 20  # rows of a few numbers that are sent to every task at most
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder: the one that spark.checkpoint.dir names.
+
+    Without that setting, one beside the warehouse on a machine of its own
+    (master local), where all tasks see it; on a cluster an error.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints")
+    return context.getCheckpointDir()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the application ends."""
+    jvm, path = spark._jvm, f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def beside(few: DataFrame, rows: int) -> DataFrame:
+    """`few`, sent to every task if its counted `rows` are at most BESIDE; else Spark shuffles both sides."""
+    return F.broadcast(few) if rows <= BESIDE else few
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder the cluster names.
+    """Cut lineage with a reliable checkpoint in the shared folder.
 
-    Without such a folder, one beside the warehouse is used, which executors
-    see too. The files go when the frame is no longer reachable, if the session
+    The files go when the frame is no longer reachable, if the session
     cleans checkpoints; a lost executor never loses them. The frame is made anew
     from the rows: a checkpoint keeps what the planner knew of the old plan, and
     over many rounds that makes planning slower than the work.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints")
+    shared_folder(spark)
     out = df.checkpoint(eager=True)
     rows = out._jdf.queryExecution().toRdd()
     out = DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, out._jdf.schema(), False), spark)
