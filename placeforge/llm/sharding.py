@@ -90,6 +90,6 @@ def shuffle_shards(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket_b
     return placed.select("row.*", "shard", F.expr(f"place - (shard * {rows}L + {shards - 1}) div {shards}").alias("slot"))
 
 
-def write_shards(docs: DataFrame, folder: str, **how) -> None:
-    """Write `docs` as Parquet, one folder shard=k for each shard; slot numbers the rows. Edge cases: as in shuffle_shards."""
-    shuffle_shards(docs, **how).write.partitionBy("shard").parquet(folder)
+def write_shards(docs: DataFrame, target: str, **how) -> None:
+    """Write `docs` as Parquet under `target`, one folder shard=k for each shard; slot numbers the rows. Edge cases: as in shuffle_shards."""
+    shuffle_shards(docs, **how).write.partitionBy("shard").parquet(target)

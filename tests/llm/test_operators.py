@@ -7,11 +7,13 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from placeforge.llm import brown, decontaminate, licenses, minhash_paths, paragraphs, pieces, quality, smallworld, suffixes, urls
+from placeforge.llm import brown, decontaminate, licenses, merkle, minhash_paths, paragraphs, pieces, quality, queries, runs, sharding, smallworld, suffixes, urls
 from placeforge.llm.components import components
 from tests.llm import cases
 
@@ -767,3 +769,181 @@ def test_empty_tables(spark):
     assert decontaminate.find_leaks(none, items).count() == 0
     assert quality.score_quality(none, quality.fit(none, labels)).count() == 0
     assert minhash_paths.near_duplicates(none).count() == 0
+
+
+# 11
+def brute_runs(w, least=6, exponent=4):
+    """All stretches of period q that nothing extends, by plain scanning; only smallest periods count."""
+    out = []
+    for q in range(1, len(w) // exponent + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            s, n = i, j + q - i
+            if j > i and n >= max(least, exponent * q) and not any(w[s + d : s + n] == w[s : s + n - d] for d in range(1, q)):
+                out.append((s, n, q))
+            i = j + 1
+    return sorted(out)
+
+
+def loop_words(doc_id, w):
+    if doc_id is None or zlib.crc32(str(doc_id).encode()) % 10 or not w:
+        return w
+    g = zlib.crc32(str(doc_id).encode()) // 10
+    a = g % len(w)
+    p = 1 + (len(w) - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+
+
+def collapsed(w, found):
+    dropped = {k for s, n, q in found for k in range(s + q, s + n)}
+    return b" ".join(x for k, x in enumerate(w) if k not in dropped)
+
+
+def spaced(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+
+
+@pytest.mark.parametrize(("least", "exponent"), [(6, 4), (2, 2), (4, 3)])
+def test_runs(spark, least, exponent):
+    r = random.Random(6)
+    data = cases.rows(n=20)
+    for k in range(300):
+        w = [r.choice("abcdefg"[: r.choice([1, 2, 2, 3, 5])]) for _ in range(r.randint(0, 50))]
+        a, p = r.randint(0, len(w)), r.randint(1, 6)
+        data.append((5000 + k, " ".join(w[:a] + [w[a + i % p] if a + i % p < len(w) else "z" for i in range(r.randint(0, 30))])))
+    got = runs.find_runs(cases.frame(spark, data), least, exponent).collect()
+    want = []
+    for i, t in data:
+        w = spaced(t)
+        found = brute_runs(w, least, exponent)
+        want.append((i, len(w), found, collapsed(w, found).decode()))
+    assert multiset(want) == multiset([(x.doc_id, x.n_words, [tuple(y) for y in x.runs], x.collapsed) for x in got])
+
+
+def test_runs_of_a_long_periodic_text(spark):
+    text = " ".join(["a"] * 40_000 + ["b", "c"] * 20_000 + ["d"])
+    x = runs.find_runs(cases.frame(spark, [(1, text)])).first()
+    assert [tuple(y) for y in x.runs] == [(0, 40_000, 1), (40_000, 40_000, 2)] and x.collapsed == "a b c d"
+    assert runs.find_runs(cases.frame(spark, [])).count() == 0
+
+
+def test_runs_query(spark, tmp_path):
+    data = [(i, t) for i, t in cases.rows(seed=8, n=80)] + [(9000 + k, "x y " * k) for k in range(30)]
+    cases.frame(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op11_runs(spark, str(tmp_path)).collect()
+    want = []
+    for i, t in data:
+        w = loop_words(i, spaced(t))
+        found = brute_runs(w)
+        best = min(found, key=lambda x: (-Fraction(x[1], x[2]), x[0], x[2]), default=(None, None, None))
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        want.append((i, len(found), *best, found and 1000 * best[1] // best[2] or None, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(collapsed(w, found)).hexdigest()))
+    assert multiset(want) == multiset([tuple(x) for x in got])
+
+
+# 12
+def test_shards_hold_all_rows_evenly_in_shuffled_order(spark):
+    data = cases.rows(n=200)
+    docs = cases.frame(spark, data).withColumns({"slot": F.lit("old"), "row": F.lit("r"), "place": F.lit(3), "tags": F.create_map(F.lit("a"), F.lit(1))})
+    got = sharding.shuffle_shards(docs, shards=7, bucket_bytes=20_000).collect()
+    assert multiset([(x.doc_id, x.text, x.row, x.place, x.tags) for x in got]) == multiset([(i, t, "r", 3, {"a": 1}) for i, t in data])
+    slots = defaultdict(list)
+    for x in got:
+        slots[x.shard].append(x.slot)
+    assert sorted(slots) == list(range(7)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    by_place = [x.doc_id or 0 for x in sorted(got, key=lambda x: (x.shard, x.slot))]
+    n = len(by_place)
+    assert abs(np.corrcoef(np.arange(n), by_place)[0, 1]) < 0.3  # in no order of ids
+
+
+def test_shards_follow_the_seed_not_the_files(spark):
+    data = [(i, t) for i, t in dict(cases.rows(n=150)).items()]
+    place = lambda seed, parts: {x.doc_id: (x.shard, x.slot) for x in sharding.shuffle_shards(cases.frame(spark, data).repartition(parts), seed=seed, bucket_bytes=10_000).collect()}
+    one = place(1, 1)
+    assert one == place(1, 6) and one != place(2, 1)
+
+
+def test_rows_that_repeat_each_other_leave_one_bucket(spark):
+    rows = sharding.scatter(cases.frame(spark, [(1, "same text " * 20)] * 900 + cases.rows(n=20)), bucket_bytes=20_000)
+    sizes = [x["count"] for x in rows.groupBy("bucket").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 250
+    got = sharding.shuffle_shards(cases.frame(spark, [(1, "same")] * 100 + [(None, None)] * 50), shards=4, bucket_bytes=1000).collect()
+    assert Counter((x.doc_id, x.text) for x in got) == {(1, "same"): 100, (None, None): 50}
+    assert sharding.shuffle_shards(cases.frame(spark, [])).count() == 0
+
+
+def test_written_shards(spark, tmp_path):
+    sharding.write_shards(cases.frame(spark, cases.rows(n=30)), f"{tmp_path}/out", shards=3, folder=f"{tmp_path}/buckets", bucket_bytes=5000)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert multiset([(x.doc_id, x.text) for x in back.collect()]) == multiset(cases.rows(n=30)) and back.select("shard").distinct().count() == 3
+
+
+# 13
+def hashed(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute_manifest(rows, fanout):
+    """(doc_id, leaf, subroot, root, siblings joined, root folded from the leaf with one more character), by plain lists."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda r, n: hashed("".join(map(field, (r[0], r[1], r[2], n, r[4]))))
+
+    def build(nodes):
+        grid = [nodes]
+        while len(grid[-1]) > 1:
+            grid.append([hashed("".join(grid[-1][i : i + fanout])) for i in range(0, len(grid[-1]), fanout)])
+        return grid
+
+    def path(grid, i):
+        out = []
+        for level in grid[:-1]:
+            h = i - i % fanout
+            out.append(("".join(level[h:i]), "".join(level[i + 1 : h + fanout])))
+            i //= fanout
+        return out
+
+    langs = sorted({r[2] for r in rows}, key=lambda x: (x is not None, (x or "").encode()))
+    own = {t: sorted((r for r in rows if r[2] == t), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r, r[3]))) for t in langs}
+    grids = {t: build([leaf(r, r[3]) for r in own[t]]) for t in langs}
+    top = build([grids[t][-1][0] for t in langs])
+    out = []
+    for k, t in enumerate(langs):
+        for i, r in enumerate(own[t]):
+            sides = path(grids[t], i) + path(top, k)
+            tampered = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0 and r[3] is not None
+            h = leaf(r, r[3] + tampered if r[3] is not None else None)
+            for a, b in sides:
+                h = hashed(a + h + b)
+            out.append((r[0], grids[t][0][i], grids[t][-1][0], top[-1][0], "".join(a + b for a, b in sides), h))
+    return out
+
+
+def manifest_rows(n):
+    r, langs = random.Random(9), ["en", "de", "", "é", None, "one"]
+    rows = [(10 * k, r.choice(["s", None, ""]), langs[0 if k % 2 else r.randrange(5)], r.choice([None, k]), t) for k, (_, t) in enumerate(cases.rows(n=n))]
+    rows += [(2**60 + 1, "s", "one", 5, "alone"), (None, "s", "en", 1, "no id"), (None, None, None, None, None), rows[3], rows[3]]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("fanout", "levels"), [(2, 12), (2, 2), (3, 1), (5, 2)])
+def test_manifest(spark, fanout, levels):
+    rows = manifest_rows(60)
+    docs = spark.createDataFrame([(*x, "node", 1) for x in rows], "doc_id long, source string, lang string, n_chars long, text string, tree string, at int").repartition(5)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    got = merkle.manifest(docs, {"changed": F.when(tampered, merkle.leaf(n_chars=F.col("n_chars") + 1))}, fanout, levels)
+    got = got.withColumn("folded", merkle.folded(F.coalesce("changed", "leaf"), F.col("lefts"), F.col("rights"))).collect()
+    mine = [(x.doc_id, x.leaf, x.subroot, x.root, "".join(a + b for a, b in zip(x.lefts, x.rights, strict=True)), x.folded) for x in got]
+    assert multiset(mine) == multiset(brute_manifest(rows, fanout))
+    assert any(x.folded != x.root for x in got)
+
+
+def test_manifest_of_few_rows(spark):
+    kind = "doc_id long, source string, lang string, n_chars long, text string"
+    assert merkle.manifest(spark.createDataFrame([], kind)).count() == 0
+    x = merkle.manifest(spark.createDataFrame([(1, None, None, None, None)], kind)).first()
+    assert x.leaf == x.subroot == x.root == hashed("1:1----") and x.lefts == [] and x.at == 0
