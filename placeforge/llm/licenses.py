@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placeforge.llm.runtime import cut
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # fixed values: the phrases and labels of the contract
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
@@ -102,6 +104,7 @@ def scan_licenses(docs: DataFrame, base=BASE, notices=(*NAMES, *NOTICES), cover:
     diagonal = hits.groupBy("doc_id", "text_key", "t", (F.col("pos") - F.col("at")).alias("d"), "grams", "label", "base", "size").agg(
         F.count("*").alias("copies"), *(F.bit_or(at(m)).alias(seen[m]) for m in range(masks)), F.max(F.when(F.col("pos") < 0, F.col("ws"))).cast("long").alias("n_words")
     )
+    diagonal = cut(diagonal)  # both what matches whole and what matches in part is read from it: texts are split once
     votes = sum((F.bit_count(c) for c in seen), F.lit(0))
     whole = F.col("grams") == votes
     near = Window.partitionBy("doc_id", "text_key", "t").orderBy("d")
