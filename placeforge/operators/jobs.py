@@ -137,6 +137,50 @@ def backlog(candidates: DataFrame, last: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def window_health(jobs: DataFrame, as_of: str, hours: int, job_type: str = "classify") -> DataFrame:
+    """By kind of place the jobs in each state and those completed and failed within the last hours; jobs: completed_at."""
+    fresh = F.col("completed_at") >= F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(hours)} HOURS")
+    of = lambda s: F.count_if(F.col("status") == s)
+    return jobs.where(F.col("job_type") == job_type).groupBy("place_type").agg(
+        *(of(s).alias(s) for s in ("pending", "processing", "completed", "failed")),
+        *(F.count_if((F.col("status") == s) & F.coalesce(fresh, F.lit(False))).alias(f"recent_{s}") for s in ("completed", "failed")),
+    )
+
+
+def merged_json(old: Column, new: Column) -> Column:
+    """The fields of two JSON objects, the second's first; a broken first one counts as empty."""
+    fields = lambda x: F.coalesce(F.from_json(x, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    fresh = fields(new)
+    kept = F.map_filter(fields(old), lambda k, _: ~F.map_contains_key(fresh, k))
+    return F.to_json(F.map_from_entries(F.array_sort(F.concat(F.map_entries(kept), F.map_entries(fresh)))))
+
+
+def completed(jobs: DataFrame, output: Column, as_of: str) -> DataFrame:
+    """T1 complete: processing jobs with their output merged into what they hold."""
+    data = F.when(output.isNotNull(), merged_json(F.col("data"), output)).otherwise(F.col("data"))
+    return jobs.where("status = 'processing'").withColumns({"status": F.lit("completed"), "completed_at": F.lit(as_of).cast("timestamp"), "data": data})
+
+
+def retried(jobs: DataFrame) -> DataFrame:
+    """T1 retry: processing jobs wait again and get their attempt back."""
+    return jobs.where("status = 'processing'").withColumns({"status": F.lit("pending"), "worker_id": F.lit(None).cast("string"), "attempts": F.greatest(F.col("attempts") - 1, F.lit(0))})
+
+
+def added(jobs: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """T1 add: of new jobs, the first of each key that is not queued yet, as it then waits."""
+    first = new.groupBy(*keys).agg(F.min("id").alias("id"))
+    fresh = new.join(first, [*keys, "id"], "left_semi").join(jobs.select(*keys).distinct(), keys, "left_anti")
+    return fresh.withColumns({"status": F.lit("pending"), "attempts": F.lit(0)})
+
+
+def reopened(jobs: DataFrame, error: str, most: int = 1) -> DataFrame:
+    """T1 requeue-completed: completed jobs wait again, at most `most` times each; the count stands in their data."""
+    times = F.coalesce(F.get_json_object("data", "$.partial_reprocess_count").cast("int"), F.lit(0))
+    count = F.to_json(F.struct((times + 1).cast("string").alias("partial_reprocess_count")))
+    rows = jobs.where((F.col("status") == "completed") & (times < most))
+    return rows.withColumns({"status": F.lit("pending"), "worker_id": F.lit(None).cast("string"), "completed_at": F.lit(None).cast("timestamp"), "last_error": F.lit(error), "data": merged_json(F.col("data"), count)})
+
+
 def minutes_since(at: Column, as_of: str) -> Column:
     """Minutes, to one decimal."""
     return F.round((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(at)) / 60000000.0, 1)

@@ -1,4 +1,4 @@
-"""Routing and matching of source candidates to canonical places."""
+"""Routing and matching of source candidates to canonical places."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeforge.functions import geo, text
+from placeforge.operators.order import running
 
 # fixed values: words of a pizza place, and the regions in scope (south, west, north, east; region codes)
 PIZZA_TERMS = ("apizza", "flatbread", "italian restaurant", "pizza", "pizzeria", "slice", "wood fired", "wood-fired")
@@ -206,6 +207,21 @@ def reconciled(candidates: DataFrame, decisions: DataFrame, keys: list[str]) ->
     return both.groupBy(*keys).agg(F.sum("c").alias("candidates"), F.sum("d").alias("decisions")).where("candidates <> 1 or decisions <> 1")
 
 
+def positional_differences(expected: DataFrame, actual: DataFrame, order: list[str], columns: list[str], actual_order: list[str] | None = None) -> DataFrame:
+    """Number, side and differs where the two tables are not the same row for row: rows that one side lacks, and columns whose values differ (nulls are equal).
+
+    Rows are numbered by `order` on both sides (`actual_order`: if the second
+    has another) and joined by the number; equal tables give no row.
+    """
+    a = running(expected.select(*dict.fromkeys([*order, *columns])), order).select("number", F.struct(*columns).alias("a"))
+    b = running(actual.select(*dict.fromkeys([*(actual_order or order), *columns])), actual_order or order).select("number", F.struct(*columns).alias("b"))
+    both = a.join(b, "number", "full")
+    differs = F.array_compact(F.array(*(F.when(~F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")), c) for c in columns)))
+    side = F.when(F.col("b").isNull(), "expected_only").when(F.col("a").isNull(), "actual_only").otherwise("both")
+    out = both.select("number", side.alias("side"), F.when(side == "both", differs).otherwise(F.array().cast("array<string>")).alias("differs"))
+    return out.where((F.col("side") != "both") | (F.size("differs") > 0))
+
+
 def match_confidence(score: Column, distance: Column, method: Column) -> Column:
     """M8: three parts name and one part nearness, at least .9 with an identifier, within [.0001, 1]."""
     mixed = score * 0.75 + F.greatest(F.lit(0.0), F.lit(1.0) - distance / 100.0) * 0.25

@@ -1,4 +1,4 @@
-"""Running numbers and sums over a whole table in a given order, without one task that sees all rows."""
+"""Running numbers and sums over a whole table in a given order, without one task that sees all rows."""
 
 from __future__ import annotations
 
@@ -9,22 +9,25 @@ SAMPLE = 4096
 
 
 def running(rows: DataFrame, keys: list[str], sums: dict[str, Column] | None = None, parts: int = 64) -> DataFrame:
-    """Adds `number` (from 1, in the order of `keys`) and running sums, ties in any order.
+    """Adds `number` (from 1, in the order of `keys`) and running sums; equal keys in the order of the rows' hashes.
 
-    The first key is cut into at most `parts` ranges at values of a bounded
-    hash sample; numbers run within a range and start at what the ranges before
-    it hold. Nulls come first.
+    Rows are cut into at most `parts` ranges of keys and hash, at values of a
+    bounded hash sample of the rows, so that a frequent key is cut too; numbers
+    run within a range and start at what the ranges before it hold. Nulls come
+    first.
     """
-    key = F.col(keys[0])
-    sample = rows.where(key.isNotNull()).select(key.alias("k")).distinct().orderBy(F.xxhash64("k")).limit(SAMPLE).agg(F.array_sort(F.collect_list("k")).alias("ks")).first()["ks"]
+    plain = [F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and kind != "variant"]
+    place = F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.xxhash64(*plain).alias("tie"))
+    kinds = rows.select(place.alias("p")).schema["p"].dataType
+    sample = rows.select(place.alias("p"), F.xxhash64(F.lit(1), *plain).alias("drawn")).orderBy("drawn").limit(SAMPLE).agg(F.sort_array(F.collect_list("p")).alias("ps")).first()["ps"]
     bounds = list(dict.fromkeys(sample[len(sample) * i // parts] for i in range(1, parts))) if sample else []
-    kind = dict(rows.dtypes)[keys[0]]
-    fits = F.size(F.filter(F.array(*(F.lit(b).cast(kind) for b in bounds)), lambda b: b <= key)) if bounds else F.lit(0)
-    ranged = rows.withColumn("_range", F.when(key.isNull(), -1).otherwise(fits))
+    literals = [F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, kinds.fields, strict=True))) for b in bounds]
+    ranged = rows.withColumn("_place", place)
+    ranged = ranged.withColumn("_range", F.size(F.filter(F.array(*literals), lambda b: b <= F.col("_place"))) if bounds else F.lit(0))
     sums = {"number": F.lit(1)} | (sums or {})
     totals = ranged.groupBy("_range").agg(*(F.sum(v).alias(f"_{k}") for k, v in sums.items()))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most parts + 1 rows
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most parts rows
     starts = totals.select("_range", *(F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"_{k}") for k in sums))
-    within = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     out = ranged.join(F.broadcast(starts), "_range")
-    return out.withColumns({k: (F.col(f"_{k}") + F.sum(v).over(within)).cast("long") for k, v in sums.items()}).drop("_range", *(f"_{k}" for k in sums))
+    return out.withColumns({k: (F.col(f"_{k}") + F.sum(v).over(within)).cast("long") for k, v in sums.items()}).drop("_range", "_place", *(f"_{k}" for k in sums))

@@ -343,10 +343,10 @@ def _(spark, sf):
     return out.select("source", "source_id", "evidence_id", "place_id", "match_method")
 
 
-@query("W2_review_upsert", X.sql("queue") + ", old AS (SELECT id, source_name, status FROM queue WHERE id % 3 <> 0), new AS (SELECT id, 'new ' || CAST(id AS STRING) AS source_name FROM queue WHERE id % 2 = 0) SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL OR (n.id IS NOT NULL AND o.status = 'pending') THEN n.source_name ELSE o.source_name END AS source_name, coalesce(o.status, 'pending') AS status FROM old o FULL JOIN new n ON o.id = n.id")
+@query("W2_review_upsert", X.sql("queue", "evidence") + ", old AS (SELECT id, source_name, status FROM queue), new AS (SELECT evidence_id AS id, 'new ' || CAST(evidence_id AS STRING) AS source_name FROM evidence) SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL OR (n.id IS NOT NULL AND o.status = 'pending') THEN n.source_name ELSE o.source_name END AS source_name, coalesce(o.status, 'pending') AS status FROM old o FULL JOIN new n ON o.id = n.id")
 def _(spark, sf):
-    q = T(spark, sf, "queue")
-    return review.upsert_pending(q.where("id % 3 <> 0").select("id", "source_name", "status"), q.where("id % 2 = 0").selectExpr("id", "'new ' || CAST(id AS STRING) AS source_name"), ["id"])
+    q, e = T(spark, sf, "queue", "evidence")
+    return review.upsert_pending(q.select("id", "source_name", "status"), e.selectExpr("evidence_id AS id", "'new ' || CAST(evidence_id AS STRING) AS source_name"), ["id"])
 
 
 @query("J17_A13_evidence_lists", X.sql("evidence") + "SELECT place_id, array_to_string(list(source || ':' || source_id ORDER BY match_confidence DESC NULLS LAST, retrieved_at DESC, evidence_id), ',') AS evidence FROM evidence GROUP BY 1")
@@ -407,9 +407,9 @@ def _(spark, sf):
     return w.select("worker_id", F.round((F.unix_micros(F.lit(AS_OF).cast("timestamp")) - F.unix_micros(F.col("last_heartbeat"))) / 60000000.0, 1).alias("minutes"))
 
 
-@query("T11_boost", X.sql("jobs") + "SELECT id, CASE WHEN status = 'pending' AND priority < 90 THEN 90 ELSE priority END AS priority FROM jobs WHERE job_type = 'scrape'")
+@query("T11_boost", X.sql("jobs") + "SELECT id, CASE WHEN status = 'pending' THEN greatest(priority, CASE WHEN job_type = 'scrape' THEN 90 ELSE 60 END) ELSE priority END AS priority FROM jobs")
 def _(spark, sf):
-    return J.boosted(T(spark, sf, "jobs").where("job_type = 'scrape'"), F.lit(90)).select("id", "priority")
+    return J.boosted(T(spark, sf, "jobs"), F.when(F.col("job_type") == "scrape", 90).otherwise(60)).select("id", "priority")
 
 
 @query("N25_priority", X.sql("canonical") + "SELECT coalesce(state, '(null)') AS state, CASE upper(state) WHEN 'MI' THEN 100 WHEN 'NY' THEN 95 WHEN 'OH' THEN 95 ELSE 30 END AS priority, count(*) AS n FROM canonical GROUP BY 1, 2")
@@ -459,10 +459,10 @@ def _(spark, sf):
     return T(spark, sf, "queue").orderBy("id").limit(400).where("status = 'pending'").orderBy("id").limit(25).select("id")
 
 
-@query("O7_O8_unions", X.sql("queue") + "SELECT 'all' AS kind, count(*) AS n FROM (SELECT source_id FROM queue WHERE id % 2 = 0 UNION ALL SELECT source_id FROM queue WHERE id % 3 = 0) UNION ALL SELECT 'distinct', count(*) FROM (SELECT source_id FROM queue WHERE id % 2 = 0 UNION SELECT source_id FROM queue WHERE id % 3 = 0)")
+@query("O7_O8_unions", X.sql("queue", "evidence") + "SELECT 'all' AS kind, count(*) AS n FROM (SELECT source_id FROM queue UNION ALL SELECT source_id FROM evidence) UNION ALL SELECT 'distinct', count(*) FROM (SELECT source_id FROM queue UNION SELECT source_id FROM evidence)")
 def _(spark, sf):
-    q = T(spark, sf, "queue")
-    both = q.where("id % 2 = 0").select("source_id").unionByName(q.where("id % 3 = 0").select("source_id"))
+    q, e = T(spark, sf, "queue", "evidence")
+    both = q.select("source_id").unionByName(e.select("source_id"))
     return both.agg(F.count("*").alias("n")).select(F.lit("all").alias("kind"), "n").unionByName(both.distinct().agg(F.count("*").alias("n")).select(F.lit("distinct").alias("kind"), "n"))
 
 
@@ -487,14 +487,18 @@ def _(spark, sf):
     return rows.select(F.col("brand_wikidata").alias("qid"), "id", "name")
 
 
-@query("S15_tiles", "SELECT round(lat, 6) AS south, round(lng, 6) AS west, round(least(lat + 0.5e0, 43.2e0), 6) AS north, round(least(lng + 0.5e0, -82.9e0), 6) AS east FROM (SELECT 41.6e0 + i * 0.5e0 AS lat FROM range(10) t(i)), (SELECT -84.5e0 + j * 0.5e0 AS lng FROM range(10) u(j)) WHERE round(lat, 6) < 43.2e0 AND round(lng, 6) < -82.9e0")
+_BOX = X.sql("canonical") + ", b AS (SELECT min(lat) AS s, min(lng) AS w, max(lat) AS n, max(lng) AS e FROM canonical), k AS (SELECT *, greatest(0, CAST(ceil(round((n - s) / 0.1e0, 6)) AS BIGINT) - 1) AS li, greatest(0, CAST(ceil(round((e - w) / 0.1e0, 6)) AS BIGINT) - 1) AS lj FROM b), c AS (SELECT least(CAST(floor(round((lat - s) / 0.1e0, 6)) AS BIGINT), li) AS i, least(CAST(floor(round((lng - w) / 0.1e0, 6)) AS BIGINT), lj) AS j, count(*) AS m FROM canonical, k GROUP BY 1, 2), t AS (SELECT i, j, round(s + i * 0.1e0, 6) AS south, round(w + j * 0.1e0, 6) AS west, round(least(round(s + i * 0.1e0, 6) + 0.1e0, n), 6) AS north, round(least(round(w + j * 0.1e0, 6) + 0.1e0, e), 6) AS east FROM k, range(2000) x(i), range(2000) y(j) WHERE i <= li AND j <= lj) "
+
+
+@query("S15_tiles", _BOX + "SELECT south, west, north, east, coalesce(m, 0) AS n FROM t LEFT JOIN c USING (i, j)")
 def _(spark, sf):
-    return tiles.grid(spark, (41.6, -84.5, 43.2, -82.9), 0.5)
+    return tiles.covering(T(spark, sf, "canonical"), 0.1)
 
 
-@query("S18_split", "SELECT i AS row, j AS col, round(40e0 + i * 0.25e0, 6) AS south, round(-84e0 + j * 0.5e0, 6) AS west, round(40e0 + (i + 1) * 0.25e0, 6) AS north, round(-84e0 + (j + 1) * 0.5e0, 6) AS east FROM range(4) t(i), range(4) u(j)")
+@query("S18_split", _BOX + "SELECT south AS tile_south, west AS tile_west, a AS row, b AS col, round(south + a * ((north - south) / 4), 6) AS south, round(west + b * ((east - west) / 4), 6) AS west, round(south + (a + 1) * ((north - south) / 4), 6) AS north, round(west + (b + 1) * ((east - west) / 4), 6) AS east FROM t JOIN c USING (i, j), range(4) x(a), range(4) y(b)")
 def _(spark, sf):
-    return tiles.split(spark, (40.0, -84.0, 41.0, -82.0), 4)
+    boxes = tiles.covering(T(spark, sf, "canonical"), 0.1).where("n > 0").withColumns({"tile_south": F.col("south"), "tile_west": F.col("west")})
+    return tiles.split_boxes(boxes, 4).select("tile_south", "tile_west", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "south", "west", "north", "east")
 
 
 @query("S16_tile_merge", X.sql("evidence") + "SELECT source_id, evidence_id, place_id FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY evidence_id DESC) AS r FROM evidence) WHERE r = 1")
@@ -647,10 +651,17 @@ def _(spark, sf):
     return names(spark, sf).select("id", style.alias("style"), price.alias("price"), confidence.alias("confidence"))
 
 
-@query("E14_prompts", X.sql("canonical") + """SELECT id, '{"name":"' || name || '","address":"' || address || '"' || CASE WHEN id % 2 = 0 THEN ',"excerpt":"' || left(style || ' pie', 6) || '"' ELSE '' END || '}' AS prompt FROM canonical WHERE style IS NOT NULL""")
+# every seventh place has broken notes, others linked data, hints, or an excerpt only
+_NOTES = """CASE id % 7 WHEN 0 THEN 'plain words' WHEN 1 THEN '{"jsonld":[{"@type":"Restaurant","name":"A","extra":1},{"name":"B"},{"name":"C"},{"name":"D"}],"text_excerpt":"gone"}' WHEN 2 THEN '{"jsonld":{"name":"Solo","address":{"addressLocality":"Detroit","x":2}},"price_hint":"$$"}' WHEN 3 THEN '{"style_hints":["a","b"],"menu_url":"m","text_excerpt":"gone"}' WHEN 4 THEN '{"text_excerpt":"words"}' WHEN 5 THEN '' END"""
+_FACTS = """CASE id % 7 WHEN 0 THEN '{"text_excerpt":"plain words"}' WHEN 1 THEN '{"jsonld":[{"@type":"Restaurant","name":"A"},{"name":"B"},{"name":"C"}]}' WHEN 2 THEN '{"jsonld":[{"name":"Solo","address":{"addressLocality":"Detroit"}}],"price_hint":"$$"}' WHEN 3 THEN '{"style_hints":["a","b"],"menu_url":"m"}' WHEN 4 THEN '{"text_excerpt":"words"}' ELSE '' END"""
+_TAGS = """CASE p % 4 WHEN 1 THEN '{"brand:wikidata":"Q' || CAST(p % 10 AS STRING) || '","cuisine":"pizza"}' WHEN 2 THEN '{"name":"detroit"}' ELSE '' END"""
+
+
+@query("E14_prompts", X.sql("canonical") + f"SELECT id, 'name: ' || name || chr(10) || 'state: ' || coalesce(state, '') || chr(10) || 'website_url: ' || coalesce(website_url, '') || chr(10) || 'tags: ' || {_TAGS.replace('p %', 'id %')} || chr(10) || 'evidence: ' || CASE WHEN length(notes) > 3 THEN left(notes, 1800) ELSE coalesce(notes, '') END || chr(10) || 'facts: ' || {_FACTS} || chr(10) AS prompt FROM canonical")
 def _(spark, sf):
-    excerpt = F.when(F.col("id") % 2 == 0, F.concat(F.col("style"), F.lit(" pie"))).otherwise(" ")
-    return T(spark, sf, "canonical").where("style is not null").select("id", governance.prompt(F.col("name"), F.col("address"), F.lit(None).cast("string"), excerpt, 6).alias("prompt"))
+    place = {k: F.col(k) for k in ("name", "state", "website_url")}
+    asked = governance.prompt(place, F.col("osm_tags"), F.col("notes"), F.expr(_NOTES), rules.STYLES)
+    return T(spark, sf, "canonical").select("id", F.regexp_replace(asked, r"(?s)^.*?hints and excerpts\.\n", "").alias("prompt"))
 
 
 @query("T8_feeder", X.sql("jobs") + "SELECT place_type, active, CAST(greatest(0, least(50, 4200 - active)) AS BIGINT) AS capacity FROM (SELECT place_type, count(*) FILTER (WHERE status IN ('pending', 'processing')) AS active FROM jobs GROUP BY 1)")
@@ -666,12 +677,12 @@ def _(spark, sf):
     return governance.cached(cache, e.select(F.col("website").alias("url")).distinct(), "1999-06-01 00:00:00").select("url", "data")
 
 
-_IMPORT = X.sql("canonical") + ", c AS (SELECT google_place_id, 'new ' || name AS name FROM canonical WHERE google_place_id IS NOT NULL AND id % 3 = 0 UNION ALL SELECT 'x:' || CAST(id AS STRING), name FROM canonical WHERE id % 100 = 0), k AS (SELECT c.name, c.google_place_id, o.id AS old_id FROM c LEFT JOIN canonical o ON c.google_place_id = o.google_place_id WHERE o.id IS NULL OR o.lifecycle_status = 'closed'), n AS (SELECT (SELECT max(id) FROM canonical) + row_number() OVER (ORDER BY google_place_id) AS id, name, google_place_id, old_id FROM k) "
+_IMPORT = X.sql("canonical") + ", c AS (SELECT google_place_id, 'new ' || name AS name FROM canonical WHERE google_place_id IS NOT NULL UNION ALL SELECT 'x:' || CAST(id AS STRING), name FROM canonical), k AS (SELECT c.name, c.google_place_id, o.id AS old_id FROM c LEFT JOIN canonical o ON c.google_place_id = o.google_place_id WHERE o.id IS NULL OR o.lifecycle_status = 'closed'), n AS (SELECT (SELECT max(id) FROM canonical) + row_number() OVER (ORDER BY google_place_id) AS id, name, google_place_id, old_id FROM k) "
 
 
 def imported(spark, sf):
     c = T(spark, sf, "canonical")
-    new = c.where("google_place_id is not null and id % 3 = 0").selectExpr("google_place_id", "'new ' || name AS name").unionByName(c.where("id % 100 = 0").selectExpr("'x:' || CAST(id AS STRING) AS google_place_id", "name"))
+    new = c.where("google_place_id is not null").selectExpr("google_place_id", "'new ' || name AS name").unionByName(c.selectExpr("'x:' || CAST(id AS STRING) AS google_place_id", "name"))
     return governance.import_places(c, new)
 
 
@@ -685,11 +696,6 @@ def _(spark, sf):
     return imported(spark, sf)[1]
 
 
-@query("W10_receipts", X.sql("permits") + "SELECT object_id, CASE WHEN coalesce(abs(latitude) <= 90, false) THEN 'applied' ELSE 'rejected' END AS status, CASE WHEN NOT coalesce(abs(latitude) <= 90, false) THEN 'database_input_invalid' END AS reason FROM permits")
-def _(spark, sf):
-    return governance.receipts(T(spark, sf, "permits"), F.abs("latitude") <= 90).select("object_id", "status", "reason")
-
-
 @query("V9_identity_conflicts", X.sql("jobs") + "SELECT job_type, place_id, count(*) AS n FROM jobs GROUP BY 1, 2 HAVING count(*) > 1")
 def _(spark, sf):
     return governance.identity_conflicts(T(spark, sf, "jobs"), ["job_type", "place_id"])

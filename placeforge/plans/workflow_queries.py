@@ -9,7 +9,7 @@ from placeforge.operators import jobs as J
 from placeforge.operators import matching as M
 from placeforge.operators.order import running
 from placeforge.plans import fixtures as X
-from placeforge.plans.queries import _BRAND, _PAYLOAD, _PLAIN, AS_OF, Q_MATCH, SQL, T, candidates, decisions, payloads, q_digits, q_first, q_letters, q_norm, q_spaced, q_url, query
+from placeforge.plans.queries import _BOX, _BRAND, _PAYLOAD, _PLAIN, AS_OF, Q_MATCH, SQL, T, candidates, decisions, payloads, q_digits, q_first, q_letters, q_norm, q_spaced, q_url, query
 from placeforge.sources import feeds, snapshots, tiles
 
 _FILTER = lambda cond, name: f"count(*) FILTER (WHERE {cond}) AS {name}"
@@ -40,10 +40,19 @@ def _(spark, sf):
     return report(spark, sf)
 
 
-@query("M10_violations", "SELECT 'none' AS kind, 0 AS n WHERE false")
+# a faulty run: every fifth decision is of another kind than its route allows, every seventh has lost its match
+_FAULTY = "CASE WHEN id % 5 = 0 THEN 'closed_evidence' ELSE disposition END"
+
+
+@query("M10_violations", Q_MATCH + f""", f AS (SELECT *, CAST(substr(source_id, 5) AS BIGINT) AS id FROM decided), g AS (SELECT route, {_FAULTY} AS disposition, CASE WHEN id % 7 <> 0 THEN place END AS place, CASE WHEN id % 7 <> 0 THEN method END AS method, nearest_id, nd, d FROM f)
+  SELECT route, disposition, count(*) AS n FROM (SELECT *, route IN ('ready_for_match', 'closed_evidence_candidate') AS cmp, coalesce(method IN ('exact_identifier_nearby', 'exact_name_nearby', 'strong_spatial_name'), false) AS acc, coalesce(method IN ('weak_spatial_name', 'spatial_only_review'), false) AS amb, route = 'ready_for_match' AS ready FROM g)
+  WHERE (disposition = 'not_compared' AND (cmp OR place IS NOT NULL OR nearest_id IS NOT NULL)) OR (disposition <> 'not_compared' AND NOT cmp) OR (disposition = 'matched_existing' AND NOT (ready AND acc)) OR (disposition = 'ambiguous_review' AND NOT (ready AND amb)) OR (disposition = 'likely_new' AND NOT (ready AND coalesce(method, 'no_match') = 'no_match'))
+   OR (disposition = 'closed_evidence' AND NOT (cmp AND NOT ready AND acc)) OR (disposition = 'closed_evidence_dropped' AND (ready OR NOT cmp OR acc)) OR (place IS NULL) <> (nearest_id IS NULL) OR coalesce(nd > d, false) GROUP BY 1, 2""")
 def _(spark, sf):
-    broken = M.report_violations(report(spark, sf)).groupBy(F.col("violation").alias("kind")).agg(F.count("*").cast("int").alias("n"))
-    return broken.unionByName(M.decision_violations(decisions(spark, sf)).groupBy(F.col("disposition").alias("kind")).agg(F.count("*").cast("int").alias("n")))
+    n = F.substring("source_id", 5, 20).cast("long")
+    keep = lambda c: F.when(n % 7 != 0, F.col(c))
+    faulty = decisions(spark, sf).withColumn("disposition", F.when(n % 5 == 0, "closed_evidence").otherwise(F.col("disposition"))).withColumns({c: keep(c) for c in ("best_canonical_place_id", "best_match_method")})
+    return M.decision_violations(faulty).groupBy("route", "disposition").agg(F.count("*").alias("n"))
 
 
 @query("J8_unreconciled", X.sql("candidate") + ", d AS (SELECT source_id FROM candidate WHERE c_custkey % 10 <> 3 UNION ALL SELECT source_id FROM candidate WHERE c_custkey % 10 = 4 UNION ALL SELECT 'x' FROM candidate WHERE c_custkey = 1) SELECT coalesce(c.source_id, d.source_id) AS source_id, coalesce(c.n, 0) AS candidates, coalesce(d.n, 0) AS decisions FROM (SELECT source_id, count(*) AS n FROM candidate GROUP BY 1) c FULL JOIN (SELECT source_id, count(*) AS n FROM d GROUP BY 1) d ON c.source_id = d.source_id WHERE coalesce(c.n, 0) <> 1 OR coalesce(d.n, 0) <> 1")
@@ -113,16 +122,17 @@ def _(spark, sf):
     return review.unproven_links(q, e).select("id", "canonical_place_id")
 
 
-@query("J13_reconcile", X.sql("canonical", "evidence", "queue", "sync_public") + "SELECT DISTINCT p.id, p.last_enriched_at FROM canonical p LEFT JOIN evidence e ON e.entity_type = 'pizza' AND e.place_id = p.id AND e.match_method = 'reviewed_new_import' LEFT JOIN queue q ON q.entity_type = 'pizza' AND q.canonical_place_id = p.id AND q.status IN ('accepted', 'linked') AND q.decision = 'imported_new' WHERE (e.place_id IS NOT NULL OR q.canonical_place_id IS NOT NULL) AND p.last_enriched_at IS NOT NULL AND (p.style IS NOT NULL OR p.price_range IS NOT NULL OR p.style_confidence IS NOT NULL) AND p.id NOT IN (SELECT id FROM sync_public WHERE qa_status IS NOT NULL AND price_range = '$')")
+# places that no queued row is near to are not published yet
+@query("J13_reconcile", X.sql("canonical", "evidence", "queue") + "SELECT DISTINCT p.id, p.last_enriched_at FROM canonical p LEFT JOIN evidence e ON e.entity_type = 'pizza' AND e.place_id = p.id AND e.match_method = 'reviewed_new_import' LEFT JOIN queue q ON q.entity_type = 'pizza' AND q.canonical_place_id = p.id AND q.status IN ('accepted', 'linked') AND q.decision = 'imported_new' WHERE (e.place_id IS NOT NULL OR q.canonical_place_id IS NOT NULL) AND p.last_enriched_at IS NOT NULL AND (p.style IS NOT NULL OR p.price_range IS NOT NULL OR p.style_confidence IS NOT NULL) AND p.id NOT IN (SELECT nearest_place_id FROM queue)")
 def _(spark, sf):
-    p, e, q, s = T(spark, sf, "canonical", "evidence", "queue", "sync_public")
-    return review.unpublished_imports(p, e, q, s.where("qa_status is not null and price_range = '$'").select("id")).select("id", "last_enriched_at")
+    p, e, q = T(spark, sf, "canonical", "evidence", "queue")
+    return review.unpublished_imports(p, e, q, q.select(F.col("nearest_place_id").alias("id")).distinct()).select("id", "last_enriched_at")
 
 
-@query("O9_missing_ids", X.sql("canonical", "sync_public") + "SELECT c.id FROM canonical c WHERE c.google_place_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sync_public s WHERE s.id = c.id AND s.style IS NOT NULL)")
+@query("O9_missing_ids", X.sql("canonical", "queue") + "SELECT c.id FROM canonical c WHERE NOT EXISTS (SELECT 1 FROM queue q WHERE q.nearest_place_id = c.id)")
 def _(spark, sf):
-    c, s = T(spark, sf, "canonical", "sync_public")
-    return c.where("google_place_id is not null").select("id").join(s.where("style is not null").select("id"), "id", "left_anti")
+    c, q = T(spark, sf, "canonical", "queue")
+    return c.select("id").join(q.select(F.col("nearest_place_id").alias("id")), "id", "left_anti")
 
 
 @query("E17_website_provenance", X.sql("canonical") + """SELECT 'pizza' AS entity_type, id AS place_id, 'place:' || CAST(id AS STRING) AS source_id, website_url AS source_url, coalesce(last_enriched_at, TIMESTAMP '2024-06-01 00:00:00') AS retrieved_at,
@@ -194,12 +204,13 @@ def _(spark, sf):
     return governance.classifier_candidates(c, e).select("id")
 
 
-@query("F14_sync_targets", "SELECT entity, target, CASE WHEN target IN ('place_sources', 'source_review_queue') THEN 'local_only' WHEN target NOT IN ('pizza_places', 'taco_places') THEN 'unsupported' WHEN entity IS NOT NULL AND target <> entity || '_places' THEN 'wrong_entity' END AS refusal FROM (VALUES ('pizza'), ('taco'), (NULL), ('cake')) a(entity), (VALUES ('pizza_places'), ('taco_places'), ('place_sources'), ('source_review_queue'), ('users')) b(target)")
+_TARGET = "CASE review_kind WHEN 'ambiguous' THEN CASE source WHEN 'osm' THEN 'place_sources' WHEN 'wikidata' THEN 'source_review_queue' ELSE 'users' END ELSE CASE WHEN id % 2 = 0 THEN 'pizza_places' ELSE 'taco_places' END END"
+
+
+@query("F14_sync_targets", X.sql("queue") + f"SELECT entity, target, CASE WHEN target IN ('place_sources', 'source_review_queue') THEN 'local_only' WHEN target NOT IN ('pizza_places', 'taco_places') THEN 'unsupported' WHEN entity IS NOT NULL AND target <> entity || '_places' THEN 'wrong_entity' END AS refusal, count(*) AS n FROM (SELECT CASE WHEN status <> 'rejected' THEN entity_type END AS entity, {_TARGET} AS target FROM queue) GROUP BY 1, 2, 3")
 def _(spark, sf):
-    entity = spark.createDataFrame([("pizza",), ("taco",), (None,), ("cake",)], "entity string")
-    target = spark.createDataFrame([(t,) for t in ("pizza_places", "taco_places", "place_sources", "source_review_queue", "users")], "target string")
-    rows = entity.crossJoin(F.broadcast(target))  # fixed lists
-    return rows.select("entity", "target", governance.sync_target(F.col("target"), F.col("entity")).alias("refusal"))
+    rows = T(spark, sf, "queue").select(F.when(F.col("status") != "rejected", F.col("entity_type")).alias("entity"), F.expr(_TARGET).alias("target"))
+    return rows.groupBy("entity", "target", governance.sync_target(F.col("target"), F.col("entity")).alias("refusal")).agg(F.count("*").alias("n"))
 
 
 # ---- queue and sources ---------------------------------------------------------------------------------------------
@@ -226,9 +237,19 @@ def _(spark, sf):
     return J.requeued(T(spark, sf, "jobs"), "now", 100, 1_000_000).select("id", "status", "attempts", "last_error")
 
 
-@query("T12_requeue_full_queue", X.sql("jobs") + "SELECT id, status FROM jobs WHERE false")
+_FULL = 400
+
+
+@query("T12_requeue_full_queue", X.sql("jobs") + f"SELECT place_type, (SELECT count(*) FROM jobs j WHERE j.place_type = p.place_type AND job_type = 'scrape' AND status = 'pending') AS waiting, CASE WHEN (SELECT count(*) FROM jobs j WHERE j.place_type = p.place_type AND job_type = 'scrape' AND status = 'pending') <= {_FULL} THEN least(100, (SELECT count(*) FROM jobs j WHERE j.place_type = p.place_type AND job_type = 'scrape' AND status = 'failed' AND ({_REQUEUE}) AND NOT ({_NEVER}))) ELSE 0 END AS requeued FROM (SELECT DISTINCT place_type FROM jobs) p")
 def _(spark, sf):
-    return J.requeued(T(spark, sf, "jobs"), "now", 100, -1).select("id", "status")
+    # the queue of one kind of place is over its bound, that of the other is not
+    out = None
+    for kind in ("pizza", "taco"):
+        jobs = T(spark, sf, "jobs").where(F.col("place_type") == kind)
+        waiting = jobs.agg(F.count_if((F.col("job_type") == "scrape") & (F.col("status") == "pending")).alias("waiting"))
+        one = J.requeued(jobs, "now", 100, _FULL).agg(F.count("*").alias("requeued")).crossJoin(F.broadcast(waiting)).select(F.lit(kind).alias("place_type"), "waiting", "requeued")  # one row
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 _LAST = "arg_max(status, (created_at, id)) AS status, arg_max(attempts, (created_at, id)) AS retries"
@@ -282,11 +303,11 @@ def _(spark, sf):
     return ranked.select("region", "backlog", F.col("number").alias("turn"))
 
 
-@query("A16_A17_ids", X.sql("queue") + ", d AS (SELECT source_id, max(id) AS last_id FROM queue WHERE source = 'all_the_places' GROUP BY 1) SELECT source_id, last_id, (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY source_id) AS new_id FROM d")
+@query("A16_A17_ids", X.sql("queue") + ", d AS (SELECT source, source_id, max(id) AS last_id FROM queue GROUP BY 1, 2) SELECT source, source_id, last_id, (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY source, source_id) AS new_id FROM d")
 def _(spark, sf):
-    d = T(spark, sf, "queue").where("source = 'all_the_places'").groupBy("source_id").agg(F.max("id").alias("last_id"))
+    d = T(spark, sf, "queue").groupBy("source", "source_id").agg(F.max("id").alias("last_id"))
     top = X.raw(spark, sf, "part").agg(F.max("p_partkey").alias("top"))
-    return running(d, ["source_id"]).crossJoin(F.broadcast(top)).select("source_id", "last_id", (F.col("top") + F.col("number")).alias("new_id"))
+    return running(d, ["source", "source_id"]).crossJoin(F.broadcast(top)).select("source", "source_id", "last_id", (F.col("top") + F.col("number")).alias("new_id"))
 
 
 _SPIDERS = "(SELECT s_name AS spider, s_acctbal > 0 AS import_enabled, CASE WHEN s_suppkey % 2 = 0 THEN 'a' ELSE 'b' END AS grp FROM supplier)"
@@ -296,9 +317,9 @@ def spiders(spark, sf):
     return X.raw(spark, sf, "supplier").select(F.col("s_name").alias("spider"), (F.col("s_acctbal") > 0).alias("import_enabled"), F.when(F.col("s_suppkey") % 2 == 0, "a").otherwise("b").alias("group"), "s_suppkey")
 
 
-@query("S10_preflight", f"SELECT spider, CASE WHEN n IS NULL THEN 'missing' WHEN n = 0 THEN 'empty' WHEN bad > 0 THEN 'warning' ELSE 'ok' END AS preflight FROM {_SPIDERS} s LEFT JOIN (SELECT s_name, count(*) FILTER (WHERE l_quantity > 49) AS n, count(*) FILTER (WHERE l_quantity > 49 AND l_returnflag = 'R' AND l_linenumber = 7) AS bad FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey <> 3 GROUP BY 1) l ON s.spider = l.s_name WHERE import_enabled")
+@query("S10_preflight", f"SELECT spider, CASE WHEN n IS NULL THEN 'missing' WHEN n = 0 THEN 'empty' WHEN bad > 0 THEN 'warning' ELSE 'ok' END AS preflight FROM {_SPIDERS} s LEFT JOIN (SELECT s_name, count(*) FILTER (WHERE l_quantity > 49) AS n, count(*) FILTER (WHERE l_quantity > 49 AND l_returnflag = 'R' AND l_linenumber = 7) AS bad FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1) l ON s.spider = l.s_name WHERE import_enabled")
 def _(spark, sf):
-    rows = X.raw(spark, sf, "lineitem").join(X.raw(spark, sf, "supplier").where("s_nationkey <> 3").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = X.raw(spark, sf, "lineitem").join(X.raw(spark, sf, "supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
     late = F.col("l_quantity") > 49
     stats = rows.groupBy(F.col("s_name").alias("spider")).agg(F.count_if(late).alias("features"), F.count_if(late & (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)).alias("warnings"))
     return snapshots.preflight(spiders(spark, sf), stats)
@@ -356,9 +377,10 @@ def _(spark, sf):
     return snapshots.csv_lines(T(spark, sf, "queue"), ["id", "source_name", "address"])
 
 
-@query("S15_S18_subtiles", "SELECT count(*) AS n FROM range(4) t(i), range(4) u(j)")
+@query("S15_S18_subtiles", _BOX + "SELECT count(*) * 16 AS subtiles, CAST(sum(m) AS BIGINT) AS places FROM t JOIN c USING (i, j)")
 def _(spark, sf):
-    return tiles.split(spark, (40.0, -84.0, 41.0, -82.0), 4).agg(F.count("*").alias("n"))
+    boxes = tiles.covering(T(spark, sf, "canonical"), 0.1).where("n > 0")
+    return tiles.split_boxes(boxes, 4).agg(F.count("*").alias("subtiles"), F.sum(F.when((F.col("row") == 0) & (F.col("col") == 0), F.col("n"))).alias("places"))
 
 
 _META = ", ".join(f"('{k}', '{a}', '{b}')" for k, (a, b) in feeds.ATTRIBUTION.items())

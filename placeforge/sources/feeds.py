@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeforge.functions import identity, text
+from placeforge.operators import matching
 
 # fixed values: per source its label, license, attribution and the aliases of its fields
 SOURCES = {
@@ -101,6 +102,19 @@ def normalize_feed(rows: DataFrame, source: str, as_of: str) -> DataFrame:
     )
 
 
+# fixed values: the fields of a candidate's payload, in order
+PAYLOAD = ("source", "source_label", "source_id", "name", "lat", "lng", "address", "locality", "region", "postcode", "country", "website", "phone", "source_url", "confidence", "is_closed", "categories", "spider", "route")
+
+
+def candidate_payloads(rows: DataFrame, as_of: str) -> DataFrame:
+    """Rows of `fields` (FSQ feeds) as the payload of 19 fields: the website is the source url, blank texts are null, no confidence or spider yet."""
+    flat = normalize_feed(rows, "fsq_os_places", as_of)
+    blank = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
+    texts = ("name", "address", "locality", "region", "postcode", "country")
+    flat = flat.withColumns({"confidence": F.lit(0.0), "spider": F.lit(None).cast("string"), "source_url": F.col("website")}).select(*(blank(c) if c in texts else c for c in PAYLOAD[:-1]))
+    return matching.route(flat).select(*PAYLOAD)
+
+
 def osm_rows(elements: DataFrame) -> DataFrame:
     """Elements (type, id, lat, lon, center, tags) as feed rows; those without name or coordinates go."""
     t = F.col("tags")

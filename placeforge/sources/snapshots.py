@@ -1,4 +1,4 @@
-"""Snapshot pages, record counts, resumable scans, spider choice and report writers."""
+"""Snapshot pages, record counts, spider choice and report writers."""
 
 from __future__ import annotations
 
@@ -57,12 +57,6 @@ def record_count(text: Column) -> Column:
     return F.when(text.isNull() | F.coalesce(kind == "VOID", F.lit(False)), 0).when(kind.startswith("ARRAY"), size("$")).when(kind.startswith("OBJECT"), one).otherwise(1)
 
 
-def resumed(rows: DataFrame, file: str, row: str, at: tuple[str, int], most: int) -> DataFrame:
-    """Rows behind the position (file, row), in that order, at most `most`; the file filter prunes what lies before."""
-    behind = (F.col(file) > at[0]) | ((F.col(file) == at[0]) & (F.col(row) > at[1]))
-    return rows.where((F.col(file) >= at[0]) & behind).orderBy(file, row).limit(most)
-
-
 def spiders(manifest: DataFrame, turn: int, n: int, group: str | None = None) -> DataFrame:
     """Of the enabled spiders (of a group) the next `n` from `turn` on, round robin in the order of their names."""
     rows = manifest.where("import_enabled")

@@ -1,5 +1,6 @@
 """Boundary values of the place engine, its file readers, contracts and streams."""
 
+import hashlib
 import json
 import os
 
@@ -7,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeforge.functions import geo, identity, text
-from placeforge.operators import governance, jobs, matching, pages, publish, review, rules
+from placeforge.operators import constraints, delivery, governance, jobs, matching, pages, publish, review, rules
 from placeforge.operators.order import running
-from placeforge.plans import contracts
-from placeforge.sources import artifacts, feeds, snapshots, tiles
-from placeforge.streaming import state
+from placeforge.plans import contracts, queries, source_queries  # noqa: F401  (the last registers its queries)
+from placeforge.sources import artifacts, feeds, paged, positions, snapshots, tiles
+from placeforge.streaming import cycles, state
+from placeforge.streaming import pages as pages_source
 
 
 def values(spark, column, *inputs):
@@ -215,6 +217,8 @@ def test_running_numbers_and_sums(spark):
     assert [(r.a, r.b) for r in got] == want and [r.number for r in got] == list(range(1, 303))
     assert [r.total for r in got] == [sum(b for _, b in want[: k + 1]) for k in range(302)]
     assert running(spark.createDataFrame([], "a string"), ["a"]).count() == 0
+    same = running(spark.range(2000).selectExpr("1 AS a", "id % 3 AS b"), ["a"], parts=16)
+    assert sorted(r.number for r in same.collect()) == list(range(1, 2001))  # one frequent key is cut too
 
 
 def test_evidence_rules(spark):
@@ -249,26 +253,231 @@ def test_record_counts_and_reports(spark):
     assert [r.line for r in snapshots.csv_lines(rows, ["a", "b"]).collect()] == ["a,b", '"say ""hi"", you",']
 
 
-def test_resumed_scans_and_spiders(spark):
-    rows = spark.createDataFrame([(f, n) for f in ("a", "b", "c") for n in range(4)], "file string, row int")
-    assert [(r.file, r.row) for r in snapshots.resumed(rows, "file", "row", ("b", 2), 3).collect()] == [("b", 3), ("c", 0), ("c", 1)]
+def test_spiders_take_turns(spark):
     manifest = spark.createDataFrame([(f"s{k}", k != 2, "g") for k in range(6)], "spider string, import_enabled boolean, group string")
     assert sorted((r.turn, r.spider) for r in snapshots.spiders(manifest, 3, 3).collect()) == [(0, "s4"), (1, "s5"), (2, "s0")]
 
 
 def test_deliveries_are_acknowledged_page_by_page(spark):
-    rows = spark.createDataFrame([(n, f"r{n}") for n in range(1, 8)], "number long, id string")
+    rows = spark.createDataFrame([(n, f"r{n}") for n in range(1, 8)], "k long, id string")
+    pages = delivery.delivery_pages(rows, ["k"], 4)
     state_ = {"offset": 0, "prefix": None, "complete": False, "pending": None}
-    first = governance.delivery_page(rows, state_, 4, True)
-    assert (first["pending"]["start"], first["pending"]["end"], first["pending"]["complete"]) == (0, 4, False)
-    assert governance.delivery_page(rows, first, 4, True) == first
+    first = delivery.next_page(pages, state_)
+    assert (first["pending"]["start"], first["pending"]["end"], first["pending"]["last"]) == (0, 4, False)
+    assert delivery.next_page(pages, first) == first
     with pytest.raises(ValueError, match="acknowledgement"):
-        governance.acknowledged(first, {"end": 3})
-    state_ = governance.acknowledged(first, first["pending"])
-    second = governance.delivery_page(rows, state_, 4, True)
-    assert second["pending"]["end"] == 7 and second["pending"]["complete"]
+        delivery.acknowledged(first, "other")
+    state_ = delivery.acknowledged(first, first["pending"]["page_id"])
+    second = delivery.next_page(delivery.delivery_pages(rows.repartition(3), ["k"], 4), state_)
+    assert second["pending"]["end"] == 7 and second["pending"]["last"]
     with pytest.raises(ValueError, match="changed"):
-        governance.delivery_page(rows.withColumn("id", F.upper("id")), state_, 4, True)
+        delivery.next_page(delivery.delivery_pages(rows.withColumn("id", F.upper("id")), ["k"], 4), state_)
+    assert delivery.next_page(pages, delivery.acknowledged(second, second["pending"]["page_id"]))["pending"] is None
+    assert delivery.delivery_pages(rows.limit(0), ["k"], 4).count() == 0
+
+
+def test_scans_resume_at_file_and_row(spark, tmp_path):
+    for k, n in enumerate((5, 0, 7, 4)):
+        spark.range(k * 100, k * 100 + n).selectExpr("id", "repeat('x', cast(id % 3 as int)) AS text").coalesce(1).write.parquet(f"{tmp_path}/feed/{k}")
+    rows = positions.located(spark, [f"{tmp_path}/feed/{k}" for k in (0, 2, 3)], "id long, text string")
+    files = positions.pinned(rows)
+    digest = positions.files_digest(files)
+    wanted, size = F.col("id") % 2 == 0, F.length("text")
+    at, seen, scanned = positions.Position(), [], 0
+    for _ in range(20):
+        page = positions.scan_page(rows, files, at, wanted, size, most_files=2, most_rows=4, limit=2, most_bytes=3)
+        seen += sorted(r.id for r in page.rows.collect())
+        scanned, at = scanned + page.scanned, page.next
+        if page.complete:
+            break
+    everything = [*range(5), *range(200, 207), *range(300, 304)]
+    assert seen == [i for i in everything if i % 2 == 0] and scanned == len(everything) and at == positions.Position()
+    page = positions.scan_page(rows, files, positions.Position(1, 3), F.lit(True), size, most_files=1, most_rows=100, limit=50)
+    assert [r.id for r in page.rows.orderBy("ordinal").collect()] == [203, 204, 205, 206] and page.next == positions.Position(2, 0)
+    assert {r.file.split("/")[-2] for r in page.rows.collect()} == {"2"}
+    plan = page.rows._jdf.queryExecution().executedPlan()
+    page.rows.collect()
+    assert "_metadata" in str(plan) or "file_path" in str(plan)
+    with pytest.raises(ValueError, match="larger"):
+        positions.scan_page(rows, files, positions.Position(0, 2), F.lit(True), size, most_bytes=1)
+    with pytest.raises(ValueError, match="outside"):
+        positions.scan_page(rows, files, positions.Position(0, 6), F.lit(True), size)
+    assert positions.files_digest(positions.pinned(rows.where("id <> 1"))) != digest
+
+
+def test_a_page_is_read_again_after_a_kill(spark, tmp_path):
+    spark.range(1100).selectExpr("id", "cast(id % 7 as string) AS v").repartition(3).write.parquet(f"{tmp_path}/feed")
+    spark.dataSource.register(pages_source.PlacePages)
+    seen, alive = [], [False]
+
+    def sink(rows, batch):
+        got = rows.orderBy("file", "row").collect()
+        if got:
+            seen.append((batch, {r.page_id for r in got}, [(r.file, r.row, r.id, r.v) for r in got]))
+            if len(seen) == 2 and not alive[0]:
+                alive[0] = True
+                raise RuntimeError("killed between page and acknowledgement")
+
+    def run():
+        stream = spark.readStream.format("place_pages").option("path", f"{tmp_path}/feed").option("columns", "id long, v string").option("rows", 400).load()
+        query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{tmp_path}/ck").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    with pytest.raises(Exception, match="killed"):
+        run()
+    run()
+    assert [s[0] for s in seen] == [0, 1, 1, 2] and seen[1] == seen[2] and all(len(s[1]) == 1 for s in seen)
+    assert sorted(i for k, s in enumerate(seen) if k != 1 for _, _, i, _ in s[2]) == list(range(1100))
+
+
+def test_cycles_over_two_days(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    steps = [
+        [("a", "id", 1, None, "01 00:00"), ("a", "id", 2, None, "01 00:00"), ("a", "id", 3, None, "01 00:00"), ("a", "record", 1, "v1", "01 00:01"), ("a", "record", 2, "v1", "01 00:01"), ("a", "record", 1, "v1", "01 00:02"), ("a", "record", 9, "v1", "01 00:02"), ("a", "ack", None, None, "01 00:03")],
+        [("a", "record", 3, "v1", "01 00:04"), ("a", "record", 2, "v1", "01 00:04"), ("a", "ack", None, None, "01 00:05"), ("a", "id", 1, None, "01 05:00")],
+        [("b", "id", 1, None, "02 06:00")],
+        [("a", "id", 1, None, "02 08:00"), ("a", "id", 2, None, "02 08:00"), ("a", "record", 1, "v2", "02 08:01"), ("a", "record", 2, "v1", "02 08:01"), ("a", "ack", None, None, "02 08:02")],
+    ]
+    query = None
+    try:
+        for k, rows in enumerate(steps):
+            spark.createDataFrame(rows, "source string, kind string, object_id long, version string, t string").selectExpr("source", "kind", "object_id", "version", "cast('2024-01-' || t || ':00' AS timestamp) AS ts").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+            if query is None:
+                stream = cycles.cycles(spark.readStream.schema(cycles.EVENTS).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in"))
+                query = stream.writeStream.format("memory").queryName("cycle_rows").option("checkpointLocation", f"{tmp_path}/ck").start()
+            query.processAllAvailable()
+    finally:
+        if query:
+            query.stop()
+        spark.conf.set(provider, before)
+    got = [(r.cycle, r.object_id, r.outcome, r.cursor) for r in spark.table("cycle_rows").collect() if r.source == "a"]
+    assert got == [
+        (1, 1, "pending", 0), (1, 2, "pending", 0), (1, 1, "replayed", 0), (1, 9, "late", 0), (1, 1, "published", 1), (1, 2, "published", 2),
+        (1, 2, "late", 2), (1, 3, "pending", 2), (1, 3, "published", 3), (1, None, "complete", 3), (1, 1, "deferred", 3), (1, None, "due", 3),
+        (2, 1, "pending", 0), (2, 2, "pending", 0), (2, 1, "published", 1), (2, 2, "unchanged", 2), (2, None, "complete", 2),
+    ]
+
+
+def test_violations_name_their_paths(spark):
+    texts = "array<string>"
+    kind = f"fsq_place_id string, name string, latitude double, longitude double, address string, locality string, region string, postcode string, country string, tel string, website string, fsq_category_ids {texts}, fsq_category_labels {texts}, date_closed string, unresolved_flags {texts}"
+    good = ("p", "Café", 1.0, 2.0, None, None, None, None, None, None, None, [], ["a"], "2024-02-29", [])
+    rows = [good, (" p", None, 91.0, float("nan"), "", *[None] * 4, "x" * 129, "é" * 1025, ["a", None, " "], ["é" * 257], "2023-02-29", ["ok", "Doesn't  Exist"]), (*good[:11], ["a"] * 129, None, "2024-01-02T03:04:05.678Z", None)]
+    got = [[(v.path, v.problem) for v in r.v] for r in spark.createDataFrame(rows, kind).coalesce(1).select(constraints.violations(constraints.RELEASE_V1).alias("v")).collect()]
+    assert got[0] == []
+    assert got[1] == [
+        ("fsq_place_id", "untrimmed"), ("name", "missing"), ("latitude", "out_of_range"), ("longitude", "not_finite"), ("address", "blank"), ("tel", "too_long"), ("website", "too_long"),
+        ("fsq_category_ids[1]", "missing"), ("fsq_category_ids[2]", "blank"), ("fsq_category_labels[0]", "too_long"), ("date_closed", "malformed"), ("unresolved_flags[1]", "forbidden"),
+    ]
+    assert got[2] == [("fsq_category_ids", "too_many"), ("fsq_category_labels", "missing"), ("unresolved_flags", "missing")]
+
+
+def test_projection_counts_in_the_same_pass_and_overflow_fails(spark):
+    rows = spark.createDataFrame([("a", " A ", 1.0, 1.0, ["Private Venue"], 1), ("b", " B ", 1.0, 1.0, None, 2), ("c", " ", 1.0, 1.0, [], 3)], "fsq_place_id string, name string, latitude double, longitude double, unresolved_flags array<string>, extra int")
+    kept, seen = governance.projection(rows)
+    got = kept.collect()
+    assert [(r.fsq_place_id, r.name, r.fsq_category_ids) for r in got] == [("b", "B", [])] and kept.columns == [r.path for r in constraints.RELEASE_V1]
+    assert seen.get == {"input": 3, "projected": 1, "excluded": 1, "rejected": 1}
+    kept, seen = governance.prepared(rows, [("named", F.trim("name") != ""), ("late", F.col("extra") > 1)], most=1)
+    assert kept.count() == 1 and seen.get == {"input": 3, "named": 2, "late": 1}
+    with pytest.raises(Exception, match="more than 1 rows"):
+        governance.prepared(rows, [("named", F.trim("name") != "")], most=1)[0].collect()
+
+
+def test_invalid_commands_are_found_by_halving(spark):
+    def publish(rows):
+        if (rows["v"] == 13).any():
+            raise governance.InvalidInput("22023")
+
+    got = governance.published(spark.range(300).selectExpr("id", "cast(id % 101 as int) AS v"), "id", publish, 128).orderBy("id").collect()
+    assert [r.id for r in got if r.status == "rejected"] == [13, 114, 215] and all((r.reason is None) == (r.status == "applied") for r in got)
+    assert {(r.batch, r.calls) for r in got} == {(0, 1 + 2 * (7 + 6)), (1, 15), (2, 1)}
+
+    def down(rows):
+        raise OSError("connection lost")
+
+    with pytest.raises(Exception, match="connection lost"):
+        governance.published(spark.range(3), "id", down).collect()
+
+
+def records_of(ids):
+    """A source that has lost the ids divisible by 7; used by the test below on the executors."""
+    return [{"id": i, "v": f"v{i}", "secret": "x"} for i in ids if i % 7]
+
+
+def test_ids_are_asked_page_by_page(spark):
+    spark.dataSource.register(paged.IdPages)
+    ask = lambda ids, fetch="tests.test_place:records_of": spark.read.format("id_pages").option("columns", "id long, v string").option("id", "id").option("ids", json.dumps(ids)).option("fetch", fetch).load()
+    got = ask(list(range(600, 0, -1)))
+    rows = got.collect()
+    assert got.columns == ["id", "v", "page"] and sorted(r.id for r in rows) == [i for i in range(1, 601) if i % 7] and {r.page for r in rows} == {0, 1, 2} and got.rdd.getNumPartitions() == 3
+    assert ask([]).count() == 0
+    for ids in ([1, 1], [-1], [1.5], list(range(250_001))):
+        with pytest.raises(Exception, match="invalid"):
+            ask(ids).collect()
+    found = paged.discovered(spark.createDataFrame([(i,) for i in [*range(300), 5, -2, None]], "k long"), "k")
+    assert {(r.id, r.refused) for r in found.where("refused is not null").collect()} == {(5, "duplicate"), (-2, "negative"), (None, "missing")}
+    report = paged.page_report(found.where("refused is null").select("id", "page"), spark.createDataFrame([(1,), (1,), (2,)], "id long")).orderBy("page").collect()
+    assert [(r.requested, r.first_id, r.last_id, r.returned, r.missing, r.repeated) for r in report] == [(250, 0, 250, 2, 248, 1), (49, 251, 299, 0, 49, 0)]
+    with pytest.raises(Exception, match="more than 2 ids"):
+        paged.discovered(spark.range(3), "id", most=2).collect()
+
+
+def test_file_snapshots_are_what_their_digests_say(spark, tmp_path):
+    texts = {"a.json": '{"rows":[1,2]}', "b.json": "[1,2,3]"}
+    for name, text_ in texts.items():
+        (tmp_path / name).write_text(text_)
+    digests = {n: hashlib.sha256(t.encode()).hexdigest() for n, t in texts.items()}
+    got = artifacts.checked_snapshots(spark, str(tmp_path), digests).collect()
+    assert {(r.name, r.records, r.value) for r in got} == {("a.json", 2, texts["a.json"]), ("b.json", 3, texts["b.json"])}
+    for bad, why in (({"a.json": digests["a.json"]}, "not in the manifest"), (digests | {"b.json": "0"}, "not what its digest")):
+        with pytest.raises(Exception, match=why):
+            artifacts.checked_snapshots(spark, str(tmp_path), bad).collect()
+    with pytest.raises(Exception, match="byte cap"):
+        artifacts.checked_snapshots(spark, str(tmp_path), digests, most_bytes=10).collect()
+    with pytest.raises(Exception, match="record cap"):
+        artifacts.checked_snapshots(spark, str(tmp_path), digests, most_records=2).collect()
+    assert {r.outcome for r in artifacts.file_snapshots(spark, str(tmp_path), most_bytes=10).collect()} == {"ok", "too_large"}
+
+
+def test_table_files_have_their_digests(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    (tmp_path / "one.parquet").write_bytes(b"bytes")
+    got = {r.file: (r.bytes, r.digest, r.outcome) for r in queries.QUERIES["S13_table_files"](spark, str(tmp_path)).collect()}
+    assert got["one.parquet"] == (5, hashlib.sha256(b"bytes").hexdigest(), "ok") and len(got) == 2
+
+
+def test_positions_of_equal_and_unlike_tables(spark):
+    a = spark.createDataFrame([(k, None if k == 2 else "v") for k in range(5)], "k int, v string")
+    assert matching.positional_differences(a, a.repartition(3), ["k"], ["k", "v"]).count() == 0
+    b = a.where("k <> 3").withColumn("v", F.when(F.col("k") == 2, "x").otherwise(F.col("v")))
+    got = [(r.number, r.side, r.differs) for r in matching.positional_differences(a, b, ["k"], ["k", "v"]).orderBy("number").collect()]
+    assert got == [(3, "both", ["v"]), (4, "both", ["k"]), (5, "expected_only", [])]
+
+
+def test_tiles_split_down_to_a_floor(spark):
+    one = spark.createDataFrame([(1, 0.0, 0.0, 4.0, 8.0, 0)], "tile int, south double, west double, north double, east double, seed long")
+    got = {r.path: r for r in tiles.run_tiles(one, F.col("path").isin("", "3", "32"), floor=2).collect()}
+    assert set(got) == {"", "0", "1", "2", "3", "30", "31", "32", "33"}
+    assert {p for p, r in got.items() if r.is_split} == {"", "3"} and {p: got[p].status for p in ("", "3", "32", "33", "0")} == {"": "partial", "3": "partial", "32": "failed", "33": "success", "0": "success"}
+    assert (got["32"].south, got["32"].west, got["32"].north, got["32"].east) == (3.0, 4.0, 4.0, 6.0) and (got["3"].south, got["3"].east) == (2.0, 8.0)
+    whole = tiles.run_tiles(one, F.lit(False)).collect()
+    assert [(r.path, r.status, r.is_split) for r in whole] == [("", "success", False)]
+
+
+def test_field_actions_and_merged_data(spark):
+    fields = F.from_json(A, "map<string,string>")
+    row = spark.createDataFrame([('{"url":"Shop.example/a","website":" ","tel":"12","rating":"5","odd":"x","name":" N "}',)], "a string")
+    got = {(r.field, r.value, r.action) for r in governance.field_dispositions(row, "a", fields).collect()}
+    assert got == {("website_url", "https://shop.example/a", "fill"), ("phone", "12", "invalid"), ("rating", "5", "blocked"), ("name", "N", "review")}
+    assert values(spark, jobs.merged_json(A, B), ('{"a":"1"}', '{"b":"2"}'), ("broken", '{"b":"2"}'), (None, '{"a":null}'), ('{"a":"1"}', '{"a":"3"}')) == ['{"a":"1","b":"2"}', '{"b":"2"}', '{"a":null}', '{"a":"3"}']
+    answer = governance.model_result(A, rules.evidence_text(B), [B], "taco")
+    assert values(spark, answer[0], ('{"style": "Al Pastor,  Birria , Odd"}', "al pastor birria")) == ["Al Pastor, Birria"]
 
 
 def test_publication_gate():

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from placeforge.plans import queries, workflow_queries  # noqa: F401  (the second registers more)
+from placeforge.plans import queries, source_queries, workflow_queries  # noqa: F401  (they register their queries)
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
