@@ -105,6 +105,9 @@ def grid_pairs(left: DataFrame, right: DataFrame, reach_m: float, cell_degrees:
 def evaluated(candidates: DataFrame, places: DataFrame, config: Matching = Matching()) -> DataFrame:
     """The nearest `keep` places of each candidate, scored; `near` ranks by distance, `best` by worth."""
     right = places.select("canonical_place_id", F.col("name").alias("p_name"), F.col("website_url").alias("p_website"), F.col("phone").alias("p_phone"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
+    # of places at one point only the first `keep` can rank: a default point of a geocoder stays small, before and after the shuffle
+    alike = Window.partitionBy("p_lat", "p_lng").orderBy("canonical_place_id")
+    right = right.where("p_lat is not null and p_lng is not null").withColumn("alike", F.row_number().over(alike)).where(F.col("alike") <= config.keep).drop("alike")
     right = right.withColumn("p_norm", text.normalized(F.col("p_name")))
     left = candidates.select("source_id", "lat", "lng", "website", "phone", text.normalized(F.col("name")).alias("norm"))
     pairs = grid_pairs(left, right, config.max_distance_m, config.cell_degrees)

@@ -215,14 +215,18 @@ def q_first(x: str, table: dict, value: bool = True) -> str:
     return "CASE " + " ".join(f"WHEN contains({x}, '{esc(k)}') THEN '{esc(v if value else k)}'" for k, v in table.items()) + " END"
 
 
-_NAMES = "(SELECT c_custkey AS id, CASE c_custkey % 12 WHEN 0 THEN 'Buddy''s  Pizza' WHEN 1 THEN 'ST. LOUIS Pizza Co' WHEN 2 THEN 'Little Caesars #' || CAST(c_custkey AS STRING) WHEN 3 THEN 'Brooklyn Slice Shop' WHEN 4 THEN 'Wood-Fired Forno' WHEN 5 THEN 'Plain Place' WHEN 6 THEN 'Round Table Pizza' WHEN 7 THEN 'Chicago Tavern' WHEN 8 THEN NULL WHEN 9 THEN 'Apizza House' WHEN 10 THEN 'LaRosa''s' ELSE 'Uno Pizzeria & Grill' END AS name, CASE WHEN c_custkey % 5 = 0 THEN '1 Detroit Ave' WHEN c_custkey % 5 = 1 THEN '2 Napoli Rd' END AS address, CASE c_custkey % 4 WHEN 0 THEN 'Q15109854' WHEN 1 THEN ' Q7897209 ' WHEN 2 THEN 'Q1' END AS brand FROM customer)"
+_NAME_COLUMNS = {
+    "id": "c_custkey",
+    "name": "CASE c_custkey % 12 WHEN 0 THEN 'Buddy''s  Pizza' WHEN 1 THEN 'ST. LOUIS Pizza Co' WHEN 2 THEN 'Little Caesars #' || CAST(c_custkey AS STRING) WHEN 3 THEN 'Brooklyn Slice Shop' WHEN 4 THEN 'Wood-Fired Forno' WHEN 5 THEN 'Plain Place' WHEN 6 THEN 'Round Table Pizza' WHEN 7 THEN 'Chicago Tavern' WHEN 8 THEN NULL WHEN 9 THEN 'Apizza House' WHEN 10 THEN 'LaRosa''s' ELSE 'Uno Pizzeria & Grill' END",
+    "address": "CASE WHEN c_custkey % 5 = 0 THEN '1 Detroit Ave' WHEN c_custkey % 5 = 1 THEN '2 Napoli Rd' END",
+    "brand": "CASE c_custkey % 4 WHEN 0 THEN 'Q15109854' WHEN 1 THEN ' Q7897209 ' WHEN 2 THEN 'Q1' END",
+}
+_NAMES = f"(SELECT {', '.join(f'{e} AS {c}' for c, e in _NAME_COLUMNS.items())} FROM customer)"
 _PLAIN = lambda x: f"trim(regexp_replace(lower(coalesce({x}, '')), '\\s+', ' ', 'g'))"
 
 
-def names(spark, sf):
-    columns = _NAMES[len("(SELECT ") : -len(" FROM customer)")]
-    out = X.raw(spark, sf, "customer")
-    return out.select(F.expr("c_custkey").alias("id"), *(F.expr(part).alias(a) for part, a in ((columns.split(" AS id, ")[1].split(" AS name, ")[0], "name"), (columns.split(" AS name, ")[1].split(" AS address, ")[0], "address"), (columns.split(" AS address, ")[1].rsplit(" AS brand", 1)[0], "brand"))))
+def names(spark, sf) -> DataFrame:
+    return X.raw(spark, sf, "customer").selectExpr(*(f"{e} AS {c}" for c, e in _NAME_COLUMNS.items()))
 
 
 @query("E1_E2_E3_E4_inference", f"SELECT id, coalesce(c, k, a) AS style, CASE WHEN c IS NOT NULL THEN 'high' WHEN k IS NOT NULL THEN 'medium' WHEN a IS NOT NULL THEN 'low' END AS confidence, CASE WHEN c IS NOT NULL THEN 'chain_map' WHEN k IS NOT NULL THEN 'keyword' WHEN a IS NOT NULL THEN 'address_keyword' END AS style_source, price, c IS NOT NULL OR price IS NOT NULL AS known_chain, brand_style FROM (SELECT id, {q_first(_PLAIN('name'), rules.CHAIN_STYLES)} AS c, {q_first(_PLAIN('name'), rules.STYLE_WORDS)} AS k, {q_first(_PLAIN('address'), rules.STYLE_WORDS)} AS a, {q_first(_PLAIN('name'), rules.CHAIN_PRICES)} AS price, CASE trim(brand) WHEN 'Q15109854' THEN 'California' WHEN 'Q7897209' THEN 'Chicago Deep Dish' END AS brand_style FROM {_NAMES})")
@@ -507,16 +511,18 @@ def _(spark, sf):
 
 
 # ---- further inference, pages and identity -------------------------------------------------------------------------
-_TACO = "(SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 'Taco Bell #' || CAST(c_custkey AS STRING) WHEN 1 THEN 'Birria y Carne Asada' WHEN 2 THEN 'El Pescado Baja' WHEN 3 THEN CASE WHEN c_custkey % 3 = 0 THEN 'Wahoo''s Fish Taco' WHEN c_custkey % 3 = 1 THEN 'Bartaco Plaza' ELSE 'Plain' END WHEN 4 THEN NULL WHEN 5 THEN 'Mariscos Lopez' WHEN 6 THEN 'Los Tacos No. 1' ELSE 'Pollo Chicken House' END AS name, CASE WHEN c_custkey % 3 = 0 THEN '9 Carnitas Way' END AS address, CASE c_custkey % 5 WHEN 0 THEN 'Seafood, Street Tacos' WHEN 1 THEN 'Birria; Tacos al Pastor' WHEN 2 THEN '' WHEN 3 THEN 'Detroit Style | Deep Dish' END AS cats, CASE c_custkey % 6 WHEN 0 THEN 'traditional' WHEN 1 THEN 'Tavern; New Haven' WHEN 2 THEN 'odd' WHEN 3 THEN ' ' WHEN 4 THEN 'Chicago|Grandma' END AS style FROM customer)"
+_TACO_COLUMNS = {
+    "id": "c_custkey",
+    "name": "CASE c_custkey % 8 WHEN 0 THEN 'Taco Bell #' || CAST(c_custkey AS STRING) WHEN 1 THEN 'Birria y Carne Asada' WHEN 2 THEN 'El Pescado Baja' WHEN 3 THEN CASE WHEN c_custkey % 3 = 0 THEN 'Wahoo''s Fish Taco' WHEN c_custkey % 3 = 1 THEN 'Bartaco Plaza' ELSE 'Plain' END WHEN 4 THEN NULL WHEN 5 THEN 'Mariscos Lopez' WHEN 6 THEN 'Los Tacos No. 1' ELSE 'Pollo Chicken House' END",
+    "address": "CASE WHEN c_custkey % 3 = 0 THEN '9 Carnitas Way' END",
+    "cats": "CASE c_custkey % 5 WHEN 0 THEN 'Seafood, Street Tacos' WHEN 1 THEN 'Birria; Tacos al Pastor' WHEN 2 THEN '' WHEN 3 THEN 'Detroit Style | Deep Dish' END",
+    "style": "CASE c_custkey % 6 WHEN 0 THEN 'traditional' WHEN 1 THEN 'Tavern; New Haven' WHEN 2 THEN 'odd' WHEN 3 THEN ' ' WHEN 4 THEN 'Chicago|Grandma' END",
+}
+_TACO = f"(SELECT {', '.join(f'{e} AS {c}' for c, e in _TACO_COLUMNS.items())} FROM customer)"
 
 
 def tacos(spark, sf) -> DataFrame:
-    inner = _TACO[len("(SELECT ") : -len(" FROM customer)")]
-    out, rest = [], inner
-    for name in ("id", "name", "address", "cats", "style"):
-        head, rest = rest.split(f" AS {name}", 1)
-        out.append(F.expr(head.lstrip(", ")).alias(name))
-    return X.raw(spark, sf, "customer").select(*out)
+    return X.raw(spark, sf, "customer").selectExpr(*(f"{e} AS {c}" for c, e in _TACO_COLUMNS.items()))
 
 
 _TW = lambda x: "list_filter([" + ", ".join(f"CASE WHEN contains({x}, '{k}') THEN '{v}' END" for k, v in rules.TACO_WORDS.items()) + "], lambda v: v IS NOT NULL)"

@@ -157,14 +157,15 @@ def q_price_evidence(price: str, *sources: str) -> str:
 
 
 # places with chain names, faulty values and thin evidence
-_RATED = X.sql("canonical") + ", rated AS (SELECT id, state, CASE WHEN id % 12 = 0 THEN 'Jet''s Pizza' WHEN id % 12 = 1 THEN 'Cosy Corner' WHEN id % 12 = 2 THEN 'Sbarro' ELSE name END AS name, website_url, osm_tags, scrape_notes, CASE WHEN id % 50 = 0 THEN '' ELSE style END AS style, CASE WHEN id % 45 = 0 THEN 'cheap' ELSE price_range END AS price_range, CASE WHEN id % 40 = 0 THEN 'sure' ELSE style_confidence END AS style_confidence FROM canonical) "
+_RATED_COLUMNS = {
+    "id": "id", "state": "state", "name": "CASE WHEN id % 12 = 0 THEN 'Jet''s Pizza' WHEN id % 12 = 1 THEN 'Cosy Corner' WHEN id % 12 = 2 THEN 'Sbarro' ELSE name END", "website_url": "website_url", "osm_tags": "osm_tags", "scrape_notes": "scrape_notes",
+    "style": "CASE WHEN id % 50 = 0 THEN '' ELSE style END", "price_range": "CASE WHEN id % 45 = 0 THEN 'cheap' ELSE price_range END", "style_confidence": "CASE WHEN id % 40 = 0 THEN 'sure' ELSE style_confidence END",
+}
+_RATED = X.sql("canonical") + f", rated AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _RATED_COLUMNS.items())} FROM canonical) "
 
 
 def rated(spark, sf):
-    head = _RATED.split("rated AS (", 1)[1].rsplit(") ", 1)[0]
-    columns = head[len("SELECT ") :].rsplit(" FROM canonical", 1)[0]
-    T(spark, sf, "canonical").createOrReplaceTempView("rated_source")
-    return spark.sql(f"SELECT {columns.replace(chr(39) + 'Jet' + chr(39) * 2 + 's Pizza' + chr(39), chr(34) + 'Jet' + chr(39) + 's Pizza' + chr(34))} FROM rated_source")
+    return T(spark, sf, "canonical").selectExpr(*(f"{e} AS {c}" for c, e in _RATED_COLUMNS.items()))
 
 
 _CHAIN = lambda t: q_first(_PLAIN("name"), t)

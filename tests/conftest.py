@@ -1,4 +1,5 @@
 import os
+import signal
 import sys
 from pathlib import Path
 
@@ -6,6 +7,7 @@ import pytest
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
+LIMIT_S = 600
 os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH", "")]))
 
 
@@ -26,3 +28,17 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def time_limit():
+    """One test that hangs must not hide those behind it."""
+
+    def stop(*_):
+        raise TimeoutError(f"the test took over {LIMIT_S} s")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(LIMIT_S)
+    yield
+    signal.alarm(0)
+    signal.signal(signal.SIGALRM, before)

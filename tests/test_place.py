@@ -90,6 +90,16 @@ def test_nearest_ten_are_cut_before_scoring(spark):
     assert all(r.canonical_place_id != "z" for r in matching.evaluated(left, right).collect())
 
 
+def test_a_default_point_keeps_its_first_ten(spark):
+    kind = "canonical_place_id string, name string, google_place_id string, website_url string, phone string, lat double, lng double"
+    right = spark.createDataFrame([(f"p{k:04}", "X", None, None, None, 42.0, -83.0) for k in range(3000)] + [("a", "X", None, None, None, 42.0001, -83.0)], kind)
+    left = spark.createDataFrame([(f"c{k}", "X", 42.0, -83.0, None, None) for k in range(5)], "source_id string, name string, lat double, lng double, website string, phone string")
+    got = {}
+    for r in matching.evaluated(left, right).collect():
+        got.setdefault(r.source_id, set()).add(r.canonical_place_id)
+    assert got == {f"c{k}": {f"p{i:04}" for i in range(10)} for k in range(5)}
+
+
 def test_routes(spark):
     rows = [(None, 42.0, -83.0, "MI", False), ("Pizza", 0.0, 0.0, "MI", False), ("Bank", 42.0, -83.0, None, False), ("Pizza", 42.0, -83.0, "XX", True), ("Pizza", 43.0, -75.0, "", False), ("Pizza", 43.0, -75.0, "VT", False), ("Pizza", None, None, None, False)]
     frame = spark.createDataFrame([(*r, [], None, None) for r in rows], "name string, lat double, lng double, region string, is_closed boolean, categories array<string>, website string, source_url string")
