@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from placeforge.llm.runtime import cut
-from placeforge.llm.textkit import BASE, BASE_INVERSE, batch_of, mix, powers, text_chunks, word_hashes, words
+from placeforge.llm.textkit import BASE, BASE_INVERSE, MASK, batch_of, mix, powers, text_chunks, word_hashes, words
 
 GROUP = 512  # distinct segments of one anchor that are expanded together
 BATCH = 1 << 20  # bytes that are expanded at a time
@@ -187,13 +187,20 @@ def covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at[np.concatenate([[0], cuts + 1])], at[np.append(cuts, len(at) - 1)] + length
 
 
+def segment_hashes(raw: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Fingerprints of raw[first:stop]."""
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(raw)), out=sums[1:])
+    return mix((sums[stop] - sums[first]) * powers(BASE_INVERSE, len(raw))[first] + (stop - first).astype(np.uint64))
+
+
 def _occurrences(docs: DataFrame, length: int, gram: int, least_words: int, always: int) -> DataFrame:
-    schema = pa.schema([("uid", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("seg", pa.int64()), ("again", pa.bool_())])
+    schema = pa.schema([("uid", pa.int64()), ("check", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("seg", pa.int64()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uids = batch.column(0).to_numpy()
-            for a, _, raw, offsets in text_chunks(batch.column(1)):
+            uids, checks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for a, _, raw, offsets in text_chunks(batch.column(2)):
                 found = []
                 for i in np.flatnonzero(np.diff(offsets) >= length):
                     own = raw[offsets[i] : offsets[i + 1]]
@@ -202,28 +209,27 @@ def _occurrences(docs: DataFrame, length: int, gram: int, least_words: int, alwa
                         last = end - length
                     else:
                         first, last, key, again = anchors(own, length, gram)
-                    sums = np.zeros(len(own) + 1, np.uint64)
-                    np.cumsum((own.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(own)), out=sums[1:])
-                    seg = mix((sums[last + length] - sums[first]) * powers(BASE_INVERSE, len(own))[first] + (last - first).astype(np.uint64))
-                    found.append((np.full(len(first), uids[a + i]), first, last, key.view(np.int64), seg.view(np.int64), again))
+                    seg = segment_hashes(own, first, last + length)
+                    found.append((np.full(len(first), uids[a + i]), np.full(len(first), checks[a + i]), first, last, key.view(np.int64), seg.view(np.int64), again))
                 if found:
                     yield batch_of(schema, *(np.concatenate(c) for c in zip(*found, strict=True)))
 
-    return docs.select("uid", "text").mapInArrow(run, "uid long, first int, last int, anchor long, seg long, again boolean")
+    return docs.select("uid", "check", "text").mapInArrow(run, "uid long, check int, first int, last int, anchor long, seg long, again boolean")
 
 
 def _segments(rows: DataFrame) -> DataFrame:
-    """(anchor, seg, w, bytes) of the representative segments; rows: uid, text, wanted."""
-    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("w", pa.int64()), ("bytes", pa.binary())])
+    """(anchor, seg, w, kinds, bytes) of the representative segments; rows: text (or bytes), wanted."""
+    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("w", pa.int64()), ("kinds", pa.int64()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
-                raw = text.as_py().encode()
+                raw = text.as_py()
+                raw = raw.encode() if isinstance(raw, str) else raw
                 want = wanted.as_py()
-                yield batch_of(schema, [x["anchor"] for x in want], [x["seg"] for x in want], [x["w"] for x in want], [raw[x["first"] : x["stop"]] for x in want])
+                yield batch_of(schema, *([x[k] for x in want] for k in ("anchor", "seg", "w", "kinds")), [raw[x["first"] : x["stop"]] for x in want])
 
-    return rows.select("text", "wanted").mapInArrow(run, "anchor long, seg long, w long, bytes binary")
+    return rows.select("text", "wanted").mapInArrow(run, "anchor long, seg long, w long, kinds long, bytes binary")
 
 
 def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
@@ -253,31 +259,65 @@ def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
                 out.append((x[0], x[1], [{"s": int(p), "e": int(q)} for p, q in zip(s, e, strict=True)]))
         return batch_of(schema, [o[0] for o in out], [o[1] for o in out], [o[2] for o in out])
 
+    segments = segments.select("anchor", "seg", "w", "bytes")
     return segments.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, seg long, runs array<struct<s:int,e:int>>")
 
 
-def _window_keys(segments: DataFrame, length: int) -> DataFrame:
-    """(key, anchor, seg, at, w) of every window of the segments of hot anchors."""
-    schema = pa.schema([("key", pa.int64()), ("check", pa.int64()), ("anchor", pa.int64()), ("seg", pa.int64()), ("at", pa.int32()), ("w", pa.int64())])
+def _dealt_again(segments: DataFrame, length: int, gram: int, apart: bool) -> DataFrame:
+    """(anchor, seg, w, first, last, anchor2, seg2, again) of runs of windows of the segments by a longer minimal gram; one as long as the window deals each by itself."""
+    names = ("anchor", "seg", "w", "first", "last", "anchor2", "seg2", "again")
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
+    schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for anchor, seg, w, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = np.frombuffer(raw, np.uint8)
-                key, check = windows_hash(own, length).view(np.int64), windows_hash(own ^ np.uint8(0x5A), length).view(np.int64)
-                n = len(key)
-                yield batch_of(schema, key, check, np.full(n, anchor), np.full(n, seg), np.arange(n), np.full(n, w))
-
-    return segments.mapInArrow(run, "key long, check long, anchor long, seg long, at int, w long")
-
-
-def _hot_runs(segments: DataFrame, length: int, apart: bool) -> DataFrame:
-    """The same as _expand for anchors with too many texts for one task: windows are counted by two fingerprints (128 bits)."""
-    keys = cut(_window_keys(segments, length))
-    same = ["anchor", "key", "check"] if apart else ["key", "check"]
-    often = keys.groupBy(*same).agg(F.sum("w").alias("n")).where("n > 1")
-    starts = keys.join(often, same).groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("at"))  # at most a segment's windows
-    return starts.select("anchor", "seg", F.transform("at", lambda p: F.struct(p.alias("s"), (p + length).cast("int").alias("e"))).alias("runs"))
+                if gram < length:
+                    first, last, key, again = anchors(own, length, gram)
+                else:
+                    key = windows_hash(own, length)
+                    first = last = np.arange(len(key))
+                    again = np.zeros(len(key), bool)
+                if apart:
+                    key = mix(key + np.uint64(anchor & MASK))
+                n = len(first)
+                yield batch_of(schema, np.full(n, anchor), np.full(n, seg), np.full(n, w), first, last, key.view(np.int64), segment_hashes(own, first, last + length).view(np.int64), again)
+
+    return segments.select("anchor", "seg", "w", "bytes").mapInArrow(run, "anchor long, seg long, w long, first int, last int, anchor2 long, seg2 long, again boolean")
+
+
+def _grouped(found: DataFrame, anchor: str, seg: str, weight, one: list[str]) -> DataFrame:
+    """Each distinct segment with its weight, the anchor's weight n and its kinds, and its first place `one`, for anchors that can hold a repeat."""
+    distinct = found.groupBy(anchor, seg).agg(weight.alias("w"), F.min(F.struct(*one)).alias("one"), F.first("again").alias("again"))
+    distinct = cut(distinct.select(anchor, seg, "w", "again", "one.*"))
+    counts = distinct.groupBy(anchor).agg(F.sum("w").alias("n"), F.count("*").alias("kinds"), F.max("again").alias("alone")).where("n > 1 or alone").drop("alone")
+    return cut(distinct.join(counts, anchor))
+
+
+def _runs(segments: DataFrame, length: int, gram: int, group: int, apart: bool) -> DataFrame:
+    """(anchor, seg, runs): the covered byte runs of each segment; anchors of more than `group` segments are dealt anew by a longer gram.
+
+    Equal windows have equal minimal grams of any length, so they still meet.
+    Grams grow halfway to the window's length until the groups fit; at the
+    length itself only equal windows are left together.
+    """
+    runs = _expand(segments.where(F.col("kinds") <= group), length, apart)
+    hot = segments.where(F.col("kinds") > group)
+    if gram >= length or hot.isEmpty():
+        return runs
+    longer = (gram + length + 1) // 2 if length - gram > 8 else length
+    found = cut(_dealt_again(hot, length, longer, apart))
+    distinct = _grouped(found, "anchor2", "seg2", F.sum("w"), ["anchor", "seg", "first", "last"])
+    stop = (F.col("last") + length).cast("int")
+    alike = distinct.where("kinds = 1 and n > 1").select("anchor2", "seg2", F.array(F.struct(F.lit(0).alias("s"), (stop - F.col("first")).alias("e"))).alias("runs"))
+    unlike = distinct.where("kinds > 1 or n = 1")
+    wanted = unlike.groupBy("anchor", "seg").agg(F.collect_list(F.struct(F.col("anchor2").alias("anchor"), F.col("seg2").alias("seg"), "w", "kinds", "first", stop.alias("stop"))).alias("wanted"))  # at most a segment's windows
+    parts = cut(_segments(hot.select("anchor", "seg", F.col("bytes").alias("text")).join(wanted, ["anchor", "seg"])))
+    below = _runs(parts, length, longer, group, apart).select(F.col("anchor").alias("anchor2"), F.col("seg").alias("seg2"), "runs")
+    placed = found.select("anchor", "seg", "first", "anchor2", "seg2").join(alike.unionByName(below), ["anchor2", "seg2"])
+    placed = placed.select("anchor", "seg", F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
+    return runs.unionByName(placed.groupBy("anchor", "seg").agg(F.flatten(F.collect_set("runs")).alias("runs")))  # at most a segment's windows
 
 
 def whole_words(raw: bytes, start: int, end: int) -> int:
@@ -297,8 +337,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     in any row, the same row included. Texts are judged as given. Every window
     of that length is dealt by its minimal gram, so equal ones meet; equal
     segments around an anchor are one with a weight. Anchors with unlike
-    segments go through the transform; beyond `group` of them windows are
-    counted by fingerprint instead, split over all tasks. Null and empty texts
+    segments go through the transform; one with more than `group` of them is
+    first dealt anew by longer grams, until its groups fit. Null and empty texts
     lose nothing (kept is empty); very long texts are read whole; a null doc_id
     is a row like others; repeated rows count as two texts; ties need no rule,
     as all of equal strings go; columns named like the new ones are replaced,
@@ -313,23 +353,20 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     docs = docs.drop("kept", "spans")
     text = F.col("text").cast("string")
     # the rows travel as one column, so that no name of theirs can clash
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text.alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
-    found = cut(_occurrences(keyed.select("uid", "text"), length, gram, least_words, always))
-    distinct = found.groupBy("anchor", "seg").agg(F.count("*").alias("w"), F.min(F.struct("uid", "first", "last")).alias("one"), F.first("again").alias("again"))
-    distinct = cut(distinct.select("anchor", "seg", "w", "again", "one.*"))
-    anchor = distinct.groupBy("anchor").agg(F.sum("w").alias("n"), F.count("*").alias("kinds"), F.max("again").alias("alone")).where("n > 1 or alone").drop("alone")
-    distinct = cut(distinct.join(anchor, "anchor"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text.alias("text"), F.xxhash64("doc_id", "text").alias("uid"), F.hash(F.lit(7), "text", "doc_id").alias("check"))
+    who = ["uid", "check"]
+    found = cut(_occurrences(keyed.select(*who, "text"), length, gram, least_words, always))
+    distinct = _grouped(found, "anchor", "seg", F.count("*"), [*who, "first", "last"])
     stop = (F.col("last") + length).cast("int")
     alike = distinct.where("kinds = 1 and n > 1").select("anchor", "seg", F.array(F.struct(F.lit(0).alias("s"), (stop - F.col("first")).alias("e"))).alias("runs"))
     unlike = distinct.where("kinds > 1 or n = 1")  # one text can repeat within itself
-    wanted = unlike.groupBy("uid").agg(F.collect_list(F.struct("anchor", "seg", F.when(F.col("kinds") > group, -F.col("w")).otherwise(F.col("w")).alias("w"), "first", stop.alias("stop"))).alias("wanted"))
-    texts = keyed.select("uid", "text").join(wanted, "uid").dropDuplicates(["uid"])
-    segments = cut(_segments(texts))
-    runs = alike.unionByName(_expand(segments.where("w > 0"), length, least_words > 0)).unionByName(_hot_runs(segments.where("w < 0").withColumn("w", -F.col("w")), length, least_words > 0))
-    spans = found.select("uid", "first", "anchor", "seg").join(runs, ["anchor", "seg"])
-    spans = spans.select("uid", F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
-    spans = spans.groupBy("uid").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # at most a text's windows
-    return _cut_texts(keyed.select("uid", "row").join(spans, "uid", "left").select("row.*", F.col("runs").alias("runs of repeats")), docs, least_words, always)
+    wanted = unlike.groupBy(*who).agg(F.collect_list(F.struct("anchor", "seg", "w", "kinds", "first", stop.alias("stop"))).alias("wanted"))
+    texts = keyed.select(*who, "text").join(wanted, who).dropDuplicates(who)
+    runs = alike.unionByName(_runs(cut(_segments(texts)), length, gram, group, least_words > 0))
+    spans = found.select(*who, "first", "anchor", "seg").join(runs, ["anchor", "seg"])
+    spans = spans.select(*who, F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
+    spans = spans.groupBy(*who).agg(F.flatten(F.collect_set("runs")).alias("runs"))  # at most a text's windows, however often its row stands
+    return _cut_texts(keyed.select(*who, "row").join(spans, who, "left").select("row.*", F.col("runs").alias("runs of repeats")), docs, least_words, always)
 
 
 def _cut_texts(rows: DataFrame, docs: DataFrame, least_words: int, always: int) -> DataFrame:

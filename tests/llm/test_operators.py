@@ -162,6 +162,29 @@ def test_repeats(spark, length, group):
     assert multiset(mine) == multiset(brute_repeats(data, length))
 
 
+def test_repeats_around_one_common_passage(spark):
+    r, ws = random.Random(14), cases.vocabulary()
+    passage = cases.prose(r, ws, 60)
+    tails = [cases.prose(r, ws, 40) for _ in range(300)]
+    data = [(k, f"{cases.prose(r, ws, 30)} {passage} {tails[k % 300] if k % 7 == 0 else cases.prose(r, ws, 30)}") for k in range(2000)]
+    assert len(passage.encode()) > 130
+    got = suffixes.remove_repeats(cases.frame(spark, data), length=400).collect()
+    mine = [(x.doc_id, len(x.text.encode()), len(x.text.encode()) - len(x.kept), len(x.spans), hashlib.sha256(x.kept).hexdigest()) for x in got]
+    want = brute_repeats(data, 400)
+    assert multiset(mine) == multiset(want) and any(x[2] for x in want)
+
+
+def test_repeats_of_one_row_that_stands_often(spark):
+    r, ws = random.Random(15), cases.vocabulary()
+    one = cases.prose(r, ws, 300)
+    data = [(1, one)] * 5000 + [(2, "x" + one[100:900]), (3, cases.prose(r, ws, 300))]
+    got = suffixes.remove_repeats(cases.frame(spark, data), length=400).collect()
+    by = defaultdict(set)
+    for x in got:
+        by[x.doc_id].add((len(x.kept), len(x.spans)))
+    assert len(got) == 5002 and by == {1: {(0, 1)}, 2: {(1, 1)}, 3: {(len(data[-1][1].encode()), 0)}}
+
+
 def test_expansion_matches_sorted_suffixes():
     r = random.Random(2)
     for _ in range(20):
