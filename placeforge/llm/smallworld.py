@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, FloatType, ShortType
 
 from placeforge.llm.components import components
 from placeforge.llm.runtime import cut
@@ -206,8 +207,8 @@ def linked(graph: Graph, members: np.ndarray, q: np.ndarray, cosine: float) -> l
     return out
 
 
-def _pack(pdf: pd.DataFrame) -> np.ndarray:
-    return np.array(pdf["embedding"].tolist(), np.float32)
+def _pack(pdf: pd.DataFrame, kind: type) -> np.ndarray:
+    return np.array(pdf["embedding"].tolist(), kind)
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.93, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
@@ -219,11 +220,17 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, shard: int = SHARD, b
     each other; a repeated vec_id with the same vector is one vector. A null
     vec_id links with nothing and has a null component. A label's classes are
     dealt into shards of about `shard`; every block of classes queries every
-    shard of its label, so no group is held whole by one task.
+    shard of its label, so no group is held whole by one task. A cosine of just
+    `cosine` links; ties of components go to the smallest id; repeated rows are
+    answered each; very long vectors are held whole by their shard; an empty
+    table gives an empty one; other columns, whatever their names, are not read.
     """
     v = F.col("embedding")
+    # graphs hold single precision; links are judged on the components as they are given
+    element = getattr(vectors.schema["embedding"].dataType, "elementType", None)
+    kind, held = (np.float32, "float") if isinstance(element, FloatType | ByteType | ShortType) else (np.float64, "double")
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & v.isNotNull() & F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(v, lambda e: e != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), v.cast("array<float>").alias("embedding"), good.alias("good"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), v.cast(f"array<{held}>").alias("embedding"), good.alias("good"))
     rows = rows.select("*", F.when(F.col("good"), F.struct(F.xxhash64("label", "embedding").alias("a"), F.xxhash64(F.lit(7), "embedding", "label").alias("b"))).alias("key"))
     classes = rows.where("good").select("key", "vec_id", "label", "embedding").dropDuplicates(["key", "vec_id"])
     classes = classes.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
@@ -236,7 +243,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, shard: int = SHARD, b
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")
-        x = _pack(pdf)
+        x = _pack(pdf, kind)
         graph = Graph(_unit(x)).build(pdf["rep"].to_numpy())
         sizes = [len(own) for own, _ in graph.layers]
         nodes = b"".join(own.astype(np.int32).tobytes() for own, _ in graph.layers)
@@ -246,7 +253,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, shard: int = SHARD, b
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         one = pdf.iloc[0]
-        return pd.DataFrame({"label": [one["label"]], "dim": [one["dim"]], "block": [one["block"]], "q_ids": [pdf["rep"].to_numpy(np.int64).tobytes()], "q": [_pack(pdf).tobytes()]})
+        return pd.DataFrame({"label": [one["label"]], "dim": [one["dim"]], "block": [one["block"]], "q_ids": [pdf["rep"].to_numpy(np.int64).tobytes()], "q": [_pack(pdf, kind).tobytes()]})
 
     shards = cut(dealt.groupBy("label", "dim", "shard").applyInPandas(build, f"label {label}, dim int, shard long, ids binary, ws binary, x binary, sizes array<int>, nodes binary, links binary"))
     blocks = dealt.groupBy("label", "dim", "block").applyInPandas(pack, f"label {label}, dim int, block long, q_ids binary, q binary")
@@ -262,14 +269,14 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, shard: int = SHARD, b
         for pdf in batches:
             for r in pdf.itertuples():
                 ids, ws = np.frombuffer(r.ids, np.int64), np.frombuffer(r.ws, np.int64)
-                x = np.frombuffer(r.x, np.float32).reshape(-1, r.dim)
+                x = np.frombuffer(r.x, kind).reshape(-1, r.dim)
                 at, layers = 0, []
                 for size in r.sizes:
                     own = np.frombuffer(r.nodes, np.int32)[at : at + size].astype(np.int64)
                     ln = np.frombuffer(r.links, np.int32)[at * 2 * DEGREE : (at + size) * 2 * DEGREE].reshape(size, 2 * DEGREE)
                     layers.append((own, ln))
                     at += size
-                q_ids, q = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.q, np.float32).reshape(-1, r.dim)
+                q_ids, q = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.q, kind).reshape(-1, r.dim)
                 found = linked(Graph(_unit(x), layers), x, q, cosine)
                 parent: dict[int, int] = {}
 

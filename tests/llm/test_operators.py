@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import os
 import random
 import re
 import zlib
@@ -500,6 +501,33 @@ def test_vectors(spark, shard):
     assert all(r.kept == (r.component_id == r.vec_id) for r in got if r.vec_id is not None)
 
 
+def test_vectors_are_judged_in_their_own_precision(spark):
+    r = np.random.default_rng(11)
+    table = []
+    for k in range(0, 200, 2):  # pairs whose cosine is a few 1e-9 over or under the bound
+        a = r.normal(size=12)
+        b = r.normal(size=12)
+        a, b = a / np.linalg.norm(a), b - (b @ a) / (a @ a) * a
+        cos = 0.93 + (2e-9 if k % 4 else -2e-9)
+        table += [(k, a.tolist(), k), (k + 1, (cos * a + math.sqrt(1 - cos * cos) * b / np.linalg.norm(b)).tolist(), k)]
+    got = smallworld.near_vectors(spark.createDataFrame(table, "vec_id long, embedding array<double>, label int"), cosine=0.93).collect()
+    assert all(x.n_links == (1 if (x.vec_id // 2 * 2) % 4 else 0) for x in got) and len(got) == 200
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the test tables")
+def test_recall_on_all_vectors_of_the_table(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    table = vectors.collect()
+    want, x = {}, np.array([t.embedding for t in table], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    same = np.array([t.label for t in table])
+    near = (x @ x.T >= 0.4) & (same[:, None] == same[None, :])  # the table holds no pair of 0.93
+    for t, n in zip(table, near.sum(1) - 1, strict=True):
+        want[t.vec_id] = int(n)
+    got = {t.vec_id: t.n_links for t in smallworld.near_vectors(vectors, cosine=0.4, shard=100, block=64).collect()}
+    assert sum(want.values()) > 100 and sum(got.values()) >= 0.9 * sum(want.values()) and all(got[k] <= want[k] for k in want)
+
+
 def test_audits_of_vectors_without_links_see_misses():
     r = np.random.default_rng(3)
     x = r.normal(size=(900, 48)).astype(np.float32)
