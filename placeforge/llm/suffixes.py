@@ -263,8 +263,32 @@ def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
     return segments.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, seg long, runs array<struct<s:int,e:int>>")
 
 
+def _window_keys(segments: DataFrame, length: int) -> DataFrame:
+    """(key, check, anchor, seg, at, w) of every window of the segments."""
+    schema = pa.schema([("key", pa.int64()), ("check", pa.int64()), ("anchor", pa.int64()), ("seg", pa.int64()), ("at", pa.int32()), ("w", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for anchor, seg, w, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(raw, np.uint8)
+                key, check = windows_hash(own, length).view(np.int64), windows_hash(own ^ np.uint8(0x5A), length).view(np.int64)
+                n = len(key)
+                yield batch_of(schema, key, check, np.full(n, anchor), np.full(n, seg), np.arange(n), np.full(n, w))
+
+    return segments.select("anchor", "seg", "w", "bytes").mapInArrow(run, "key long, check long, anchor long, seg long, at int, w long")
+
+
+def _hot_runs(segments: DataFrame, length: int, apart: bool) -> DataFrame:
+    """The end of dealing by longer grams: a gram as long as the window is the window, and equal ones are counted (by 128 bits), each by itself."""
+    keys = cut(_window_keys(segments, length))
+    same = ["anchor", "key", "check"] if apart else ["key", "check"]
+    often = keys.groupBy(*same).agg(F.sum("w").alias("n")).where("n > 1")
+    starts = keys.join(often, same).groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("at"))  # at most a segment's windows
+    return starts.select("anchor", "seg", F.transform("at", lambda p: F.struct(p.alias("s"), (p + length).cast("int").alias("e"))).alias("runs"))
+
+
 def _dealt_again(segments: DataFrame, length: int, gram: int, apart: bool) -> DataFrame:
-    """(anchor, seg, w, first, last, anchor2, seg2, again) of runs of windows of the segments by a longer minimal gram; one as long as the window deals each by itself."""
+    """(anchor, seg, w, first, last, anchor2, seg2, again) of runs of windows of the segments by a longer minimal gram."""
     names = ("anchor", "seg", "w", "first", "last", "anchor2", "seg2", "again")
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
     schema = pa.schema(list(zip(names, kinds, strict=True)))
@@ -273,12 +297,7 @@ def _dealt_again(segments: DataFrame, length: int, gram: int, apart: bool) -> Da
         for batch in batches:
             for anchor, seg, w, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = np.frombuffer(raw, np.uint8)
-                if gram < length:
-                    first, last, key, again = anchors(own, length, gram)
-                else:
-                    key = windows_hash(own, length)
-                    first = last = np.arange(len(key))
-                    again = np.zeros(len(key), bool)
+                first, last, key, again = anchors(own, length, gram)
                 if apart:
                     key = mix(key + np.uint64(anchor & MASK))
                 n = len(first)
@@ -298,15 +317,17 @@ def _grouped(found: DataFrame, anchor: str, seg: str, weight, one: list[str]) ->
 def _runs(segments: DataFrame, length: int, gram: int, group: int, apart: bool) -> DataFrame:
     """(anchor, seg, runs): the covered byte runs of each segment; anchors of more than `group` segments are dealt anew by a longer gram.
 
-    Equal windows have equal minimal grams of any length, so they still meet.
-    Grams grow halfway to the window's length until the groups fit; at the
-    length itself only equal windows are left together.
+    Equal windows have equal minimal grams of any length, so they still meet:
+    first by grams halfway to the window's length, and what is still too much
+    for one task by grams of its length, where only equal windows are together.
     """
     runs = _expand(segments.where(F.col("kinds") <= group), length, apart)
     hot = segments.where(F.col("kinds") > group)
-    if gram >= length or hot.isEmpty():
+    if hot.isEmpty():
         return runs
-    longer = (gram + length + 1) // 2 if length - gram > 8 else length
+    longer = (length * 8 // 25 + length) // 2
+    if gram >= longer:
+        return runs.unionByName(_hot_runs(hot, length, apart))
     found = cut(_dealt_again(hot, length, longer, apart))
     distinct = _grouped(found, "anchor2", "seg2", F.sum("w"), ["anchor", "seg", "first", "last"])
     stop = (F.col("last") + length).cast("int")
