@@ -104,10 +104,30 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR) END"
+
+
+# crc: the table of crc32; nodes, tops: all levels of the languages' trees and of the one above; low, high: from a leaf to its subroot, and on to the root
+OP13_SQL = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+docs AS (SELECT doc_id, lang, n_chars, {_field('doc_id')} || {_field('source')} || {_field('lang')} AS head, {_field('text')} AS tail, doc_id IS NOT NULL AND xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) % 7 = 0 AS tampered FROM documents, crc),
+hashed AS (SELECT *, sha256(head || {_field('n_chars')} || tail) AS leaf, sha256(head || {_field('(n_chars + 1)')} || tail) AS changed FROM docs),
+leaves AS (SELECT doc_id, lang, coalesce('=' || lang, '') AS tree, leaf, CASE WHEN tampered THEN changed ELSE leaf END AS start, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+nodes AS (SELECT tree, place, n, 0 AS level, leaf AS node FROM leaves UNION ALL SELECT tree, place // 2, (n + 1) // 2, level + 1, sha256(string_agg(node, '' ORDER BY place)) FROM nodes WHERE n > 1 GROUP BY tree, place // 2, n, level),
+subs AS (SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT place, n, 0 AS level, subroot AS node FROM subs UNION ALL SELECT place // 2, (n + 1) // 2, level + 1, sha256(string_agg(node, '' ORDER BY place)) FROM tops WHERE n > 1 GROUP BY place // 2, n, level),
+low AS (SELECT tree, place AS own, place, n, 0 AS level, start AS h, '' AS proof FROM leaves UNION ALL SELECT p.tree, p.own, p.place // 2, (p.n + 1) // 2, p.level + 1, sha256(CASE WHEN p.place % 2 = 1 THEN s.node || h ELSE h || coalesce(s.node, '') END), proof || coalesce(s.node, '') FROM low p LEFT JOIN nodes s ON s.tree = p.tree AND s.level = p.level AND s.place = xor(p.place, 1) WHERE p.n > 1),
+high AS (SELECT low.tree, own, subs.place, subs.n, 0 AS level, h, proof FROM low JOIN subs ON low.tree = subs.tree WHERE low.n = 1 UNION ALL SELECT p.tree, p.own, p.place // 2, (p.n + 1) // 2, p.level + 1, sha256(CASE WHEN p.place % 2 = 1 THEN s.node || h ELSE h || coalesce(s.node, '') END), proof || coalesce(s.node, '') FROM high p LEFT JOIN tops s ON s.level = p.level AND s.place = xor(p.place, 1) WHERE p.n > 1)
+SELECT l.doc_id, l.lang, l.leaf, subs.subroot, tops.node AS root, sha256(high.proof) AS proof_sha256, high.h AS folded_root, high.h = tops.node AS verified
+FROM leaves l JOIN subs ON l.tree = subs.tree JOIN high ON high.n = 1 AND high.tree = l.tree AND high.own = l.place JOIN tops ON tops.n = 1
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_brown, op2_suffixes, op3_licenses, op4_sentencepiece, op5_urls, op6_paragraphs, op7_smallworld, op8_decontaminate, op9_quality, op10_minhash, op11_runs, op12_shards, op13_manifest)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_urls": OP5_SQL}
+    return {"op5_urls": OP5_SQL, "op13_manifest": OP13_SQL}

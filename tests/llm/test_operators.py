@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -993,6 +994,15 @@ def test_manifest(spark, fanout, levels):
     assert any(x.folded != x.root for x in got)
 
 
+def test_manifest_query_equals_its_sql(spark, tmp_path):
+    spark.createDataFrame(manifest_rows(40), "doc_id long, source string, lang string, n_chars long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries.op13_manifest(spark, str(tmp_path))
+    want = con.sql(queries.OP13_SQL)
+    assert got.columns == want.columns and multiset(tuple(r) for r in got.collect()) == multiset(want.fetchall())
+
+
 def test_manifest_of_few_rows(spark):
     kind = "doc_id long, source string, lang string, n_chars long, text string"
     assert merkle.manifest(spark.createDataFrame([], kind)).count() == 0
