@@ -1,4 +1,4 @@
-"""Micro-batch state machines on Structured Streaming."""
+"""Micro-batch state machines on Structured Streaming."""
 
 from __future__ import annotations
 
@@ -46,7 +46,7 @@ def windowed_counts(events: DataFrame, window: str = "1 hour", late: str = "2 ho
 
 
 def deliver_pages(source: DataFrame, sink, checkpoint: str):
-    """Hands each micro-batch to sink(rows, page id); the checkpoint moves only after the sink returns.
+    """Hands each micro-batch to sink(rows, page id); the checkpoint moves only after the sink returns.
 
     The page id is the batch number, so a replay after a crash repeats the same
     page under the same id, and an idempotent sink sees it once.
