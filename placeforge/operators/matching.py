@@ -82,11 +82,18 @@ def prefetch_boxes(candidates: DataFrame, config: Matching = Matching()) -> Data
 
 
 def prefetch(places: DataFrame, candidates: DataFrame, config: Matching = Matching()) -> DataFrame:
-    """Places inside the box of their own or a neighbouring tile: a tile equi join, then a semi join on the id."""
-    boxes = prefetch_boxes(candidates, config)
-    near = geo.neighbours(places.select("canonical_place_id", "lat", "lng"), "lat", "lng", config.tile_degrees, 1, ("ty", "tx"))
-    hit = near.join(boxes, ["ty", "tx"]).where("lat between s and n and lng between w and e").select("canonical_place_id").distinct()
-    return places.join(hit, "canonical_place_id", "left_semi")
+    """Places inside the box of their own or a neighbouring tile.
+
+    Each tile is given the boxes of itself and its neighbours, nine at most, so
+    a place meets one row and is neither spread nor joined again. The tiles go
+    to every task: the earth has 64,800 of one degree.
+    """
+    steps = F.array(*(F.lit(k).cast("long") for k in (-1, 0, 1)))
+    spread = prefetch_boxes(candidates, config).withColumn("_dy", F.explode(steps)).withColumn("_dx", F.explode(steps))
+    around = spread.groupBy((F.col("ty") + F.col("_dy")).alias("_ty"), (F.col("tx") + F.col("_dx")).alias("_tx")).agg(F.collect_list(F.struct("s", "n", "w", "e")).alias("_boxes"))
+    placed = places.withColumn("_ty", geo.cell(F.col("lat"), config.tile_degrees)).withColumn("_tx", geo.cell(F.col("lng"), config.tile_degrees))
+    inside = F.exists("_boxes", lambda b: F.col("lat").between(b["s"], b["n"]) & F.col("lng").between(b["w"], b["e"]))
+    return placed.join(F.broadcast(around), ["_ty", "_tx"]).where(inside).drop("_ty", "_tx", "_boxes")
 
 
 def grid_pairs(left: DataFrame, right: DataFrame, reach_m: float, cell_degrees: float) -> DataFrame:

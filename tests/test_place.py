@@ -220,6 +220,40 @@ def test_jobs_and_scalars(spark):
     assert abs(row.select(geo.haversine(F.lit(42.0), F.lit(-83.0), F.lit(42.001), F.lit(-83.0))).first()[0] - 111.19) < 0.01
 
 
+def test_prefetch_keeps_places_where_they_are(spark):
+    import random
+
+    r = random.Random(2)
+    spots = [(f"p{k % 280}", 41.9 + r.random() * 2.2, -84.1 + r.random() * 2.2) for k in range(300)]  # some ids stand at two points
+    places = spark.createDataFrame(spots, "canonical_place_id string, lat double, lng double")
+    own = spark.createDataFrame([(42.2, -83.9), (42.999, -83.0005), (43.0005, -82.5)], "lat double, lng double")
+    boxes = matching.prefetch_boxes(own).collect()
+    got = matching.prefetch(places, own)
+    hit = lambda p: any(abs(p[1] // 1 - b.ty) <= 1 and abs(p[2] // 1 - b.tx) <= 1 and b.s <= p[1] <= b.n and b.w <= p[2] <= b.e for b in boxes)
+    spots_in = [(b.s + 1e-5, b.w + 1e-5) for b in boxes]
+    assert matching.prefetch(spark.createDataFrame([("x", *x) for x in spots_in] + [("x", 10.0, 10.0)], places.schema), own).count() == len(spots_in)
+    assert sorted(map(tuple, got.collect())) == sorted(p for p in spots if hit(p))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and plan.count("Join") == 1  # places are read once and meet the tiles only
+
+
+def test_address_hash_of_all_signs_in_one_pass(spark):
+    def plain(t):
+        raw, h = t.encode("utf-16-be"), 0
+        for i in range(0, len(raw), 2):
+            h = (h * 31 + raw[i] * 256 + raw[i + 1]) & 0xFFFFFFFF
+        h, out = (1 << 32) - h if h >= 1 << 31 else h, ""
+        while h:
+            h, k = divmod(h, 36)
+            out = "0123456789abcdefghijklmnopqrstuvwxyz"[k] + out
+        return out or "0"
+
+    rows = spark.createDataFrame([(x,) for x in ("12 Main Street", "", None, "\U0001f600 x", "\U0010ffff a\U00010000b", "\u6f22\u5b57 9", "y" * 5000)], "a string").select(text.short_address(A).alias("s"), text.address_hash(A).alias("h"))
+    assert all(r.h == plain(r.s) for r in rows.collect())
+    made = rows.select("h")._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count("regexp_replace(") == 2 + len(text.STREET_WORDS)  # the address is made once, not for each letter
+
+
 def test_running_numbers_and_sums(spark):
     rows = [(k * 37 % 101, k) for k in range(300)] + [(None, 5), (None, 7)]
     got = running(spark.createDataFrame(rows, "a int, b int"), ["a", "b"], {"total": F.col("b")}, parts=7).orderBy("number").collect()
