@@ -154,12 +154,15 @@ def short_address(address: Column) -> Column:
 
 def address_hash(address: Column) -> Column:
     """32-bit h*31+c over the UTF-16 units of the short address, its size in base 36."""
-    raw = F.hex(F.encode(short_address(address), "UTF-16BE"))
-    units = F.transform(F.sequence(F.lit(1), F.greatest(F.length(raw) / 4, F.lit(1)).cast("int")), lambda k: F.conv(F.substring(raw, (k - 1) * 4 + 1, F.lit(4)), 16, 10).cast("long"))
-    units = F.when(F.length(raw) > 0, units).otherwise(F.array().cast("array<bigint>"))
-    total = F.aggregate(units, F.lit(0).cast("long"), lambda h, c: F.pmod(h * 31 + c, F.lit(1 << 32)))
-    signed = F.when(total >= (1 << 31), F.lit(1 << 32) - total).otherwise(total)
-    return F.lower(F.conv(signed.cast("string"), 10, 36))
+    def add(h: Column, char: Column) -> Column:  # a point above 0xFFFF is two units
+        c = F.ascii(char).cast("long")
+        pair = (h * 31 + F.floor((c - 0x10000) / 1024) + 0xD800) * 31 + c % 1024 + 0xDC00
+        return F.when(c < 0x10000, h * 31 + c).otherwise(pair).bitwiseAND(F.lit((1 << 32) - 1))
+
+    # the letters come from an array made once: inside the fold the address would be made anew for each letter
+    letters = F.filter(F.split(short_address(address), ""), lambda c: c != "")
+    size = F.aggregate(letters, F.lit(0).cast("long"), add, lambda h: F.when(h >= (1 << 31), F.lit(1 << 32) - h).otherwise(h))
+    return F.lower(F.conv(size.cast("string"), 10, 36))
 
 
 def canonical_website(url: Column) -> Column:
