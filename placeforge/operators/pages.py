@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -21,6 +22,8 @@ MENU_KEYS = ("menu", "menu_url", "hasMenu")
 EXCERPT = 6000
 ITEMS = 100
 SCHEMA = "page_id long, body string, tel string, menu_url string, jsonld array<string>"
+PARSED = pa.schema([("page_id", pa.int64()), ("body", pa.string()), ("tel", pa.string()), ("menu_url", pa.string()), ("jsonld", pa.list_(pa.string()))])
+SLICE = 64  # pages
 
 
 class _Page(HTMLParser):
@@ -64,19 +67,23 @@ class _Page(HTMLParser):
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """Text, telephone link, menu link and the first three structured-data blocks of each page. HTML needs a parser, so Arrow."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for key, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"], strict=True):
-                page = _Page(url or "")
-                page.feed(html or "")
-                page.close()
-                rows.append((key, "".join(page.body), page.tel, page.menu, page.jsonld[:3]))
-            yield pd.DataFrame(rows, columns=["page_id", "body", "tel", "menu_url", "jsonld"])
-
-    return pages.select("page_id", "url", "html").mapInPandas(run, SCHEMA)
+    """Text, telephone link, menu link and the first three structured-data blocks of each page. HTML needs a parser, so Arrow.
+
+    Pages are parsed and given back `SLICE` at a time, so that a task holds few of them as objects, whatever Spark puts in a batch.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                rows = []
+                for row in batch.slice(at, SLICE).to_pylist():
+                    page = _Page(row["url"] or "")
+                    page.feed(row["html"] or "")
+                    page.close()
+                    rows.append({"page_id": row["page_id"], "body": "".join(page.body), "tel": page.tel, "menu_url": page.menu, "jsonld": page.jsonld[:3]})
+                yield pa.RecordBatch.from_pylist(rows, PARSED)
+
+    return pages.select("page_id", "url", "html").mapInArrow(run, SCHEMA)
 
 
 def page_facts(pages: DataFrame) -> DataFrame:

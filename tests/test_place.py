@@ -254,6 +254,40 @@ def test_address_hash_of_all_signs_in_one_pass(spark):
     assert made.count("regexp_replace(") == 2 + len(text.STREET_WORDS)  # the address is made once, not for each letter
 
 
+def test_folding_of_every_sign(spark):
+    import re
+    import unicodedata
+
+    def plain(t):
+        low = "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not "\u0300" <= c <= "\u036f")
+        return re.sub("[^a-z0-9]+", " ", low.replace("&", " and ")).strip(" ")
+
+    texts = ["".join(text.SEVERAL), " ".join(text.SEVERAL), "Caf\u00e9 \u00bd & \ufb03 \u33a5 \U0001f100 x\u2026", "\u6f22\u5b57" * 3000 + "\u00bc", "plain & simple", "", None]
+    want = [plain(x or "") for x in texts]
+    got = values(spark, text.normalized(A), *texts)
+    assert [g for x, g in zip(texts[2:], got[2:], strict=True)] == want[2:]
+    for c in text.SEVERAL:
+        assert all(x in want[1] for x in plain(c).split())
+    made = spark.createDataFrame([("x",)], "a string").select(text.normalized(A))._jdf.queryExecution().optimizedPlan().toString()
+    assert "rlike" not in made.lower() or not any(len(x) > 200 for x in re.findall(r"RLIKE (\[.*?\])", made))  # no class of hundreds of signs is tried at each letter
+
+
+def test_pages_are_parsed_in_slices(spark):
+    import pyarrow as pa
+
+    seen = []
+    rows = [(k, "http://x.example/", f"<p>{k}</p><a href='/m'>Menu</a>") for k in range(200)] + [(None, None, None)]
+    class Caught:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            seen.extend(run(iter([pa.RecordBatch.from_pylist([dict(zip(("page_id", "url", "html"), r, strict=True)) for r in rows])])))
+
+    pages.parsed_pages(Caught())
+    assert max(b.num_rows for b in seen) <= pages.SLICE and [x["body"] for b in seen for x in b.to_pylist()] == [*(f"{k}Menu" for k in range(200)), ""]
+
+
 def test_running_numbers_and_sums(spark):
     rows = [(k * 37 % 101, k) for k in range(300)] + [(None, 5), (None, 7)]
     got = running(spark.createDataFrame(rows, "a int, b int"), ["a", "b"], {"total": F.col("b")}, parts=7).orderBy("number").collect()
