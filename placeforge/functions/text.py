@@ -60,11 +60,20 @@ FOLDED, SIGNS, SEVERAL = _foldings()
 
 
 def folded(text: Column) -> Column:
-    """Compatibility decomposition without accents, as far as ASCII signs come of it. ASCII texts pass untouched, others stay in the JVM too."""
+    """Compatibility decomposition without accents, as far as ASCII signs come of it. ASCII texts pass untouched, others stay in the JVM too.
+
+    Signs that fold to several are rare: the distinct ones in a text are looked
+    up and replaced one by one. A search by a class of all of them would try each
+    of the hundreds at each letter.
+    """
     table = F.from_json(F.lit(json.dumps(SEVERAL)), "map<string,string>")
-    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.when(c.rlike(r"[^\x00-\x7F]"), table[c]), c)), "")
-    rare = f"[{''.join(re.escape(c) for c in SEVERAL)}]"
-    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.translate(F.when(text.rlike(rare), spelled).otherwise(text), FOLDED, SIGNS))
+
+    def spelled(x: Column) -> Column:
+        rare = F.filter(F.array_distinct(F.split(F.regexp_replace(x, r"[\x00-\u024F]+", ""), "")), lambda c: F.map_contains_key(table, c))
+        few = F.filter(literals([c for c in SEVERAL if c <= "\u024F"]), lambda c: F.contains(x, c))
+        return F.aggregate(F.concat(few, rare), x, lambda t, c: F.replace(t, c, table[c]))
+
+    return bound(text, lambda t: F.when(~t.rlike(r"[^\x00-\x7F]"), t).otherwise(F.translate(spelled(t), FOLDED, SIGNS)))
 
 
 def normalized(text: Column) -> Column:
