@@ -195,8 +195,8 @@ def shortened(value: Column, most: int) -> Column:
 
 def pruned_tags(tags: Column) -> Column:
     """The known tags of a JSON object that are not blank, shortened, as JSON in their fixed order; null without tags."""
-    have = F.from_json(tags, "map<string,string>")
-    return F.when(tags.isNotNull(), F.to_json(F.struct(*(shortened(F.nullif(have[k], F.lit("")), 300).alias(k) for k in TAG_KEYS))))
+    shown = lambda have: F.to_json(F.struct(*(shortened(F.nullif(have[k], F.lit("")), 300).alias(k) for k in TAG_KEYS)))
+    return F.when(tags.isNotNull(), text.bound(F.from_json(tags, "map<string,string>"), shown))
 
 
 def pruned_notes(notes: Column, entity: str = "pizza") -> Column:
@@ -206,20 +206,31 @@ def pruned_notes(notes: Column, entity: str = "pizza") -> Column:
     and menu; the excerpt only where neither entries nor hints (for tacos: no
     hints) speak. Notes that are no JSON are an excerpt.
     """
-    f = F.from_json(notes, _NOTES)
-    is_json = F.coalesce(F.schema_of_variant(F.try_parse_json(notes)).startswith("OBJECT"), F.lit(False))
-    field = lambda k: F.when(is_json, F.nullif(f[k], F.lit("")))
-    listed = F.coalesce(F.from_json(field("jsonld"), f"array<{_ENTRY}>"), F.array(F.from_json(field("jsonld"), _ENTRY)))
-    entry = lambda x: F.struct(*((shortened(x[k], 500) if k == "description" else x[k]).alias(k) for k in ("@type", "name", "description", "servesCuisine", "priceRange", "telephone", "url", "menu", "address")))
-    entries = F.when(field("jsonld").isNotNull(), F.transform(F.slice(listed, 1, 3), entry))
-    hints = lambda k: F.transform(F.slice(F.coalesce(F.from_json(field(k), "array<string>"), F.array(field(k))), 1, 15), lambda x: shortened(x, 120))
-    own = "protein_hints" if entity == "taco" else "style_hints"
-    signal = field(own).isNotNull() if entity == "taco" else (field(own).isNotNull() | F.coalesce(F.size(entries) > 0, F.lit(False)))
-    excerpt = F.when(~signal, shortened(F.when(is_json, field("text_excerpt")).otherwise(F.nullif(notes, F.lit(""))), 1200))
-    parts = [entries.alias("jsonld"), F.when(field("style_hints").isNotNull(), hints("style_hints")).alias("style_hints")]
-    parts += [F.when(field("protein_hints").isNotNull(), hints("protein_hints")).alias("protein_hints")] if entity == "taco" else []
-    out = F.to_json(F.struct(*parts, shortened(field("price_hint"), 120).alias("price_hint"), shortened(field("menu_url"), 300).alias("menu_url"), excerpt.alias("text_excerpt")))
-    return F.when(out == "{}", "").otherwise(shortened(F.coalesce(out, F.lit("")), 2500))
+    fields = [x.split()[0] for x in _NOTES.split(", ")]
+
+    def read(f: Column) -> Column:
+        is_json = F.coalesce(F.schema_of_variant(F.try_parse_json(notes)).startswith("OBJECT"), F.lit(False))
+        return F.struct(is_json.alias("is_json"), *(F.nullif(f[k], F.lit("")).alias(k) for k in fields))
+
+    def told(f: Column) -> Column:
+        field = lambda k: F.when(f["is_json"], f[k])
+        listed = F.coalesce(F.from_json(field("jsonld"), f"array<{_ENTRY}>"), F.array(F.from_json(field("jsonld"), _ENTRY)))
+        entry = lambda x: F.struct(*((shortened(x[k], 500) if k == "description" else x[k]).alias(k) for k in ("@type", "name", "description", "servesCuisine", "priceRange", "telephone", "url", "menu", "address")))
+        hints = lambda k: F.transform(F.slice(F.coalesce(F.from_json(field(k), "array<string>"), F.array(field(k))), 1, 15), lambda x: shortened(x, 120))
+        own = "protein_hints" if entity == "taco" else "style_hints"
+
+        def parts(entries: Column) -> Column:
+            signal = field(own).isNotNull() if entity == "taco" else (field(own).isNotNull() | F.coalesce(F.size(entries) > 0, F.lit(False)))
+            excerpt = F.when(~signal, shortened(F.when(f["is_json"], field("text_excerpt")).otherwise(F.nullif(notes, F.lit(""))), 1200))
+            have = [entries.alias("jsonld"), F.when(field("style_hints").isNotNull(), hints("style_hints")).alias("style_hints")]
+            have += [F.when(field("protein_hints").isNotNull(), hints("protein_hints")).alias("protein_hints")] if entity == "taco" else []
+            return F.to_json(F.struct(*have, shortened(field("price_hint"), 120).alias("price_hint"), shortened(field("menu_url"), 300).alias("menu_url"), excerpt.alias("text_excerpt")))
+
+        return text.bound(F.when(field("jsonld").isNotNull(), F.transform(F.slice(listed, 1, 3), entry)), parts)
+
+    # what is read of the notes is bound, so that JSON is parsed once for all that asks for it
+    out = text.bound(text.bound(F.from_json(notes, _NOTES), read), told)
+    return text.bound(out, lambda x: F.when(x == "{}", "").otherwise(shortened(F.coalesce(x, F.lit("")), 2500)))
 
 
 def prompt(place: dict[str, Column], tags: Column, evidence: Column, notes: Column, styles, label: str = "pizza", entity: str = "pizza") -> Column:
