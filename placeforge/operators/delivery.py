@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeforge.llm.runtime import cut
 from placeforge.operators.order import running
 
 MOST = 10_000  # rows of a page
@@ -16,7 +17,8 @@ def delivery_pages(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
     page_id digests a page's rows in order. prefix digests all rows up to the
     page's end: each row's digest, bound to its number, is summed by page, the
     sums run on over the pages, and count and sums are hashed, so that all
-    prefixes take one pass. Keys are to be unique.
+    prefixes take one pass. The pages are kept in the checkpoint folder, so that
+    the rows are not read again to number them. Keys are to be unique.
     """
     if not 1 <= limit <= MOST:
         raise ValueError("invalid delivery limit")
@@ -28,7 +30,7 @@ def delivery_pages(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
     pages = numbered.groupBy(F.floor((F.col("number") - 1) / limit).alias("page")).agg(
         F.count("*").alias("n"), F.sha2(F.array_join(F.transform(in_order, lambda x: x["line"]), ""), 256).alias("page_id"), part(1).alias("a"), part(8).alias("b"),
     )
-    pages = running(pages, ["page"], {"end": F.col("n"), "a_to": F.col("a"), "b_to": F.col("b")})
+    pages = running(cut(pages), ["page"], {"end": F.col("n"), "a_to": F.col("a"), "b_to": F.col("b")})
     count = pages.agg(F.count("*").alias("pages"))
     out = pages.crossJoin(F.broadcast(count))  # one row
     return out.select("page", (F.col("end") - F.col("n")).alias("start"), "end", "page_id", F.sha2(F.concat_ws(":", "end", "a_to", "b_to"), 256).alias("prefix"), (F.col("number") == F.col("pages")).alias("last"))
