@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 SAMPLE = 4096
 
 
-def running(rows: DataFrame, keys: list[str], sums: dict[str, Column] | None = None, parts: int = 64) -> DataFrame:
+def running(rows: DataFrame, keys: list[str], sums: dict[str, Column] | None = None, parts: int = 256) -> DataFrame:
     """Adds `number` (from 1, in the order of `keys`) and running sums; equal keys in the order of the rows' hashes.
 
     Rows are cut into at most `parts` ranges of keys and hash, at values of a
@@ -22,8 +22,11 @@ def running(rows: DataFrame, keys: list[str], sums: dict[str, Column] | None = N
     sample = rows.select(place.alias("p"), F.xxhash64(F.lit(1), *plain).alias("drawn")).orderBy("drawn").limit(SAMPLE).agg(F.sort_array(F.collect_list("p")).alias("ps")).first()["ps"]
     bounds = list(dict.fromkeys(sample[len(sample) * i // parts] for i in range(1, parts))) if sample else []
     literals = [F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, kinds.fields, strict=True))) for b in bounds]
-    ranged = rows.withColumn("_place", place)
-    ranged = ranged.withColumn("_range", F.size(F.filter(F.array(*literals), lambda b: b <= F.col("_place"))) if bounds else F.lit(0))
+    # a binary search over the bounds: one comparison for each halving
+    held, ranged, step = F.array(*literals), rows.withColumns({"_place": place, "_range": F.lit(0)}), 1 << len(bounds).bit_length() >> 1
+    while step:
+        ranged = ranged.withColumn("_range", F.col("_range") + F.when(F.get(held, F.col("_range") + (step - 1)) <= F.col("_place"), step).otherwise(0))
+        step >>= 1
     sums = {"number": F.lit(1)} | (sums or {})
     totals = ranged.groupBy("_range").agg(*(F.sum(v).alias(f"_{k}") for k, v in sums.items()))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most parts rows
