@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from placeforge.functions import geo, identity, text
 from placeforge.operators import constraints, delivery, governance, jobs, matching, pages, publish, review, rules
 from placeforge.operators.order import running
-from placeforge.plans import contracts, queries, source_queries  # noqa: F401  (the last registers its queries)
+from placeforge.plans import contracts, queries, source_queries, workflow_queries  # noqa: F401  (the last two register their queries)
 from placeforge.sources import artifacts, feeds, paged, positions, snapshots, tiles
 from placeforge.streaming import cycles, state
 from placeforge.streaming import pages as pages_source
@@ -254,6 +254,50 @@ def test_address_hash_of_all_signs_in_one_pass(spark):
     assert made.count("regexp_replace(") == 2 + len(text.STREET_WORDS)  # the address is made once, not for each letter
 
 
+def test_numbering_searches_its_bounds(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 50 <> 0 THEN CAST(id * 7919 % 3001 AS STRING) END AS a", "id AS b")
+    out = running(rows, ["a", "b"])
+    want = sorted(((r.a or "", r.b) for r in rows.collect()))
+    assert [(r.a or "", r.b) for r in out.orderBy("number").collect()] == want
+    assert "filter(array" not in out._jdf.queryExecution().analyzed().toString()  # not every bound is compared with every row
+
+
+def test_delivery_reads_its_rows_for_numbers_only(spark):
+    rows = spark.range(50).selectExpr("id AS k", "CAST(id AS STRING) AS v")
+    made = delivery.delivery_pages(rows, ["k"], 4)
+    assert "Range (" not in made._jdf.queryExecution().analyzed().toString()  # the pages are numbered without their rows
+    assert sorted((r.start, r.end) for r in made.collect()) == [(k, min(k + 4, 50)) for k in range(0, 50, 4)]
+
+
+def test_prompt_reads_json_once(spark):
+    rows = spark.createDataFrame([("""{"jsonld":[{"name":"A"}],"text_excerpt":"x","price_hint":"$"}""",)], "a string").select(governance.pruned_notes(A).alias("x"))
+    assert json.loads(rows.first().x) == {"jsonld": [{"name": "A"}], "price_hint": "$"}
+    assert rows._jdf.queryExecution().analyzed().toString().lower().count("try_parse_json") <= 1 and rows._jdf.queryExecution().analyzed().toString().count("style_hints string") <= 1
+
+
+@pytest.fixture
+def small_tables(spark, tmp_path):
+    def write(name, rows, kinds):
+        spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    write("part", [(k, "n", "b", "t", 1, 9.0) for k in (0, 600_001)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    write("customer", [(k, "c", 1, 1.0, "x") for k in (2, 3)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    write("supplier", [(k, f"s{k}", 1, 5.0) for k in range(3)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    write("lineitem", [(0, 3.0, "R", 1), (0, 3.0, "N", 1), (1, 3.0, "N", 1), (1, 50.0, "N", 7)], "l_suppkey long, l_quantity double, l_returnflag string, l_linenumber int")
+    return str(tmp_path)
+
+
+def test_preflight_counts_every_line(spark, small_tables):
+    got = {r.spider: r.preflight for r in queries.QUERIES["S10_preflight"](spark, small_tables).collect()}
+    assert got == {"s0": "warning", "s1": "ok", "s2": "missing"}
+
+
+def test_longitudes_of_large_tables_go_round(spark, tmp_path):
+    spark.range(700_000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(99_003, 1, "x")], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))  # its place stands 346 degrees east of the first
+    assert [tuple(r) for r in queries.QUERIES["N16_V2_host_projection"](spark, str(tmp_path)).collect()] == [("projected", 1)]
+
+
 def test_folding_of_every_sign(spark):
     import re
     import unicodedata
