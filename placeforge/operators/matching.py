@@ -101,10 +101,12 @@ def grid_pairs(left: DataFrame, right: DataFrame, reach_m: float, cell_degrees:
 
     The left side takes the cells that its circle touches, so the join is an
     equi join on the cell that adaptive execution can split where one is crowded.
+    It is sorted: by the size of a well-compressed file, Spark would broadcast
+    all places through the driver.
     """
     spread = geo.touched(left, "lat", "lng", cell_degrees, reach_m)
     placed = right.withColumn("cy", geo.cell(F.col("p_lat"), cell_degrees)).withColumn("cx", geo.cell(F.col("p_lng"), cell_degrees))
-    pairs = spread.join(placed, ["cy", "cx"]).drop("cy", "cx")
+    pairs = spread.join(placed.hint("merge"), ["cy", "cx"]).drop("cy", "cx")
     pairs = pairs.withColumn("distance_m", geo.haversine(F.col("lat"), F.col("lng"), F.col("p_lat"), F.col("p_lng")))
     return pairs.where(F.col("distance_m") <= reach_m)
 
@@ -255,8 +257,8 @@ def nearest_sibling(rows: DataFrame, reach_m: float = 25.0) -> DataFrame:
 
 
 def same_coordinates(rows: DataFrame, others: DataFrame, delta: float = 1e-5) -> DataFrame:
-    """Rows that have another row (other id) within `delta` degrees on both axes."""
+    """Rows that have another row (other id) within `delta` degrees on both axes; the join is sorted as that of `grid_pairs`."""
     spread = geo.neighbours(rows.select("source_id", "lat", "lng"), "lat", "lng", delta, 1)
     placed = others.select(F.col("source_id").alias("o_id"), F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng")).withColumn("cy", geo.cell(F.col("p_lat"), delta)).withColumn("cx", geo.cell(F.col("p_lng"), delta))
-    hit = spread.join(placed, ["cy", "cx"]).where((F.abs(F.col("lat") - F.col("p_lat")) < delta) & (F.abs(F.col("lng") - F.col("p_lng")) < delta) & (F.col("source_id") != F.col("o_id")))
+    hit = spread.join(placed.hint("merge"), ["cy", "cx"]).where((F.abs(F.col("lat") - F.col("p_lat")) < delta) & (F.abs(F.col("lng") - F.col("p_lng")) < delta) & (F.col("source_id") != F.col("o_id")))
     return hit.groupBy("source_id").agg(F.countDistinct("o_id").alias("n_same"))

@@ -237,6 +237,18 @@ def test_prefetch_keeps_places_where_they_are(spark):
     assert "LeftSemi" not in plan and plan.count("Join") == 1  # places are read once and meet the tiles only
 
 
+def test_grid_joins_never_broadcast_a_whole_table(spark, tmp_path):
+    # 200,000 places of equal text: a file of a few kB that Spark's size check takes for a small table
+    spark.range(200_000).selectExpr("'p' as canonical_place_id", "repeat('x', 200) as name", "'' as website_url", "'' as phone", "42e0 as lat", "cast(id div 1000 as double) as lng").write.parquet(str(tmp_path / "places"))
+    places = spark.read.parquet(str(tmp_path / "places"))
+    own = spark.createDataFrame([("c", "x", 42.0, 7.0, "", "")], "source_id string, name string, lat double, lng double, website string, phone string")
+    sides = places.selectExpr("canonical_place_id as source_id", "lat", "lng")
+    for frame in (matching.evaluated(own, places), matching.nearby_places(own, places.selectExpr("*", "'' as lifecycle_status")), matching.nearest_sibling(sides), matching.same_coordinates(own, sides)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert matching.evaluated(own, places).count() == 10
+
+
 def test_address_hash_of_all_signs_in_one_pass(spark):
     def plain(t):
         raw, h = t.encode("utf-16-be"), 0
