@@ -16,6 +16,7 @@ from placeforge.llm.textkit import BASE, BASE_INVERSE, MASK, batch_of, mix, powe
 GROUP = 512  # distinct segments of one anchor that are expanded together
 BATCH = 1 << 20  # bytes that are expanded at a time
 END = 0xFF  # stands in no UTF-8 text
+WORDY = np.uint64(1)  # an anchor's lowest bit: its windows are counted in words
 
 
 def windows_hash(raw: np.ndarray, size: int) -> np.ndarray:
@@ -194,23 +195,42 @@ def segment_hashes(raw: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.n
     return mix((sums[stop] - sums[first]) * powers(BASE_INVERSE, len(raw))[first] + (stop - first).astype(np.uint64))
 
 
-def _occurrences(docs: DataFrame, length: int, gram: int, least_words: int, always: int) -> DataFrame:
+def word_windows(raw: np.ndarray, offsets: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all `count`-word windows of the texts: first and end byte within the text, fingerprint, and the text's number."""
+    starts, ends, first = words(raw, offsets)
+    sums = np.zeros(len(starts) + 1, np.uint64)
+    np.cumsum(word_hashes(raw, starts, ends) * powers(BASE, len(starts) + 1)[: len(starts)], out=sums[1:])
+    size = np.maximum(np.diff(first) - count + 1, 0)
+    owner = np.repeat(np.arange(len(size)), size)
+    at = np.arange(size.sum()) + np.repeat(first[:-1] - np.cumsum(size) + size, size)
+    key = mix((sums[at + count] - sums[at]) * powers(BASE_INVERSE, len(starts) + 1)[at])
+    return starts[at] - offsets[owner], ends[at + count - 1] - offsets[owner], key, owner
+
+
+def _occurrences(docs: DataFrame, length: int, gram: int, least_words: int, always: int, report_words: int) -> DataFrame:
     schema = pa.schema([("uid", pa.int64()), ("check", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("seg", pa.int64()), ("again", pa.bool_())])
+    shortest = min(length, 2 * report_words - 1) if report_words else length  # words of one byte
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids, checks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, _, raw, offsets in text_chunks(batch.column(2)):
                 found = []
-                for i in np.flatnonzero(np.diff(offsets) >= length):
+                for i in np.flatnonzero(np.diff(offsets) >= shortest):
                     own = raw[offsets[i] : offsets[i + 1]]
-                    if least_words:
+                    dealt = []
+                    if len(own) >= length and least_words:
                         first, end, key, again = passages(own, least_words, always)
-                        last = end - length
-                    else:
+                        dealt.append((first, end, key & ~WORDY, again))
+                    elif len(own) >= length:
                         first, last, key, again = anchors(own, length, gram)
-                    seg = segment_hashes(own, first, last + length)
-                    found.append((np.full(len(first), uids[a + i]), np.full(len(first), checks[a + i]), first, last, key.view(np.int64), seg.view(np.int64), again))
+                        dealt.append((first, last + length, key & ~WORDY, again))
+                    if report_words:
+                        first, end, key, again = passages(own, report_words, len(own) + 1)
+                        dealt.append((first, end, key | WORDY, again))
+                    first, end, key, again = (np.concatenate(c) for c in zip(*dealt, strict=True))
+                    seg = segment_hashes(own, first, end)
+                    found.append((np.full(len(first), uids[a + i]), np.full(len(first), checks[a + i]), first, end - length, key.view(np.int64), seg.view(np.int64), again))
                 if found:
                     yield batch_of(schema, *(np.concatenate(c) for c in zip(*found, strict=True)))
 
@@ -232,8 +252,25 @@ def _segments(rows: DataFrame) -> DataFrame:
     return rows.select("text", "wanted").mapInArrow(run, "anchor long, seg long, w long, kinds long, bytes binary")
 
 
-def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
-    """(anchor, seg, runs): the covered byte runs of each segment that a repeat covers."""
+def repeated_passages(segments: list[bytes], weights: list[int], count: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each segment the byte runs of its `count`-word windows that occur at least twice, counting segments by weight; windows that overlap are one run."""
+    size = np.array([len(s) + 1 for s in segments], np.int64)
+    raw = np.frombuffer(b" ".join(segments) + b" ", np.uint8)
+    first, end, key, owner = word_windows(raw, np.concatenate([[0], np.cumsum(size)]), count)
+    same = np.unique(key, return_inverse=True)[1]
+    often = np.bincount(same, np.array(weights, np.int64)[owner])[same] >= 2
+    first, end, owner = first[often], end[often], owner[often]
+    bounds = np.searchsorted(owner, np.arange(len(segments) + 1))
+    out = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        s, e = first[a:b], end[a:b]
+        apart = s[1:] >= e[:-1]
+        out.append((s[np.concatenate([[True], apart])] if b > a else s, e[np.concatenate([apart, [True]])] if b > a else e))
+    return out
+
+
+def _expand(segments: DataFrame, length: int, apart: bool, count: int = 0) -> DataFrame:
+    """(anchor, seg, runs): the covered byte runs of each segment that a repeat covers; with `count` by windows of so many words."""
     kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
     schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("runs", kind)])
 
@@ -251,11 +288,14 @@ def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
             yield solve(held)
 
     def solve(held: list[tuple]) -> pa.RecordBatch:
-        masks = repeated_starts([x[3] for x in held], [x[2] for x in held], length, [x[0] for x in held] if apart else None)
+        texts, weights = [x[3] for x in held], [x[2] for x in held]
+        if count:
+            found = repeated_passages(texts, weights, count)
+        else:
+            found = [covered(mask, length) for mask in repeated_starts(texts, weights, length, [x[0] for x in held] if apart else None)]
         out = []
-        for x, mask in zip(held, masks, strict=True):
-            if mask.any():
-                s, e = covered(mask, length)
+        for x, (s, e) in zip(held, found, strict=True):
+            if len(s):
                 out.append((x[0], x[1], [{"s": int(p), "e": int(q)} for p, q in zip(s, e, strict=True)]))
         return batch_of(schema, [o[0] for o in out], [o[1] for o in out], [o[2] for o in out])
 
@@ -263,28 +303,33 @@ def _expand(segments: DataFrame, length: int, apart: bool) -> DataFrame:
     return segments.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, seg long, runs array<struct<s:int,e:int>>")
 
 
-def _window_keys(segments: DataFrame, length: int) -> DataFrame:
-    """(key, check, anchor, seg, at, w) of every window of the segments."""
-    schema = pa.schema([("key", pa.int64()), ("check", pa.int64()), ("anchor", pa.int64()), ("seg", pa.int64()), ("at", pa.int32()), ("w", pa.int64())])
+def _window_keys(segments: DataFrame, length: int, count: int) -> DataFrame:
+    """(key, check, anchor, seg, s, e, w) of every window of the segments, of `count` words or else `length` bytes."""
+    schema = pa.schema([("key", pa.int64()), ("check", pa.int64()), ("anchor", pa.int64()), ("seg", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("w", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for anchor, seg, w, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = np.frombuffer(raw, np.uint8)
-                key, check = windows_hash(own, length).view(np.int64), windows_hash(own ^ np.uint8(0x5A), length).view(np.int64)
+                if count:
+                    s, e, key, _ = word_windows(own, np.array([0, len(own)]), count)
+                    check = np.full(len(key), anchor)
+                else:
+                    key, check = windows_hash(own, length), windows_hash(own ^ np.uint8(0x5A), length).view(np.int64)
+                    s = np.arange(len(key))
+                    e = s + length
                 n = len(key)
-                yield batch_of(schema, key, check, np.full(n, anchor), np.full(n, seg), np.arange(n), np.full(n, w))
+                yield batch_of(schema, key.view(np.int64), check, np.full(n, anchor), np.full(n, seg), s, e, np.full(n, w))
 
-    return segments.select("anchor", "seg", "w", "bytes").mapInArrow(run, "key long, check long, anchor long, seg long, at int, w long")
+    return segments.select("anchor", "seg", "w", "bytes").mapInArrow(run, "key long, check long, anchor long, seg long, s int, e int, w long")
 
 
-def _hot_runs(segments: DataFrame, length: int, apart: bool) -> DataFrame:
+def _hot_runs(segments: DataFrame, length: int, apart: bool, count: int = 0) -> DataFrame:
     """The end of dealing by longer grams: a gram as long as the window is the window, and equal ones are counted (by 128 bits), each by itself."""
-    keys = cut(_window_keys(segments, length))
+    keys = cut(_window_keys(segments, length, count))
     same = ["anchor", "key", "check"] if apart else ["key", "check"]
     often = keys.groupBy(*same).agg(F.sum("w").alias("n")).where("n > 1")
-    starts = keys.join(often, same).groupBy("anchor", "seg").agg(F.sort_array(F.collect_list("at")).alias("at"))  # at most a segment's windows
-    return starts.select("anchor", "seg", F.transform("at", lambda p: F.struct(p.alias("s"), (p + length).cast("int").alias("e"))).alias("runs"))
+    return keys.join(often, same).groupBy("anchor", "seg").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("runs"))  # at most a segment's windows
 
 
 def _dealt_again(segments: DataFrame, length: int, gram: int, apart: bool) -> DataFrame:
@@ -341,6 +386,13 @@ def _runs(segments: DataFrame, length: int, gram: int, group: int, apart: bool)
     return runs.unionByName(placed.groupBy("anchor", "seg").agg(F.flatten(F.collect_set("runs")).alias("runs")))  # at most a segment's windows
 
 
+def _passage_runs(segments: DataFrame, count: int, group: int) -> DataFrame:
+    """(anchor, seg, runs): the byte runs of each segment whose `count`-word windows repeat; those of crowded anchors are counted each by itself."""
+    runs = _expand(segments.where(F.col("kinds") <= group), 0, True, count)
+    hot = segments.where(F.col("kinds") > group)
+    return runs if hot.isEmpty() else runs.unionByName(_hot_runs(hot, 0, True, count))
+
+
 def whole_words(raw: bytes, start: int, end: int) -> int:
     """Words of `raw` that lie wholly within raw[start:end]."""
     n = len(raw[start:end].split())
@@ -351,7 +403,7 @@ def whole_words(raw: bytes, start: int, end: int) -> int:
     return n
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least_words: int = 0, always: int = 0) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least_words: int = 0, always: int = 0, report_words: int = 0) -> DataFrame:
     """All columns of `docs` with `kept` (the UTF-8 bytes that stay) and `spans` (removed runs, byte offsets).
 
     A byte goes if a string of `length` bytes over it also starts anywhere else
@@ -369,45 +421,67 @@ def remove_repeats(docs: DataFrame, length: int = 400, group: int = GROUP, least
     no such string may be shorter than `length`, which then is the least overlap
     that is looked for where windows with equal grams meet. Runs with fewer
     whole words and bytes stay.
+
+    With `report_words` a column `passages` follows: byte runs of that many
+    words in a row (or more) which also stand in a row anywhere else, whatever
+    space is between them. They are found in the same passes and only listed:
+    `kept` and `spans` do not depend on them.
     """
     gram = max(4, length * 8 // 25)
-    docs = docs.drop("kept", "spans")
+    docs = docs.drop("kept", "spans", *["passages"] * bool(report_words))
     text = F.col("text").cast("string")
     # the rows travel as one column, so that no name of theirs can clash
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text.alias("text"), F.xxhash64("doc_id", "text").alias("uid"), F.hash(F.lit(7), "text", "doc_id").alias("check"))
     who = ["uid", "check"]
-    found = cut(_occurrences(keyed.select(*who, "text"), length, gram, least_words, always))
+    found = cut(_occurrences(keyed.select(*who, "text"), length, gram, least_words, always, report_words))
+    # most anchors stand alone, and only the others travel on
+    met = found.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor")
+    found = cut(found.join(met, "anchor", "left_semi"))
     distinct = _grouped(found, "anchor", "seg", F.count("*"), [*who, "first", "last"])
     stop = (F.col("last") + length).cast("int")
     alike = distinct.where("kinds = 1 and n > 1").select("anchor", "seg", F.array(F.struct(F.lit(0).alias("s"), (stop - F.col("first")).alias("e"))).alias("runs"))
     unlike = distinct.where("kinds > 1 or n = 1")  # one text can repeat within itself
     wanted = unlike.groupBy(*who).agg(F.collect_list(F.struct("anchor", "seg", "w", "kinds", "first", stop.alias("stop"))).alias("wanted"))
     texts = keyed.select(*who, "text").join(wanted, who).dropDuplicates(who)
-    runs = alike.unionByName(_runs(cut(_segments(texts)), length, gram, group, least_words > 0))
+    segments = cut(_segments(texts))
+    wordy = F.col("anchor").bitwiseAND(1) == 1
+    runs = alike.unionByName(_runs(segments.where(~wordy), length, gram, group, least_words > 0))
+    if report_words:
+        runs = runs.unionByName(_passage_runs(segments.where(wordy), report_words, group))
     spans = found.select(*who, "first", "anchor", "seg").join(runs, ["anchor", "seg"])
-    spans = spans.select(*who, F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
-    spans = spans.groupBy(*who).agg(F.flatten(F.collect_set("runs")).alias("runs"))  # at most a text's windows, however often its row stands
-    return _cut_texts(keyed.select(*who, "row").join(spans, who, "left").select("row.*", F.col("runs").alias("runs of repeats")), docs, least_words, always)
+    spans = spans.select(*who, "anchor", F.transform("runs", lambda r: F.struct((r["s"] + F.col("first")).alias("s"), (r["e"] + F.col("first")).alias("e"))).alias("runs"))
+    kinds = {"runs of repeats": ~wordy} | ({"runs of passages": wordy} if report_words else {})
+    spans = spans.groupBy(*who).agg(*(F.flatten(F.collect_set(F.when(own, F.col("runs")))).alias(c) for c, own in kinds.items()))  # at most a text's windows, however often its row stands
+    return _cut_texts(keyed.select(*who, "row").join(spans, who, "left").select("row.*", *(F.col(c) for c in kinds)), docs, least_words, always)
+
+
+def joined(runs: pa.Scalar) -> list[list[int]]:
+    """The runs in order, those that touch or overlap as one."""
+    out: list[list[int]] = []
+    for r in sorted((r["s"], r["e"]) for r in runs.as_py()) if runs.is_valid else ():
+        if out and r[0] <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], r[1])
+        else:
+            out.append(list(r))
+    return out
 
 
 def _cut_texts(rows: DataFrame, docs: DataFrame, least_words: int, always: int) -> DataFrame:
     names = docs.columns
     at = names.index("text")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    schema = StructType(list(docs.schema.fields)).add("kept", "binary").add("spans", ArrayType(StructType().add("start", "long").add("end", "long")))
+    listed = ArrayType(StructType().add("start", "long").add("end", "long"))
+    schema = StructType(list(docs.schema.fields)).add("kept", "binary").add("spans", listed)
+    more = ["passages"] * (len(rows.columns) - len(names) - 1)
+    for name in more:
+        schema = schema.add(name, listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, spans = [], []
             for text, runs in zip(batch.column(at), batch.column(len(names)), strict=True):
                 raw = str(text.as_py() if text.is_valid else "").encode()  # a text of another type counts as its string
-                merged: list[list[int]] = []
-                if runs.is_valid:
-                    for r in sorted((r["s"], r["e"]) for r in runs.as_py()):
-                        if merged and r[0] <= merged[-1][1]:
-                            merged[-1][1] = max(merged[-1][1], r[1])
-                        else:
-                            merged.append(list(r))
+                merged = joined(runs)
                 if least_words:
                     merged = [r for r in merged if r[1] - r[0] >= always or whole_words(raw, *r) >= least_words]
                 stay, place = [], 0
@@ -416,6 +490,7 @@ def _cut_texts(rows: DataFrame, docs: DataFrame, least_words: int, always: int)
                     place = e
                 kept.append(b"".join([*stay, raw[place:]]))
                 spans.append([{"start": s, "end": e} for s, e in merged])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(kept, pa.binary()), pa.array(spans, kind)], names=[*names, "kept", "spans"])
+            passages_ = [pa.array([[{"start": s, "end": e} for s, e in joined(runs)] for runs in batch.column(len(names) + 1)], kind) for _ in more]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(kept, pa.binary()), pa.array(spans, kind), *passages_], names=[*names, "kept", "spans", *more])
 
     return rows.mapInArrow(run, schema)

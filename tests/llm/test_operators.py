@@ -187,6 +187,51 @@ def test_repeats_of_one_row_that_stands_often(spark):
     assert len(got) == 5002 and by == {1: {(0, 1)}, 2: {(1, 1)}, 3: {(len(data[-1][1].encode()), 0)}}
 
 
+def brute_passages(data, count):
+    spots = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t in data]
+    tokens = [[(t or "").encode()[a:b] for a, b in w] for (_, t), w in zip(data, spots, strict=True)]
+    times = Counter(tuple(w[k : k + count]) for w in tokens for k in range(len(w) - count + 1))
+    out = []
+    for (i, t), w, at in zip(data, tokens, spots, strict=True):
+        joined = []
+        for k in range(len(w) - count + 1):
+            if times[tuple(w[k : k + count])] > 1:
+                if joined and at[k][0] < joined[-1][1]:
+                    joined[-1][1] = at[k + count - 1][1]
+                else:
+                    joined.append([at[k][0], at[k + count - 1][1]])
+        out.append((i, t, tuple(map(tuple, joined))))
+    return out
+
+
+@pytest.mark.parametrize(("count", "group"), [(12, 512), (12, 1), (51, 512)])
+def test_reported_passages(spark, count, group):
+    data = cases.rows()
+    r, ws = random.Random(16), cases.vocabulary()
+    shared = [cases.prose(r, ws, n) for n in (51, 52, 13, 12, 11)]
+    data += [(1000 + k, f"{cases.prose(r, ws, 20)}\n{shared[k % 5]} {cases.prose(r, ws, 30)} {shared[k % 3]}") for k in range(30)]
+    data += [(2000, shared[0].replace(" ", " \t ")), (2001, "a b " * 60), (2002, "z"), (2003, " ".join(["one"] * 52))]
+    got = suffixes.remove_repeats(cases.frame(spark, data).withColumnRenamed("key", "passages"), length=400, group=group, report_words=count)
+    assert got.columns[-3:] == ["kept", "spans", "passages"] and got.columns.count("passages") == 1
+    got = got.collect()
+    want = brute_passages(data, count)
+    assert multiset((x.doc_id, x.text, tuple(map(tuple, x.passages))) for x in got) == multiset(want) and sum(bool(x[2]) for x in want) > 30
+    mine = [(x.doc_id, len((x.text or "").encode()), len((x.text or "").encode()) - len(x.kept), len(x.spans), hashlib.sha256(x.kept).hexdigest()) for x in got]
+    assert multiset(mine) == multiset(brute_repeats(data, 400))
+
+
+def test_repeats_query_shows_passages_shorter_than_its_strings(spark, tmp_path):
+    r, ws = random.Random(17), cases.vocabulary()
+    passage = cases.prose(r, ws, 52)
+    while len(passage.encode()) >= 390:
+        passage = cases.prose(r, [w for w in ws if len(w) < 7], 52)
+    data = [(k, f"{cases.prose(r, ws, 90)} {passage if k < 2 else cases.prose(r, ws, 52)} {cases.prose(r, ws, 90)}") for k in range(9)]
+    cases.frame(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: x for x in queries.op2_suffixes(spark, str(tmp_path)).collect()}
+    assert all((x.n_removed, x.n_spans) == (0, 0) for x in got.values())
+    assert {i: (x.n_passages, x.passage_bytes) for i, x in got.items()} == {i: (1, len(passage.strip().encode())) if i < 2 else (0, 0) for i in range(9)}
+
+
 def test_expansion_matches_sorted_suffixes():
     r = random.Random(2)
     for _ in range(20):
