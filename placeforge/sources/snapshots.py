@@ -67,10 +67,10 @@ def spiders(manifest: DataFrame, turn: int, n: int, group: str | None = None) ->
 
 
 def preflight(manifest: DataFrame, stats: DataFrame) -> DataFrame:
-    """Enabled spiders with their last run: missing, empty, with warnings, or ok; stats: spider, features, warnings."""
+    """Enabled spiders with the counts of their last run and whether it is missing, empty, with warnings, or ok; stats: spider, features, warnings."""
     rows = manifest.where("import_enabled").join(stats, "spider", "left")
     state = F.when(F.col("features").isNull(), "missing").when(F.col("features") == 0, "empty").when(F.col("warnings") > 0, "warning").otherwise("ok")
-    return rows.select("spider", state.alias("preflight"))
+    return rows.select("spider", "features", "warnings", state.alias("preflight"))
 
 
 def tile_status(pages: DataFrame, limit: int) -> DataFrame:

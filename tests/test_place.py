@@ -304,6 +304,15 @@ def test_preflight_counts_every_line(spark, small_tables):
     assert got == {"s0": "warning", "s1": "ok", "s2": "missing"}
 
 
+def test_preflight_warns_of_any_returned_line(spark, tmp_path):
+    spark.createDataFrame([(k, f"s{k}", a) for k, a in ((0, 5.0), (1, 5.0), (2, 5.0), (3, -1.0))], "s_suppkey long, s_name string, s_acctbal double").write.parquet(str(tmp_path / "supplier.parquet"))
+    lines = [(0, "R"), (0, "N"), (0, "A"), (0, None), (1, "N"), (1, "A"), (3, "R")]  # one of four came back
+    spark.createDataFrame(lines, "l_suppkey long, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.spider: r for r in queries.QUERIES["S10_preflight"](spark, str(tmp_path)).collect()}
+    assert {k: r.preflight for k, r in got.items()} == {"s0": "warning", "s1": "ok", "s2": "missing"}
+    assert {k: (r.features, r.warnings) for k, r in got.items()} == {"s0": (4, 1), "s1": (2, 0), "s2": (None, None)}
+
+
 def test_longitudes_of_large_tables_go_round(spark, tmp_path):
     spark.range(700_000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand").write.parquet(str(tmp_path / "part.parquet"))
     spark.createDataFrame([(99_003, 1, "x")], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))  # its place stands 346 degrees east of the first
